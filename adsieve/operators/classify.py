@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adsieve.config import DEFAULT_SCORING, ScoringConfig
 from adsieve.functions import blank
 from adsieve.operators.anchored import anchored_positions
-from adsieve.operators.validate import valid_events
+from adsieve.operators.validate import valid_events, validate_events
 
 Scorer = Callable[[DataFrame, ScoringConfig], DataFrame]
 
@@ -52,7 +52,7 @@ def risk_score_col(cfg: ScoringConfig = DEFAULT_SCORING) -> Column:
 
 def window_scorer(df: DataFrame, cfg: ScoringConfig) -> DataFrame:
     """Default scorer: anchored IP window counter. Only unique events count."""
-    counted = F.col("dup_pos") == 1
+    counted = F.coalesce(F.col("dup_pos") == 1, F.lit(False))
     scored = ip_window_count(df, cfg, counted=counted)
     return scored.withColumn(
         "risk_score", F.when(counted, risk_score_col(cfg)).otherwise(F.lit(0).cast("int"))
@@ -61,19 +61,27 @@ def window_scorer(df: DataFrame, cfg: ScoringConfig) -> DataFrame:
 
 def classify(
     df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, scorer: Scorer = window_scorer,
-    validated: bool = False,
+    keep_rejected: bool = False,
 ) -> DataFrame:
-    """Route valid events to duplicate / fraud / accepted.
+    """Route events to duplicate / fraud / accepted.
 
     One linear plan: validate → dedupe → score (unique rows only) → status.
+    Invalid events never touch the dedupe or IP state. With
+    ``keep_rejected`` they stay in the output with status ``rejected`` (and
+    ``reject_field``/``reject_message``) instead of being filtered out.
     ``scorer`` is pluggable: it receives rows with ``dup_pos`` and must add
     an int ``risk_score`` (0 for duplicates).
     """
-    valid = df if validated else valid_events(df)
-    dd = mark_duplicates(valid, cfg)
+    if keep_rejected:
+        src = validate_events(df)
+        valid = F.col("reject_field").isNull()
+        dd = mark_duplicates(src, cfg, counted=valid)
+    else:
+        dd = mark_duplicates(valid_events(df), cfg)
     scored = scorer(dd, cfg)
     status = (
-        F.when(F.col("dup_pos") > 1, "duplicate")
+        F.when(F.col("dup_pos").isNull(), "rejected")
+        .when(F.col("dup_pos") > 1, "duplicate")
         .when(F.col("risk_score") > cfg.fraud_cut, "fraud")
         .otherwise("accepted")
     )
