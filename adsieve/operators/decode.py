@@ -48,8 +48,16 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:
-    """Messages that decode; malformed ones are dropped."""
-    return decode(df, value).where(~F.col("malformed")).drop("malformed")
+    """Messages that decode; malformed ones are dropped.
+
+    The keep/drop step is a 0-or-1-row generator over the decoded struct
+    rather than a filter: a filter on the flag would be pushed below the
+    decode projection and parse every message a second time.
+    """
+    d = decode(df, value)
+    cols = [c for c in d.columns if c != "malformed"]
+    packed = F.when(~F.col("malformed"), F.array(F.struct(*cols)))
+    return d.select(F.inline(packed)).select(*cols)
 
 
 def malformed_messages(df: DataFrame, value: str = "value") -> DataFrame:

@@ -9,8 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from adsieve import schemas
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table.
+
+    A small file can be a single row group, i.e. one scan task; then the
+    narrow work before the first shuffle would run on one core. With
+    ``spread`` such a scan is round-robin spread over the default
+    parallelism. Large inputs already have more splits than cores, so this
+    is a no-op at scale (no extra shuffle).
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
