@@ -7,7 +7,6 @@ own files (exactly-once results on top of at-least-once delivery).
 
 from __future__ import annotations
 
-import os
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,21 +69,20 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return merge_stats(spark.read.parquet(path))
 
 
-def compact_stats(spark: SparkSession, delta_path: str, base_path: str, upto_batch: int) -> None:
-    """Fold closed batch ids (``<= upto_batch``) into a base table.
-
-    The base is written as a new version next to the old one (never in
-    place) and then read together with the open deltas.
-    """
-    deltas = spark.read.parquet(delta_path).where(F.col("batch_id") <= upto_batch)
-    parts = [deltas]
-    if os.path.exists(base_path) or base_path.startswith(("s3", "hdfs", "gs", "abfs")):
-        try:
-            parts.append(spark.read.parquet(base_path).withColumn("batch_id", F.lit(-1)))
-        except Exception:  # noqa: BLE001 - no base yet
-            pass
-    merged = merge_stats(*parts)
-    merged.write.mode("overwrite").parquet(f"{base_path}.v{upto_batch}")
+def compact_stats(spark: SparkSession, delta_path: str, base_out: str, upto_batch: int,
+                  prev_base: str | None = None) -> None:
+    """Fold closed batch ids (``<= upto_batch``) and an optional previous
+    base into a new base version at ``base_out`` (never written in place)."""
+    parts = [spark.read.parquet(delta_path).where(F.col("batch_id") <= upto_batch)]
+    if prev_base:
+        parts.append(spark.read.parquet(prev_base))
+    merge_stats(*parts).write.mode("overwrite").parquet(base_out)
+
+
+def read_stats_compacted(spark: SparkSession, base: str, delta_path: str, after_batch: int) -> DataFrame:
+    """campaign_stats = compacted base + the deltas of later batches."""
+    return merge_stats(spark.read.parquet(base),
+                       spark.read.parquet(delta_path).where(F.col("batch_id") > after_batch))
 
 
 def write_metrics(metrics: DataFrame, path: str, batch_id: int) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adsieve.config import FIXTURE_SCORING
 from adsieve.plans.batch_job import Outputs, run_batch
-from adsieve.sinks.writers import check_archive_target, read_stats
+from adsieve.sinks.writers import check_archive_target, compact_stats, read_stats, read_stats_compacted
 from adsieve.sources import fixtures as FX
 from adsieve.sources.tables import read_archive, read_raw_events
 from conftest import SF001
@@ -35,7 +35,13 @@ def test_batch_job_outputs_and_replay(spark):
     run_batch(spark, msgs, out, batch_id=1, cfg=FIXTURE_SCORING)
     assert read_raw_events(spark, out.raw_events).count() == counts["accepted"]
     assert read_stats(spark, out.stats_delta).agg(F.sum("total_impressions")).first()[0] == impressions
-    m = spark.read.parquet(out.metrics).first()
+    # compaction: base(batch 1) + later deltas == full view
+    run_batch(spark, msgs.where(F.col("seq") < 100), out, batch_id=2, cfg=FIXTURE_SCORING)
+    full = read_stats(spark, out.stats_delta).agg(F.sum("total_impressions")).first()[0]
+    base = os.path.join(root, "stats_base_v1")
+    compact_stats(spark, out.stats_delta, base, upto_batch=1)
+    assert read_stats_compacted(spark, base, out.stats_delta, 1).agg(F.sum("total_impressions")).first()[0] == full
+    m = spark.read.parquet(out.metrics).where("batch_id = 1").first()
     assert m["total_processed"] == counts["accepted"]
     assert m["total_archived"] == 2 * n_valid
     assert os.path.isdir(os.path.join(out.archive, "status=raw"))
