@@ -107,38 +107,6 @@ def _np(col) -> np.ndarray:
     return col.to_numpy(zero_copy_only=False)
 
 
-def _arrow_groups(batches: Iterator[pa.RecordBatch], kcol: str, ccol: str) -> Iterator[pa.Table]:
-    """Arrow twin of :func:`_complete_groups`; wide columns are never copied
-    into Python objects."""
-    pending: list[pa.RecordBatch] = []
-    for rb in batches:
-        if rb.num_rows == 0:
-            continue
-        if pending:
-            last = pending[-1]
-            lk = last.column(kcol)[last.num_rows - 1].as_py()
-            lc = last.column(ccol)[last.num_rows - 1].as_py()
-            k, c = _np(rb.column(kcol)), _np(rb.column(ccol))
-            same = (pd.isna(k) if lk is None else (k == lk)) & (c == lc)
-            if same.all():
-                pending.append(rb)
-                continue
-            cut = int(np.argmin(same))
-            if cut > 0:
-                pending.append(rb.slice(0, cut))
-                rb = rb.slice(cut)
-            yield pa.Table.from_batches(pending)
-            pending = []
-        k, c = _np(rb.column(kcol)), _np(rb.column(ccol))
-        starts = _group_starts(k, c)
-        tail = int(starts[-1])
-        if tail > 0:
-            yield pa.Table.from_batches([rb.slice(0, tail)])
-        pending = [rb.slice(tail)]
-    if pending:
-        yield pa.Table.from_batches(pending)
-
-
 def _slices(n_groups: int, span: int) -> int:
     """How many groups fit one coordinate space without int64 overflow."""
     return max(1, int(_MAX_COORD // max(span, 1)) - 1)
@@ -186,22 +154,113 @@ def _chunk_runs(k, c, t, W: int, R: int) -> pd.DataFrame:
     })
 
 
+class _ChunkChains:
+    """Phase-1 state of one (key, chunk): the anchor chain from every
+    possible entry, advanced batch by batch (memory: the candidates only)."""
+
+    def __init__(self, key, chunk: int, W: int, R: int):
+        self.key, self.chunk, self.W = key, chunk, W
+        self.edge = chunk * R + W          # entries lie before chunk_start + W
+        self.seen = 0                      # events of the chunk seen so far
+        self.last_t = None
+        self.closed = False                # first event >= edge already added
+        self.cand_t = np.zeros(0, np.int64)   # block time of each entry
+        self.at = np.zeros(0, np.int64)       # current anchor time per entry
+        self.ai = np.zeros(0, np.int64)       # current anchor index per entry
+
+    def feed(self, t: np.ndarray) -> None:
+        n = len(t)
+        idx = self.seen + np.arange(n, dtype=np.int64)
+        if not self.closed:
+            prev = np.empty(n, np.int64)
+            prev[1:] = t[:-1]
+            prev[0] = self.last_t if self.last_t is not None else t[0] - 1
+            block = t != prev
+            inside = t < self.edge
+            first_out = np.flatnonzero(~inside)
+            take = inside & block
+            if len(first_out):
+                take[first_out[0]] = True
+                self.closed = True
+            new = np.flatnonzero(take)
+            self.cand_t = np.r_[self.cand_t, t[new]]
+            self.at = np.r_[self.at, t[new]]
+            self.ai = np.r_[self.ai, idx[new]]
+        # advance every chain whose next anchor lies in this batch
+        active = np.flatnonzero(self.at + self.W <= t[-1])
+        while len(active):
+            j = np.searchsorted(t, self.at[active] + self.W, side="left")
+            ok = j < n
+            active, j = active[ok], j[ok]
+            self.at[active] = t[j]
+            self.ai[active] = idx[j]
+            active = active[self.at[active] + self.W <= t[-1]]
+        self.seen += n
+        self.last_t = t[-1]
+
+    def runs(self) -> pd.DataFrame:
+        ai = self.ai
+        new_run = np.ones(len(ai), dtype=bool)
+        new_run[1:] = ai[1:] != ai[:-1]
+        last = np.r_[np.flatnonzero(new_run)[1:] - 1, len(ai) - 1] if len(ai) else np.zeros(0, np.int64)
+        m = len(last)
+        return pd.DataFrame({
+            "_k": np.array([self.key] * m, dtype=object),
+            "_c": np.full(m, self.chunk, dtype=np.int64),
+            "_hi": self.cand_t[last],
+            "_ex_t": self.at[last],
+            "_ex_n": (self.seen - ai[last]).astype(np.int64),
+        })
+
+
+def _valid_key(x) -> bool:
+    return x is not None and not (isinstance(x, float) and np.isnan(x))
+
+
 def _phase1(W: int, R: int):
+    """Complete chunks inside a batch are walked vectorised; only a chunk
+    that straddles batches is carried over (bounded memory for hot chunks)."""
+    def emit(df: pd.DataFrame):
+        return pa.RecordBatch.from_pandas(df, preserve_index=False)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tbl in _arrow_groups(batches, "_k", "_c"):
-            k = _np(tbl.column("_k"))
-            keep = pd.notna(k)
-            if not keep.any():
+        cur: _ChunkChains | None = None
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            k = k[keep]
-            c = _np(tbl.column("_c")).astype(np.int64)[keep]
-            t = _np(tbl.column("_t").fill_null(0)).astype(np.int64)[keep]
+            k = _np(rb.column("_k"))
+            c = _np(rb.column("_c")).astype(np.int64)
+            t = _np(rb.column("_t").fill_null(0)).astype(np.int64)
             starts = _group_starts(k, c)
-            per = _slices(len(starts), R + W)
-            bounds = list(starts[::per]) + [len(t)]
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                runs = _chunk_runs(k[lo:hi], c[lo:hi], t[lo:hi], W, R)
-                yield pa.RecordBatch.from_pandas(runs, preserve_index=False)
+            ends = np.r_[starts[1:], len(k)]
+            first = 0
+            if cur is not None:
+                if cur.key == k[0] and cur.chunk == int(c[0]):
+                    cur.feed(t[: ends[0]])
+                    first = 1
+                if first == 0 or len(starts) > 1:
+                    yield emit(cur.runs())
+                    cur = None
+            last = len(starts) - 1
+            if last >= first:
+                # the last chunk of the batch may continue in the next batch
+                lo_last = int(starts[last])
+                if _valid_key(k[lo_last]):
+                    cur = _ChunkChains(k[lo_last], int(c[lo_last]), W, R)
+                    cur.feed(t[lo_last:])
+                lo = int(starts[first]) if first < len(starts) else lo_last
+                if lo < lo_last:
+                    kk, cc, tt = k[lo:lo_last], c[lo:lo_last], t[lo:lo_last]
+                    keep = pd.notna(kk)
+                    if keep.any():
+                        kk, cc, tt = kk[keep], cc[keep], tt[keep]
+                        gs = _group_starts(kk, cc)
+                        per = _slices(len(gs), R + W)
+                        bounds = list(gs[::per]) + [len(tt)]
+                        for a0, b0 in zip(bounds[:-1], bounds[1:]):
+                            yield emit(_chunk_runs(kk[a0:b0], cc[a0:b0], tt[a0:b0], W, R))
+        if cur is not None:
+            yield emit(cur.runs())
     return run
 
 
@@ -292,14 +351,25 @@ def _scan(k, c, t, r_g: np.ndarray, carry_g: np.ndarray, W: int, R: int):
 
 def _phase3(W: int, R: int, out_cols: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tbl in _arrow_groups(batches, "_k", "_c"):
+        carry_key = None  # (key, chunk, r, carry) continuing into the next batch
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            tbl = pa.Table.from_batches([rb])
             k = _np(tbl.column("_k"))
             c = _np(tbl.column("_c")).astype(np.int64)
             t = _np(tbl.column("_t").fill_null(0)).astype(np.int64)
             starts = _group_starts(k, c)
             r = _np(tbl.column("_r").fill_null(_NEG)).astype(np.int64)[starts]
             carry_g = _np(tbl.column("_carry").fill_null(0)).astype(np.int64)[starts]
+            if carry_key is not None and k[0] == carry_key[0] and int(c[0]) == carry_key[1]:
+                # the chunk continues from the previous batch: resume its window
+                r[0], carry_g[0] = carry_key[2], carry_key[3]
             pos, anchor, cnt = _scan(k, c, t, r, carry_g, W, R)
+            if cnt[-1]:
+                carry_key = (k[-1], int(c[-1]), int(anchor[-1]) + W, int(pos[-1]))
+            else:
+                carry_key = None
             out = tbl.select(out_cols)
             out = out.append_column("_pos", pa.array(pos, type=pa.int64(), mask=~cnt))
             out = out.append_column("_anchor", pa.array(anchor, type=pa.int64(), mask=~cnt))

@@ -61,3 +61,18 @@ def test_periodic_chains_never_merge(spark):
     rows = [("p", i * 51, i, True) for i in range(400)]
     _check(spark, rows, 100, 2)
     _check(spark, rows, 100, 7)
+
+
+def test_tiny_arrow_batches(spark):
+    # chunks straddle Arrow batches: the carried-over scan must agree
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rnd = random.Random(7)
+        rows = [(rnd.choice(["hot", "hot", "a", None]), rnd.randint(0, 3000), o, True) for o in range(1500)]
+        rows = [(k, t, o, k is not None) for k, t, o, _ in rows]
+        for cw in (1, 3, 16):
+            _check(spark, rows, 100, cw)
+        dense = [("d", i // 3, i, True) for i in range(1200)]  # ties and dense chains
+        _check(spark, dense, 50, 2)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
