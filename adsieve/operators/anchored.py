@@ -145,13 +145,23 @@ def _chunk_runs(k, c, t, W: int, R: int) -> pd.DataFrame:
     new_run[1:] = (cg[1:] != cg[:-1]) | (a[1:] != a[:-1])
     run_last = np.r_[np.flatnonzero(new_run)[1:] - 1, len(cand) - 1] if len(cand) else np.zeros(0, np.int64)
     ex = a[run_last]
-    return pd.DataFrame({
-        "_k": k[cand[run_last]],
-        "_c": c[cand[run_last]],
-        "_hi": t[cand[run_last]],
+    rk = cand[run_last]
+    runs = pd.DataFrame({
+        "_k": k[rk],
+        "_c": c[rk],
+        "_hi": t[rk],
         "_ex_t": t[ex],
         "_ex_n": (gend[ex] - ex).astype(np.int64),
     })
+    # A chunk matters to the fold only if its entry can vary (events in its
+    # first W) or some exit window reaches into the next chunk; all other
+    # chunks are independent and need no state.
+    rg = gid[rk]
+    dependent = t[starts[rg]] < c[rk] * R + W
+    passes = t[ex] + W > (c[rk] + 1) * R
+    g_keep = np.zeros(G, dtype=bool)
+    np.logical_or.at(g_keep, rg, dependent | passes)
+    return runs[g_keep[rg]]
 
 
 class _ChunkChains:
@@ -161,6 +171,8 @@ class _ChunkChains:
     def __init__(self, key, chunk: int, W: int, R: int):
         self.key, self.chunk, self.W = key, chunk, W
         self.edge = chunk * R + W          # entries lie before chunk_start + W
+        self.R = R
+        self.first_t = None
         self.seen = 0                      # events of the chunk seen so far
         self.last_t = None
         self.closed = False                # first event >= edge already added
@@ -170,6 +182,8 @@ class _ChunkChains:
 
     def feed(self, t: np.ndarray) -> None:
         n = len(t)
+        if self.first_t is None:
+            self.first_t = int(t[0])
         idx = self.seen + np.arange(n, dtype=np.int64)
         if not self.closed:
             prev = np.empty(n, np.int64)
@@ -200,6 +214,8 @@ class _ChunkChains:
 
     def runs(self) -> pd.DataFrame:
         ai = self.ai
+        if self.first_t is not None and self.first_t >= self.edge and not (self.at + self.W > self.edge - self.W + self.R).any():
+            ai = ai[:0]  # independent chunk that passes no state: nothing to fold
         new_run = np.ones(len(ai), dtype=bool)
         new_run[1:] = ai[1:] != ai[:-1]
         last = np.r_[np.flatnonzero(new_run)[1:] - 1, len(ai) - 1] if len(ai) else np.zeros(0, np.int64)
@@ -213,6 +229,10 @@ class _ChunkChains:
         })
 
 
+_RUNS_ARROW = pa.schema([("_k", pa.string()), ("_c", pa.int64()), ("_hi", pa.int64()),
+                         ("_ex_t", pa.int64()), ("_ex_n", pa.int64())])
+
+
 def _valid_key(x) -> bool:
     return x is not None and not (isinstance(x, float) and np.isnan(x))
 
@@ -221,7 +241,7 @@ def _phase1(W: int, R: int):
     """Complete chunks inside a batch are walked vectorised; only a chunk
     that straddles batches is carried over (bounded memory for hot chunks)."""
     def emit(df: pd.DataFrame):
-        return pa.RecordBatch.from_pandas(df, preserve_index=False)
+        return pa.RecordBatch.from_pandas(df, schema=_RUNS_ARROW, preserve_index=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cur: _ChunkChains | None = None
