@@ -69,8 +69,11 @@ class ScoringConfig:
     blank_ip_score: int = BLANK_IP_SCORE
     fraud_cut: int = FRAUD_CUT
     # anchored-window chunk length, in windows: a key's timeline is cut into
-    # chunks of chunk_windows * window so a hot key spreads over many tasks
-    chunk_windows: int = 16
+    # chunks of chunk_windows * window so a hot key spreads over many tasks.
+    # Shorter chunks bound the hottest task; longer ones leave fewer chunks
+    # whose entry state depends on the previous chunk.
+    dedupe_chunk_windows: int = 4     # 24 h window → 4-day chunks
+    ip_chunk_windows: int = 16        # 300 s window → 80-minute chunks
 
 
 @dataclass(frozen=True)

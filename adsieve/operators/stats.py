@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adsieve import config as C
@@ -84,9 +84,15 @@ def campaign_by_id(stats: DataFrame, campaign_id: str) -> DataFrame:
 
 
 def latest_by_campaign(stats: DataFrame) -> DataFrame:
-    """Latest hour row of every campaign (the many-ids form of the lookup)."""
-    w = Window.partitionBy("campaign_id").orderBy(F.col("hour_bucket").desc())
-    return stats.select(*STATS_COLUMNS).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Latest hour row of every campaign (the many-ids form of the lookup).
+
+    An aggregation (``max_by``) rather than a window: it pre-aggregates
+    map-side, so a campaign with very many hours never lands whole in one
+    task.
+    """
+    row = F.struct(*[c for c in STATS_COLUMNS if c != "campaign_id"])
+    latest = stats.groupBy("campaign_id").agg(F.max_by(row, F.col("hour_bucket")).alias("_r"))
+    return latest.select("campaign_id", *[F.col(f"_r.{c}").alias(c) for c in STATS_COLUMNS if c != "campaign_id"])
 
 
 def campaign_lookup_status(stats: DataFrame, requested: DataFrame) -> DataFrame:
