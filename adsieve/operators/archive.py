@@ -32,7 +32,8 @@ def archive_record(with_risk: bool = True) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def archive_rows(classified: DataFrame, upload_ts: Column | None = None) -> DataFrame:
+def archive_rows(classified: DataFrame, upload_ts: Column | None = None,
+                 keep: list[str] | None = None) -> DataFrame:
     """Two archive records per valid event: ``raw`` and its final status.
 
     ``raw`` is encoded before scoring, so it never carries ``risk_score``;
@@ -40,16 +41,17 @@ def archive_rows(classified: DataFrame, upload_ts: Column | None = None) -> Data
     time (here the arrival time unless ``upload_ts`` is given).
     """
     up = upload_ts if upload_ts is not None else F.col("created_at")
-    base = classified.select("seq", "status", up.alias("_up"), archive_record(False).alias("_raw"),
+    keep = keep or []
+    base = classified.select("seq", *keep, "status", up.alias("_up"), archive_record(False).alias("_raw"),
                              archive_record(True).alias("_final"))
     both = base.select(
-        "seq", "_up",
+        "seq", *keep, "_up",
         F.explode(F.array(
             F.struct(F.lit("raw").alias("status"), F.col("_raw").alias("record")),
             F.struct(F.col("status").alias("status"), F.col("_final").alias("record")),
         )).alias("a"),
     )
-    return both.select("seq", F.col("a.status").alias("status"), *archive_time_parts("_up"),
+    return both.select("seq", *keep, F.col("a.status").alias("status"), *archive_time_parts("_up"),
                        F.col("a.record").alias("record"))
 
 
@@ -67,6 +69,15 @@ def archive_count_delta(before: DataFrame, after: DataFrame) -> DataFrame:
                     (F.coalesce("n_after", F.lit(0)) - F.coalesce("n_before", F.lit(0))).alias("n_growth"))
 
 
+def archive_growth(archive: DataFrame, in_before: Column) -> DataFrame:
+    """Same result as :func:`archive_count_delta` when the earlier snapshot
+    is a subset of the later one (an append-only archive): one pass, one
+    aggregation."""
+    agg = archive.groupBy("status").agg(
+        F.count_if(in_before).alias("n_before"), F.count(F.lit(1)).alias("n_after"))
+    return agg.select("status", "n_before", "n_after", (F.col("n_after") - F.col("n_before")).alias("n_growth"))
+
+
 def retention_policy(spark) -> DataFrame:
     """The 4-row expiry table (days per status prefix)."""
     rows = [(s, int(d)) for s, d in C.ARCHIVE_RETENTION_DAYS.items()]

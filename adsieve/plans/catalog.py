@@ -242,6 +242,25 @@ def archive_counts(spark, sf):
     return A.archive_counts(A.archive_rows(_classified(spark, sf)))
 
 
+@query("archive_count_delta", O.with_views("""
+SELECT coalesce(b.status, a.status) AS status, coalesce(b.n, 0) AS n_before, coalesce(a.n, 0) AS n_after,
+ coalesce(a.n, 0) - coalesce(b.n, 0) AS n_growth
+FROM (SELECT status, count(*) AS n FROM arch
+      WHERE epoch_us(created_at) < (SELECT (min(epoch_us(created_at)) + max(epoch_us(created_at))) // 2 FROM cls)
+      GROUP BY status) b
+FULL JOIN (SELECT status, count(*) AS n FROM arch GROUP BY status) a ON a.status = b.status""",
+    extra=CLS + ",\n" + ARCHIVE_SQL_CTE))
+def archive_count_delta(spark, sf):
+    # "before" = the archive when the first half of the arrival span was
+    # processed (positions are causal, so that is a prefix of the full run)
+    from adsieve.functions import epoch_micros
+    cls = _classified(spark, sf).withColumn("_us", epoch_micros("created_at"))
+    valid = V.valid_events(_ad(spark, sf)).select(epoch_micros("created_at").alias("_us"))
+    cut = valid.select(F.expr("(min(_us) + max(_us)) div 2")).scalar()
+    arch = A.archive_rows(cls, keep=["_us"])
+    return A.archive_growth(arch, F.col("_us") < cut)
+
+
 _POLICY_SQL = " UNION ALL ".join(
     f"SELECT '{s}' AS status, {d} AS retention_days" for s, d in C.ARCHIVE_RETENTION_DAYS.items())
 

@@ -54,3 +54,14 @@ def test_archive_target_check():
     except ValueError:
         return
     raise AssertionError("ftp accepted")
+
+
+def test_archive_growth_equals_snapshot_delta(spark):
+    from adsieve.operators import archive as A
+    from adsieve.operators.classify import classify
+    cls = classify(FX.ad_events(spark, SF001), FIXTURE_SCORING)
+    arch = A.archive_rows(cls, keep=["created_at"])
+    cut = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    one = {r["status"]: tuple(r)[1:] for r in A.archive_growth(arch, F.col("created_at") < cut).collect()}
+    two = {r["status"]: tuple(r)[1:] for r in A.archive_count_delta(arch.where(F.col("created_at") < cut), arch).collect()}
+    assert one == two
