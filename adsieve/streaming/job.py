@@ -16,6 +16,7 @@ from adsieve.operators.decode import decode_messages, to_raw_event
 from adsieve.operators.validate import storage_constraints, validate_events
 from adsieve.plans.batch_job import Outputs, stage, write_outputs
 from adsieve.streaming.anchored_state import stateful_anchored
+from adsieve.streaming.metrics import observe_metrics
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MESSAGE_SCHEMA = "seq long, key string, arrival timestamp_ntz, value string"
@@ -76,7 +77,7 @@ def start(messages: DataFrame, out: Outputs, checkpoint: str, cfg: ScoringConfig
     spark = messages.sparkSession
     # transformWithState keeps several column families: RocksDB store
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    routed = route_stream(messages, cfg, lag_s)
+    routed = observe_metrics(route_stream(messages, cfg, lag_s))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         staged = stage(batch, "stream", batch_id)

@@ -3,6 +3,7 @@ restart from the checkpoint."""
 
 import os
 import tempfile
+import time
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from adsieve.sinks.writers import read_stats
 from adsieve.sources import fixtures as FX
 from adsieve.sources.tables import read_raw_events
 from adsieve.streaming import job
+from adsieve.streaming.metrics import MetricsListener
 from conftest import SF001
 
 
@@ -32,6 +34,8 @@ def test_stream_matches_batch(spark):
     ckpt = os.path.join(root, "ckpt")
     # first run sees the first file only, second run (restart) the second
     os.link(files[0], os.path.join(land, "part-0.parquet"))
+    listener = MetricsListener()
+    spark.streams.addListener(listener)
     q = job.start(job.read_message_files(spark, land), out, ckpt, FIXTURE_SCORING, trigger={"availableNow": True})
     q.awaitTermination(300)
     os.link(files[1], os.path.join(land, "part-1.parquet"))
@@ -49,6 +53,14 @@ def test_stream_matches_batch(spark):
     want_st = ref_acc.agg(F.count_if(F.col("event_type") == "impression"), F.count_if(F.col("event_type") == "click"),
                           F.count_if(F.col("event_type") == "conversion")).first()
     assert tuple(st) == tuple(want_st)
+    for _ in range(50):  # listener events arrive asynchronously
+        if sum(b["processed"] for b in listener.batches) == want["accepted"]:
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(listener)
+    tot = listener.totals()
+    assert tot["processed"] == want["accepted"]
+    assert tot["duplicates"] == want.get("duplicate", 0) and tot["fraud"] == want.get("fraud", 0)
     arch = spark.read.text(out.archive)
     assert arch.where("status = 'duplicate'").count() == want.get("duplicate", 0)
     assert arch.where("status = 'fraud'").count() == want.get("fraud", 0)
