@@ -369,6 +369,31 @@ def _scan(k, c, t, r_g: np.ndarray, carry_g: np.ndarray, W: int, R: int):
     return pos, anchor, cnt_row
 
 
+def walk_sorted(t: np.ndarray, reach: int | None, carry: int, W: int):
+    """Positions and anchors of one key's sorted times, given the live
+    window's reach (``anchor + W``, or None) and its count so far.
+
+    Returns (pos, anchor, last_anchor, last_count). Vectorised: one
+    ``searchsorted`` per window, not one step per row.
+    """
+    n = len(t)
+    pos = np.empty(n, dtype=np.int64)
+    anc = np.empty(n, dtype=np.int64)
+    i = 0
+    if reach is not None:
+        i = int(np.searchsorted(t, reach, side="left"))
+        pos[:i] = carry + np.arange(1, i + 1)
+        anc[:i] = reach - W
+    while i < n:
+        j = int(np.searchsorted(t, t[i] + W, side="left"))
+        pos[i:j] = np.arange(1, j - i + 1)
+        anc[i:j] = t[i]
+        i = j
+    if n == 0:
+        return pos, anc, (None if reach is None else reach - W), carry
+    return pos, anc, int(anc[-1]), int(pos[-1])
+
+
 def _phase3(W: int, R: int, out_cols: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry_key = None  # (key, chunk, r, carry) continuing into the next batch

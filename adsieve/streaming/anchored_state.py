@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from adsieve.functions import col_of, epoch_micros
+from adsieve.operators.anchored import walk_sorted
 
 try:  # workers need not install the package
     from pyspark import cloudpickle as _cp
@@ -54,16 +55,14 @@ class AnchoredWindowProcessor(StatefulProcessor):
         pos = np.zeros(n, dtype=np.int64)
         anc = np.zeros(n, dtype=np.int64)
         if counted.any():
-            anchor, count = (None, 0)
+            reach, carry = None, 0
             if self.win.exists():
                 st = self.win.get()
-                anchor, count = int(st[0]), int(st[1])
-            for i in np.flatnonzero(counted):
-                if anchor is None or t[i] >= anchor + self.W:
-                    anchor, count = int(t[i]), 0
-                count += 1
-                pos[i], anc[i] = count, anchor
-            self.win.update((anchor, count))
+                reach, carry = int(st[0]) + self.W, int(st[1])
+            rows_c = np.flatnonzero(counted)
+            p, a, last_a, last_n = walk_sorted(t[rows_c], reach, carry, self.W)
+            pos[rows_c], anc[rows_c] = p, a
+            self.win.update((last_a, last_n))
         out = pdf[self.out_cols].copy()
         out["aw_pos"] = pd.array(pos, dtype="Int64")
         out["aw_anchor"] = pd.array(anc, dtype="Int64")

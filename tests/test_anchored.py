@@ -76,3 +76,24 @@ def test_tiny_arrow_batches(spark):
         _check(spark, dense, 50, 2)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_walk_sorted_matches_reference():
+    import numpy as np
+    from adsieve.operators.anchored import walk_sorted
+    rnd = random.Random(3)
+    for _ in range(200):
+        t = np.sort(np.array([rnd.randint(0, 500) for _ in range(rnd.randint(0, 40))], dtype=np.int64))
+        # resume from a live window (anchor a, count n) or start fresh
+        fresh = rnd.random() < 0.5
+        a0, n0 = (None, 0) if fresh else (rnd.randint(-100, 50), rnd.randint(1, 5))
+        want, anchor, count = [], a0, n0
+        for x in t:
+            if anchor is None or x >= anchor + 60:
+                anchor, count = int(x), 0
+            count += 1
+            want.append((count, anchor))
+        pos, anc, la, ln = walk_sorted(t, None if fresh else a0 + 60, n0, 60)
+        assert list(zip(pos.tolist(), anc.tolist())) == want
+        if len(t):
+            assert (ln, la) == want[-1]
