@@ -448,17 +448,12 @@ def anchored_positions(
     cnt = F.lit(True) if counted is None else counted
     cols = df.columns
     t = epoch_micros(ts)
-    base = (
-        df.withColumn("_t", t)
-        .withColumn("_o", col_of(order).cast("long"))
-        .withColumn("_k", F.when(cnt & col_of(key).isNotNull() & F.col("_t").isNotNull(),
-                                 col_of(key).cast("string")))
-    )
-    base = base.withColumn(
-        "_c",
-        F.when(F.col("_k").isNotNull(), F.expr(f"(_t - pmod(_t, {R})) div {R}"))
-        .otherwise(F.pmod(F.xxhash64("_o"), F.lit(spread))),
-    )
+    k = F.when(cnt & col_of(key).isNotNull() & t.isNotNull(), col_of(key).cast("string"))
+    o = col_of(order).cast("long")
+    # one projection (each DataFrame step re-analyses the whole plan)
+    base = df.select("*", t.alias("_t"), o.alias("_o"), k.alias("_k")).select(
+        "*", F.when(F.col("_k").isNotNull(), F.expr(f"(_t - pmod(_t, {R})) div {R}"))
+        .otherwise(F.pmod(F.xxhash64("_o"), F.lit(spread))).alias("_c"))
     # one wide shuffle by (key, chunk); phase 1 and phase 3 both read it
     shuffled = base.repartition("_k", "_c")
     # phase 1: counted rows only (filtered inside, so the shuffle is shared)
@@ -484,7 +479,7 @@ def anchored_positions(
         .sortWithinPartitions("_k", "_c", "_t", "_o")
         .mapInArrow(_phase3(W, R, out_cols), out_schema)
     )
-    res = scanned.withColumnRenamed("_pos", pos_col)
+    keep = [F.col(c) for c in cols] + [F.col("_pos").alias(pos_col)]
     if anchor_col:
-        res = res.withColumn(anchor_col, F.expr(f"timestampadd(MICROSECOND, _anchor, {_EPOCH_NTZ})"))
-    return res.drop("_anchor", "_t")
+        keep.append(F.expr(f"timestampadd(MICROSECOND, _anchor, {_EPOCH_NTZ})").alias(anchor_col))
+    return scanned.select(*keep)

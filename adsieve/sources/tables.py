@@ -18,14 +18,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     parallelism. Large inputs already have more splits than cores, so this
     is a no-op at scale (no extra shuffle).
     """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
     if spread:
         target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
+        if _scan_splits(df, path) < target:
             df = df.repartition(target)
     return df
 
 
+_SPLITS: dict[tuple, int] = {}
+
+
+def _scan_splits(df: DataFrame, path: str) -> int:
+    """Number of scan tasks of a table (planned once per file version)."""
+    try:
+        key = (path, os.path.getmtime(path))
+    except OSError:
+        key = (path, None)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    return _SPLITS[key]
+
+
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
     """Scan the stored raw_events table (partitioned by event_date)."""
     return spark.read.schema(schemas.RAW_EVENTS_TABLE.add("event_date", "date")).parquet(path)
