@@ -38,8 +38,11 @@ def write_archive(archive_rows: DataFrame, path: str, batch_id: int, cfg: Archiv
     check_archive_target(path)
     out = archive_rows.select("record", "status", "year", "month", "day", "hour",
                               F.lit(int(batch_id)).alias("batch_id"))
+    # rebalance, not repartition: one batch has one upload hour, so a plain
+    # repartition by the path columns would send a whole status to one task;
+    # AQE splits such partitions and merges small ones
     (
-        _overwrite_partitions(out.repartition("status", "year", "month", "day", "hour"))
+        _overwrite_partitions(out.hint("rebalance", "status", "year", "month", "day", "hour"))
         .partitionBy("status", "year", "month", "day", "hour", "batch_id")
         .option("compression", cfg.compression)
         .option("maxRecordsPerFile", cfg.batch_size)
@@ -52,7 +55,7 @@ def write_raw_events(rows: DataFrame, path: str, batch_id: int) -> None:
     files are clustered by campaign_id so lookups prune row groups."""
     out = rows.withColumn("batch_id", F.lit(int(batch_id)))
     (
-        _overwrite_partitions(out.repartition("event_date").sortWithinPartitions("campaign_id", "created_at"))
+        _overwrite_partitions(out.hint("rebalance", "event_date").sortWithinPartitions("campaign_id", "created_at"))
         .partitionBy("event_date", "batch_id")
         .parquet(path)
     )

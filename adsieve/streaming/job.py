@@ -22,17 +22,30 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 MESSAGE_SCHEMA = "seq long, key string, arrival timestamp_ntz, value string"
 
 
-def read_events_stream(spark: SparkSession, topics: str, brokers: str, starting: str = "latest") -> DataFrame:
+def kafka_source_options(topics: str, brokers: str, starting: str = "latest",
+                         max_offsets_per_trigger: int | None = 5_000_000) -> dict[str, str]:
+    """Consumer settings: every topic of a comma list, newest offsets first;
+    a bounded micro-batch keeps the per-key state step of a hot key small."""
+    opts = {
+        "kafka.bootstrap.servers": brokers,
+        "subscribe": topics,
+        "startingOffsets": starting,
+        "failOnDataLoss": "false",
+    }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    return opts
+
+
+def read_events_stream(spark: SparkSession, topics: str, brokers: str, starting: str = "latest",
+                       max_offsets_per_trigger: int | None = 5_000_000) -> DataFrame:
     """Kafka consumer over a comma list of topics (needs spark-sql-kafka).
 
     ``seq`` orders ties: partition then offset.
     """
     raw = (
         spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", brokers)
-        .option("subscribe", topics)
-        .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .options(**kafka_source_options(topics, brokers, starting, max_offsets_per_trigger))
         .load()
     )
     return raw.select(

@@ -65,3 +65,12 @@ def test_archive_growth_equals_snapshot_delta(spark):
     one = {r["status"]: tuple(r)[1:] for r in A.archive_growth(arch, F.col("created_at") < cut).collect()}
     two = {r["status"]: tuple(r)[1:] for r in A.archive_count_delta(arch.where(F.col("created_at") < cut), arch).collect()}
     assert one == two
+
+
+def test_kafka_options():
+    from adsieve.sinks.writers import kafka_options
+    from adsieve.streaming.job import kafka_source_options
+    o = kafka_options("b:9092", "raw-events")
+    assert o["kafka.acks"] == "all" and o["kafka.compression.type"] == "snappy"
+    s = kafka_source_options("raw-events,other", "b:9092")
+    assert s["subscribe"] == "raw-events,other" and s["startingOffsets"] == "latest"
