@@ -428,10 +428,12 @@ def campaign_by_id(spark, sf):
 
 @query("audit_counts", O.with_views(f"""
 SELECT campaign_id, ip_address, count(*) AS n_events, count(*) FILTER (WHERE risk_score > {CFG.fraud_cut}) AS n_high_risk
-FROM ({RAW_EVENTS_SQL}) GROUP BY campaign_id, ip_address""", extra=CLS))
+FROM ({RAW_EVENTS_SQL}) GROUP BY ROLLUP (campaign_id, ip_address)""", extra=CLS))
 def audit_counts(spark, sf):
+    # per campaign (ip_address null), per campaign + IP, and the grand total,
+    # in one aggregation pass
     rows = _raw_events_rows(spark, sf)
-    return rows.groupBy("campaign_id", "ip_address").agg(
+    return rows.rollup("campaign_id", "ip_address").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.count_if(F.col("risk_score") > CFG.fraud_cut).alias("n_high_risk"))
 
