@@ -72,6 +72,9 @@ class ScoringConfig:
     # chunks of chunk_windows * window so a hot key spreads over many tasks.
     # Shorter chunks bound the hottest task; longer ones leave fewer chunks
     # whose entry state depends on the previous chunk.
+    # column giving arrival order for the windows (the topic timestamp in a
+    # replay of topic messages; the fixture's arrival is created_at)
+    arrival_col: str = "created_at"
     dedupe_chunk_windows: int = 4     # 24 h window → 4-day chunks
     ip_chunk_windows: int = 16        # 300 s window → 80-minute chunks
 

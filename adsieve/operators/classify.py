@@ -21,7 +21,7 @@ def mark_duplicates(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted
     Duplicates are kept (they are archived), not dropped.
     """
     out = anchored_positions(
-        df, "event_id", cfg.dedupe_ttl_s, counted=counted, pos_col="dup_pos",
+        df, "event_id", cfg.dedupe_ttl_s, ts=cfg.arrival_col, counted=counted, pos_col="dup_pos",
         anchor_col="dup_anchor", chunk_windows=cfg.dedupe_chunk_windows,
     )
     return out.withColumn("is_duplicate", F.col("dup_pos") > 1)
@@ -35,7 +35,7 @@ def ip_window_count(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted
     """
     cnt = ~blank("ip_address") if counted is None else (counted & ~blank("ip_address"))
     return anchored_positions(
-        df, "ip_address", cfg.ip_window_s, counted=cnt, pos_col="ip_pos",
+        df, "ip_address", cfg.ip_window_s, ts=cfg.arrival_col, counted=cnt, pos_col="ip_pos",
         anchor_col="ip_anchor", chunk_windows=cfg.ip_chunk_windows,
     )
 

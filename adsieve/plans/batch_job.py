@@ -9,6 +9,7 @@ batch overwrites its own files.
 
 from __future__ import annotations
 
+import dataclasses
 import os
 from dataclasses import dataclass
 
@@ -59,6 +60,8 @@ def route_messages(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING) ->
     """Topic rows (seq, arrival, value, ...) → every decoded event with its
     status (rejected / duplicate / fraud / accepted) and storage check."""
     events = to_raw_event(decode_messages(messages))
+    if "arrival" in events.columns:
+        cfg = dataclasses.replace(cfg, arrival_col="arrival")  # windows follow the topic clock
     return storage_constraints(classify(events, cfg, keep_rejected=True))
 
 

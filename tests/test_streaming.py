@@ -1,6 +1,7 @@
 """Streaming chain == batch job on the same messages, across triggers and a
 restart from the checkpoint."""
 
+import dataclasses
 import os
 import tempfile
 import time
@@ -43,7 +44,7 @@ def test_stream_matches_batch(spark):
     q.awaitTermination(300)
     # batch reference over the same messages, arrival-ordered
     ev = to_raw_event(decode_messages(msgs))
-    ref = classify(ev, FIXTURE_SCORING)
+    ref = classify(ev, dataclasses.replace(FIXTURE_SCORING, arrival_col="arrival"))
     want = {r["status"]: r["count"] for r in ref.groupBy("status").count().collect()}
     raw = read_raw_events(spark, out.raw_events)
     assert raw.count() == want["accepted"]
