@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "go_trim", "blank", "nz", "hour_bucket", "current_hour", "epoch_micros",
     "client_ip", "onehot", "archive_time_parts", "json_null_text", "omit_empty",
-    "strict_rfc3339", "wall_clock",
+    "strict_rfc3339", "wall_clock", "utc_offset", "rfc3339_nano",
 ]
 
 
@@ -116,3 +116,18 @@ def wall_clock(c) -> Column:
         F.concat(F.regexp_replace(base, "[Tt]", " "), F.lit("."), frac6),
         F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"),
     )
+
+
+def utc_offset(c) -> Column:
+    """The offset part (``Z`` or ``±hh:mm``) of an RFC 3339 text."""
+    return F.nullif(F.regexp_extract(col_of(c), r"([Zz]|[+-]\d{2}:\d{2})$", 1), F.lit(""))
+
+
+def rfc3339_nano(ts, offset=None) -> Column:
+    """Wall-clock time as RFC 3339 with nanosecond style: trailing zeros of
+    the fraction are dropped (and the fraction when zero); the offset is the
+    event's own (``Z`` when unknown)."""
+    base = F.date_format(col_of(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    trimmed = F.regexp_replace(F.regexp_replace(base, "0+$", ""), r"\.$", "")
+    off = F.lit("Z") if offset is None else F.coalesce(F.upper(col_of(offset)), F.lit("Z"))
+    return F.concat(trimmed, off)

@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adsieve import config as C
-from adsieve.functions import archive_time_parts, nz
+from adsieve.functions import archive_time_parts, nz, rfc3339_nano
 
 
-def archive_record(with_risk: bool = True) -> Column:
+def archive_record(with_risk: bool = True, with_offset: bool = False) -> Column:
     """JSON text of one archived event.
 
     Empty ``event_id``/``ip_address``, a zero ``risk_score`` and an absent
     ``meta_data`` are left out, as an omit-empty encoder does.
-    ``created_at`` is written in RFC 3339 form.
+    ``created_at`` is written in RFC 3339 form (fraction without trailing
+    zeros, the event's own offset when ``created_offset`` is known).
     """
     fields = [
         F.nullif(nz("event_id"), F.lit("")).alias("event_id"),
@@ -23,7 +24,7 @@ def archive_record(with_risk: bool = True) -> Column:
         nz("campaign_id").alias("campaign_id"),
         nz("geo_country").alias("geo_country"),
         nz("device_type").alias("device_type"),
-        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
+        rfc3339_nano("created_at", "created_offset" if with_offset else None).alias("created_at"),
         F.nullif(nz("ip_address"), F.lit("")).alias("ip_address"),
     ]
     if with_risk:
@@ -42,8 +43,9 @@ def archive_rows(classified: DataFrame, upload_ts: Column | None = None,
     """
     up = upload_ts if upload_ts is not None else F.col("created_at")
     keep = keep or []
-    base = classified.select("seq", *keep, "status", up.alias("_up"), archive_record(False).alias("_raw"),
-                             archive_record(True).alias("_final"))
+    off = "created_offset" in classified.columns
+    base = classified.select("seq", *keep, "status", up.alias("_up"), archive_record(False, off).alias("_raw"),
+                             archive_record(True, off).alias("_final"))
     both = base.select(
         "seq", *keep, "_up",
         F.explode(F.array(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.functions import go_trim, strict_rfc3339, wall_clock
+from adsieve.functions import go_trim, strict_rfc3339, utc_offset, wall_clock
 
 STRING_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type", "ip_address"]
 _VARIANT_SCHEMA = ", ".join(f"{f} variant" for f in STRING_FIELDS + ["timestamp", "meta_data"]) + ", _corrupt string"
@@ -74,9 +74,11 @@ def to_wire(df: DataFrame) -> DataFrame:
 def to_raw_event(df: DataFrame, arrival: str = "arrival") -> DataFrame:
     """Wire record → processed event.
 
-    ``created_at`` is the wall clock of ``timestamp`` (its offset is dropped,
-    as a zone-less timestamp column stores it); a missing timestamp takes the
-    arrival time, which stands in for "now".
+    ``created_at`` is the wall clock of ``timestamp`` (as a zone-less
+    timestamp column stores it) and ``created_offset`` keeps its offset for
+    re-encoding; a missing timestamp takes the arrival time, which stands in
+    for "now".
     """
     created = F.coalesce(wall_clock(F.col("timestamp")), F.col(arrival).cast("timestamp_ntz"))
-    return df.withColumn("created_at", created).drop("timestamp")
+    return df.withColumn("created_at", created).withColumn(
+        "created_offset", utc_offset(F.col("timestamp"))).drop("timestamp")

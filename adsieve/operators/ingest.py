@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adsieve import config as C
-from adsieve.functions import client_ip, nz
+from adsieve.functions import client_ip, nz, rfc3339_nano
 
 # columns of an ingest event as carried on the topic
 INGEST_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country",
@@ -116,7 +116,7 @@ def to_kafka_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     when absent; the ingest ``created_at`` travels as ``timestamp`` in
     RFC 3339 form.
     """
-    ts = F.date_format(F.col("created_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    ts = rfc3339_nano("created_at", "created_offset" if "created_offset" in df.columns else None)
     body = F.struct(
         F.nullif(F.col("event_id"), F.lit("")).alias("event_id"),
         nz("event_type").alias("event_type"),

@@ -70,6 +70,12 @@ def _stats(spark, sf):
 
 CLS = O.classified_ctes(CFG)
 GO_TRIM = O.TRIM
+
+
+def _rfc3339_sql(ts: str) -> str:
+    return (f"concat(regexp_replace(regexp_replace(strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f'), '0+$', ''), "
+            f"'\\.$', ''), 'Z')")
+
 STATS_SQL_CTE = """stats AS (
  SELECT campaign_id, date_trunc('hour', created_at) AS hour_bucket,
   CAST(sum(CASE WHEN event_type='impression' THEN 1 ELSE 0 END) AS BIGINT) AS total_impressions,
@@ -176,7 +182,7 @@ def raw_events_scan(spark, sf):
 @query("kafka_rows", O.with_views(f"""
 SELECT seq, event_id AS key, concat('{{"event_id":', to_json(event_id), ',"event_type":', to_json(event_type),
  ',"user_id":', to_json(user_id), ',"campaign_id":', to_json(campaign_id), ',"geo_country":"","device_type":""',
- ',"timestamp":"', strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ'), '"',
+ ',"timestamp":"', {_rfc3339_sql('created_at')}, '"',
  CASE WHEN ({CLIENT_IP_SQL}) <> '' THEN concat(',"ip_address":', to_json({CLIENT_IP_SQL})) ELSE '' END, '}}') AS value
 FROM collector_requests WHERE {REQUIRED_SQL}"""))
 def kafka_rows(spark, sf):
@@ -209,7 +215,7 @@ def _archive_record_sql(with_risk: bool, prefix: str = "") -> str:
         f" '\"event_type\":', to_json({p}event_type), ',\"user_id\":', to_json({p}user_id),"
         f" ',\"campaign_id\":', to_json({p}campaign_id), ',\"geo_country\":', to_json({p}geo_country),"
         f" ',\"device_type\":', to_json({p}device_type),"
-        f" ',\"created_at\":\"', strftime({p}created_at, '%Y-%m-%dT%H:%M:%S.%fZ'), '\"',"
+        f" ',\"created_at\":\"', {_rfc3339_sql(p + 'created_at')}, '\"',"
         f" CASE WHEN {p}ip_address <> '' THEN concat(',\"ip_address\":', to_json({p}ip_address)) ELSE '' END,"
         f"{risk}"
         f" CASE WHEN {p}meta_data IS NOT NULL THEN concat(',\"meta_data\":', json({p}meta_data)::VARCHAR) ELSE '' END, '}}')"
@@ -307,7 +313,8 @@ def to_wire(spark, sf):
 
 @query("to_raw_event", O.with_views(f"""
 SELECT seq, key, arrival, event_id, event_type, user_id, campaign_id, geo_country, device_type,
- coalesce({WALL_CLOCK_SQL}, arrival) AS created_at, ip_address, meta_data
+ coalesce({WALL_CLOCK_SQL}, arrival) AS created_at, ip_address, meta_data,
+ nullif(regexp_extract(timestamp, '([Zz]|[+-]\\d{{2}}:\\d{{2}})$', 1), '') AS created_offset
 FROM (SELECT seq, key, arrival, {DECODED_COLS_SQL} FROM kafka_messages WHERE {DECODE_OK_SQL})"""))
 def to_raw_event(spark, sf):
     return D.to_raw_event(_decoded(spark, sf))

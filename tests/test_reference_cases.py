@@ -126,3 +126,20 @@ def test_lookup_service(spark):
     req = spark.createDataFrame([("camp-test",), ("nope",), ("",)], "campaign_id string")
     got = {r["campaign_id"]: r["lookup_status"] for r in S.campaign_lookup_status(stats, req).collect()}
     assert got == {"camp-test": "found", "nope": "campaign not found", "": "campaign id is required"}
+
+
+def test_archive_keeps_event_offset_and_trims_fraction(spark):
+    import json
+    from adsieve.operators.archive import archive_record
+    msgs = spark.createDataFrame([
+        (1, '{"event_id":"e1","event_type":"click","user_id":"u","campaign_id":"c","geo_country":"IN",'
+            '"device_type":"m","timestamp":"2026-02-28T19:47:33.120000+05:30"}'),
+        (2, '{"event_id":"e2","event_type":"click","user_id":"u","campaign_id":"c","geo_country":"IN",'
+            '"device_type":"m","timestamp":"2026-02-28T19:00:00Z","ip_address":"1.2.3.4"}'),
+    ], "seq long, value string").withColumn("arrival", F.lit(dt.datetime(2026, 3, 1)).cast("timestamp_ntz"))
+    ev = D.to_raw_event(D.decode_messages(msgs)).withColumn("risk_score", F.lit(10))
+    rec = {r["seq"]: json.loads(r["j"]) for r in ev.select("seq", archive_record(True, True).alias("j")).collect()}
+    assert rec[1]["created_at"] == "2026-02-28T19:47:33.12+05:30"
+    assert rec[2]["created_at"] == "2026-02-28T19:00:00Z"
+    assert "ip_address" not in rec[1] and rec[2]["ip_address"] == "1.2.3.4"
+    assert rec[1]["risk_score"] == 10 and "meta_data" not in rec[1]
