@@ -14,31 +14,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
 
     A small file can be a single row group, i.e. one scan task; then the
     narrow work before the first shuffle would run on one core. With
-    ``spread`` such a scan is round-robin spread over the default
-    parallelism. Large inputs already have more splits than cores, so this
+    ``spread`` such a scan is spread round-robin over up to the default
+    parallelism, one task per ``SPREAD_BYTES`` of input (tiny tables stay in
+    one partition). Large inputs already have more splits than that, so this
     is a no-op at scale (no extra shuffle).
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
     df = spark.read.parquet(path)
     if spread:
-        target = spark.sparkContext.defaultParallelism
-        if _scan_splits(df, path) < target:
+        splits, size = _scan_shape(spark, df, path)
+        target = min(spark.sparkContext.defaultParallelism, max(1, -(-size // SPREAD_BYTES)))
+        if splits < target:
             df = df.repartition(target)
     return df
 
 
-_SPLITS: dict[tuple, int] = {}
+SPREAD_BYTES = 256 * 1024
+_SHAPE: dict[tuple, tuple[int, int]] = {}
 
 
-def _scan_splits(df: DataFrame, path: str) -> int:
-    """Number of scan tasks of a table (planned once per file version)."""
-    try:
-        key = (path, os.path.getmtime(path))
-    except OSError:
-        key = (path, None)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    return _SPLITS[key]
+def _scan_shape(spark: SparkSession, df: DataFrame, path: str) -> tuple[int, int]:
+    """(scan tasks, input bytes) of a table, planned once per file version."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary = fs.getContentSummary(jpath)
+    key = (path, summary.getLength(), fs.getFileStatus(jpath).getModificationTime())
+    if key not in _SHAPE:
+        _SHAPE[key] = (df.rdd.getNumPartitions(), int(summary.getLength()))
+    return _SHAPE[key]
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
