@@ -34,7 +34,7 @@ def _overwrite_partitions(df: DataFrame):
 
 def write_archive(archive_rows: DataFrame, path: str, batch_id: int, cfg: ArchiveConfig = ArchiveConfig()) -> None:
     """gzip NDJSON under status/year/month/day/hour (Hive form), one line per
-    record, at most ``batch_size`` records per object."""
+    record, at most ``records_per_file`` records per object."""
     check_archive_target(path)
     out = archive_rows.select("record", "status", "year", "month", "day", "hour",
                               F.lit(int(batch_id)).alias("batch_id"))
@@ -45,7 +45,7 @@ def write_archive(archive_rows: DataFrame, path: str, batch_id: int, cfg: Archiv
         _overwrite_partitions(out.hint("rebalance", "status", "year", "month", "day", "hour"))
         .partitionBy("status", "year", "month", "day", "hour", "batch_id")
         .option("compression", cfg.compression)
-        .option("maxRecordsPerFile", cfg.batch_size)
+        .option("maxRecordsPerFile", cfg.records_per_file)
         .text(path)
     )
 

@@ -74,3 +74,18 @@ def test_kafka_options():
     assert o["kafka.acks"] == "all" and o["kafka.compression.type"] == "snappy"
     s = kafka_source_options("raw-events,other", "b:9092")
     assert s["subscribe"] == "raw-events,other" and s["startingOffsets"] == "latest"
+
+
+def test_archive_file_size_cap(spark):
+    import glob
+    from adsieve.config import ArchiveConfig
+    from adsieve.operators.archive import archive_rows
+    from adsieve.operators.classify import classify
+    from adsieve.sinks.writers import write_archive
+    root = tempfile.mkdtemp(prefix="adsieve-arch-", dir="/tmp")
+    cls = classify(FX.ad_events(spark, SF001), FIXTURE_SCORING)
+    up = F.lit("2024-02-01 10:00:00").cast("timestamp_ntz")
+    write_archive(archive_rows(cls, up), root, 1, ArchiveConfig(records_per_file=100))
+    files = glob.glob(os.path.join(root, "status=raw", "*", "*", "*", "*", "*", "*.gz"))
+    lines = [len(spark.read.text(f).collect()) for f in files]
+    assert sum(lines) == cls.count() and max(lines) <= 100
