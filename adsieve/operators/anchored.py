@@ -124,7 +124,6 @@ def _chunk_runs(k, c, t, W: int, R: int) -> pd.DataFrame:
     gid = np.repeat(np.arange(G, dtype=np.int64), ends - starts)
     X = gid * span + (t - c * R)
     gend = ends[gid]
-    gstart = starts[gid]
     # index of the first event at or after chunk_start + W, per group
     cfirst = np.searchsorted(X, np.arange(G, dtype=np.int64) * span + W, side="left")
     idx = np.arange(n, dtype=np.int64)

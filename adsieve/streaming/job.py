@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adsieve import schemas
 from adsieve.config import DEFAULT_SCORING, ScoringConfig
 from adsieve.functions import blank
 from adsieve.operators.classify import risk_score_col
@@ -102,4 +101,4 @@ def start(messages: DataFrame, out: Outputs, checkpoint: str, cfg: ScoringConfig
     return w.start()
 
 
-__all__ = ["read_events_stream", "read_message_files", "route_stream", "start", "schemas"]
+__all__ = ["kafka_source_options", "read_events_stream", "read_message_files", "route_stream", "start"]
