@@ -590,7 +590,7 @@ def success_rate(spark, sf):
 
 
 @query("batch_latency", O.with_views("""
-SELECT count(*) AS n_batches, sum(n_events) AS n_events,
+SELECT count(*) AS n_batches, CAST(sum(n_events) AS BIGINT) AS n_events,
  sum(epoch_us(finished_at) - epoch_us(started_at)) / greatest(sum(n_events), 1) / 1e6 AS avg_seconds_per_event
 FROM (SELECT date_trunc('day', created_at) AS batch, count(*) AS n_events, min(created_at) AS started_at,
         max(created_at) AS finished_at FROM cls GROUP BY 1)""", extra=CLS))
