@@ -13,20 +13,19 @@ INGEST_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_countr
                  "device_type", "created_at", "ip_address", "meta_data"]
 
 
-def default_event_id(request_id: Column | None = None, position: Column | None = None) -> Column:
-    """``event_id``, or a fresh id when empty.
+def derived_id(request_id: Column, position: Column) -> Column:
+    """A UUID-shaped id hashed from the request coordinates (never from the
+    content, or equal events would collide); stable when a task is retried."""
+    h = F.sha2(F.concat_ws("/", request_id.cast("string"), position.cast("string")), 256)
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                       F.substring(h, 17, 4), F.substring(h, 21, 12))
 
-    With ``request_id``/``position`` the id is derived from the request
-    coordinates (stable when a task is retried); otherwise a random UUID.
-    Never derived from the content, or equal events would collide.
-    """
+
+def default_event_id(request_id: Column | None = None, position: Column | None = None) -> Column:
+    """``event_id``, or a fresh id when empty: derived from the request
+    coordinates when given, else a random UUID."""
     eid = nz("event_id")
-    if request_id is None:
-        fresh = F.expr("uuid()")
-    else:
-        h = F.sha2(F.concat_ws("/", request_id.cast("string"), position.cast("string")), 256)
-        fresh = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
-                            F.substring(h, 17, 4), F.substring(h, 21, 12))
+    fresh = F.expr("uuid()") if request_id is None else derived_id(request_id, position)
     return F.when(eid == "", fresh).otherwise(eid)
 
 
@@ -45,8 +44,12 @@ def normalize_requests(df: DataFrame, request_ts: Column | None = None,
     """Landed single requests → ack status + the event to publish.
 
     The client IP from the headers always overwrites the body's address.
+    An empty ``event_id`` gets an id derived from the request id (``seq``
+    when present), so a retried task produces the same id.
     """
     rts = request_ts if request_ts is not None else F.col("created_at")
+    if request_id is None and "seq" in df.columns:
+        request_id = F.col("seq")
     ok = ingest_required()
     return df.select(
         *[c for c in df.columns if c not in INGEST_FIELDS and c not in ("xff", "x_real_ip", "remote_ip")],
@@ -95,9 +98,11 @@ def explode_batches(df: DataFrame, request_ts: Column | None = None) -> DataFram
     ev = lambda f: F.col(f"ev.{f}")
     eid = nz(ev("event_id"))
     extra = [ev("seq").alias("seq")] if "seq" in df.schema["events"].dataType.elementType.names else []
+    # empty ids: derived from (batch, position), stable under task retry
+    fresh = derived_id(F.col("batch_id"), F.col("position")) if "batch_id" in df.columns else F.expr("uuid()")
     return ok.select(
         "batch_id", F.col("position").cast("long").alias("position"), *extra,
-        F.when(eid == "", F.expr("uuid()")).otherwise(eid).alias("event_id"),
+        F.when(eid == "", fresh).otherwise(eid).alias("event_id"),
         nz(ev("event_type")).alias("event_type"),
         nz(ev("user_id")).alias("user_id"),
         nz(ev("campaign_id")).alias("campaign_id"),

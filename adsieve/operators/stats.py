@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adsieve import config as C
-from adsieve.functions import hour_bucket, onehot
+from adsieve.functions import hour_bucket, onehot, rfc3339_nano
 from adsieve.schemas import STATS_COLUMNS
 
 
@@ -110,12 +110,9 @@ def campaign_lookup_status(stats: DataFrame, requested: DataFrame) -> DataFrame:
                     "total_conversions", "hour_bucket")
 
 
-def campaign_json(stats: DataFrame) -> DataFrame:
-    """Response envelope ``{"data": [...]}`` (``null`` when empty), one row.
-
-    Only for small results at the edge: the list is gathered into one row.
-    """
-    rows = stats.select(F.struct(*STATS_COLUMNS).alias("r"))
-    agg = rows.agg(F.collect_list("r").alias("data"))
-    return agg.select(F.to_json(F.struct(F.when(F.size("data") > 0, F.col("data")).alias("data")),
-                                {"ignoreNullFields": "false"}).alias("body"))
+def campaign_json_rows(stats: DataFrame) -> DataFrame:
+    """One ``{"data": {...}}`` response body per stats row (the lookup
+    response); times in RFC 3339 (UTC, ``Z``)."""
+    fields = [F.col(c) for c in STATS_COLUMNS if c != "hour_bucket"]
+    body = F.struct(F.struct(*fields, rfc3339_nano("hour_bucket").alias("hour_bucket")).alias("data"))
+    return stats.select("campaign_id", F.to_json(body).alias("body"))

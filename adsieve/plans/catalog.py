@@ -328,7 +328,10 @@ def default_created_at(spark, sf):
     return D.to_raw_event(d).select("seq", "created_at", "defaulted")
 
 
-@query("default_event_id")
+@query("default_event_id", O.with_views("""
+SELECT seq, CASE WHEN event_id = '' THEN (SELECT concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4),
+   substr(h, 17, 4), substr(h, 21, 12)) FROM (SELECT sha256(concat_ws('/', CAST(seq AS VARCHAR), '0')) AS h))
+ ELSE event_id END AS event_id FROM collector_requests"""))
 def default_event_id(spark, sf):
     req = FX.collector_requests(spark, sf)
     return req.select("seq", I.default_event_id(F.col("seq"), F.lit(0)).alias("event_id"))
@@ -372,10 +375,15 @@ def archive_partition_cols(spark, sf):
     return _ad(spark, sf).select("seq", *archive_time_parts("created_at"))
 
 
-@query("campaign_json")
+@query("campaign_json", O.with_views(f"""
+SELECT campaign_id, concat('{{"data":{{"campaign_id":', to_json(campaign_id),
+ ',"total_impressions":', CAST(total_impressions AS VARCHAR), ',"total_clicks":', CAST(total_clicks AS VARCHAR),
+ ',"total_conversions":', CAST(total_conversions AS VARCHAR), ',"hour_bucket":"', {_rfc3339_sql('hour_bucket')},
+ '"}}}}') AS body
+FROM stats QUALIFY row_number() OVER (PARTITION BY campaign_id ORDER BY hour_bucket DESC) = 1""", extra=STATS_EXTRA))
 def campaign_json(spark, sf):
-    latest = S.latest_by_campaign(_stats(spark, sf))
-    return latest.select("campaign_id", F.to_json(F.struct(F.struct(*STATS_COLUMNS).alias("data"))).alias("body"))
+    # GET /campaigns/:id response body per campaign (latest hour)
+    return S.campaign_json_rows(S.latest_by_campaign(_stats(spark, sf)))
 
 
 # ---------------------------------------------------------------------------

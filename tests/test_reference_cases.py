@@ -143,3 +143,14 @@ def test_archive_keeps_event_offset_and_trims_fraction(spark):
     assert rec[2]["created_at"] == "2026-02-28T19:00:00Z"
     assert "ip_address" not in rec[1] and rec[2]["ip_address"] == "1.2.3.4"
     assert rec[1]["risk_score"] == 10 and "meta_data" not in rec[1]
+
+
+def test_default_ids_are_retry_stable(spark):
+    from adsieve.operators import ingest as I
+    df = spark.createDataFrame([(1, "", "click", "u", "c", None), (2, "given", "click", "u", "c", None)],
+                               "seq long, event_id string, event_type string, user_id string, campaign_id string, "
+                               "created_at timestamp_ntz")
+    df = df.selectExpr("*", "'' AS xff", "'' AS x_real_ip", "'10.0.0.1' AS remote_ip")
+    a = {r["seq"]: r["event_id"] for r in I.normalize_requests(df).collect()}
+    b = {r["seq"]: r["event_id"] for r in I.normalize_requests(df).collect()}
+    assert a == b and a[2] == "given" and len(a[1]) == 36
