@@ -90,17 +90,27 @@ def main(argv: list[str] | None = None) -> int:
         if a.id == "":
             print(json.dumps({"error": "campaign id is required"}))
             return 2
-        df = S.campaign_by_id(stats, a.id)
-    else:
-        df = S.all_campaigns(stats)
-    rows = [r.asDict() for r in df.toLocalIterator()]
-    if a.id is not None and not rows:
-        print(json.dumps({"error": "campaign not found"}))
-        return 1
-    body = {"data": (rows[0] if a.id is not None else rows) or None}
-    print(json.dumps(body, default=str) if a.json else "\n".join(str(r) for r in rows))
+        rows = [r.asDict() for r in S.campaign_by_id(stats, a.id).collect()]  # at most one row
+        if not rows:
+            print(json.dumps({"error": "campaign not found"}))
+            return 1
+        print(json.dumps({"data": rows[0]}, default=str) if a.json else str(rows[0]))
+        return 0
+    # the listing is streamed partition by partition, never held whole
+    first = True
+    out_stream = sys.stdout
+    if a.json:
+        out_stream.write('{"data":')
+    for r in S.all_campaigns(stats).toLocalIterator():
+        if a.json:
+            out_stream.write(("[" if first else ",") + json.dumps(r.asDict(), default=str))
+        else:
+            out_stream.write(str(r) + "\n")
+        first = False
+    if a.json:
+        out_stream.write("null}\n" if first else "]}\n")
+    out_stream.flush()
     return 0
 
-
 if __name__ == "__main__":
     sys.exit(main())
