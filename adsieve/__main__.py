@@ -112,5 +112,6 @@ def main(argv: list[str] | None = None) -> int:
     out_stream.flush()
     return 0
 
+
 if __name__ == "__main__":
     sys.exit(main())
