@@ -65,10 +65,14 @@ def route_messages(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING) ->
     return storage_constraints(classify(events, cfg, keep_rejected=True))
 
 
-def stage(df: DataFrame, name: str, batch_id: int) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and read it back."""
+def stage(df: DataFrame, name: str, batch_id: int | str) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and read it back.
+
+    ``batch_id`` names the slot; a stream passes a fixed slot so each
+    micro-batch overwrites the previous stage (bounded storage).
+    """
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "adsieve-stage", name, f"batch_id={int(batch_id)}")
+    path = os.path.join(ensure_checkpoint_dir(spark), "adsieve-stage", name, f"batch_id={batch_id}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

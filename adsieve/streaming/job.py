@@ -4,6 +4,8 @@ metrics), every output keyed by the micro-batch id (replay overwrites)."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -91,8 +93,11 @@ def start(messages: DataFrame, out: Outputs, checkpoint: str, cfg: ScoringConfig
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     routed = observe_metrics(route_stream(messages, cfg, lag_s))
 
+    slot = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        staged = stage(batch, "stream", batch_id)
+        # one slot per stream, overwritten by every micro-batch
+        staged = stage(batch, slot, "current")
         up = staged.select(F.max("arrival")).scalar()
         write_outputs(staged, out, batch_id, upload_ts=up)
 
