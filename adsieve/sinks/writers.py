@@ -55,7 +55,10 @@ def write_raw_events(rows: DataFrame, path: str, batch_id: int) -> None:
     files are clustered by campaign_id so lookups prune row groups."""
     out = rows.withColumn("batch_id", F.lit(int(batch_id)))
     (
-        _overwrite_partitions(out.hint("rebalance", "event_date").sortWithinPartitions("campaign_id", "created_at"))
+        # the partition columns lead the sort, so the write keeps it (campaign
+        # clustering gives row-group pruning on campaign lookups)
+        _overwrite_partitions(out.hint("rebalance", "event_date")
+                              .sortWithinPartitions("event_date", "batch_id", "campaign_id", "created_at"))
         .partitionBy("event_date", "batch_id")
         .parquet(path)
     )

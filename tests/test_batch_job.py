@@ -27,6 +27,12 @@ def test_batch_job_outputs_and_replay(spark):
     assert arch.where("hour = '00'").count() >= 0 and dict(arch.dtypes)["hour"] == "string"
     raw = read_raw_events(spark, out.raw_events)
     assert raw.count() == counts["accepted"]
+    # files stay clustered by campaign (row-group pruning for lookups)
+    import glob
+    import pyarrow.parquet as pq
+    for f in glob.glob(os.path.join(out.raw_events, "*", "*", "*.parquet")):
+        camps = pq.read_table(f).column("campaign_id").to_pylist()
+        assert camps == sorted(camps)
     stats = read_stats(spark, out.stats_delta)
     assert stats.agg(F.sum(F.col("total_impressions") + F.col("total_clicks") + F.col("total_conversions"))).first()[0] \
         == counts["accepted"]
