@@ -334,6 +334,110 @@ def _phase2(W: int):
     return run
 
 
+# ---------------------------------------------------------------------------
+# optional blocked fold: phase 2 split into per-block work (hot keys)
+# ---------------------------------------------------------------------------
+_MAXHI = np.iinfo(np.int64).max
+
+
+def _block_exit(hi_list, ext_list, exn_list, chunks, first_slot, last_slot, W):
+    """Composite function of one block: every entry state of its first chunk
+    → exit of the block (``_NEG`` when nothing passes into the next block)."""
+    c1 = chunks[0]
+    if c1 != first_slot:
+        # no predecessor inside reach: the block always starts fresh
+        st_hi = np.array([_MAXHI], dtype=np.int64)
+        cur_t = np.array([ext_list[0][0]], dtype=np.int64)
+        cur_n = np.array([exn_list[0][0]], dtype=np.int64)
+        alive = np.ones(1, dtype=bool)
+    else:
+        st_hi = np.r_[hi_list[0], _MAXHI]            # + the "no anchor" state
+        cur_t = np.r_[ext_list[0], 0]
+        cur_n = np.r_[exn_list[0], 0]
+        alive = np.r_[np.ones(len(hi_list[0]), bool), False]
+    for i in range(1, len(chunks)):
+        hi, et, en = hi_list[i], ext_list[i], exn_list[i]
+        if chunks[i] == chunks[i - 1] + 1:
+            j = np.searchsorted(hi, cur_t + W, side="left")
+            hit = alive & (j < len(hi))
+            jj = np.minimum(j, len(hi) - 1)
+            fresh = ~alive
+            new_t = np.where(hit, et[jj], et[0])
+            new_n = np.where(hit, en[jj], en[0])
+            alive = hit | fresh
+            cur_t, cur_n = new_t, new_n
+        else:
+            cur_t = np.full(len(cur_t), et[0], dtype=np.int64)
+            cur_n = np.full(len(cur_n), en[0], dtype=np.int64)
+            alive = np.ones(len(cur_t), dtype=bool)
+    if chunks[-1] != last_slot:
+        alive[:] = False
+    cur_t = np.where(alive, cur_t, _NEG)
+    cur_n = np.where(alive, cur_n, 0)
+    keep = np.ones(len(st_hi), dtype=bool)
+    keep[:-1] = (cur_t[1:] != cur_t[:-1]) | (cur_n[1:] != cur_n[:-1])
+    return st_hi[keep], cur_t[keep], cur_n[keep]
+
+
+def _block_fns(W: int, B: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _complete_groups(batches, "_k", "_b"):
+            k = pdf["_k"].values
+            b = pdf["_b"].values.astype(np.int64)
+            c = pdf["_c"].values.astype(np.int64)
+            hi = pdf["_hi"].values.astype(np.int64)
+            et = pdf["_ex_t"].values.astype(np.int64)
+            en = pdf["_ex_n"].values.astype(np.int64)
+            bs = _group_starts(k, b)
+            be = np.r_[bs[1:], len(k)]
+            out_k, out_b, out_hi, out_t, out_n = [], [], [], [], []
+            for lo, up in zip(bs, be):
+                cs = _group_starts(k[lo:up], c[lo:up]) + lo
+                ce = np.r_[cs[1:], up]
+                chunks = c[cs].tolist()
+                bb = int(b[lo])
+                h, t_, n_ = _block_exit([hi[x:y] for x, y in zip(cs, ce)], [et[x:y] for x, y in zip(cs, ce)],
+                                        [en[x:y] for x, y in zip(cs, ce)], chunks, bb * B, bb * B + B - 1, W)
+                out_k.extend([k[lo]] * len(h)); out_b.extend([bb] * len(h))
+                out_hi.append(h); out_t.append(t_); out_n.append(n_)
+            if out_k:
+                yield pd.DataFrame({"_k": np.array(out_k, dtype=object), "_c": np.array(out_b, dtype=np.int64),
+                                    "_hi": np.concatenate(out_hi), "_ex_t": np.concatenate(out_t),
+                                    "_ex_n": np.concatenate(out_n)})
+    return run
+
+
+def _blocked_state(runs: DataFrame, W: int, B: int) -> DataFrame:
+    """Phase 2 in three parallel steps so no key's whole run table meets in
+    one task: (A) per block of ``B`` chunks, the composite entry → exit
+    table; (B) per key, a fold over blocks (``B`` times fewer rows);
+    (C) per block, the ordinary fold seeded with the block's inherited state
+    (a synthetic predecessor chunk)."""
+    sep = "\u001f"
+    rb = runs.withColumn("_b", F.expr(f"(_c - pmod(_c, {B})) div {B}"))
+    blocks = (
+        rb.repartition("_k", "_b").sortWithinPartitions("_k", "_b", "_c", "_hi")
+        .mapInPandas(_block_fns(W, B), "_k string, _c long, _hi long, _ex_t long, _ex_n long")
+    )
+    seeds = (
+        blocks.repartition("_k").sortWithinPartitions("_k", "_c", "_hi")
+        .mapInPandas(_phase2(W), "_k string, _c long, _r long, _carry long")
+        .select(F.concat("_k", F.lit(sep), F.col("_c").cast("string")).alias("_k"),
+                (F.col("_c") * B - 1).alias("_c"), F.lit(int(_MAXHI)).alias("_hi"),
+                (F.col("_r") - W).alias("_ex_t"), F.col("_carry").alias("_ex_n"))
+    )
+    local = rb.select(F.concat("_k", F.lit(sep), F.col("_b").cast("string")).alias("_k"),
+                      "_c", "_hi", "_ex_t", "_ex_n")
+    both = local.unionByName(seeds).withColumn("_kb", F.col("_k"))
+    st = (
+        both.repartition("_kb").sortWithinPartitions("_k", "_c", "_hi").drop("_kb")
+        .mapInPandas(_phase2(W), "_k string, _c long, _r long, _carry long")
+    )
+    # the block id follows the last separator (keys may contain any text)
+    key = F.expr(f"left(_k, length(_k) - length(substring_index(_k, '{sep}', -1)) - 1)")
+    return st.select(key.alias("_k"), "_c", "_r", "_carry")
+
+
 # ---------------------------------------------------------------------------
 # phase 3: final scan with the inherited state
 # ---------------------------------------------------------------------------
@@ -435,12 +539,15 @@ def anchored_positions(
     anchor_col: str | None = "anchor_ts",
     chunk_windows: int = 16,
     spread: int = 1 << 16,
+    fold_block_chunks: int | None = None,
 ) -> DataFrame:
     """Add the anchored-window position (1-based) and anchor time per row.
 
     ``key``: grouping key; ``ts``/``order``: arrival order with tie-break;
     ``counted``: rows that take part (others get nulls and never form state);
-    ``spread``: how many chunks the non-counted rows are spread over.
+    ``spread``: how many chunks the non-counted rows are spread over;
+    ``fold_block_chunks``: when set, phase 2 runs blocked (see
+    :func:`_blocked_state`) so a dense hot key's fold is split too.
     """
     W = int(window_s) * _US
     R = W * int(chunk_windows)
@@ -460,11 +567,14 @@ def anchored_positions(
     ordered = shuffled.sortWithinPartitions("_k", "_c", "_t", "_o")
     runs = ordered.mapInArrow(_phase1(W, R), runs_schema)
     # phase 2: fold along keys over the small run table
-    state = (
-        runs.repartition("_k")
-        .sortWithinPartitions("_k", "_c", "_hi")
-        .mapInPandas(_phase2(W), "_k string, _c long, _r long, _carry long")
-    )
+    if fold_block_chunks and fold_block_chunks > 1:
+        state = _blocked_state(runs, W, int(fold_block_chunks))
+    else:
+        state = (
+            runs.repartition("_k")
+            .sortWithinPartitions("_k", "_c", "_hi")
+            .mapInPandas(_phase2(W), "_k string, _c long, _r long, _carry long")
+        )
     # phase 3: attach the inherited state (a broadcast when AQE sees it is
     # small, else a join that keeps the (key, chunk) partitioning) and scan
     out_cols = cols + ["_t"]

@@ -23,6 +23,7 @@ def mark_duplicates(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted
     out = anchored_positions(
         df, "event_id", cfg.dedupe_ttl_s, ts=cfg.arrival_col, counted=counted, pos_col="dup_pos",
         anchor_col="dup_anchor", chunk_windows=cfg.dedupe_chunk_windows,
+        fold_block_chunks=cfg.fold_block_chunks,
     )
     return out.withColumn("is_duplicate", F.col("dup_pos") > 1)
 
@@ -37,6 +38,7 @@ def ip_window_count(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted
     return anchored_positions(
         df, "ip_address", cfg.ip_window_s, ts=cfg.arrival_col, counted=cnt, pos_col="ip_pos",
         anchor_col="ip_anchor", chunk_windows=cfg.ip_chunk_windows,
+        fold_block_chunks=cfg.fold_block_chunks,
     )
 
 

@@ -22,10 +22,11 @@ def _frame(spark, rows):
     return df.withColumn("created_at", F.timestamp_seconds("ts_s").cast("timestamp_ntz"))
 
 
-def _check(spark, rows, window, chunk_windows):
+def _check(spark, rows, window, chunk_windows, fold_block_chunks=None):
     df = _frame(spark, rows)
     out = anchored_positions(df, "k", window, counted=F.col("counted"), pos_col="pos",
-                             anchor_col="anchor_ts", chunk_windows=chunk_windows)
+                             anchor_col="anchor_ts", chunk_windows=chunk_windows,
+                             fold_block_chunks=fold_block_chunks)
     got = {r["seq"]: (r["pos"], r["anchor_ts"]) for r in out.select("seq", "pos", "anchor_ts").collect()}
     want = anchored([(k, t, o) for k, t, o, c in rows if c], window)
     for k, t, o, c in rows:
@@ -97,3 +98,15 @@ def test_walk_sorted_matches_reference():
         assert list(zip(pos.tolist(), anc.tolist())) == want
         if len(t):
             assert (ln, la) == want[-1]
+
+
+@pytest.mark.parametrize("blocks", [2, 3])
+def test_blocked_fold(spark, blocks):
+    rnd = random.Random(blocks)
+    rows = [(rnd.choice(["hot", "hot", "hot", "a", "b\u001fx", None]), rnd.randint(0, 6000), o, True)
+            for o in range(2500)]
+    rows = [(k, t, o, k is not None) for k, t, o, _ in rows]
+    _check(spark, rows, 100, 1, fold_block_chunks=blocks)
+    _check(spark, rows, 100, 2, fold_block_chunks=blocks)
+    dense = [("d", i * 51, i, True) for i in range(600)]  # chains never merge
+    _check(spark, dense, 100, 1, fold_block_chunks=blocks)
