@@ -35,7 +35,10 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
     ts_type = _vtype(m("timestamp"))
     ts_text = F.variant_get(m("timestamp"), "$", "string")
     meta_type = _vtype(m("meta_data"))
-    ok = (F.col(value).isNotNull() & (m("_corrupt").isNull() | bare_null))
+    # exactly one JSON value: the parsers accept trailing text ("{...} x",
+    # two objects back to back), the reproduced decoder does not
+    single = F.json_array_length(F.concat(F.lit("["), F.col(value), F.lit("]"))) == 1
+    ok = (F.col(value).isNotNull() & (m("_corrupt").isNull() | bare_null) & F.coalesce(single, F.lit(False)))
     for f in STRING_FIELDS:
         ok = ok & _string_ok(m(f))
     ok = ok & (m("timestamp").isNull() | (ts_type == "VOID") | ((ts_type == "STRING") & F.coalesce(strict_rfc3339(ts_text), F.lit(False))))

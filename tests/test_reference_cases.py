@@ -68,15 +68,19 @@ def test_decode_rules(spark):
         (6, '{"meta_data":[1]}'),             # not an object
         (7, '{"user_id":null,"user_id":"x"}'),  # last key wins
         (8, '[1,2]'),
+        (9, '{"user_id":"a"} x'),            # trailing text
+        (10, '{"user_id":"a"}{"user_id":"b"}'),  # two values
+        (11, ''),                            # empty body
+        (12, '  {"user_id":"a"}  '),         # surrounding blanks are fine
     ]
     df = spark.createDataFrame(msgs, "seq long, value string")
     good = {r["seq"]: r for r in D.decode_messages(df).collect()}
-    assert sorted(good) == [1, 4, 7]
+    assert sorted(good) == [1, 4, 7, 12]
     assert good[1]["meta_data"] == '{"a":2,"b":1}'
     assert good[4]["event_type"] == "" and good[4]["timestamp"] is None
     assert good[7]["user_id"] == "x"
     bad = sorted(r["seq"] for r in D.malformed_messages(df).collect())
-    assert bad == [2, 3, 5, 6, 8]
+    assert bad == [2, 3, 5, 6, 8, 9, 10, 11]
 
 
 def _golden(spark, threshold=100):
