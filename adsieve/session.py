@@ -46,13 +46,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's ``spark.checkpoint.dir`` wins; a scratch folder is only set
     when nothing is configured (local tests).
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        sc = None
+    if sc is not None and not configured:
+        configured = sc.getCheckpointDir()
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="adsieve-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 

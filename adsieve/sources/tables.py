@@ -22,14 +22,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     path = os.path.join(sf_dir, f"{name}.parquet")
     df = spark.read.parquet(path)
     if spread:
-        splits, size = _scan_shape(spark, df, path)
-        target = min(spark.sparkContext.defaultParallelism, max(1, -(-size // SPREAD_BYTES)))
+        try:
+            splits, size = _scan_shape(spark, df, path)
+        except Exception:  # noqa: BLE001 - e.g. a Connect session: no JVM handle, no spreading
+            return df
+        target = min(_parallelism(spark), max(1, -(-size // SPREAD_BYTES)))
         if splits < target:
             df = df.repartition(target)
     return df
 
 
 SPREAD_BYTES = 256 * 1024
+
+
+def _parallelism(spark: SparkSession) -> int:
+    return int(spark.sparkContext.defaultParallelism)
 _SHAPE: dict[tuple, tuple[int, int]] = {}
 
 
