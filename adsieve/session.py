@@ -57,6 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
+    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+    if not master.startswith("local"):
+        # a machine-local folder is not shared by the executors of a cluster
+        raise ValueError("set spark.checkpoint.dir to a shared folder (the stage of the batch job lives there)")
     path = tempfile.mkdtemp(prefix="adsieve-ckpt-", dir="/tmp")
     if sc is not None:
         sc.setCheckpointDir(path)
