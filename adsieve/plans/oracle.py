@@ -8,41 +8,13 @@ statement runs on its own.
 from __future__ import annotations
 
 from adsieve.config import FIXTURE_SCORING, ScoringConfig
+from adsieve.sources.fixtures import (
+    AD_EVENTS_SQL, COLLECTOR_REQUESTS_SQL, DUCKDB_DIALECT, KAFKA_MESSAGES_SQL, render,
+)
 
-AD_EVENTS = """
-SELECT event_id AS seq,
- concat('evt-', CAST(CASE WHEN event_id % 50 = 49 THEN greatest(event_id-401,0) WHEN event_id % 10 = 3 THEN event_id-1
-   WHEN event_id % 10 = 7 THEN greatest(event_id-51,0) ELSE event_id END AS VARCHAR)) AS event_id,
- CASE event_type WHEN 'view' THEN 'impression' WHEN 'signup' THEN 'impression' WHEN 'purchase' THEN 'conversion'
-   ELSE event_type END AS event_type,
- CASE WHEN event_id % 97 = 0 THEN '' ELSE concat('user-', CAST(user_id AS VARCHAR)) END AS user_id,
- CASE WHEN event_id % 89 = 0 THEN '' ELSE concat('cmp-', CAST(CAST(json_extract_string(props,'$.k') AS INT) % 10 AS VARCHAR)) END AS campaign_id,
- CASE WHEN event_id % 83 = 0 THEN 'GBR' WHEN event_id % 79 = 0 THEN '' WHEN user_id % 3 = 0 THEN 'US'
-   WHEN user_id % 3 = 1 THEN 'IN' ELSE 'DE' END AS geo_country,
- CASE WHEN event_id % 73 = 0 THEN '' WHEN user_id % 2 = 0 THEN 'mobile' ELSE 'desktop' END AS device_type,
- CASE WHEN event_id % 61 = 0 THEN ' ' ELSE concat('10.0.0.', CAST(user_id % 8 AS VARCHAR)) END AS ip_address,
- ts AS created_at, props AS meta_data
-FROM events
-"""
-
-KAFKA_MESSAGES = """
-SELECT seq, event_id AS key, created_at AS arrival,
- CASE WHEN seq % 101 = 0 THEN 'not json' ELSE concat('{"event_id":"', event_id, '","event_type":"', event_type, '","user_id":',
-  CASE WHEN seq % 103 = 0 THEN '123' ELSE concat('"', user_id, '"') END, ',"campaign_id":"', campaign_id, '","geo_country":',
-  CASE WHEN seq % 107 = 0 THEN 'null' ELSE concat('"', geo_country, '"') END, ',"device_type":"', device_type, '"',
-  CASE WHEN seq % 113 = 0 THEN '' ELSE concat(',"timestamp":"', strftime(created_at,'%Y-%m-%dT%H:%M:%S.%f'),
-   CASE WHEN seq % 109 = 0 THEN '+05:30' ELSE 'Z' END, '"') END,
-  ',"ip_address":"', ip_address, '","meta_data":', meta_data, '}') END AS value
-FROM ad_events
-"""
-
-COLLECTOR_REQUESTS = """
-SELECT seq, CASE seq % 4 WHEN 0 THEN '' WHEN 1 THEN concat(' 203.0.113.', CAST(seq % 250 AS VARCHAR), ' , 198.51.100.1')
-  WHEN 2 THEN concat('203.0.113.', CAST(seq % 250 AS VARCHAR)) ELSE ', 198.51.100.1' END AS xff,
- CASE WHEN seq % 8 = 0 THEN concat('198.51.100.', CAST(seq % 250 AS VARCHAR), ' ') ELSE '' END AS x_real_ip,
- concat('192.0.2.', CAST(seq % 250 AS VARCHAR)) AS remote_ip, event_id, event_type, user_id, campaign_id, created_at
-FROM ad_events
-"""
+AD_EVENTS = render(AD_EVENTS_SQL, DUCKDB_DIALECT, "events")
+KAFKA_MESSAGES = render(KAFKA_MESSAGES_SQL, DUCKDB_DIALECT, "ad_events")
+COLLECTOR_REQUESTS = render(COLLECTOR_REQUESTS_SQL, DUCKDB_DIALECT, "ad_events")
 
 # Go's strings.TrimSpace
 TRIM = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"

@@ -2,46 +2,76 @@
 
 The driver's tables hold no ad events, so the operators run on these views.
 The derivation only relabels and reshapes ``events``; every row is kept, so
-the work grows with the table. The same definitions exist as DuckDB SQL in
-``adsieve.plans.oracle`` for the correctness oracle.
+the work grows with the table. Each view is one SQL text rendered for Spark
+here and for DuckDB in ``adsieve.plans.oracle`` (the correctness oracle).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsieve.sources.tables import read_table
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+# ---------------------------------------------------------------------------
+# Fixed definitions of the derived views (FIXTURES.md), one text for both
+# engines: $S is the string type, $K the JSON field k of props, $TS the
+# created_at text with microseconds. {src} is the input relation.
+# ---------------------------------------------------------------------------
+AD_EVENTS_SQL = """
+SELECT event_id AS seq,
+ concat('evt-', CAST(CASE WHEN event_id % 50 = 49 THEN greatest(event_id-401,0) WHEN event_id % 10 = 3 THEN event_id-1
+   WHEN event_id % 10 = 7 THEN greatest(event_id-51,0) ELSE event_id END AS $S)) AS event_id,
+ CASE event_type WHEN 'view' THEN 'impression' WHEN 'signup' THEN 'impression' WHEN 'purchase' THEN 'conversion'
+   ELSE event_type END AS event_type,
+ CASE WHEN event_id % 97 = 0 THEN '' ELSE concat('user-', CAST(user_id AS $S)) END AS user_id,
+ CASE WHEN event_id % 89 = 0 THEN '' ELSE concat('cmp-', CAST(CAST($K AS INT) % 10 AS $S)) END AS campaign_id,
+ CASE WHEN event_id % 83 = 0 THEN 'GBR' WHEN event_id % 79 = 0 THEN '' WHEN user_id % 3 = 0 THEN 'US'
+   WHEN user_id % 3 = 1 THEN 'IN' ELSE 'DE' END AS geo_country,
+ CASE WHEN event_id % 73 = 0 THEN '' WHEN user_id % 2 = 0 THEN 'mobile' ELSE 'desktop' END AS device_type,
+ CASE WHEN event_id % 61 = 0 THEN ' ' ELSE concat('10.0.0.', CAST(user_id % 8 AS $S)) END AS ip_address,
+ ts AS created_at, props AS meta_data
+FROM {src}"""
+
+KAFKA_MESSAGES_SQL = """
+SELECT seq, event_id AS key, created_at AS arrival,
+ CASE WHEN seq % 101 = 0 THEN 'not json' ELSE concat('{"event_id":"', event_id, '","event_type":"', event_type, '","user_id":',
+  CASE WHEN seq % 103 = 0 THEN '123' ELSE concat('"', user_id, '"') END, ',"campaign_id":"', campaign_id, '","geo_country":',
+  CASE WHEN seq % 107 = 0 THEN 'null' ELSE concat('"', geo_country, '"') END, ',"device_type":"', device_type, '"',
+  CASE WHEN seq % 113 = 0 THEN '' ELSE concat(',"timestamp":"', $TS,
+   CASE WHEN seq % 109 = 0 THEN '+05:30' ELSE 'Z' END, '"') END,
+  ',"ip_address":"', ip_address, '","meta_data":', meta_data, '}') END AS value
+FROM {src}"""
+
+COLLECTOR_REQUESTS_SQL = """
+SELECT seq, CASE seq % 4 WHEN 0 THEN '' WHEN 1 THEN concat(' 203.0.113.', CAST(seq % 250 AS $S), ' , 198.51.100.1')
+  WHEN 2 THEN concat('203.0.113.', CAST(seq % 250 AS $S)) ELSE ', 198.51.100.1' END AS xff,
+ CASE WHEN seq % 8 = 0 THEN concat('198.51.100.', CAST(seq % 250 AS $S), ' ') ELSE '' END AS x_real_ip,
+ concat('192.0.2.', CAST(seq % 250 AS $S)) AS remote_ip, event_id, event_type, user_id, campaign_id, created_at
+FROM {src}"""
+
+SPARK_DIALECT = {"$S": "STRING", "$K": "get_json_object(props,'$.k')",
+                 "$TS": "date_format(created_at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"}
+DUCKDB_DIALECT = {"$S": "VARCHAR", "$K": "json_extract_string(props,'$.k')",
+                  "$TS": "strftime(created_at,'%Y-%m-%dT%H:%M:%S.%f')"}
+
+
+def render(template: str, dialect: dict, src: str | None = None) -> str:
+    for token, text in dialect.items():
+        template = template.replace(token, text)
+    return template if src is None else template.replace("{src}", src)
+
+
+def _derive(template: str, df: DataFrame) -> DataFrame:
+    # one SQL text: parsed once by the JVM, no per-expression round trips;
+    # ``{src}`` is bound to the DataFrame, so no named view is registered
+    sql = render(template, SPARK_DIALECT).replace("{", "{{").replace("}", "}}").replace("{{src}}", "{src}")
+    return df.sparkSession.sql(sql, src=df)
 
 
 def ad_events_from(events: DataFrame) -> DataFrame:
-    eid, uid = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    source_id = (
-        F.when(eid % 50 == 49, F.greatest(eid - 401, F.lit(0)))
-        .when(eid % 10 == 3, eid - 1)
-        .when(eid % 10 == 7, F.greatest(eid - 51, F.lit(0)))
-        .otherwise(eid)
-    )
-    return events.select(
-        eid.alias("seq"),
-        F.concat(F.lit("evt-"), _s(source_id)).alias("event_id"),
-        F.when(F.col("event_type").isin("view", "signup"), "impression")
-        .when(F.col("event_type") == "purchase", "conversion")
-        .otherwise(F.col("event_type")).alias("event_type"),
-        F.when(eid % 97 == 0, "").otherwise(F.concat(F.lit("user-"), _s(uid))).alias("user_id"),
-        F.when(eid % 89 == 0, "").otherwise(F.concat(F.lit("cmp-"), _s(k % 10))).alias("campaign_id"),
-        F.when(eid % 83 == 0, "GBR").when(eid % 79 == 0, "").when(uid % 3 == 0, "US")
-        .when(uid % 3 == 1, "IN").otherwise("DE").alias("geo_country"),
-        F.when(eid % 73 == 0, "").when(uid % 2 == 0, "mobile").otherwise("desktop").alias("device_type"),
-        F.when(eid % 61 == 0, " ").otherwise(F.concat(F.lit("10.0.0."), _s(uid % 8))).alias("ip_address"),
-        F.col("ts").alias("created_at"),
-        F.col("props").alias("meta_data"),
-    )
+    return _derive(AD_EVENTS_SQL, events)
 
 
 def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,28 +80,7 @@ def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_messages_from(ad: DataFrame) -> DataFrame:
     """Topic messages (key, arrival, value) carrying malformed and odd JSON."""
-    seq = F.col("seq")
-    ts_text = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    body = F.concat(
-        F.lit('{"event_id":'), q(F.col("event_id")),
-        F.lit(',"event_type":'), q(F.col("event_type")),
-        F.lit(',"user_id":'), F.when(seq % 103 == 0, F.lit("123")).otherwise(q(F.col("user_id"))),
-        F.lit(',"campaign_id":'), q(F.col("campaign_id")),
-        F.lit(',"geo_country":'), F.when(seq % 107 == 0, F.lit("null")).otherwise(q(F.col("geo_country"))),
-        F.lit(',"device_type":'), q(F.col("device_type")),
-        F.when(seq % 113 == 0, F.lit("")).otherwise(
-            F.concat(F.lit(',"timestamp":"'), ts_text,
-                     F.when(seq % 109 == 0, F.lit("+05:30")).otherwise(F.lit("Z")), F.lit('"'))),
-        F.lit(',"ip_address":'), q(F.col("ip_address")),
-        F.lit(',"meta_data":'), F.col("meta_data"), F.lit("}"),
-    )
-    return ad.select(
-        seq,
-        F.col("event_id").alias("key"),
-        F.col("created_at").alias("arrival"),
-        F.when(seq % 101 == 0, F.lit("not json")).otherwise(body).alias("value"),
-    )
+    return _derive(KAFKA_MESSAGES_SQL, ad)
 
 
 def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,20 +89,7 @@ def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collector_requests_from(ad: DataFrame) -> DataFrame:
     """Single ingest requests with their proxy headers."""
-    seq = F.col("seq")
-    m = _s(seq % 250)
-    xff = (
-        F.when(seq % 4 == 0, F.lit(""))
-        .when(seq % 4 == 1, F.concat(F.lit(" 203.0.113."), m, F.lit(" , 198.51.100.1")))
-        .when(seq % 4 == 2, F.concat(F.lit("203.0.113."), m))
-        .otherwise(F.lit(", 198.51.100.1"))
-    )
-    xri = F.when(seq % 8 == 0, F.concat(F.lit("198.51.100."), m, F.lit(" "))).otherwise(F.lit(""))
-    return ad.select(
-        seq, xff.alias("xff"), xri.alias("x_real_ip"),
-        F.concat(F.lit("192.0.2."), m).alias("remote_ip"),
-        "event_id", "event_type", "user_id", "campaign_id", "created_at",
-    )
+    return _derive(COLLECTOR_REQUESTS_SQL, ad)
 
 
 def collector_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
