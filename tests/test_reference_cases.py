@@ -158,3 +158,25 @@ def test_default_ids_are_retry_stable(spark):
     a = {r["seq"]: r["event_id"] for r in I.normalize_requests(df).collect()}
     b = {r["seq"]: r["event_id"] for r in I.normalize_requests(df).collect()}
     assert a == b and a[2] == "given" and len(a[1]) == 36
+
+
+def test_archive_expiry_per_status(spark):
+    from adsieve.operators.archive import archive_expired
+    parts = spark.createDataFrame([
+        ("duplicate", "2026", "03", "01", "10"),   # 1 day: expired at 03-02 10:00
+        ("duplicate", "2026", "03", "01", "11"),   # not yet
+        ("raw", "2026", "02", "16", "10"),         # 14 days: expired
+        ("fraud", "2026", "02", "01", "10"),       # 30 days: not yet (03-03)
+        ("accepted", "2025", "12", "02", "10"),    # 90 days: expired (03-02)
+        ("accepted", "2025", "12", "03", "10"),    # not yet
+    ], "status string, year string, month string, day string, hour string")
+    now = F.lit("2026-03-02 10:00:00").cast("timestamp_ntz")
+    got = sorted((r["status"], r["day"]) for r in archive_expired(parts, now).collect())
+    assert got == [("accepted", "02"), ("duplicate", "01"), ("raw", "16")]
+
+
+def test_success_rate_only_when_processed(spark):
+    from adsieve.operators.metrics import success_rate
+    m = spark.createDataFrame([(0, 5), (3, 1)], "total_processed long, total_failed long")
+    got = [r["success_rate"] for r in success_rate(m).orderBy("total_processed").collect()]
+    assert got == [None, 75.0]
