@@ -62,6 +62,8 @@ def test_stream_matches_batch(spark):
     tot = listener.totals()
     assert tot["processed"] == want["accepted"]
     assert tot["duplicates"] == want.get("duplicate", 0) and tot["fraud"] == want.get("fraud", 0)
+    # rejected events are quarantined, not dropped (no storage violations here)
+    assert spark.read.parquet(out.quarantine).count() == ev.count() - ref.count()
     arch = spark.read.text(out.archive)
     assert arch.where("status = 'duplicate'").count() == want.get("duplicate", 0)
     assert arch.where("status = 'fraud'").count() == want.get("fraud", 0)
