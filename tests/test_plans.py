@@ -52,3 +52,15 @@ def test_hourly_stats_aggregate_map_side(spark):
     acc = FX.ad_events(spark, SF001)
     plan = _plan(S.campaign_hour_stats(acc))
     assert plan.count("HashAggregate") >= 2  # partial + final
+
+
+def test_archive_write_rebalances(spark):
+    from pyspark.sql import functions as F
+
+    from adsieve.operators import archive as A
+    arch = A.archive_rows(K.classify(FX.ad_events(spark, SF001), FIXTURE_SCORING),
+                          F.lit("2024-02-01 10:00:00").cast("timestamp_ntz"))
+    out = arch.select("record", "status", "year", "month", "day", "hour").hint(
+        "rebalance", "status", "year", "month", "day", "hour")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan  # AQE may split a hot status-hour
