@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +24,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings that the operators rely on; returns the session."""
     apply_required_conf(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    _ship(spark)
     return spark
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that tasks
+    can import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    if any(str(f).endswith(f"{root.name}-tasks.zip") for f in sc.listFiles):
+        return
+    path = Path(tempfile.mkdtemp()) / f"{root.name}-tasks.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,8 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adsieve.llm.common import prepare, table
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from adsieve.llm.common import WS, prepare, table
 from adsieve.llm.exact_dedup import decide_copies
+from adsieve.llm.substring_dedup import dedup_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +24,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decide_copies(table(prepare(spark), sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), WS + "+", " "))
+    return dedup_substrings(docs).select("doc_id", "n_words", "n_removed", _sha(words).alias("kept_sha256"))
+
+
+def _sha(text: Column) -> Column:
+    return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -33,10 +47,32 @@ SELECT doc_id,
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(list_slice(ws, p, p + 19), ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS p FROM d)),
+rep AS (
+  SELECT doc_id, p
+  FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS rn FROM win) WHERE rn > 1),
+gone AS (SELECT DISTINCT doc_id, p + o AS pos FROM rep, range(0, 20) AS r(o)),
+word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM d),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY pos) AS t, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_substring_dedup": OP2_SQL,
 }
