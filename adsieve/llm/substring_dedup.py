@@ -21,7 +21,7 @@ Defined results: a null text has no words and stays null; texts shorter than
 the window are never cut. ``doc_id`` identifies a text: repeated rows (same id
 and text) count as one document and are cut alike. Rows without id cannot be
 ordered and pass unchanged. Input columns named ``n_words`` or ``n_removed``
-are replaced. Memory of a task is bounded by a slice (4 MB of text or one
+are replaced. Memory of a task is bounded by a slice (2 MB of text or one
 document, some 40 bytes a text byte) and a bucket.
 """
 
@@ -39,7 +39,7 @@ from adsieve.llm.common import broadcast_if_small, others, partitions_for, store
 from adsieve.llm.textcodes import Words, planes, slices, unplanes
 
 WIDTH = 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BUCKET_WINDOWS = 1 << 20
 _BYTES_PER_WORD = 6  # only sizes the buckets
 _ENTRY = "key long, code binary, doc binary, pos binary"
