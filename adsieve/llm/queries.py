@@ -10,9 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adsieve.llm import bpe
 from adsieve.llm.common import WS, prepare, table
 from adsieve.llm.exact_dedup import decide_copies
 from adsieve.llm.substring_dedup import dedup_substrings
@@ -30,6 +32,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select("doc_id", "n_words", "n_removed", _sha(words).alias("kept_sha256"))
 
 
+def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = bpe.encode(docs, path).select("doc_id", "ids")
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), _sha(F.array_join("ids", " ")).alias("ids_sha256"),
+        _sha(F.col("decoded")).alias("decoded_sha256"))
+
+
 def _sha(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
@@ -70,6 +81,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_bpe_tree": op3_bpe_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {
