@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from adsieve.llm.common import others
 from adsieve.llm.tokens import WordEncoder, encoder, load
 
-PIECE_CHARS = 1 << 14
+PIECE_CHARS = 1 << 16
 WINDOW = 64
 # longest look of the pre-tokenizer past a place: a special token's text
 MARGIN = 16

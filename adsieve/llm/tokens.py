@@ -17,7 +17,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO_CHUNKS = 400_000  # a full memo keeps what it has: common chunks come early
+MEMO_CHUNKS = 300_000  # a full memo keeps what it has: common chunks come early
+MEMO_SPANS = 20_000
 MEMO_BYTES = 64  # longer chunks are not remembered
 _ENDS = frozenset(b".,!?;:")
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -72,7 +73,7 @@ class WordEncoder:
             if got is None:
                 e = self._tok.encode(m[0], add_special_tokens=False)
                 got = e.ids, [a for a, _ in e.offsets], [b for _, b in e.offsets]
-                if len(m[0]) <= MEMO_BYTES and len(self._spans) < MEMO_CHUNKS // 4:
+                if len(m[0]) <= MEMO_BYTES and len(self._spans) < MEMO_SPANS:
                     self._spans[m[0]] = got
             at = m.start()
             ids += got[0]
