@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from adsieve.llm import bpe
 from adsieve.llm.common import WS, prepare, table
 from adsieve.llm.exact_dedup import decide_copies
+from adsieve.llm.packing import pack
 from adsieve.llm.substring_dedup import dedup_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,10 @@ def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def _sha(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_tree": op3_bpe_tree,
+    "op8_packing": op8_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
