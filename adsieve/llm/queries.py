@@ -14,8 +14,8 @@ import public_tokenizers
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adsieve.llm import bpe
-from adsieve.llm.common import WS, prepare, table
+from adsieve.llm import bpe, language_id, quality
+from adsieve.llm.common import WS, crc_mod, prepare, table
 from adsieve.llm.exact_dedup import decide_copies
 from adsieve.llm.packing import pack
 from adsieve.llm.substring_dedup import dedup_substrings
@@ -42,10 +42,25 @@ def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op6_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.train(docs, labels.where(crc_mod("doc_id", 3) != 1))
+    return quality.score(docs, model).select(
+        "row.doc_id", (crc_mod("row.doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language_id.learn(docs.where(crc_mod("doc_id", 4) != 2))
+    return language_id.classify(docs, profiles).select(
+        "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def _sha(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
@@ -87,7 +102,9 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_tree": op3_bpe_tree,
+    "op6_quality_mil": op6_quality_mil,
     "op8_packing": op8_packing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
