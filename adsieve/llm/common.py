@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from adsieve.session import apply_required_conf, ensure_checkpoint_dir
 
 # Rows of one Arrow batch; texts are wide, so a batch stays at a few MB.
-ARROW_ROWS = 2000
+ARROW_ROWS = 1000
 # A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 32 << 20
 

@@ -17,7 +17,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO_CHUNKS = 300_000  # a full memo keeps what it has: common chunks come early
+MEMO_CHUNKS = 200_000  # a full memo keeps what it has: common chunks come early
 MEMO_SPANS = 20_000
 MEMO_BYTES = 64  # longer chunks are not remembered
 _ENDS = frozenset(b".,!?;:")
