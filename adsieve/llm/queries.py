@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from adsieve.llm import bpe, language_id, quality
 from adsieve.llm.common import WS, crc_mod, prepare, table
 from adsieve.llm.exact_dedup import decide_copies
+from adsieve.llm.jaccard_join import jaccard_links
 from adsieve.llm.packing import pack
 from adsieve.llm.substring_dedup import dedup_substrings
 
@@ -54,6 +55,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(table(prepare(spark), sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang")
     profiles = language_id.learn(docs.where(crc_mod("doc_id", 4) != 2))
@@ -98,16 +103,39 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+OP9_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, p, p + 4), ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS p FROM d WHERE len(ws) > 0)),
+sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM common JOIN sz x ON x.doc_id = u JOIN sz y ON y.doc_id = v WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+reach(id, r) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION SELECT id, v FROM reach JOIN links ON u = r),
+comp AS (SELECT id AS doc_id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, (SELECT count(*) FROM links WHERE u = comp.doc_id) AS n_links, component_id, doc_id = component_id AS kept
+FROM comp
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_tree": op3_bpe_tree,
     "op6_quality_mil": op6_quality_mil,
     "op8_packing": op8_packing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op2_substring_dedup": OP2_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }

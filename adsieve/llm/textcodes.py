@@ -142,3 +142,21 @@ def planes(a: np.ndarray) -> bytes:
 def unplanes(b: bytes, dtype) -> np.ndarray:
     size = np.dtype(dtype).itemsize
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document index, code) of every window of ``width`` words, documents in
+    order; a shorter document with words is one shingle of all its words."""
+    at, code = words.windows(width)
+    doc = words.doc[at]
+    short = np.flatnonzero((words.counts > 0) & (words.counts < width))
+    if len(short):
+        n = len(words.code)
+        pw, inv = _T.powers(0, n + 1)
+        p = np.zeros(n + 1, dtype=_U)
+        np.cumsum(words.code * pw[:n], out=p[1:])
+        a, k = words.first[short], words.counts[short]
+        whole = mix(mix((p[a + k] - p[a]) * inv[a]) + k.astype(_U))
+        order = np.argsort(np.r_[doc, short], kind="stable")
+        doc, code = np.r_[doc, short][order], np.r_[code, whole][order]
+    return doc, code
