@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from adsieve.llm import bpe, language_id, quality
 from adsieve.llm.common import WS, crc_mod, prepare, table
+from adsieve.llm.covertree import near_vectors
 from adsieve.llm.exact_dedup import decide_copies
 from adsieve.llm.jaccard_join import jaccard_links
 from adsieve.llm.packing import pack
@@ -51,6 +52,10 @@ def op6_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", (crc_mod("row.doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -124,11 +129,30 @@ SELECT doc_id, (SELECT count(*) FROM links WHERE u = comp.doc_id) AS n_links, co
 FROM comp
 """
 
+OP7_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e,
+         coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0, false) AS ok
+  FROM embeddings),
+u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v WHERE ok),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v
+  FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) >= 0.95),
+reach(id, r) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION SELECT id, links.v FROM reach JOIN links ON links.u = r),
+comp AS (SELECT id AS vec_id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE u = comp.vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM comp
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_tree": op3_bpe_tree,
     "op6_quality_mil": op6_quality_mil,
+    "op7_cover_tree": op7_cover_tree,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
@@ -137,5 +161,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op2_substring_dedup": OP2_SQL,
+    "op7_cover_tree": OP7_SQL,
     "op9_jaccard_join": OP9_SQL,
 }
