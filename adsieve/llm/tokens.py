@@ -35,30 +35,35 @@ def load(path: str):
 
 
 class _Memo(dict):
-    """Ids by chunk. A mark after a letter always starts a pre-token of its own,
-    so ``word,`` is ``word`` and ``,``."""
+    """Ids by chunk. A run of ASCII letters is one pre-token, so it goes to the
+    tokenizer's model directly; a mark after a letter always starts a pre-token
+    of its own, so ``word,`` is ``word`` and ``,``."""
 
-    def __init__(self, encode, marks=None):
+    def __init__(self, encode, run, limit=MEMO_CHUNKS, marks=None):
         super().__init__()
-        self._encode = encode
+        self._encode, self._run, self._limit = encode, run, limit
         self._marks = self if marks is None else marks
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if len(chunk) > 1 and chunk[-1] in _ENDS and chunk[-2] in _LETTERS:
+        if chunk.isalpha():  # bytes: ASCII letters only
+            ids = array("I", [t.id for t in self._run(chunk.decode())]).tobytes()
+        elif len(chunk) > 1 and chunk[-1] in _ENDS and chunk[-2] in _LETTERS:
             return self[chunk[:-1]] + self._marks[chunk[-1:]]
-        ids = array("I", self._encode(chunk.decode())).tobytes()
-        if len(self) < MEMO_CHUNKS and len(chunk) <= MEMO_BYTES:
+        else:
+            ids = array("I", self._encode(chunk.decode())).tobytes()
+        if len(self) < self._limit and len(chunk) <= MEMO_BYTES:
             self[chunk] = ids
         return ids
 
 
 class WordEncoder:
-    """For tokenizers that drop white space: chunks are words between ASCII
-    white space (`bytes.split` splits at exactly ``[\\x20\\x09-\\x0D]``)."""
+    """For lower-casing tokenizers that drop white space: chunks are words between
+    ASCII white space (`bytes.split` splits at exactly ``[\\x20\\x09-\\x0D]``)."""
 
     def __init__(self, path: str):
         self._tok = load(path)
-        self._memo = _Memo(lambda s: self._tok.encode(s, add_special_tokens=False).ids)
+        model = self._tok.model
+        self._memo = _Memo(lambda s: self._tok.encode(s, add_special_tokens=False).ids, lambda s: model.tokenize(s.lower()))
         self._spans: dict[str, tuple] = {}
 
     def ids(self, text: str) -> bytes:
@@ -105,8 +110,10 @@ class ByteEncoder:
     def __init__(self, path: str):
         self._tok = load(path)
         self._plain = lambda s: self._tok.encode(s, add_special_tokens=False).ids
-        self._first = _Memo(self._plain)
-        self._memo = _Memo(lambda s: self._plain(" " + s), self._first)
+        model = self._tok.model
+        # a space is written as this character in a byte-level vocabulary
+        self._first = _Memo(self._plain, model.tokenize)
+        self._memo = _Memo(lambda s: self._plain(" " + s), lambda s: model.tokenize("\u0120" + s), 2 * MEMO_CHUNKS, self._first)
 
     def ids(self, text: str) -> bytes:
         raw = text.encode()
