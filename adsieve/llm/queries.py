@@ -15,12 +15,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adsieve.llm import bpe, language_id, quality
+from adsieve.llm.chat import format_chats
 from adsieve.llm.common import WS, crc_mod, prepare, table
 from adsieve.llm.covertree import near_vectors
 from adsieve.llm.exact_dedup import decide_copies
 from adsieve.llm.jaccard_join import jaccard_links
 from adsieve.llm.packing import pack
 from adsieve.llm.substring_dedup import dedup_substrings
+from adsieve.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +46,15 @@ def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(table(prepare(spark), sf_dir, "pages"))
+    return read_archives(manifest, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(prepare(spark), sf_dir, "conversations"))
+
+
 def op6_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -129,6 +140,31 @@ SELECT doc_id, (SELECT count(*) FROM links WHERE u = comp.doc_id) AS n_links, co
 FROM comp
 """
 
+OP4_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS kept FROM p)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, (i // 4)::INT * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM k
+"""
+
+OP5_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS turns, count(*) AS n_turns FROM t GROUP BY conv_id),
+u AS (SELECT turns, n_turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM c GROUP BY turns, n_turns),
+begun AS (SELECT DISTINCT list_slice(turns, 1, k) AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM u))
+SELECT t.conv_id, (pos - 1) // 1024 AS part, any_value(n_turns) AS n_turns, any_value(n_copies) AS n_copies,
+       string_agg('<|im_start|>' || replace(role, '<|', '<\|') || chr(10) || replace(text, '<|', '<\|') || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
+FROM u ANTI JOIN begun USING (turns) JOIN t ON t.conv_id = u.conv_id
+GROUP BY t.conv_id, (pos - 1) // 1024
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e,
@@ -151,6 +187,8 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_tree": op3_bpe_tree,
+    "op4_warc_zip": op4_warc_zip,
+    "op5_chat_format": op5_chat_format,
     "op6_quality_mil": op6_quality_mil,
     "op7_cover_tree": op7_cover_tree,
     "op8_packing": op8_packing,
@@ -161,6 +199,8 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op2_substring_dedup": OP2_SQL,
+    "op4_warc_zip": OP4_SQL,
+    "op5_chat_format": OP5_SQL,
     "op7_cover_tree": OP7_SQL,
     "op9_jaccard_join": OP9_SQL,
 }
