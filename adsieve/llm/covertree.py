@@ -44,7 +44,7 @@ from adsieve.llm.components import components
 THRESHOLD = 0.95
 SAMPLE, CELLS, BLOCK = 4096, 256, 4096
 RADII = (1.0, 0.5, 0.25, 0.125)  # below the root's 2
-SLACK = 1e-9
+SLACK = 1e-7  # above the rounding of a distance near zero
 _MANY = 4096  # node pairs opened by a matrix product rather than gathered
 _CHUNK = 1 << 17
 
