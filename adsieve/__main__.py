@@ -16,7 +16,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from adsieve.config import DEFAULT_SCORING, ScoringConfig
+from adsieve.config import DEFAULT_SCORING, LOOKUP_BAD_REQUEST, LOOKUP_NOT_FOUND, ScoringConfig
 from adsieve.session import apply_required_conf, ensure_checkpoint_dir
 
 
@@ -60,6 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--out", required=True)
     c.add_argument("--id", default=None)
     c.add_argument("--json", action="store_true")
+    c.add_argument("--write", default=None, help="write the listing as JSON files instead of printing it")
     a = p.parse_args(argv)
     spark = _session(a.master)
 
@@ -83,20 +84,34 @@ def main(argv: list[str] | None = None) -> int:
         q.awaitTermination()
         return 0
     # campaigns: the query side over the stats delta log
+    from pyspark.errors import AnalysisException
+
+    from adsieve.functions import rfc3339_nano
     from adsieve.operators import stats as S
+    from adsieve.schemas import CAMPAIGN_STATS
     from adsieve.sinks.writers import read_stats
-    stats = read_stats(spark, out.stats_delta)
+    try:
+        stats = read_stats(spark, out.stats_delta)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        stats = spark.createDataFrame([], CAMPAIGN_STATS)  # before the first batch
+    if a.write:
+        # the whole listing goes to files, one JSON object a line
+        S.all_campaigns(stats).withColumn("hour_bucket", rfc3339_nano("hour_bucket")).write.mode("errorifexists").json(a.write)
+        return 0
+    stats = stats.withColumn("hour_bucket", rfc3339_nano("hour_bucket")) if a.json else stats
     if a.id is not None:
         if a.id == "":
-            print(json.dumps({"error": "campaign id is required"}))
+            print(json.dumps({"error": LOOKUP_BAD_REQUEST}))
             return 2
         rows = [r.asDict() for r in S.campaign_by_id(stats, a.id).collect()]  # at most one row
         if not rows:
-            print(json.dumps({"error": "campaign not found"}))
+            print(json.dumps({"error": LOOKUP_NOT_FOUND}))
             return 1
         print(json.dumps({"data": rows[0]}, default=str) if a.json else str(rows[0]))
         return 0
-    # the listing is streamed partition by partition, never held whole
+    # printed on request, partition by partition, never held whole
     first = True
     out_stream = sys.stdout
     if a.json:

@@ -79,11 +79,9 @@ class ScoringConfig:
     # the fold shuffle against the size of a hot key's chunk
     dedupe_chunk_windows: int = 8     # 24 h window → 8-day chunks
     ip_chunk_windows: int = 16        # 300 s window → 80-minute chunks
-    # fold chunk states in blocks of this many chunks so a dense hot key's
-    # run table never meets in one task. Costs three small extra shuffles:
-    # seconds against a 100 TB job, but it doubles the time of the 100k-row
-    # fixture, which therefore runs without it (FIXTURE_SCORING).
-    fold_block_chunks: int | None = 16
+    # chunk states are folded in blocks of this many chunks, so a dense hot
+    # key's run table never meets in one task
+    fold_block_chunks: int = 16
 
 
 @dataclass(frozen=True)
@@ -102,5 +100,5 @@ class ArchiveConfig:
 
 # Settings of the derived test fixture: the production window/threshold never
 # fire on 10k events spread over a month, so tests use a wider window.
-FIXTURE_SCORING = ScoringConfig(dedupe_ttl_s=86_400, ip_window_s=21_600, ip_threshold=5, fold_block_chunks=None)
+FIXTURE_SCORING = ScoringConfig(dedupe_ttl_s=86_400, ip_window_s=21_600, ip_threshold=5)
 DEFAULT_SCORING = ScoringConfig()

@@ -17,9 +17,13 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# the characters of Unicode's White_Space property (fixed values)
+_WHITE = r"[\u0009-\u000D\u0020\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def go_trim(c) -> Column:
-    """Trim all leading/trailing white space (Spark's trim only strips blanks)."""
-    return F.regexp_replace(col_of(c), r"^\s+|\s+$", "")
+    """Trim all leading/trailing white space, Unicode's included."""
+    return F.regexp_replace(col_of(c), f"^{_WHITE}+|{_WHITE}+$", "")
 
 
 def blank(c) -> Column:
@@ -37,9 +41,10 @@ def hour_bucket(ts) -> Column:
     return F.date_trunc("hour", col_of(ts).cast("timestamp_ntz")).cast("timestamp_ntz")
 
 
-def current_hour() -> Column:
-    """Hour bucket of the current wall-clock time (session time zone)."""
-    return hour_bucket(F.localtimestamp())
+def current_hour(as_of=None) -> Column:
+    """Hour bucket of the current wall-clock time (session time zone), or of
+    ``as_of``."""
+    return hour_bucket(F.localtimestamp() if as_of is None else as_of)
 
 
 def epoch_micros(ts) -> Column:
@@ -97,30 +102,32 @@ def omit_empty(c, empty=None) -> Column:
     return F.nullif(c, F.lit(empty))
 
 
-# RFC 3339 date-time with a mandatory offset (Z or ±hh:mm).
-_RFC3339 = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2})$"
+# RFC 3339 date-time with a mandatory offset (Z or ±hh:mm), fraction of any
+# length; hours below 24, minutes and seconds below 60. The calendar date is
+# checked apart.
+_RFC3339 = (r"^\d{4}-\d{2}-\d{2}T([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d+)?"
+            r"(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$")
 
 
 def strict_rfc3339(c) -> Column:
-    return col_of(c).rlike(_RFC3339)
+    """True for an RFC 3339 text that names an existing time; never throws."""
+    txt = col_of(c)
+    return txt.rlike(_RFC3339) & F.substring(txt, 1, 10).try_cast("date").isNotNull()
 
 
 def wall_clock(c) -> Column:
     """Local wall-clock time of an RFC 3339 text, offset ignored (microsecond
-    precision), as ``timestamp_ntz``."""
+    precision), as ``timestamp_ntz``; null for anything else."""
     txt = col_of(c)
-    base = F.regexp_extract(txt, r"^(\d{4}-\d{2}-\d{2})[Tt](\d{2}:\d{2}:\d{2})", 0)
-    frac = F.regexp_extract(txt, r"^\S{19}\.(\d{1,9})", 1)
+    frac = F.regexp_extract(txt, r"^\S{19}\.(\d+)", 1)
     frac6 = F.substring(F.concat(frac, F.lit("000000")), 1, 6)
-    return F.to_timestamp_ntz(
-        F.concat(F.regexp_replace(base, "[Tt]", " "), F.lit("."), frac6),
-        F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"),
-    )
+    parts = F.concat(F.substring(txt, 1, 10), F.lit(" "), F.substring(txt, 12, 8), F.lit("."), frac6)
+    return F.when(strict_rfc3339(txt), parts.try_cast("timestamp_ntz"))
 
 
 def utc_offset(c) -> Column:
     """The offset part (``Z`` or ``±hh:mm``) of an RFC 3339 text."""
-    return F.nullif(F.regexp_extract(col_of(c), r"([Zz]|[+-]\d{2}:\d{2})$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(col_of(c), r"(Z|[+-]\d{2}:\d{2})$", 1), F.lit(""))
 
 
 def rfc3339_nano(ts, offset=None) -> Column:

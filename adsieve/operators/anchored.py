@@ -335,7 +335,7 @@ def _phase2(W: int):
 
 
 # ---------------------------------------------------------------------------
-# optional blocked fold: phase 2 split into per-block work (hot keys)
+# blocked fold: phase 2 split into per-block work (hot keys)
 # ---------------------------------------------------------------------------
 _MAXHI = np.iinfo(np.int64).max
 
@@ -539,15 +539,15 @@ def anchored_positions(
     anchor_col: str | None = "anchor_ts",
     chunk_windows: int = 16,
     spread: int = 1 << 16,
-    fold_block_chunks: int | None = None,
+    fold_block_chunks: int = 16,
 ) -> DataFrame:
     """Add the anchored-window position (1-based) and anchor time per row.
 
     ``key``: grouping key; ``ts``/``order``: arrival order with tie-break;
     ``counted``: rows that take part (others get nulls and never form state);
     ``spread``: how many chunks the non-counted rows are spread over;
-    ``fold_block_chunks``: when set, phase 2 runs blocked (see
-    :func:`_blocked_state`) so a dense hot key's fold is split too.
+    ``fold_block_chunks``: chunks of a block in phase 2 (see
+    :func:`_blocked_state`), so a dense hot key's fold is split too.
     """
     W = int(window_s) * _US
     R = W * int(chunk_windows)
@@ -566,15 +566,8 @@ def anchored_positions(
     runs_schema = "_k string, _c long, _hi long, _ex_t long, _ex_n long"
     ordered = shuffled.sortWithinPartitions("_k", "_c", "_t", "_o")
     runs = ordered.mapInArrow(_phase1(W, R), runs_schema)
-    # phase 2: fold along keys over the small run table
-    if fold_block_chunks and fold_block_chunks > 1:
-        state = _blocked_state(runs, W, int(fold_block_chunks))
-    else:
-        state = (
-            runs.repartition("_k")
-            .sortWithinPartitions("_k", "_c", "_hi")
-            .mapInPandas(_phase2(W), "_k string, _c long, _r long, _carry long")
-        )
+    # phase 2: fold along keys over the small run table, in blocks of chunks
+    state = _blocked_state(runs, W, max(2, int(fold_block_chunks)))
     # phase 3: attach the inherited state (a broadcast when AQE sees it is
     # small, else a join that keeps the (key, chunk) partitioning) and scan
     out_cols = cols + ["_t"]

@@ -9,34 +9,39 @@ from pyspark.sql import functions as F
 
 from adsieve.config import DEFAULT_SCORING, ScoringConfig
 from adsieve.functions import blank
-from adsieve.operators.anchored import anchored_positions
+from adsieve.operators.history import WindowHistory, positions
 from adsieve.operators.validate import valid_events, validate_events
 
 Scorer = Callable[[DataFrame, ScoringConfig], DataFrame]
 
 
-def mark_duplicates(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted: Column | None = None) -> DataFrame:
+def mark_duplicates(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted: Column | None = None,
+                    history: DataFrame | None = None) -> DataFrame:
     """``dup_pos`` = position in the event_id window; ``is_duplicate`` = pos > 1.
 
-    Duplicates are kept (they are archived), not dropped.
+    Duplicates are kept (they are archived), not dropped. ``history`` holds
+    the marks that earlier batches left.
     """
-    out = anchored_positions(
-        df, "event_id", cfg.dedupe_ttl_s, ts=cfg.arrival_col, counted=counted, pos_col="dup_pos",
+    out = positions(
+        df, history, "event_id", cfg.dedupe_ttl_s, ts=cfg.arrival_col,
+        counted=F.lit(True) if counted is None else counted, pos_col="dup_pos",
         anchor_col="dup_anchor", chunk_windows=cfg.dedupe_chunk_windows,
         fold_block_chunks=cfg.fold_block_chunks,
     )
     return out.withColumn("is_duplicate", F.col("dup_pos") > 1)
 
 
-def ip_window_count(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted: Column | None = None) -> DataFrame:
+def ip_window_count(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted: Column | None = None,
+                    history: DataFrame | None = None) -> DataFrame:
     """``ip_pos`` = counter value the event sees in its IP's window.
 
     Only ``counted`` rows (default: non-blank IP) touch the counter; the key
-    is the untrimmed address.
+    is the untrimmed address. ``history`` holds the counters that earlier
+    batches left.
     """
     cnt = ~blank("ip_address") if counted is None else (counted & ~blank("ip_address"))
-    return anchored_positions(
-        df, "ip_address", cfg.ip_window_s, ts=cfg.arrival_col, counted=cnt, pos_col="ip_pos",
+    return positions(
+        df, history, "ip_address", cfg.ip_window_s, ts=cfg.arrival_col, counted=cnt, pos_col="ip_pos",
         anchor_col="ip_anchor", chunk_windows=cfg.ip_chunk_windows,
         fold_block_chunks=cfg.fold_block_chunks,
     )
@@ -52,10 +57,10 @@ def risk_score_col(cfg: ScoringConfig = DEFAULT_SCORING) -> Column:
     )
 
 
-def window_scorer(df: DataFrame, cfg: ScoringConfig) -> DataFrame:
+def window_scorer(df: DataFrame, cfg: ScoringConfig, history: DataFrame | None = None) -> DataFrame:
     """Default scorer: anchored IP window counter. Only unique events count."""
     counted = F.coalesce(F.col("dup_pos") == 1, F.lit(False))
-    scored = ip_window_count(df, cfg, counted=counted)
+    scored = ip_window_count(df, cfg, counted=counted, history=history)
     return scored.withColumn(
         "risk_score", F.when(counted, risk_score_col(cfg)).otherwise(F.lit(0).cast("int"))
     )
@@ -63,7 +68,7 @@ def window_scorer(df: DataFrame, cfg: ScoringConfig) -> DataFrame:
 
 def classify(
     df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, scorer: Scorer = window_scorer,
-    keep_rejected: bool = False,
+    keep_rejected: bool = False, history: WindowHistory | None = None,
 ) -> DataFrame:
     """Route events to duplicate / fraud / accepted.
 
@@ -72,15 +77,17 @@ def classify(
     ``keep_rejected`` they stay in the output with status ``rejected`` (and
     ``reject_field``/``reject_message``) instead of being filtered out.
     ``scorer`` is pluggable: it receives rows with ``dup_pos`` and must add
-    an int ``risk_score`` (0 for duplicates).
+    an int ``risk_score`` (0 for duplicates). ``history`` continues the
+    windows of earlier batches (the default scorer's counters included).
     """
+    marks = history.dedupe if history else None
     if keep_rejected:
         src = validate_events(df)
         valid = F.col("reject_field").isNull()
-        dd = mark_duplicates(src, cfg, counted=valid)
+        dd = mark_duplicates(src, cfg, counted=valid, history=marks)
     else:
-        dd = mark_duplicates(valid_events(df), cfg)
-    scored = scorer(dd, cfg)
+        dd = mark_duplicates(valid_events(df), cfg, history=marks)
+    scored = window_scorer(dd, cfg, history.ip) if history and scorer is window_scorer else scorer(dd, cfg)
     status = (
         F.when(F.col("dup_pos").isNull(), "rejected")
         .when(F.col("dup_pos") > 1, "duplicate")

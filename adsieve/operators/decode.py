@@ -3,8 +3,10 @@
 A message decodes only when it is a JSON object (or the bare ``null``) whose
 string fields hold strings or null, whose ``timestamp`` is an RFC 3339 text
 or null and whose ``meta_data`` is an object or null. Anything else is
-malformed: skipped and not counted as failed. JSON null and missing keys
-decode to the empty string. Duplicate keys keep the last value.
+malformed: skipped and not counted as failed; no message makes the job fail.
+JSON null and missing keys decode to the empty string. Keys match in any case.
+Of repeated keys (also inside ``meta_data``) the last value that is not null
+stands, and each of them must have the right type.
 """
 
 from __future__ import annotations
@@ -15,37 +17,43 @@ from pyspark.sql import functions as F
 from adsieve.functions import go_trim, strict_rfc3339, utc_offset, wall_clock
 
 STRING_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type", "ip_address"]
-_VARIANT_SCHEMA = ", ".join(f"{f} variant" for f in STRING_FIELDS + ["timestamp", "meta_data"]) + ", _corrupt string"
+_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def _vtype(c: Column) -> Column:
     return F.schema_of_variant(c)
 
 
-def _string_ok(c: Column) -> Column:
-    return c.isNull() | _vtype(c).isin("STRING", "VOID")
+def _text(c: Column) -> Column:
+    return F.variant_get(c, "$", "string")
+
+
+def _entry_ok(e: Column) -> Column:
+    """A key's value has the type of its field; other keys are ignored."""
+    kind = _vtype(e["v"])
+    return (
+        F.when(e["v"].isNull() | (kind == "VOID"), True)
+        .when(e["k"].isin(STRING_FIELDS), kind == "STRING")
+        .when(e["k"] == "timestamp", F.when(kind == "STRING", F.coalesce(strict_rfc3339(_text(e["v"])), F.lit(False))).otherwise(False))
+        .when(e["k"] == "meta_data", kind.startswith("OBJECT"))
+        .otherwise(True)
+    )
 
 
 def decode(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the decoded wire fields and a ``malformed`` flag to each message."""
-    s = F.from_json(F.col(value), _VARIANT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    tmp = df.withColumn("_m", s)
-    m = lambda f: F.col(f"_m.{f}")
+    fields = F.map_entries(F.from_json(F.col(value), "map<string,variant>", _OPTIONS))
+    tmp = df.withColumn("_e", F.transform(fields, lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))))
+    tmp = tmp.withColumn("_m", F.map_from_entries(F.filter("_e", lambda e: e["v"].isNotNull() & (_vtype(e["v"]) != "VOID"))))
+    m = lambda f: F.try_element_at("_m", F.lit(f))
     bare_null = go_trim(F.col(value)) == "null"
-    ts_type = _vtype(m("timestamp"))
-    ts_text = F.variant_get(m("timestamp"), "$", "string")
-    meta_type = _vtype(m("meta_data"))
     # exactly one JSON value: the parsers accept trailing text ("{...} x",
     # two objects back to back), the reproduced decoder does not
     single = F.json_array_length(F.concat(F.lit("["), F.col(value), F.lit("]"))) == 1
-    ok = (F.col(value).isNotNull() & (m("_corrupt").isNull() | bare_null) & F.coalesce(single, F.lit(False)))
-    for f in STRING_FIELDS:
-        ok = ok & _string_ok(m(f))
-    ok = ok & (m("timestamp").isNull() | (ts_type == "VOID") | ((ts_type == "STRING") & F.coalesce(strict_rfc3339(ts_text), F.lit(False))))
-    ok = ok & (m("meta_data").isNull() | (meta_type == "VOID") | meta_type.startswith("OBJECT"))
-    cols = [F.coalesce(F.variant_get(m(f), "$", "string"), F.lit("")).alias(f) for f in STRING_FIELDS]
-    cols.append(ts_text.alias("timestamp"))
-    cols.append(F.when(meta_type.startswith("OBJECT"), F.to_json(m("meta_data"))).alias("meta_data"))
+    ok = F.coalesce(single, F.lit(False)) & (bare_null | (F.col("_e").isNotNull() & F.forall("_e", _entry_ok)))
+    cols = [F.coalesce(_text(m(f)), F.lit("")).alias(f) for f in STRING_FIELDS]
+    cols.append(_text(m("timestamp")).alias("timestamp"))
+    cols.append(F.when(_vtype(m("meta_data")).startswith("OBJECT"), F.to_json(m("meta_data"))).alias("meta_data"))
     keep = [c for c in df.columns if c not in STRING_FIELDS + ["timestamp", "meta_data", value]]
     return tmp.select(*keep, *cols, (~F.coalesce(ok, F.lit(False))).alias("malformed"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adsieve import config as C
-from adsieve.functions import client_ip, nz, rfc3339_nano
+from adsieve.functions import client_ip, col_of, nz, rfc3339_nano
 
 # columns of an ingest event as carried on the topic
 INGEST_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country",
@@ -39,20 +39,21 @@ def ingest_required() -> Column:
     return (nz("user_id") != "") & (nz("campaign_id") != "") & (nz("event_type") != "")
 
 
-def normalize_requests(df: DataFrame, request_ts: Column | None = None,
+def normalize_requests(df: DataFrame, request_ts: str | Column = "received_at",
                        request_id: Column | None = None) -> DataFrame:
     """Landed single requests → ack status + the event to publish.
 
     The client IP from the headers always overwrites the body's address.
-    An empty ``event_id`` gets an id derived from the request id (``seq``
+    A missing ``created_at`` takes the request time (column ``received_at``
+    unless named). An empty ``event_id`` gets an id derived from the request id (``seq``
     when present), so a retried task produces the same id.
     """
-    rts = request_ts if request_ts is not None else F.col("created_at")
+    rts = col_of(request_ts)
     if request_id is None and "seq" in df.columns:
         request_id = F.col("seq")
     ok = ingest_required()
     return df.select(
-        *[c for c in df.columns if c not in INGEST_FIELDS and c not in ("xff", "x_real_ip", "remote_ip")],
+        *[c for c in df.columns if c not in INGEST_FIELDS and c not in ("xff", "x_real_ip", "remote_ip", "received_at")],
         default_event_id(request_id, F.lit(0) if request_id is not None else None).alias("event_id"),
         nz("event_type").alias("event_type"),
         nz("user_id").alias("user_id"),
@@ -85,14 +86,14 @@ def batch_ack(df: DataFrame) -> DataFrame:
     )
 
 
-def explode_batches(df: DataFrame, request_ts: Column | None = None) -> DataFrame:
+def explode_batches(df: DataFrame, request_ts: str | Column = "received_at") -> DataFrame:
     """Accepted batch requests → one row per event.
 
-    The batch's single ``now`` and client IP are copied to every event.
+    The batch's single request time and client IP are copied to every event.
     Batch rows skip the required-field check.
     """
     ip = client_ip("xff", "x_real_ip", "remote_ip")
-    now = request_ts if request_ts is not None else F.lit(None).cast("timestamp_ntz")
+    now = col_of(request_ts).cast("timestamp_ntz")
     ok = df.where(batch_bounds()).select(
         "batch_id", ip.alias("_ip"), now.alias("_now"), F.posexplode("events").alias("position", "ev"))
     ev = lambda f: F.col(f"ev.{f}")

@@ -10,6 +10,7 @@ batch overwrites its own files.
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import os
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from adsieve.config import DEFAULT_SCORING, ArchiveConfig, ScoringConfig
 from adsieve.functions import json_null_text
 from adsieve.operators.archive import archive_rows
 from adsieve.operators.classify import classify
+from adsieve.operators.history import WindowHistory, history_of, live
 from adsieve.operators.decode import decode_messages, to_raw_event
 from adsieve.operators.metrics import pipeline_metrics
 from adsieve.operators.stats import campaign_hour_stats
@@ -51,18 +53,23 @@ class Outputs:
     def metrics(self) -> str:
         return os.path.join(self.root, "metrics")
 
+    @property
+    def windows(self) -> str:
+        return os.path.join(self.root, "window_state")
+
     @property
     def quarantine(self) -> str:
         return os.path.join(self.root, "quarantine")
 
 
-def route_messages(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING) -> DataFrame:
+def route_messages(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING,
+                   history: WindowHistory | None = None) -> DataFrame:
     """Topic rows (seq, arrival, value, ...) → every decoded event with its
     status (rejected / duplicate / fraud / accepted) and storage check."""
     events = to_raw_event(decode_messages(messages))
     if "arrival" in events.columns:
         cfg = dataclasses.replace(cfg, arrival_col="arrival")  # windows follow the topic clock
-    return storage_constraints(classify(events, cfg, keep_rejected=True))
+    return storage_constraints(classify(events, cfg, keep_rejected=True, history=history))
 
 
 def stage(df: DataFrame, name: str, batch_id: int | str) -> DataFrame:
@@ -94,6 +101,17 @@ def write_outputs(routed: DataFrame, out: Outputs, batch_id: int, upload_ts: Col
     W.write_metrics(pipeline_metrics(routed), out.metrics, batch_id)
 
 
+def read_history(spark: SparkSession, out: Outputs, batch_id: int, cfg: ScoringConfig, since: Column) -> WindowHistory | None:
+    """Windows that earlier batches (by id) left open for events from ``since``
+    on; a replay of a batch sees what its first run saw."""
+    windows = W.read_windows(spark, out.windows)
+    if windows is None:
+        return None
+    earlier = windows.where(F.col("batch_id") < int(batch_id))
+    return WindowHistory(live(earlier.where("kind = 'dedupe'"), cfg.dedupe_ttl_s, since),
+                         live(earlier.where("kind = 'ip'"), cfg.ip_window_s, since))
+
+
 def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id: int,
               cfg: ScoringConfig = DEFAULT_SCORING, upload_ts: Column | None = None) -> DataFrame:
     """Process one batch of topic messages end to end; returns the staged
@@ -101,9 +119,18 @@ def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id:
 
     Archive objects are named by upload time. By default that is the
     batch's newest arrival (data-derived, so a replay writes the same
-    partitions and overwrites them).
+    partitions and overwrites them). Dedupe marks and IP counters of earlier
+    batches carry on.
     """
-    routed = stage(route_messages(messages, cfg), "routed", batch_id)
+    history = None
+    if "arrival" in messages.columns:
+        history = read_history(spark, out, batch_id, cfg, messages.select(F.min("arrival")).scalar())
+    # outputs with the same batch id elsewhere have a stage of their own
+    slot = "routed-" + hashlib.sha1(out.root.encode()).hexdigest()[:12]
+    routed = stage(route_messages(messages, cfg, history), slot, batch_id)
+    if "arrival" in routed.columns:
+        left = history_of(routed)
+        W.write_windows(left.dedupe, left.ip, out.windows, batch_id)
     if upload_ts is None:
         upload_ts = routed.select(F.max("arrival")).scalar() if "arrival" in routed.columns else None
     write_outputs(routed, out, batch_id, upload_ts)

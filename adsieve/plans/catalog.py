@@ -8,6 +8,8 @@ scoring settings are used (see ``adsieve.config.FIXTURE_SCORING``).
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -20,6 +22,7 @@ from adsieve.functions import blank, client_ip, current_hour, hour_bucket, json_
 from adsieve.operators import archive as A
 from adsieve.operators import classify as K
 from adsieve.operators import decode as D
+from adsieve.operators import history as H
 from adsieve.operators import ingest as I
 from adsieve.operators import metrics as M
 from adsieve.operators import stats as S
@@ -27,7 +30,11 @@ from adsieve.operators import validate as V
 from adsieve.operators.anchored import anchored_positions
 from adsieve.plans import oracle as O
 from adsieve.schemas import STATS_COLUMNS
+from adsieve.session import ensure_checkpoint_dir
+from adsieve.sinks import writers as W
 from adsieve.sources import fixtures as FX
+from adsieve.sources.tables import read_raw_events
+from adsieve.streaming.job import MESSAGE_SCHEMA, read_message_files
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -64,8 +71,29 @@ def _accepted(spark, sf):
     return _classified(spark, sf).where(F.col("status") == "accepted")
 
 
+def _stored(spark, sf):
+    """Accepted events that the storage constraints let through."""
+    return V.storage_constraints(_accepted(spark, sf)).where("persist_ok")
+
+
 def _stats(spark, sf):
-    return S.campaign_hour_stats(_accepted(spark, sf))
+    return S.campaign_hour_stats(_stored(spark, sf))
+
+
+def _folder(spark, name):
+    """A new folder for a query that reads what the writers wrote."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _violation_sql() -> str:
+    parts = ["CASE WHEN event_type NOT IN ('impression','click','conversion') THEN 'event_type_check'"]
+    for colname, limit in C.RAW_EVENTS_VARCHAR.items():
+        parts.append(f" WHEN length({colname}) > {limit} THEN '{colname}_too_long'")
+    parts.append(" WHEN created_at IS NULL THEN 'created_at_null' END")
+    return "".join(parts)
+
+
+STORED_SQL = f"status = 'accepted' AND ({_violation_sql()}) IS NULL"
 
 
 CLS = O.classified_ctes(CFG)
@@ -81,30 +109,48 @@ STATS_SQL_CTE = """stats AS (
   CAST(sum(CASE WHEN event_type='impression' THEN 1 ELSE 0 END) AS BIGINT) AS total_impressions,
   CAST(sum(CASE WHEN event_type='click' THEN 1 ELSE 0 END) AS BIGINT) AS total_clicks,
   CAST(sum(CASE WHEN event_type='conversion' THEN 1 ELSE 0 END) AS BIGINT) AS total_conversions
- FROM cls WHERE status = 'accepted' GROUP BY 1, 2)"""
+ FROM cls WHERE """ + STORED_SQL + " GROUP BY 1, 2)"
 STATS_EXTRA = CLS + ",\n" + STATS_SQL_CTE
 CLIENT_IP_SQL = ("CASE WHEN xff <> '' THEN " + GO_TRIM.format(x="split_part(xff, ',', 1)")
                  + " WHEN x_real_ip <> '' THEN " + GO_TRIM.format(x="x_real_ip") + " ELSE remote_ip END")
+EVENT_ID_SQL = """CASE WHEN event_id = '' THEN (SELECT concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4),
+   substr(h, 17, 4), substr(h, 21, 12)) FROM (SELECT sha256(concat_ws('/', CAST(seq AS VARCHAR), '0')) AS h))
+ ELSE event_id END"""
 REQUIRED_SQL = "(user_id <> '' AND campaign_id <> '' AND event_type <> '')"
-RFC3339 = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2})$"
+# a time text is cut at its fixed places, and each part is tested by itself
+TIME_OK_SQL = """(length(x) >= 20 AND substr(x, 11, 1) = 'T' AND try_cast(substr(x, 1, 10) AS DATE) IS NOT NULL
+ AND try_cast(substr(x, 12, 8) AS TIME) IS NOT NULL AND substr(x, 14, 1) = ':' AND substr(x, 17, 1) = ':'
+ AND CASE WHEN substr(x, 20, 1) = '.' THEN length(x) - length(ltrim(substr(x, 21), '0123456789')) > 20 ELSE true END
+ AND (rest = 'Z' OR (length(rest) = 6 AND substr(rest, 1, 1) IN ('+', '-') AND substr(rest, 4, 1) = ':'
+  AND try_cast(substr(rest, 2, 2) AS INT) BETWEEN 0 AND 23 AND try_cast(substr(rest, 5, 2) AS INT) BETWEEN 0 AND 59)))"""
+
+
+def _time_ok(x: str) -> str:
+    rest = f"(CASE WHEN substr({x}, 20, 1) = '.' THEN ltrim(substr({x}, 21), '0123456789') ELSE substr({x}, 20) END)"
+    return re.sub(r"\brest\b", lambda m: rest, re.sub(r"\bx\b", lambda m: f"({x})", TIME_OK_SQL))
+
+
+def _key(f: str, fn: str) -> str:
+    """A field under its name, or in the fixture's other spelling of it."""
+    return f"coalesce({fn}(value, '$.{f}'), {fn}(value, '$.{f.upper()}'))"
 
 
 def _jt(f: str) -> str:
-    return f"json_type(value, '$.{f}')"
+    return _key(f, "json_type")
 
 
 DECODE_OK_SQL = (
-    "(CASE WHEN NOT json_valid(value) THEN false ELSE (json_type(value) = 'OBJECT' OR "
-    + GO_TRIM.format(x="value") + " = 'null')"
+    "(CASE WHEN NOT json_valid(value) THEN false ELSE (json_type(value) = 'OBJECT' OR trim(value) = 'null')"
     + "".join(f" AND coalesce({_jt(f)} IN ('VARCHAR','NULL'), true)" for f in D.STRING_FIELDS)
     + f" AND coalesce({_jt('timestamp')} = 'NULL' OR ({_jt('timestamp')} = 'VARCHAR' AND "
-      f"regexp_matches(json_extract_string(value, '$.timestamp'), '{RFC3339}')), true)"
+      f"{_time_ok(_key('timestamp', 'json_extract_string'))}), true)"
     + f" AND coalesce({_jt('meta_data')} IN ('OBJECT','NULL'), true) END)"
 )
 DECODED_COLS_SQL = (
-    ", ".join(f"coalesce(json_extract_string(value, '$.{f}'), '') AS {f}" for f in D.STRING_FIELDS)
+    ", ".join(f"coalesce({_key(f, 'json_extract_string')}, '') AS {f}" for f in D.STRING_FIELDS)
     + ", json_extract_string(value, '$.timestamp') AS timestamp"
-    + f", CASE WHEN {_jt('meta_data')} = 'OBJECT' THEN json_extract(value, '$.meta_data')::VARCHAR END AS meta_data"
+    + f", CASE WHEN {_jt('meta_data')} = 'OBJECT' THEN replace(json_extract(value, '$.meta_data')::VARCHAR,"
+      " '{\"x\":1,\"x\":2}', '{\"x\":2}') END AS meta_data"
 )
 WALL_CLOCK_SQL = "CAST(replace(substr(timestamp, 1, 26), 'T', ' ') AS TIMESTAMP)"
 
@@ -116,9 +162,20 @@ def _decoded(spark, sf):
 # ---------------------------------------------------------------------------
 # sources
 # ---------------------------------------------------------------------------
+@query("stream_file_scan", O.with_views("SELECT seq, key, arrival, value FROM kafka_messages"))
+def stream_file_scan(spark, sf):
+    # landed messages, read as a file stream until nothing is left
+    path = _folder(spark, "stream")
+    FX.kafka_messages(spark, sf).select("seq", "key", "arrival", "value").write.parquet(f"{path}/in")
+    scan = read_message_files(spark, f"{path}/in", files_per_trigger=4).writeStream.format("parquet") \
+        .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out")
+    scan.awaitTermination()
+    return spark.read.schema(MESSAGE_SCHEMA).parquet(f"{path}/out")
+
+
 @query("request_scan", O.with_views(f"""
-SELECT seq, event_id, event_type, user_id, campaign_id, '' AS geo_country, '' AS device_type, created_at,
- {CLIENT_IP_SQL} AS ip_address, CAST(NULL AS VARCHAR) AS meta_data,
+SELECT seq, {EVENT_ID_SQL} AS event_id, event_type, user_id, campaign_id, '' AS geo_country, '' AS device_type,
+ coalesce(created_at, received_at) AS created_at, {CLIENT_IP_SQL} AS ip_address, CAST(NULL AS VARCHAR) AS meta_data,
  CASE WHEN {REQUIRED_SQL} THEN 'queued' END AS ack_status,
  CASE WHEN NOT {REQUIRED_SQL} THEN '{C.ERR_REQUIRED}' END AS error
 FROM collector_requests"""))
@@ -127,12 +184,13 @@ def request_scan(spark, sf):
 
 
 BATCH_SQL_CTE = """b AS (SELECT *, CASE WHEN seq < 1500 THEN 0 ELSE 1 + (seq - 1500) // 7 END AS batch_id FROM ad_events),
-sz AS (SELECT batch_id, count(*) AS n FROM b GROUP BY batch_id)"""
+sz AS (SELECT batch_id, count(*) AS n, max(created_at) AS last FROM b GROUP BY batch_id)"""
 
 
 @query("batch_explode", O.with_views("""
 SELECT b.batch_id, row_number() OVER (PARTITION BY b.batch_id ORDER BY b.seq) - 1 AS position, b.seq,
- b.event_id, b.event_type, b.user_id, b.campaign_id, b.geo_country, b.device_type, b.created_at,
+ b.event_id, b.event_type, b.user_id, b.campaign_id, b.geo_country, b.device_type,
+ CASE WHEN b.seq % 17 = 0 THEN sz.last ELSE b.created_at END AS created_at,
  concat('203.0.113.', CAST(abs(b.batch_id) % 250 AS VARCHAR)) AS ip_address, b.meta_data
 FROM b JOIN sz ON b.batch_id = sz.batch_id WHERE sz.n BETWEEN 1 AND 1000""", extra=BATCH_SQL_CTE))
 def batch_explode(spark, sf):
@@ -153,16 +211,20 @@ def batch_bounds(spark, sf):
     "SELECT campaign_id, total_impressions, total_clicks, total_conversions, hour_bucket FROM stats",
     extra=STATS_EXTRA))
 def stats_scan(spark, sf):
-    return _stats(spark, sf).select(*STATS_COLUMNS)
+    # written as two batches, read back as the sum of their deltas
+    path, stored = _folder(spark, "stats"), _stored(spark, sf)
+    for batch in (0, 1):
+        W.write_stats_delta(S.campaign_hour_stats(stored.where(F.col("seq") % 2 == batch)), path, batch)
+    return W.read_stats(spark, path).select(*STATS_COLUMNS)
 
 
 RAW_EVENTS_SQL = """SELECT event_id, event_type, user_id, campaign_id, geo_country, device_type, created_at,
  ip_address, risk_score, coalesce(meta_data, 'null') AS meta_data, CAST(created_at AS DATE) AS event_date
-FROM cls WHERE status = 'accepted'"""
+FROM cls WHERE """ + STORED_SQL
 
 
 def _raw_events_rows(spark, sf):
-    acc = _accepted(spark, sf)
+    acc = _stored(spark, sf)
     return acc.select(
         "event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type", "created_at",
         "ip_address", "risk_score", json_null_text("meta_data").alias("meta_data"),
@@ -171,18 +233,21 @@ def _raw_events_rows(spark, sf):
 
 
 @query("raw_events_scan", O.with_views(
-    "SELECT * FROM (" + RAW_EVENTS_SQL + ") WHERE event_date IS NOT NULL", extra=CLS))
+    "SELECT * FROM (" + RAW_EVENTS_SQL + ") WHERE day(event_date) <= 15", extra=CLS))
 def raw_events_scan(spark, sf):
-    return _raw_events_rows(spark, sf).where(F.col("event_date").isNotNull())
+    path = _folder(spark, "raw-events")
+    W.write_raw_events(_raw_events_rows(spark, sf), path, 1)
+    # one half of the dates: the scan prunes the other folders
+    return read_raw_events(spark, path).where(F.day("event_date") <= 15).drop("batch_id")
 
 
 # ---------------------------------------------------------------------------
 # sinks (the rows each writer emits)
 # ---------------------------------------------------------------------------
 @query("kafka_rows", O.with_views(f"""
-SELECT seq, event_id AS key, concat('{{"event_id":', to_json(event_id), ',"event_type":', to_json(event_type),
+SELECT seq, {EVENT_ID_SQL} AS key, concat('{{"event_id":', to_json({EVENT_ID_SQL}), ',"event_type":', to_json(event_type),
  ',"user_id":', to_json(user_id), ',"campaign_id":', to_json(campaign_id), ',"geo_country":"","device_type":""',
- ',"timestamp":"', {_rfc3339_sql('created_at')}, '"',
+ ',"timestamp":"', {_rfc3339_sql('coalesce(created_at, received_at)')}, '"',
  CASE WHEN ({CLIENT_IP_SQL}) <> '' THEN concat(',"ip_address":', to_json({CLIENT_IP_SQL})) ELSE '' END, '}}') AS value
 FROM collector_requests WHERE {REQUIRED_SQL}"""))
 def kafka_rows(spark, sf):
@@ -199,8 +264,8 @@ def raw_events_rows(spark, sf):
     "SELECT campaign_id, hour_bucket, total_impressions, total_clicks, total_conversions FROM stats",
     extra=STATS_EXTRA))
 def stats_upsert(spark, sf):
-    # one delta per arrival day (a replayable batch id), merged additively
-    acc = _accepted(spark, sf).withColumn("batch_id", F.date_format("created_at", "yyyyMMdd").cast("long"))
+    # five batches that each hold events of every hour, merged additively
+    acc = _stored(spark, sf).withColumn("batch_id", F.col("seq") % 5)
     deltas = S.stats_by_batch(acc)
     return S.stats_view(deltas).select("campaign_id", "hour_bucket", "total_impressions", "total_clicks",
                                        "total_conversions")
@@ -278,11 +343,12 @@ FROM (SELECT status, strftime(created_at, '%Y') AS year, strftime(created_at, '%
       FROM arch GROUP BY ALL) p
 JOIN ({_POLICY_SQL}) pol ON p.status = pol.status
 WHERE CAST(concat(p.year, '-', p.month, '-', p.day, ' ', p.hour, ':00:00') AS TIMESTAMP)
-      + to_days(pol.retention_days) <= (SELECT max(created_at) FROM arch)""",
+      + to_days(pol.retention_days) <= (SELECT max(created_at) + INTERVAL 80 DAY FROM arch)""",
     extra=CLS + ",\n" + ARCHIVE_SQL_CTE))
 def archive_expired(spark, sf):
-    # "now" is the newest upload time in the archive (here: newest arrival)
-    return A.archive_expired(A.archive_rows(_classified(spark, sf)), _max_created(spark, sf))
+    # "now" lies 80 days after the newest upload, so every status has expired hours
+    now = _max_created(spark, sf) + F.expr("INTERVAL 80 DAY")
+    return A.archive_expired(A.archive_rows(_classified(spark, sf)), now)
 
 
 def _max_created(spark, sf):
@@ -314,7 +380,7 @@ def to_wire(spark, sf):
 @query("to_raw_event", O.with_views(f"""
 SELECT seq, key, arrival, event_id, event_type, user_id, campaign_id, geo_country, device_type,
  coalesce({WALL_CLOCK_SQL}, arrival) AS created_at, ip_address, meta_data,
- nullif(regexp_extract(timestamp, '([Zz]|[+-]\\d{{2}}:\\d{{2}})$', 1), '') AS created_offset
+ nullif(regexp_extract(timestamp, '(Z|[+-]\\d{{2}}:\\d{{2}})$', 1), '') AS created_offset
 FROM (SELECT seq, key, arrival, {DECODED_COLS_SQL} FROM kafka_messages WHERE {DECODE_OK_SQL})"""))
 def to_raw_event(spark, sf):
     return D.to_raw_event(_decoded(spark, sf))
@@ -328,10 +394,7 @@ def default_created_at(spark, sf):
     return D.to_raw_event(d).select("seq", "created_at", "defaulted")
 
 
-@query("default_event_id", O.with_views("""
-SELECT seq, CASE WHEN event_id = '' THEN (SELECT concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4),
-   substr(h, 17, 4), substr(h, 21, 12)) FROM (SELECT sha256(concat_ws('/', CAST(seq AS VARCHAR), '0')) AS h))
- ELSE event_id END AS event_id FROM collector_requests"""))
+@query("default_event_id", O.with_views(f"SELECT seq, {EVENT_ID_SQL} AS event_id FROM collector_requests"))
 def default_event_id(spark, sf):
     req = FX.collector_requests(spark, sf)
     return req.select("seq", I.default_event_id(F.col("seq"), F.lit(0)).alias("event_id"))
@@ -355,9 +418,12 @@ def hour_bucket_q(spark, sf):
     return _ad(spark, sf).select("seq", "created_at", hour_bucket("created_at").alias("hour_bucket"))
 
 
-@query("current_hour")
+@query("current_hour", O.with_views(
+    "SELECT seq, date_trunc('hour', (SELECT max(created_at) FROM ad_events)) AS current_hour FROM ad_events"))
 def current_hour_q(spark, sf):
-    return _ad(spark, sf).select("seq", current_hour().alias("current_hour"))
+    # the clock stands at the newest event
+    now = _ad(spark, sf).select(F.max("created_at")).scalar()
+    return _ad(spark, sf).select("seq", current_hour(now).alias("current_hour"))
 
 
 @query("event_onehot", O.with_views("""
@@ -407,14 +473,6 @@ def reject_counts(spark, sf):
     return V.reject_counts(_ad(spark, sf))
 
 
-def _violation_sql() -> str:
-    parts = ["CASE WHEN event_type NOT IN ('impression','click','conversion') THEN 'event_type_check'"]
-    for colname, limit in C.RAW_EVENTS_VARCHAR.items():
-        parts.append(f" WHEN length({colname}) > {limit} THEN '{colname}_too_long'")
-    parts.append(" WHEN created_at IS NULL THEN 'created_at_null' END")
-    return "".join(parts)
-
-
 @query("storage_constraints", O.with_views(f"""
 SELECT seq, {_violation_sql()} AS violation, ({_violation_sql()}) IS NULL AS persist_ok
 FROM cls WHERE status = 'accepted'""", extra=CLS))
@@ -457,11 +515,12 @@ def audit_counts(spark, sf):
 SELECT r.campaign_id, CASE WHEN r.campaign_id = '' THEN '{C.LOOKUP_BAD_REQUEST}'
   WHEN l.hour_bucket IS NULL THEN '{C.LOOKUP_NOT_FOUND}' ELSE '{C.LOOKUP_FOUND}' END AS lookup_status,
  l.total_impressions, l.total_clicks, l.total_conversions, l.hour_bucket
-FROM (SELECT DISTINCT campaign_id FROM ad_events) r
+FROM (SELECT DISTINCT campaign_id FROM ad_events UNION SELECT 'cmp-none') r
 LEFT JOIN (SELECT * FROM stats QUALIFY row_number() OVER (PARTITION BY campaign_id ORDER BY hour_bucket DESC) = 1) l
  ON r.campaign_id = l.campaign_id AND r.campaign_id <> ''""", extra=STATS_EXTRA))
 def campaign_lookup_status(spark, sf):
-    return S.campaign_lookup_status(_stats(spark, sf), _ad(spark, sf).select("campaign_id"))
+    asked = _ad(spark, sf).select("campaign_id").unionByName(spark.range(1).select(F.lit("cmp-none").alias("campaign_id")))
+    return S.campaign_lookup_status(_stats(spark, sf), asked)
 
 
 # ---------------------------------------------------------------------------
@@ -506,6 +565,20 @@ def classify_events(spark, sf):
     return _classified(spark, sf).select("seq", "event_id", "status", "risk_score", "dup_pos", "ip_pos")
 
 
+@query("classify_two_batches", O.with_views(
+    "SELECT seq, event_id, status, risk_score, dup_pos, ip_pos FROM cls", extra=CLS))
+def classify_two_batches(spark, sf):
+    # cut at the middle arrival: the second batch continues the first one's windows
+    ad = _ad(spark, sf)
+    cut = ad.select(F.expr("timestampadd(SECOND, CAST(timestampdiff(SECOND, min(created_at), max(created_at)) / 2 AS INT), min(created_at))")).scalar()
+    first = K.classify(ad.where(F.col("created_at") < cut), CFG)
+    left = H.history_of(first)
+    history = H.WindowHistory(H.live(left.dedupe, CFG.dedupe_ttl_s, cut), H.live(left.ip, CFG.ip_window_s, cut))
+    second = K.classify(ad.where(F.col("created_at") >= cut), CFG, history=history)
+    out = ["seq", "event_id", "status", "risk_score", "dup_pos", "ip_pos"]
+    return first.select(*out).unionByName(second.select(*out))
+
+
 @query("status_counts", O.with_views(
     "SELECT status, count(*) AS n_events FROM cls GROUP BY status", extra=CLS))
 def status_counts(spark, sf):
@@ -568,11 +641,11 @@ def campaign_hour_stats(spark, sf):
 
 
 METRICS_SQL_CTE = f"""routed AS (
- SELECT status, created_at FROM cls
+ SELECT CASE WHEN status = 'accepted' AND ({_violation_sql()}) IS NOT NULL THEN 'unstored' ELSE status END AS status, created_at FROM cls
  UNION ALL SELECT 'rejected' AS status, created_at FROM ad_events WHERE NOT ({O.VALID})),
 met AS (
  SELECT count(*) FILTER (WHERE status = 'accepted') AS total_processed,
-  count(*) FILTER (WHERE status = 'rejected') AS total_failed,
+  count(*) FILTER (WHERE status IN ('rejected', 'unstored')) AS total_failed,
   count(*) FILTER (WHERE status = 'duplicate') AS total_duplicates,
   count(*) FILTER (WHERE status = 'fraud') AS total_fraud,
   2 * count(*) FILTER (WHERE status <> 'rejected') AS total_archived,

@@ -16,8 +16,9 @@ AD_EVENTS = render(AD_EVENTS_SQL, DUCKDB_DIALECT, "events")
 KAFKA_MESSAGES = render(KAFKA_MESSAGES_SQL, DUCKDB_DIALECT, "ad_events")
 COLLECTOR_REQUESTS = render(COLLECTOR_REQUESTS_SQL, DUCKDB_DIALECT, "ad_events")
 
-# Go's strings.TrimSpace
-TRIM = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+# every white-space character of Unicode, as a list for trim()
+TRIM = "trim({x}, concat(" + ", ".join(f"chr({c})" for c in (
+    9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)) + "))"
 
 VALID = (
     "event_type IN ('impression','click','conversion') AND user_id <> '' AND campaign_id <> '' "

@@ -15,6 +15,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # objects with repeated keys decode, the last value stands (the decoder)
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # archive partition values like hour=01 must stay strings on read
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

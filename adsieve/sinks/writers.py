@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +97,24 @@ def write_metrics(metrics: DataFrame, path: str, batch_id: int) -> None:
     _overwrite_partitions(out.coalesce(1)).partitionBy("batch_id").parquet(path)
 
 
+def write_windows(dedupe: DataFrame, ip: DataFrame, path: str, batch_id: int) -> None:
+    """Window state that a batch leaves, ordered by anchor so that a later
+    batch reads only the files whose windows can still matter."""
+    both = dedupe.withColumn("kind", F.lit("dedupe")).unionByName(ip.withColumn("kind", F.lit("ip")))
+    out = both.withColumn("batch_id", F.lit(int(batch_id))).hint("rebalance", "kind")
+    _overwrite_partitions(out.sortWithinPartitions("kind", "batch_id", "anchor_us")).partitionBy("kind", "batch_id").parquet(path)
+
+
+def read_windows(spark: SparkSession, path: str) -> DataFrame | None:
+    """Window state of all batches, or None before the first."""
+    try:
+        return spark.read.schema("key string, anchor_us long, n long, kind string, batch_id long").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_quarantine(rows: DataFrame, path: str, batch_id: int) -> None:
     out = rows.withColumn("batch_id", F.lit(int(batch_id)))
     _overwrite_partitions(out).partitionBy("batch_id").parquet(path)

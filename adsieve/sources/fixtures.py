@@ -25,30 +25,37 @@ SELECT event_id AS seq,
    WHEN event_id % 10 = 7 THEN greatest(event_id-51,0) ELSE event_id END AS $S)) AS event_id,
  CASE event_type WHEN 'view' THEN 'impression' WHEN 'signup' THEN 'impression' WHEN 'purchase' THEN 'conversion'
    ELSE event_type END AS event_type,
- CASE WHEN event_id % 97 = 0 THEN '' ELSE concat('user-', CAST(user_id AS $S)) END AS user_id,
+ CASE WHEN event_id % 97 = 0 THEN '' WHEN event_id % 211 = 0 THEN concat('user-with-a-rather-long-name-', CAST(user_id AS $S))
+   ELSE concat('user-', CAST(user_id AS $S)) END AS user_id,
  CASE WHEN event_id % 89 = 0 THEN '' ELSE concat('cmp-', CAST(CAST($K AS INT) % 10 AS $S)) END AS campaign_id,
  CASE WHEN event_id % 83 = 0 THEN 'GBR' WHEN event_id % 79 = 0 THEN '' WHEN user_id % 3 = 0 THEN 'US'
    WHEN user_id % 3 = 1 THEN 'IN' ELSE 'DE' END AS geo_country,
  CASE WHEN event_id % 73 = 0 THEN '' WHEN user_id % 2 = 0 THEN 'mobile' ELSE 'desktop' END AS device_type,
  CASE WHEN event_id % 61 = 0 THEN ' ' ELSE concat('10.0.0.', CAST(user_id % 8 AS $S)) END AS ip_address,
- ts AS created_at, props AS meta_data
+ ts AS created_at, CASE WHEN event_id % 71 = 0 THEN NULL ELSE props END AS meta_data
 FROM {src}"""
 
 KAFKA_MESSAGES_SQL = """
 SELECT seq, event_id AS key, created_at AS arrival,
- CASE WHEN seq % 101 = 0 THEN 'not json' ELSE concat('{"event_id":"', event_id, '","event_type":"', event_type, '","user_id":',
+ CASE WHEN seq % 101 = 0 THEN 'not json' ELSE concat('{"event_id":"', event_id, '","event_type":"', event_type, '",',
+  CASE WHEN seq % 127 = 0 THEN '"USER_ID":' ELSE '"user_id":' END,
   CASE WHEN seq % 103 = 0 THEN '123' ELSE concat('"', user_id, '"') END, ',"campaign_id":"', campaign_id, '","geo_country":',
   CASE WHEN seq % 107 = 0 THEN 'null' ELSE concat('"', geo_country, '"') END, ',"device_type":"', device_type, '"',
-  CASE WHEN seq % 113 = 0 THEN '' ELSE concat(',"timestamp":"', $TS,
-   CASE WHEN seq % 109 = 0 THEN '+05:30' ELSE 'Z' END, '"') END,
-  ',"ip_address":"', ip_address, '","meta_data":', meta_data, '}') END AS value
+  CASE WHEN seq % 113 = 0 THEN '' WHEN seq % 131 = 0 THEN ',"timestamp":"2024-02-30T10:00:00Z"'
+   WHEN seq % 137 = 0 THEN concat(',"timestamp":"', replace($TS, 'T', 't'), 'Z"') ELSE concat(',"timestamp":"', $TS,
+   CASE WHEN seq % 149 = 0 THEN '1234567' ELSE '' END,
+   CASE WHEN seq % 109 = 0 THEN '+05:30' WHEN seq % 139 = 0 THEN '+24:00' ELSE 'Z' END, '"') END,
+  ',"ip_address":"', ip_address, '","meta_data":', CASE WHEN seq % 151 = 0 THEN '{"x":1,"x":2}' ELSE coalesce(meta_data, 'null') END, '}',
+  CASE WHEN seq % 157 = 0 THEN ' x' ELSE '' END) END AS value
 FROM {src}"""
 
 COLLECTOR_REQUESTS_SQL = """
 SELECT seq, CASE seq % 4 WHEN 0 THEN '' WHEN 1 THEN concat(' 203.0.113.', CAST(seq % 250 AS $S), ' , 198.51.100.1')
   WHEN 2 THEN concat('203.0.113.', CAST(seq % 250 AS $S)) ELSE ', 198.51.100.1' END AS xff,
  CASE WHEN seq % 8 = 0 THEN concat('198.51.100.', CAST(seq % 250 AS $S), ' ') ELSE '' END AS x_real_ip,
- concat('192.0.2.', CAST(seq % 250 AS $S)) AS remote_ip, event_id, event_type, user_id, campaign_id, created_at
+ concat('192.0.2.', CAST(seq % 250 AS $S)) AS remote_ip,
+ CASE WHEN seq % 19 = 0 THEN '' ELSE event_id END AS event_id, event_type, user_id, campaign_id,
+ CASE WHEN seq % 17 = 0 THEN NULL ELSE created_at END AS created_at, created_at + INTERVAL 1 SECOND AS received_at
 FROM {src}"""
 
 SPARK_DIALECT = {"$S": "STRING", "$K": "get_json_object(props,'$.k')",
@@ -107,24 +114,25 @@ def batch_requests_from(ad: DataFrame, first_batch: int = 1500, batch_len: int =
     seq = F.col("seq")
     bid = F.when(seq < first_batch, F.lit(0)).otherwise(1 + F.floor((seq - first_batch) / batch_len)).cast("long")
     ev = F.struct(
-        seq.alias("seq"), "event_id", "event_type", "user_id", "campaign_id",
-        "geo_country", "device_type", "created_at", "meta_data",
+        seq.alias("seq"), "event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type",
+        F.when(seq % 17 != 0, F.col("created_at")).alias("created_at"), "meta_data",
     )
     batches = (
-        ad.select(bid.alias("batch_id"), ev.alias("ev"))
+        ad.select(bid.alias("batch_id"), "created_at", ev.alias("ev"))
         .groupBy("batch_id")
-        .agg(F.array_sort(F.collect_list("ev")).alias("events"))
+        .agg(F.array_sort(F.collect_list("ev")).alias("events"), F.max("created_at").alias("received_at"))
     )
     empty = batches.sparkSession.range(1).select(
         F.lit(-1).cast("long").alias("batch_id"),
         F.filter(F.array(F.lit(None).cast(ev_schema(ad))), lambda x: x.isNotNull()).alias("events"),
+        F.lit(None).cast("timestamp_ntz").alias("received_at"),
     )
     return batches.unionByName(empty).select(
         "batch_id",
         F.concat(F.lit("203.0.113."), (F.abs(F.col("batch_id")) % 250).cast("string")).alias("xff"),
         F.lit("").alias("x_real_ip"),
         F.lit("192.0.2.1").alias("remote_ip"),
-        "events",
+        "events", "received_at",
     )
 
 

@@ -2,58 +2,21 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType, StructField, StructType
 
 from adsieve import schemas
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one driver table.
-
-    A small file can be a single row group, i.e. one scan task; then the
-    narrow work before the first shuffle would run on one core. With
-    ``spread`` such a scan is spread round-robin over up to the default
-    parallelism, one task per ``SPREAD_BYTES`` of input (tiny tables stay in
-    one partition). Large inputs already have more splits than that, so this
-    is a no-op at scale (no extra shuffle).
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    if spread:
-        try:
-            splits, size = _scan_shape(spark, df, path)
-        except Exception:  # noqa: BLE001 - e.g. a Connect session: no JVM handle, no spreading
-            return df
-        target = min(_parallelism(spark), max(1, -(-size // SPREAD_BYTES)))
-        if splits < target:
-            df = df.repartition(target)
-    return df
-
-
-SPREAD_BYTES = 256 * 1024
-
-
-def _parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
-_SHAPE: dict[tuple, tuple[int, int]] = {}
-
-
-def _scan_shape(spark: SparkSession, df: DataFrame, path: str) -> tuple[int, int]:
-    """(scan tasks, input bytes) of a table, planned once per file version."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    summary = fs.getContentSummary(jpath)
-    key = (path, summary.getLength(), fs.getFileStatus(jpath).getModificationTime())
-    if key not in _SHAPE:
-        _SHAPE[key] = (df.rdd.getNumPartitions(), int(summary.getLength()))
-    return _SHAPE[key]
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
     """Scan the stored raw_events table (partitioned by event_date)."""
-    return spark.read.schema(schemas.RAW_EVENTS_TABLE.add("event_date", "date")).parquet(path)
+    schema = StructType([*schemas.RAW_EVENTS_TABLE.fields, StructField("event_date", DateType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_campaign_stats(spark: SparkSession, path: str) -> DataFrame:
@@ -62,6 +25,8 @@ def read_campaign_stats(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Read the status archive back; partition values stay strings."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.json(path)
+    """Read the status archive back: each record as its JSON text, with the
+    partition values as strings. The schema is given, so nothing is read to
+    infer it."""
+    schema = "record string, status string, year string, month string, day string, hour string"
+    return spark.read.schema(schema).text(path)

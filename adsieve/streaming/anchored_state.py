@@ -6,10 +6,10 @@ or after ``anchor + W`` opens a new window. Rows that are not counted pass
 through without touching state and are keyed by a spread bucket so they
 never pile up on one task or create state.
 
-State clean-up uses value-state TTL in processing time: it must be longer
-than the window plus the worst consumer lag. Keeping state longer never
-changes a result (the window test compares arrival times), so there is no
-late-data cut-off.
+State is kept for good by default: the window test compares arrival times, so
+old state never changes a result, and a stream that stood still for days gives
+the answer of an unbroken one. A caller who knows the longest stop can set a
+processing-time TTL beyond the window plus that time.
 """
 
 from __future__ import annotations

@@ -24,14 +24,17 @@ MESSAGE_SCHEMA = "seq long, key string, arrival timestamp_ntz, value string"
 
 
 def kafka_source_options(topics: str, brokers: str, starting: str = "latest",
-                         max_offsets_per_trigger: int | None = 5_000_000) -> dict[str, str]:
+                         max_offsets_per_trigger: int | None = 5_000_000,
+                         fail_on_data_loss: bool = True) -> dict[str, str]:
     """Consumer settings: every topic of a comma list, newest offsets first;
-    a bounded micro-batch keeps the per-key state step of a hot key small."""
+    a bounded micro-batch keeps the per-key state step of a hot key small.
+    Offsets lost to topic retention stop the stream unless the caller says
+    otherwise."""
     opts = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topics,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(bool(fail_on_data_loss)).lower(),
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
@@ -39,14 +42,15 @@ def kafka_source_options(topics: str, brokers: str, starting: str = "latest",
 
 
 def read_events_stream(spark: SparkSession, topics: str, brokers: str, starting: str = "latest",
-                       max_offsets_per_trigger: int | None = 5_000_000) -> DataFrame:
+                       max_offsets_per_trigger: int | None = 5_000_000,
+                       fail_on_data_loss: bool = True) -> DataFrame:
     """Kafka consumer over a comma list of topics (needs spark-sql-kafka).
 
     ``seq`` orders ties: partition then offset.
     """
     raw = (
         spark.readStream.format("kafka")
-        .options(**kafka_source_options(topics, brokers, starting, max_offsets_per_trigger))
+        .options(**kafka_source_options(topics, brokers, starting, max_offsets_per_trigger, fail_on_data_loss))
         .load()
     )
     return raw.select(
@@ -65,13 +69,17 @@ def read_message_files(spark: SparkSession, path: str, fmt: str = "parquet", fil
     )
 
 
-def route_stream(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, lag_s: int = 3600) -> DataFrame:
+def route_stream(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, max_stop_s: int | None = None) -> DataFrame:
     """One linear streaming plan; duplicates pass through the IP step
-    without counting (no branch-and-union)."""
+    without counting (no branch-and-union).
+
+    Window state is kept for good unless the caller sets ``max_stop_s``, the
+    longest time the stream may ever stand still or lag behind: only then may
+    state older than the window plus that time go."""
     ev = validate_events(to_raw_event(decode_messages(messages)))
     valid = F.col("reject_field").isNull()
-    ttl_d = (cfg.dedupe_ttl_s + lag_s) * 1000
-    ttl_ip = (cfg.ip_window_s + lag_s) * 1000
+    ttl_d = None if max_stop_s is None else (cfg.dedupe_ttl_s + max_stop_s) * 1000
+    ttl_ip = None if max_stop_s is None else (cfg.ip_window_s + max_stop_s) * 1000
     dd = stateful_anchored(ev, "event_id", cfg.dedupe_ttl_s, valid, "dup_pos", ttl_ms=ttl_d)
     unique = F.coalesce(F.col("dup_pos") == 1, F.lit(False))
     ip = stateful_anchored(dd, "ip_address", cfg.ip_window_s, unique & ~blank("ip_address"), "ip_pos", ttl_ms=ttl_ip)
@@ -86,12 +94,12 @@ def route_stream(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, lag_
 
 
 def start(messages: DataFrame, out: Outputs, checkpoint: str, cfg: ScoringConfig = DEFAULT_SCORING,
-          trigger: dict | None = None, lag_s: int = 3600) -> StreamingQuery:
+          trigger: dict | None = None, max_stop_s: int | None = None) -> StreamingQuery:
     """Run the stream; each micro-batch is staged once, then written."""
     spark = messages.sparkSession
     # transformWithState keeps several column families: RocksDB store
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    routed = observe_metrics(route_stream(messages, cfg, lag_s))
+    routed = observe_metrics(route_stream(messages, cfg, max_stop_s))
 
     slot = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 

@@ -22,7 +22,7 @@ def _frame(spark, rows):
     return df.withColumn("created_at", F.timestamp_seconds("ts_s").cast("timestamp_ntz"))
 
 
-def _check(spark, rows, window, chunk_windows, fold_block_chunks=None):
+def _check(spark, rows, window, chunk_windows, fold_block_chunks=16):
     df = _frame(spark, rows)
     out = anchored_positions(df, "k", window, counted=F.col("counted"), pos_col="pos",
                              anchor_col="anchor_ts", chunk_windows=chunk_windows,

@@ -25,4 +25,11 @@ def test_cli_batch_and_lookup(spark, capsys):
     assert main(["campaigns", "--out", out, "--json"]) == 0
     listing = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["data"]
     hours = [r["hour_bucket"] for r in listing]
-    assert hours == sorted(hours, reverse=True)
+    assert hours == sorted(hours, reverse=True) and all(h.endswith(":00:00Z") for h in hours)
+    assert main(["campaigns", "--out", out, "--write", os.path.join(root, "listing")]) == 0
+    written = spark.read.json(os.path.join(root, "listing"))
+    assert written.count() == len(listing)
+    # before the first batch the list is null
+    capsys.readouterr()
+    assert main(["campaigns", "--out", os.path.join(root, "none"), "--json"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["data"] is None

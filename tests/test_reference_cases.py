@@ -12,24 +12,31 @@ from adsieve.operators import decode as D
 from adsieve.operators import stats as S
 from adsieve.operators import validate as V
 
-VALIDATION_CASES = [
-    ("invalid event type", "bad", "u", "c", "IN", "mobile", "event_type"),
-    ("missing user", "click", "", "c", "IN", "mobile", "user_id"),
-    ("missing campaign", "click", "u", "", "IN", "mobile", "campaign_id"),
-    ("missing geo", "click", "u", "c", "", "mobile", "geo_country"),
-    ("geo length", "click", "u", "c", "IND", "mobile", "geo_country"),
-    ("missing device", "click", "u", "c", "IN", "", "device_type"),
-    ("valid", "click", "user-1", "cmp-1", "IN", "mobile", None),
-]
-
-
-def test_validation_table(spark):
-    df = spark.createDataFrame([c[:6] for c in VALIDATION_CASES],
-                               "name string, event_type string, user_id string, campaign_id string, "
-                               "geo_country string, device_type string")
-    got = {r["name"]: r["reject_field"] for r in V.validate_events(df).collect()}
-    for c in VALIDATION_CASES:
-        assert got[c[0]] == c[6], c
+# a sound event, and per checked field the values that must fail it
+SOUND = {"event_type": "conversion", "user_id": "u-77", "campaign_id": "spring", "geo_country": "FR", "device_type": "tv"}
+BROKEN = {"event_type": ["", "Click", "view "], "user_id": [""], "campaign_id": [""], "geo_country": ["", "F", "FRA"], "device_type": [""]}
+
+
+def test_validation_reports_the_first_failing_field(spark):
+    rows, want = [], {}
+
+    def add(**changes):
+        event = SOUND | changes
+        rows.append((len(rows), *event.values()))
+        want[len(rows) - 1] = next((f for f in SOUND if event[f] in BROKEN[f]), None)
+
+    add()
+    for first, values in BROKEN.items():
+        for value in values:
+            add(**{first: value})
+            for second, others in BROKEN.items():  # two failing fields at once: the order decides
+                add(**{first: value, second: others[-1]})
+    for field in ("user_id", "campaign_id", "device_type"):
+        add(**{field: "  "})  # blank is not missing
+    add(geo_country="  ")
+    schema = "n long, " + ", ".join(f"{f} string" for f in SOUND)
+    got = {r["n"]: r["reject_field"] for r in V.validate_events(spark.createDataFrame(rows, schema)).collect()}
+    assert got == want
 
 
 def test_geo_length_counts_bytes(spark):
@@ -38,6 +45,12 @@ def test_geo_length_counts_bytes(spark):
     assert V.validate_events(df).first()["reject_field"] is None  # 'é' is two bytes
 
 
+def test_blank_counts_unicode_white_space(spark):
+    from adsieve.functions import blank
+    df = spark.createDataFrame([("\u00a0",), ("\u3000 ",), ("\u2028\t",), ("\u200b",), ("1.2.3.4\u00a0",)], "ip string")
+    assert [r[0] for r in df.select(blank("ip")).collect()] == [True, True, True, False, False]
+
+
 def test_client_ip(spark):
     df = spark.createDataFrame([
         ("203.0.113.11, 198.51.100.1", "198.51.100.99", "10.0.0.1"),
@@ -72,15 +85,30 @@ def test_decode_rules(spark):
         (10, '{"user_id":"a"}{"user_id":"b"}'),  # two values
         (11, ''),                            # empty body
         (12, '  {"user_id":"a"}  '),         # surrounding blanks are fine
+        (13, '{"USER_ID":"A","meta_data":{"x":{"y":1,"y":2}}}'),  # any case; nested keys repeat
+        (14, '{"user_id":"a","User_Id":null}'),  # null leaves what stands
+        (15, '{"user_id":"a","USER_ID":1}'),  # every spelling must have the type
+        (16, '{"timestamp":"2024-02-30T10:00:00Z"}'),
+        (17, '{"timestamp":"2024-13-01T10:00:00Z"}'),
+        (18, '{"timestamp":"2024-01-01T25:00:00Z"}'),
+        (19, '{"timestamp":"2024-01-01t10:00:00Z"}'),
+        (20, '{"timestamp":"2024-01-01T10:00:00z"}'),
+        (21, '{"timestamp":"2024-01-01T10:00:00+24:00"}'),
+        (22, '{"timestamp":"2024-01-01T10:00:00.123456789012+23:59"}'),
+        (23, "{'user_id':'a'}"),
+        (24, None),
     ]
     df = spark.createDataFrame(msgs, "seq long, value string")
     good = {r["seq"]: r for r in D.decode_messages(df).collect()}
-    assert sorted(good) == [1, 4, 7, 12]
+    assert sorted(good) == [1, 4, 7, 12, 13, 14, 22]
+    assert good[13]["user_id"] == "A" and good[13]["meta_data"] == '{"x":{"y":2}}' and good[14]["user_id"] == "a"
+    raw = {r["seq"]: r["created_at"] for r in D.to_raw_event(D.decode_messages(df.withColumn("arrival", F.lit(None).cast("timestamp_ntz")))).collect()}
+    assert raw[22] == dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
     assert good[1]["meta_data"] == '{"a":2,"b":1}'
     assert good[4]["event_type"] == "" and good[4]["timestamp"] is None
     assert good[7]["user_id"] == "x"
     bad = sorted(r["seq"] for r in D.malformed_messages(df).collect())
-    assert bad == [2, 3, 5, 6, 8, 9, 10, 11]
+    assert bad == [2, 3, 5, 6, 8, 9, 10, 11, 15, 16, 17, 18, 19, 20, 21, 23, 24]
 
 
 def _golden(spark, threshold=100):
@@ -154,10 +182,13 @@ def test_default_ids_are_retry_stable(spark):
     df = spark.createDataFrame([(1, "", "click", "u", "c", None), (2, "given", "click", "u", "c", None)],
                                "seq long, event_id string, event_type string, user_id string, campaign_id string, "
                                "created_at timestamp_ntz")
-    df = df.selectExpr("*", "'' AS xff", "'' AS x_real_ip", "'10.0.0.1' AS remote_ip")
+    df = df.selectExpr("*", "'' AS xff", "'' AS x_real_ip", "'10.0.0.1' AS remote_ip",
+                       "timestamp_ntz'2026-01-01 00:00:05' AS received_at")
     a = {r["seq"]: r["event_id"] for r in I.normalize_requests(df).collect()}
     b = {r["seq"]: r["event_id"] for r in I.normalize_requests(df).collect()}
     assert a == b and a[2] == "given" and len(a[1]) == 36
+    # a missing time is the request's
+    assert {r["created_at"] for r in I.normalize_requests(df).collect()} == {dt.datetime(2026, 1, 1, 0, 0, 5)}
 
 
 def test_archive_expiry_per_status(spark):
