@@ -7,10 +7,19 @@ from pyspark.sql import functions as F
 
 from adsieve.llm.common import broadcast_if_small, stored
 
+ROWS = 200_000  # of a written part
 
-def _star(near: DataFrame, least: DataFrame, n: int) -> DataFrame:
-    """Point every ``v`` of ``near (u, v)`` at the least neighbour of its ``u``."""
-    return near.join(broadcast_if_small(least, n, 32), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+
+def _save(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """Store with parts sized by the rows, so that few rows are few tasks."""
+    return stored(df.coalesce(max(1, -(-rows // ROWS))), name)
+
+
+def _least(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
+    """Attach each ``u``'s minimum ``m``: broadcast below the size bound, else
+    from a stored table, so that a hub's rows are split by the join."""
+    side = broadcast_if_small(least, rows, 32)
+    return edges.join(side if side is not least else stored(least, "stars"), "u")
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -20,23 +29,26 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every id that occurs in ``edges (u, v)``, its
-    component's smallest id included. Each round halves the paths; the state
-    is written to the shared folder, never to the driver. Hub ids are joined
-    through a broadcast of measured size or a shuffle that splits skew."""
+    component's smallest id included. Each round shortens the paths; the state
+    is written to the shared folder, never to the driver."""
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = stored(e, "links")
     before = _state(e)
     while before[0]:
-        # large star: neighbours above u move to the least of u's neighbourhood
+        n = before[0]
+        # large star: u's larger neighbours, and u, move to the least of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "stars")
-        large = _star(both.where("v > u"), least, before[0] * 2).unionByName(e.join(broadcast_if_small(least, before[0] * 2, 32), "u").where("m < u").select("u", F.col("m").alias("v")))
-        large = stored(large.distinct(), "large")
-        # small star: neighbours below u, and u, move to the least of them
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "stars")
-        n = before[0] * 2
-        small = _star(large, least, n).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        e = stored(small, "links")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        seen = _least(both, least, 2 * n)
+        moved = seen.select(F.explode(F.array(
+            F.when(F.col("v") > F.col("u"), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))),
+            F.struct(F.col("u"), F.col("m").alias("v")))).alias("x")).where("x is not null").select("x.u", "x.v")
+        large = _save(moved.where("u <> v").distinct(), 2 * n, "large")
+        # small star: u's smaller neighbours, and u, move to the least of them
+        seen = _least(large, large.groupBy("u").agg(F.min("v").alias("m")), 2 * n)
+        moved = seen.select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
+        e = _save(moved.where("u <> v").distinct(), 2 * n, "links")
         after = _state(e)
         if after == before:
             break
