@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from adsieve.functions import go_trim, strict_rfc3339, utc_offset, wall_clock
 
 STRING_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type", "ip_address"]
-_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def _vtype(c: Column) -> Column:
@@ -28,34 +28,51 @@ def _text(c: Column) -> Column:
     return F.variant_get(c, "$", "string")
 
 
-def _entry_ok(e: Column) -> Column:
+def _entry_ok(e: Column, time_field: str) -> Column:
     """A key's value has the type of its field; other keys are ignored."""
     kind = _vtype(e["v"])
     return (
         F.when(e["v"].isNull() | (kind == "VOID"), True)
         .when(e["k"].isin(STRING_FIELDS), kind == "STRING")
-        .when(e["k"] == "timestamp", F.when(kind == "STRING", F.coalesce(strict_rfc3339(_text(e["v"])), F.lit(False))).otherwise(False))
+        .when(e["k"] == time_field, F.when(kind == "STRING", F.coalesce(strict_rfc3339(_text(e["v"])), F.lit(False))).otherwise(False))
         .when(e["k"] == "meta_data", kind.startswith("OBJECT"))
         .otherwise(True)
     )
 
 
-def decode(df: DataFrame, value: str = "value") -> DataFrame:
+def lower_entries(fields: Column) -> Column:
+    """Entries ``(k, v)`` of a JSON object with lower-case keys, in order."""
+    return F.transform(F.map_entries(fields), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v")))
+
+
+def entries_ok(entries: Column, time_field: str = "timestamp") -> Column:
+    return F.forall(entries, lambda e: _entry_ok(e, time_field))
+
+
+def field_columns(entries: Column, time_field: str = "timestamp") -> list[Column]:
+    """The event's fields out of its entries; the last value that is not null stands."""
+    known = F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull() & (_vtype(e["v"]) != "VOID")))
+    at = lambda f: F.try_element_at(known, F.lit(f))
+    cols = [F.coalesce(_text(at(f)), F.lit("")).alias(f) for f in STRING_FIELDS]
+    cols.append(_text(at(time_field)).alias(time_field))
+    cols.append(F.when(_vtype(at("meta_data")).startswith("OBJECT"), F.to_json(at("meta_data"))).alias("meta_data"))
+    return cols
+
+
+def one_value(text: Column) -> Column:
+    """Exactly one JSON value: the parsers accept trailing text (``{...} x``,
+    two objects back to back), the reproduced decoder does not."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+
+
+def decode(df: DataFrame, value: str = "value", time_field: str = "timestamp") -> DataFrame:
     """Add the decoded wire fields and a ``malformed`` flag to each message."""
-    fields = F.map_entries(F.from_json(F.col(value), "map<string,variant>", _OPTIONS))
-    tmp = df.withColumn("_e", F.transform(fields, lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))))
-    tmp = tmp.withColumn("_m", F.map_from_entries(F.filter("_e", lambda e: e["v"].isNotNull() & (_vtype(e["v"]) != "VOID"))))
-    m = lambda f: F.try_element_at("_m", F.lit(f))
+    tmp = df.withColumn("_e", lower_entries(F.from_json(F.col(value), "map<string,variant>", JSON_OPTIONS)))
     bare_null = go_trim(F.col(value)) == "null"
-    # exactly one JSON value: the parsers accept trailing text ("{...} x",
-    # two objects back to back), the reproduced decoder does not
-    single = F.json_array_length(F.concat(F.lit("["), F.col(value), F.lit("]"))) == 1
-    ok = F.coalesce(single, F.lit(False)) & (bare_null | (F.col("_e").isNotNull() & F.forall("_e", _entry_ok)))
-    cols = [F.coalesce(_text(m(f)), F.lit("")).alias(f) for f in STRING_FIELDS]
-    cols.append(_text(m("timestamp")).alias("timestamp"))
-    cols.append(F.when(_vtype(m("meta_data")).startswith("OBJECT"), F.to_json(m("meta_data"))).alias("meta_data"))
-    keep = [c for c in df.columns if c not in STRING_FIELDS + ["timestamp", "meta_data", value]]
-    return tmp.select(*keep, *cols, (~F.coalesce(ok, F.lit(False))).alias("malformed"))
+    ok = one_value(F.col(value)) & (bare_null | (F.col("_e").isNotNull() & entries_ok(F.col("_e"), time_field)))
+    names = [*STRING_FIELDS, time_field, "meta_data", value]
+    keep = [c for c in df.columns if c not in names]
+    return tmp.select(*keep, *field_columns(F.col("_e"), time_field), (~F.coalesce(ok, F.lit(False))).alias("malformed"))
 
 
 def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:

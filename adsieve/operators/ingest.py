@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adsieve import config as C
-from adsieve.functions import client_ip, col_of, nz, rfc3339_nano
+from adsieve.functions import client_ip, col_of, go_trim, nz, rfc3339_nano, utc_offset, wall_clock
+from adsieve.operators.decode import JSON_OPTIONS, STRING_FIELDS, decode, entries_ok, field_columns, lower_entries, one_value
 
 # columns of an ingest event as carried on the topic
 INGEST_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country",
@@ -68,6 +69,47 @@ def normalize_requests(df: DataFrame, request_ts: str | Column = "received_at",
     )
 
 
+def normalize_bodies(df: DataFrame, body: str = "body", request_ts: str | Column = "received_at") -> DataFrame:
+    """Landed single requests with their JSON body text → ack status, error and
+    the event to publish. A body that is no JSON object of the right types is
+    answered with the bad-body error and publishes nothing."""
+    parsed = decode(df, body, "created_at").withColumns(
+        {"created_at": wall_clock("created_at"), "created_offset": utc_offset("created_at")})
+    out = normalize_requests(parsed, request_ts)
+    bad = F.col("malformed")
+    return out.withColumns({
+        "ack_status": F.when(~bad, F.col("ack_status")),
+        "error": F.when(bad, F.lit(C.ERR_BAD_BODY)).otherwise(F.col("error")),
+    }).drop("malformed")
+
+
+_EVENT = ("struct<event_id:string,event_type:string,user_id:string,campaign_id:string,geo_country:string,"
+          "device_type:string,created_at:timestamp_ntz,created_offset:string,meta_data:string>")
+
+
+def parse_batch_bodies(df: DataFrame, body: str = "body") -> DataFrame:
+    """Landed batch requests with their JSON body text → ``events`` (null for a
+    bad body). The body must be an array (or ``null``) whose elements are
+    objects of the right types; a null element is an empty event."""
+    text = go_trim(F.col(body))
+    listed = F.from_json(F.when(text.startswith("["), F.col(body)), "array<variant>", JSON_OPTIONS)
+    parsed = df.withColumn("_items", F.transform(listed, lambda v: F.struct(
+        lower_entries(F.try_variant_get(v, "$", "map<string,variant>")).alias("e"),
+        (v.isNull() | (F.schema_of_variant(v) == "VOID")).alias("empty"))))
+    fine = F.forall("_items", lambda x: F.coalesce(x["empty"] | entries_ok(x["e"], "created_at"), F.lit(False)))
+
+    def event(x: Column) -> Column:
+        fields = field_columns(x["e"], "created_at")
+        ts = fields[-2]
+        return F.struct(*[c for c, n in zip(fields, [*STRING_FIELDS, "created_at", "meta_data"]) if n not in ("ip_address", "created_at", "meta_data")],
+                        wall_clock(ts).alias("created_at"), utc_offset(ts).alias("created_offset"), fields[-1])
+
+    events = F.transform("_items", event).cast(f"array<{_EVENT}>")
+    good = F.coalesce(one_value(F.col(body)) & fine, F.lit(False))
+    none = F.array().cast(f"array<{_EVENT}>")
+    return parsed.withColumn("events", F.when(text == "null", none).when(good, events)).drop("_items", body)
+
+
 def batch_bounds() -> Column:
     """Batch size within 1..1000 (whole batch rejected otherwise)."""
     n = F.coalesce(F.size("events"), F.lit(0))
@@ -80,7 +122,7 @@ def batch_ack(df: DataFrame) -> DataFrame:
     return df.select(
         "batch_id",
         F.when(batch_bounds(), C.ACK_QUEUED).alias("ack_status"),
-        F.when(n < C.BATCH_MIN_EVENTS, C.ERR_BATCH_EMPTY)
+        F.when(F.col("events").isNull(), C.ERR_BAD_BODY).when(n < C.BATCH_MIN_EVENTS, C.ERR_BATCH_EMPTY)
         .when(n > C.BATCH_MAX_EVENTS, C.ERR_BATCH_TOO_BIG).alias("error"),
         F.when(batch_bounds(), n.cast("long")).alias("n_events"),
     )

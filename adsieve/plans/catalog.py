@@ -63,17 +63,19 @@ def _ad(spark, sf):
     return FX.ad_events(spark, sf)
 
 
-def _classified(spark, sf, keep_rejected=False):
-    return K.classify(_ad(spark, sf), CFG, keep_rejected=keep_rejected)
+def _classified(spark, sf, keep_rejected=False, meta=False):
+    # columns pass through the anchored scans as they are: take only what the answer needs
+    ad = _ad(spark, sf) if meta else _ad(spark, sf).drop("meta_data")
+    return K.classify(ad, CFG, keep_rejected=keep_rejected)
 
 
-def _accepted(spark, sf):
-    return _classified(spark, sf).where(F.col("status") == "accepted")
+def _accepted(spark, sf, meta=False):
+    return _classified(spark, sf, meta=meta).where(F.col("status") == "accepted")
 
 
-def _stored(spark, sf):
+def _stored(spark, sf, meta=False):
     """Accepted events that the storage constraints let through."""
-    return V.storage_constraints(_accepted(spark, sf)).where("persist_ok")
+    return V.storage_constraints(_accepted(spark, sf, meta)).where("persist_ok")
 
 
 def _stats(spark, sf):
@@ -183,6 +185,51 @@ def request_scan(spark, sf):
     return I.normalize_requests(FX.collector_requests(spark, sf))
 
 
+BODY_BAD_SQL = "(seq % 101 = 0 OR seq % 103 = 0 OR seq % 107 = 0)"
+
+
+def _body_event_sql(fresh: str, time: str) -> str:
+    return (f"CASE WHEN seq % 19 = 0 THEN (SELECT concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4), substr(h, 17, 4),"
+            f" substr(h, 21, 12)) FROM (SELECT sha256({fresh}) AS h)) ELSE event_id END AS event_id, event_type, user_id, campaign_id,"
+            f" geo_country, device_type, CASE WHEN seq % 17 = 0 THEN {time} ELSE created_at END AS created_at, json(meta_data)::VARCHAR AS meta_data")
+
+
+@query("request_bodies", O.with_views(f"""
+SELECT seq, {_body_event_sql("concat_ws('/', CAST(seq AS VARCHAR), '0')", "created_at + INTERVAL 1 SECOND")},
+ concat('203.0.113.', CAST(seq % 250 AS VARCHAR)) AS ip_address,
+ CASE WHEN {REQUIRED_SQL} THEN 'queued' END AS ack_status, CASE WHEN NOT {REQUIRED_SQL} THEN '{C.ERR_REQUIRED}' END AS error
+FROM ad_events WHERE NOT {BODY_BAD_SQL}"""))
+def request_bodies(spark, sf):
+    # the events of good bodies, from the body text
+    out = I.normalize_bodies(FX.request_bodies(spark, sf)).drop("created_offset")
+    return out.where(~F.col("error").eqNullSafe(C.ERR_BAD_BODY))
+
+
+@query("request_body_acks", O.with_views(f"""
+SELECT seq, CASE WHEN {REQUIRED_SQL} AND NOT {BODY_BAD_SQL} THEN 'queued' END AS ack_status,
+ CASE WHEN {BODY_BAD_SQL} THEN '{C.ERR_BAD_BODY}' WHEN NOT {REQUIRED_SQL} THEN '{C.ERR_REQUIRED}' END AS error FROM ad_events"""))
+def request_body_acks(spark, sf):
+    return I.normalize_bodies(FX.request_bodies(spark, sf)).select("seq", "ack_status", "error")
+
+
+BATCH_BODY_CTE = f"""bb AS (SELECT *, seq // 60 AS batch_id, row_number() OVER (PARTITION BY seq // 60 ORDER BY seq) - 1 AS position,
+  max(created_at) OVER (PARTITION BY seq // 60) AS last, bool_or({BODY_BAD_SQL}) OVER (PARTITION BY seq // 60) AS bad FROM ad_events)"""
+
+
+@query("batch_bodies", O.with_views(f"""
+SELECT batch_id, position, {_body_event_sql("concat_ws('/', CAST(batch_id AS VARCHAR), CAST(position AS VARCHAR))", "last + INTERVAL 1 SECOND")},
+ '198.51.100.7' AS ip_address FROM bb WHERE NOT bad""", extra=BATCH_BODY_CTE))
+def batch_bodies(spark, sf):
+    return I.explode_batches(I.parse_batch_bodies(FX.batch_bodies(spark, sf)))
+
+
+@query("batch_body_acks", O.with_views(f"""
+SELECT batch_id, CASE WHEN NOT bad THEN 'queued' END AS ack_status, CASE WHEN bad THEN '{C.ERR_BAD_BODY}' END AS error,
+ CASE WHEN NOT bad THEN count(*) END AS n_events FROM bb GROUP BY batch_id, bad""", extra=BATCH_BODY_CTE))
+def batch_body_acks(spark, sf):
+    return I.batch_ack(I.parse_batch_bodies(FX.batch_bodies(spark, sf)))
+
+
 BATCH_SQL_CTE = """b AS (SELECT *, CASE WHEN seq < 1500 THEN 0 ELSE 1 + (seq - 1500) // 7 END AS batch_id FROM ad_events),
 sz AS (SELECT batch_id, count(*) AS n, max(created_at) AS last FROM b GROUP BY batch_id)"""
 
@@ -224,7 +271,7 @@ FROM cls WHERE """ + STORED_SQL
 
 
 def _raw_events_rows(spark, sf):
-    acc = _stored(spark, sf)
+    acc = _stored(spark, sf, meta=True)
     return acc.select(
         "event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type", "created_at",
         "ip_address", "risk_score", json_null_text("meta_data").alias("meta_data"),
@@ -298,19 +345,19 @@ SELECT seq, status, strftime(created_at, '%Y') AS year, strftime(created_at, '%m
  strftime(created_at, '%d') AS day, strftime(created_at, '%H') AS hour, record FROM arch""",
     extra=CLS + ",\n" + ARCHIVE_SQL_CTE))
 def archive_rows(spark, sf):
-    return A.archive_rows(_classified(spark, sf))
+    return A.archive_rows(_classified(spark, sf, meta=True))
 
 
 @query("archive_json", O.with_views(
     f"SELECT seq, status, {_archive_record_sql(True)} AS record FROM cls", extra=CLS))
 def archive_json(spark, sf):
-    return _classified(spark, sf).select("seq", "status", A.archive_record(True).alias("record"))
+    return _classified(spark, sf, meta=True).select("seq", "status", A.archive_record(True).alias("record"))
 
 
 @query("archive_counts", O.with_views(
     "SELECT status, count(*) AS n_records FROM arch GROUP BY status", extra=CLS + ",\n" + ARCHIVE_SQL_CTE))
 def archive_counts(spark, sf):
-    return A.archive_counts(A.archive_rows(_classified(spark, sf)))
+    return A.archive_counts(A.archive_rows(_classified(spark, sf, meta=True)))
 
 
 @query("archive_count_delta", O.with_views("""
@@ -325,7 +372,7 @@ def archive_count_delta(spark, sf):
     # "before" = the archive when the first half of the arrival span was
     # processed (positions are causal, so that is a prefix of the full run)
     from adsieve.functions import epoch_micros
-    cls = _classified(spark, sf).withColumn("_us", epoch_micros("created_at"))
+    cls = _classified(spark, sf, meta=True).withColumn("_us", epoch_micros("created_at"))
     valid = V.valid_events(_ad(spark, sf)).select(epoch_micros("created_at").alias("_us"))
     cut = valid.select(F.expr("(min(_us) + max(_us)) div 2")).scalar()
     arch = A.archive_rows(cls, keep=["_us"])
@@ -348,7 +395,7 @@ WHERE CAST(concat(p.year, '-', p.month, '-', p.day, ' ', p.hour, ':00:00') AS TI
 def archive_expired(spark, sf):
     # "now" lies 80 days after the newest upload, so every status has expired hours
     now = _max_created(spark, sf) + F.expr("INTERVAL 80 DAY")
-    return A.archive_expired(A.archive_rows(_classified(spark, sf)), now)
+    return A.archive_expired(A.archive_rows(_classified(spark, sf, meta=True)), now)
 
 
 def _max_created(spark, sf):
@@ -529,21 +576,21 @@ def campaign_lookup_status(spark, sf):
 @query("mark_duplicates", O.with_views(
     "SELECT seq, event_id, dup_pos, dup_pos > 1 AS is_duplicate, dd_anchor AS dup_anchor FROM dd_pos", extra=CLS))
 def mark_duplicates(spark, sf):
-    dd = K.mark_duplicates(V.valid_events(_ad(spark, sf)), CFG)
+    dd = K.mark_duplicates(V.valid_events(_ad(spark, sf)).select("seq", "event_id", "created_at"), CFG)
     return dd.select("seq", "event_id", "dup_pos", "is_duplicate", "dup_anchor")
 
 
 @query("unique_events", O.with_views(
     "SELECT seq, event_id, created_at FROM dd_pos WHERE dup_pos = 1", extra=CLS))
 def unique_events(spark, sf):
-    dd = K.mark_duplicates(V.valid_events(_ad(spark, sf)), CFG)
+    dd = K.mark_duplicates(V.valid_events(_ad(spark, sf)).select("seq", "event_id", "created_at"), CFG)
     return dd.where(F.col("dup_pos") == 1).select("seq", "event_id", "created_at")
 
 
 @query("duplicate_events", O.with_views(
     "SELECT seq, event_id, created_at, dup_pos FROM dd_pos WHERE dup_pos > 1", extra=CLS))
 def duplicate_events(spark, sf):
-    dd = K.mark_duplicates(V.valid_events(_ad(spark, sf)), CFG)
+    dd = K.mark_duplicates(V.valid_events(_ad(spark, sf)).select("seq", "event_id", "created_at"), CFG)
     return dd.where(F.col("dup_pos") > 1).select("seq", "event_id", "created_at", "dup_pos")
 
 
@@ -569,9 +616,11 @@ def classify_events(spark, sf):
     "SELECT seq, event_id, status, risk_score, dup_pos, ip_pos FROM cls", extra=CLS))
 def classify_two_batches(spark, sf):
     # cut at the middle arrival: the second batch continues the first one's windows
-    ad = _ad(spark, sf)
+    ad = _ad(spark, sf).drop("meta_data")
     cut = ad.select(F.expr("timestampadd(SECOND, CAST(timestampdiff(SECOND, min(created_at), max(created_at)) / 2 AS INT), min(created_at))")).scalar()
-    first = K.classify(ad.where(F.col("created_at") < cut), CFG)
+    path = _folder(spark, "first-batch")
+    K.classify(ad.where(F.col("created_at") < cut), CFG).write.parquet(path)
+    first = spark.read.parquet(path)
     left = H.history_of(first)
     history = H.WindowHistory(H.live(left.dedupe, CFG.dedupe_ttl_s, cut), H.live(left.ip, CFG.ip_window_s, cut))
     second = K.classify(ad.where(F.col("created_at") >= cut), CFG, history=history)
@@ -589,7 +638,7 @@ def status_counts(spark, sf):
 SELECT seq, event_id, event_type, user_id, campaign_id, geo_country, device_type, created_at, ip_address,
  risk_score, meta_data FROM cls WHERE status = 'accepted'""", extra=CLS))
 def accepted_events(spark, sf):
-    return _accepted(spark, sf).select(
+    return _accepted(spark, sf, meta=True).select(
         "seq", "event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type",
         "created_at", "ip_address", "risk_score", "meta_data")
 
@@ -611,7 +660,7 @@ def _user_window_scorer(df, cfg):
     """Example pluggable scorer: the same anchored counter keyed by user."""
     counted = F.coalesce(F.col("dup_pos") == 1, F.lit(False))
     out = anchored_positions(df, "user_id", cfg.ip_window_s, ts=cfg.arrival_col, counted=counted, pos_col="user_pos",
-                             anchor_col=None, chunk_windows=cfg.ip_chunk_windows)
+                             anchor_col=None, chunk_windows=cfg.ip_chunk_windows, fold_block_chunks=cfg.fold_block_chunks)
     score = F.when(F.col("user_pos") > cfg.ip_threshold, cfg.fraud_score).otherwise(cfg.non_fraud_score)
     return out.withColumn("risk_score", F.when(counted, score).otherwise(0).cast("int"))
 
@@ -629,7 +678,7 @@ SELECT d.seq, CAST(CASE WHEN d.dup_pos > 1 THEN 0 WHEN u.user_pos > {CFG.ip_thre
  CASE WHEN d.dup_pos > 1 THEN 'duplicate' WHEN u.user_pos > {CFG.ip_threshold} THEN 'fraud' ELSE 'accepted' END AS status
 FROM dd_pos d LEFT JOIN us_pos u ON d.seq = u.seq""", extra=USER_CLS))
 def custom_scorer(spark, sf):
-    return K.classify(_ad(spark, sf), CFG, scorer=_user_window_scorer).select("seq", "risk_score", "status")
+    return K.classify(_ad(spark, sf).drop("meta_data"), CFG, scorer=_user_window_scorer).select("seq", "risk_score", "status")
 
 
 # ---------------------------------------------------------------------------

@@ -58,6 +58,16 @@ SELECT seq, CASE seq % 4 WHEN 0 THEN '' WHEN 1 THEN concat(' 203.0.113.', CAST(s
  CASE WHEN seq % 17 = 0 THEN NULL ELSE created_at END AS created_at, created_at + INTERVAL 1 SECOND AS received_at
 FROM {src}"""
 
+REQUEST_BODIES_SQL = """
+SELECT seq, concat(' 203.0.113.', CAST(seq % 250 AS $S), ', 198.51.100.1') AS xff, '' AS x_real_ip, '192.0.2.1' AS remote_ip,
+ created_at + INTERVAL 1 SECOND AS received_at,
+ CASE WHEN seq % 101 = 0 THEN '{"event_id":' WHEN seq % 103 = 0 THEN '{"user_id":123}' WHEN seq % 107 = 0 THEN '[]'
+  ELSE concat('{"EVENT_ID":"', CASE WHEN seq % 19 = 0 THEN '' ELSE event_id END, '","event_type":"', event_type, '","user_id":"', user_id,
+   '","campaign_id":"', campaign_id, '","geo_country":"', geo_country, '","device_type":"', device_type, '"',
+   CASE WHEN seq % 17 = 0 THEN '' ELSE concat(',"created_at":"', $TS, 'Z"') END,
+   ',"ip_address":"1.1.1.1","meta_data":', coalesce(meta_data, 'null'), '}') END AS body
+FROM {src}"""
+
 SPARK_DIALECT = {"$S": "STRING", "$K": "get_json_object(props,'$.k')",
                  "$TS": "date_format(created_at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"}
 DUCKDB_DIALECT = {"$S": "VARCHAR", "$K": "json_extract_string(props,'$.k')",
@@ -103,6 +113,21 @@ def collector_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collector_requests_from(ad_events(spark, sf_dir))
 
 
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single ingest requests as they arrive: headers and body text."""
+    return _derive(REQUEST_BODIES_SQL, ad_events(spark, sf_dir))
+
+
+def batch_bodies(spark: SparkSession, sf_dir: str, batch_len: int = 60) -> DataFrame:
+    """Batch requests as they arrive: the bodies of ``batch_len`` single
+    requests in one array; bad single bodies make bad batches."""
+    one = request_bodies(spark, sf_dir).withColumn("batch_id", F.floor(F.col("seq") / batch_len))
+    items = F.array_sort(F.collect_list(F.struct("seq", "body")))
+    text = F.array_join(F.transform(items, lambda x: x["body"]), ",")
+    return one.groupBy("batch_id").agg(F.concat(F.lit("["), text, F.lit("]")).alias("body"), F.max("received_at").alias("received_at")) \
+        .select("batch_id", F.lit("").alias("xff"), F.lit(" 198.51.100.7").alias("x_real_ip"), F.lit("192.0.2.1").alias("remote_ip"), "received_at", "body")
+
+
 def batch_requests_from(ad: DataFrame, first_batch: int = 1500, batch_len: int = 7) -> DataFrame:
     """Batch ingest requests: ``events`` is an array of event structs.
 

@@ -4,6 +4,8 @@ the data; the counters are aggregated inside the batch's own tasks)."""
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -25,11 +27,15 @@ def observe_metrics(routed: DataFrame, name: str = OBSERVATION) -> DataFrame:
 
 
 class MetricsListener(StreamingQueryListener):
-    """Collects the observed counters of every progress report."""
+    """Sums the observed counters of every progress report; the last
+    ``keep`` reports stay at hand."""
+
+    COUNTERS = ("processed", "failed", "duplicates", "fraud", "archived")
 
-    def __init__(self, name: str = OBSERVATION):
+    def __init__(self, name: str = OBSERVATION, keep: int = 100):
         self.name = name
-        self.batches: list[dict] = []
+        self.batches: deque[dict] = deque(maxlen=keep)
+        self._sums = dict.fromkeys(self.COUNTERS, 0)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -37,7 +43,10 @@ class MetricsListener(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         row = event.progress.observedMetrics.get(self.name)
         if row is not None:
-            self.batches.append({"batch_id": event.progress.batchId, **row.asDict()})
+            report = {"batch_id": event.progress.batchId, **row.asDict()}
+            self.batches.append(report)
+            for k in self.COUNTERS:
+                self._sums[k] += int(report.get(k) or 0)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -46,8 +55,7 @@ class MetricsListener(StreamingQueryListener):
         pass
 
     def totals(self) -> dict:
-        keys = ("processed", "failed", "duplicates", "fraud", "archived")
-        out = {k: sum(int(b.get(k) or 0) for b in self.batches) for k in keys}
+        out = dict(self._sums)
         out["success_rate"] = (100.0 * out["processed"] / (out["processed"] + out["failed"])
                                if out["processed"] else None)
         return out
