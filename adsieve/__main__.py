@@ -16,7 +16,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from adsieve.config import DEFAULT_SCORING, LOOKUP_BAD_REQUEST, LOOKUP_NOT_FOUND, ScoringConfig
+from adsieve.config import DEFAULT_SCORING, LOOKUP_BAD_REQUEST, LOOKUP_NOT_FOUND, METRICS_INTERVAL_SECONDS, ScoringConfig
 from adsieve.session import apply_required_conf, ensure_checkpoint_dir
 
 
@@ -74,14 +74,18 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.cmd == "stream":
         from adsieve.streaming import job
+        from adsieve.streaming.metrics import MetricsListener
         if a.files:
             src = job.read_message_files(spark, a.files)
         elif a.brokers:
             src = job.read_events_stream(spark, a.topics, a.brokers, a.starting_offsets)
         else:
             p.error("stream needs --brokers or --files")
+        report = MetricsListener()
+        spark.streams.addListener(report)
         q = job.start(src, out, a.checkpoint, _scoring(a))
-        q.awaitTermination()
+        while not q.awaitTermination(METRICS_INTERVAL_SECONDS):
+            print(json.dumps(report.totals()), flush=True)
         return 0
     # campaigns: the query side over the stats delta log
     from pyspark.errors import AnalysisException

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "col_of", "go_trim", "blank", "nz", "hour_bucket", "current_hour", "epoch_micros",
-    "client_ip", "onehot", "archive_time_parts", "json_null_text", "omit_empty",
+    "client_ip", "onehot", "archive_time_parts", "json_null_text",
     "strict_rfc3339", "wall_clock", "utc_offset", "rfc3339_nano",
 ]
 
@@ -94,14 +94,6 @@ def json_null_text(c) -> Column:
     return F.coalesce(col_of(c), F.lit("null"))
 
 
-def omit_empty(c, empty=None) -> Column:
-    """Null for values an omit-empty JSON encoder would leave out."""
-    c = col_of(c)
-    if empty is None:
-        return F.nullif(c, F.lit(""))
-    return F.nullif(c, F.lit(empty))
-
-
 # RFC 3339 date-time with a mandatory offset (Z or ±hh:mm), fraction of any
 # length; hours below 24, minutes and seconds below 60. The calendar date is
 # checked apart.

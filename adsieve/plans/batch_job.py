@@ -10,6 +10,7 @@ batch overwrites its own files.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import hashlib
 import os
 from dataclasses import dataclass
@@ -84,8 +85,13 @@ def stage(df: DataFrame, name: str, batch_id: int | str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
 def write_outputs(routed: DataFrame, out: Outputs, batch_id: int, upload_ts: Column | None = None,
-                  archive_cfg: ArchiveConfig = ArchiveConfig()) -> None:
+                  archive_cfg: ArchiveConfig = ArchiveConfig(), started: dt.datetime | None = None) -> None:
+    started = started or _now()
     valid = routed.where(F.col("status") != "rejected")
     stored = routed.where((F.col("status") == "accepted") & F.col("persist_ok"))
     W.write_archive(archive_rows(valid, upload_ts), out.archive, batch_id, archive_cfg)
@@ -98,7 +104,10 @@ def write_outputs(routed: DataFrame, out: Outputs, batch_id: int, upload_ts: Col
         routed.where((F.col("status") == "rejected") | ((F.col("status") == "accepted") & ~F.col("persist_ok")))
         .select("seq", "status", "reject_field", "reject_message", "violation"),
         out.quarantine, batch_id)
-    W.write_metrics(pipeline_metrics(routed), out.metrics, batch_id)
+    # the batch's own duration, for the processing time per event
+    counts = [F.col(c) for c in ("total_processed", "total_failed", "total_duplicates", "total_fraud")]
+    W.write_metrics(pipeline_metrics(routed).withColumns({
+        "n_events": sum(counts[1:], counts[0]), "started_at": F.lit(started), "finished_at": F.lit(_now())}), out.metrics, batch_id)
 
 
 def read_history(spark: SparkSession, out: Outputs, batch_id: int, cfg: ScoringConfig, since: Column) -> WindowHistory | None:
@@ -122,7 +131,7 @@ def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id:
     partitions and overwrites them). Dedupe marks and IP counters of earlier
     batches carry on.
     """
-    history = None
+    started, history = _now(), None
     if "arrival" in messages.columns:
         history = read_history(spark, out, batch_id, cfg, messages.select(F.min("arrival")).scalar())
     # outputs with the same batch id elsewhere have a stage of their own
@@ -133,5 +142,5 @@ def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id:
         W.write_windows(left.dedupe, left.ip, out.windows, batch_id)
     if upload_ts is None:
         upload_ts = routed.select(F.max("arrival")).scalar() if "arrival" in routed.columns else None
-    write_outputs(routed, out, batch_id, upload_ts)
+    write_outputs(routed, out, batch_id, upload_ts, started=started)
     return routed

@@ -4,39 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Wire record: JSON value of a topic message. meta_data is an open JSON
-# object and is kept as its JSON text.
-WIRE_EVENT = T.StructType([
-    T.StructField("event_id", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("campaign_id", T.StringType()),
-    T.StructField("geo_country", T.StringType()),
-    T.StructField("device_type", T.StringType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("ip_address", T.StringType()),
-    T.StructField("meta_data", T.StringType()),
-])
-
-# Ingest record as posted to the collector (created_at instead of timestamp).
-INGEST_EVENT = T.StructType([
-    T.StructField("event_id", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("campaign_id", T.StringType()),
-    T.StructField("geo_country", T.StringType()),
-    T.StructField("device_type", T.StringType()),
-    T.StructField("created_at", T.StringType()),
-    T.StructField("ip_address", T.StringType()),
-    T.StructField("meta_data", T.StringType()),
-])
-
-# Processed event (worker side).
-RAW_EVENT_COLUMNS = [
-    "event_id", "event_type", "user_id", "campaign_id", "geo_country",
-    "device_type", "created_at", "ip_address", "meta_data",
-]
-
 # raw_events table as stored (event_date is the partition column).
 RAW_EVENTS_TABLE = T.StructType([
     T.StructField("event_id", T.StringType()),

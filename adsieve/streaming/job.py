@@ -4,6 +4,7 @@ metrics), every output keyed by the micro-batch id (replay overwrites)."""
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,10 +105,11 @@ def start(messages: DataFrame, out: Outputs, checkpoint: str, cfg: ScoringConfig
     slot = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        started = dt.datetime.now(dt.timezone.utc)
         # one slot per stream, overwritten by every micro-batch
         staged = stage(batch, slot, "current")
         up = staged.select(F.max("arrival")).scalar()
-        write_outputs(staged, out, batch_id, upload_ts=up)
+        write_outputs(staged, out, batch_id, upload_ts=up, started=started)
 
     w = routed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))

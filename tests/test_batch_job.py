@@ -55,6 +55,9 @@ def test_batch_job_outputs_and_replay(spark):
     m = spark.read.parquet(out.metrics).where("batch_id = 1").first()
     assert m["total_processed"] == n_stored
     assert m["total_archived"] == 2 * n_valid
+    assert m["n_events"] == sum(counts.values()) and m["finished_at"] > m["started_at"]
+    from adsieve.operators.metrics import batch_latency
+    assert batch_latency(spark.read.parquet(out.metrics)).first()["avg_seconds_per_event"] > 0
     assert os.path.isdir(os.path.join(out.archive, "status=raw"))
 
 
