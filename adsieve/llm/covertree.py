@@ -46,7 +46,7 @@ SAMPLE, CELLS, BLOCK = 4096, 256, 4096
 RADII = (1.0, 0.5, 0.25, 0.125)  # below the root's 2
 SLACK = 1e-7  # above the rounding of a distance near zero
 _MANY = 4096  # node pairs opened by a matrix product rather than gathered
-_CHUNK = 1 << 17
+_CHUNK = 1 << 16
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -113,14 +113,22 @@ def _open(first_a, first_b, count_a, count_b):
 def _pairs(a: Tree, b: Tree, fa, fb, ca, cb, pos_a, pos_b, keep):
     """Open pairs of ranges ``[fa, fa+ca) x [fb, fb+cb)``; positions map to
     vectors through ``pos_a``/``pos_b``. Yields (i, j, cosine) that ``keep``
-    (a floor of the cosine per i) lets through."""
+    (a floor of the cosine per i) lets through. Large ranges are sifted by
+    single-precision products, with the floor lowered by more than their
+    rounding; every cosine that is handed on is a double-precision one."""
     big = ca * cb > _MANY
+    slack = np.float32(2e-7 * a.x.shape[1] + 1e-6)
     for k in np.flatnonzero(big):
+        right = b.x[pos_b[fb[k]: fb[k] + cb[k]]].astype(np.float32).T
         for s in range(fa[k], fa[k] + ca[k], 512):
             e = min(s + 512, fa[k] + ca[k])
-            cos = a.x[pos_a[s:e]] @ b.x[pos_b[fb[k]: fb[k] + cb[k]]].T
-            i, j = np.nonzero(cos >= keep[s:e, None])
-            yield i + s, j + fb[k], cos[i, j]
+            rough = a.x[pos_a[s:e]].astype(np.float32) @ right
+            at, to = np.nonzero(rough >= keep[s:e, None].astype(np.float32) - slack)
+            for x in range(0, len(at), _CHUNK):
+                i, j = at[x: x + _CHUNK] + s, to[x: x + _CHUNK] + fb[k]
+                cos = np.einsum("ij,ij->i", a.x[pos_a[i]], b.x[pos_b[j]])
+                ok = cos >= keep[i]
+                yield i[ok], j[ok], cos[ok]
     fa, fb, ca, cb = (v[~big] for v in (fa, fb, ca, cb))
     cut = np.r_[0, np.flatnonzero(np.diff(np.cumsum(ca * cb) // _CHUNK)) + 1, len(fa)]
     for s, e in zip(cut[:-1], cut[1:]):
