@@ -41,7 +41,7 @@ TREES, DEPTH = 20, 6
 TARGET_RECALL = 0.999
 BLOCK = 1024  # classes of a block
 BIN = 256  # classes of small groups that share a task
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _DENSE = 32  # shingles of more classes are counted by matrix product
 _SETS = "doc_id long, n int, fp1 long, fp2 long, labels array<binary>"
 

@@ -33,7 +33,7 @@ from adsieve.llm.textcodes import Words, mix, slices
 PASSAGE_WORDS = 100
 TRAIN_DOCS = 8_000
 BAG = 64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 EMBED, GATE = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.01, 1e-4
 
@@ -42,7 +42,7 @@ _CLASSES = 40
 
 
 def _byte_class() -> np.ndarray:
-    out = np.full(256, 39)
+    out = np.full(256, 39, dtype=np.int32)
     out[48:58] = 0
     out[65:91] = 1
     out[97:123] = 2
@@ -71,8 +71,9 @@ def passages(words: Words) -> tuple[np.ndarray, np.ndarray]:
     at = first_passage[words.doc] + order // PASSAGE_WORDS
     count = np.bincount(at, minlength=n)
     # bytes belong to the passage of the last word begun; those before the first word to none
-    owner = np.repeat(at, np.diff(np.r_[words.start, len(words.buf)]))
-    classes = np.bincount(owner * _CLASSES + _CLASS[words.buf[words.start[0]:]], minlength=n * _CLASSES).reshape(n, _CLASSES)
+    cell = np.repeat((at * _CLASSES).astype(np.int32), np.diff(np.r_[words.start, len(words.buf)]))
+    cell += _CLASS[words.buf[words.start[0]:]]
+    classes = np.bincount(cell, minlength=n * _CLASSES).reshape(n, _CLASSES)
     total = np.maximum(classes.sum(axis=1, keepdims=True), 1)
     # shares spread over orders of magnitude: their square roots are compared
     out[:, :_CLASSES] = np.sqrt(classes / total)

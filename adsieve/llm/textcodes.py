@@ -81,10 +81,15 @@ class Words:
         self.start = np.flatnonzero(begin)
         n = len(self.start)
         if n:
-            word = np.cumsum(begin) - 1
-            pos = np.arange(len(buf)) - self.start[np.maximum(word, 0)]
+            # place of each byte in its word (bytes before the first word: 0)
+            pos = np.cumsum(begin, dtype=np.int32)
+            pos -= 1
+            pos = self.start.astype(np.int32)[np.maximum(pos, 0, out=pos)]
+            np.subtract(np.arange(len(buf), dtype=np.int32), pos, out=pos)
             np.maximum(pos, 0, out=pos)
-            val = (buf.astype(_U) + _U(1)) * _T.multipliers(int(pos.max()) + 1)[pos]
+            val = _T.multipliers(int(pos.max()) + 1)[pos]
+            del pos
+            val *= buf.astype(np.uint16) + np.uint16(1)
             val *= inside
             # spaces before the first word carry no value
             self.code = mix(np.add.reduceat(val, self.start))
