@@ -184,9 +184,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     n = partitions_for(spark, size // _BYTES_PER_WORD, BUCKET_WINDOWS)
     marks = (
         docs.select("doc_id", "text").mapInArrow(_hash_task(width, n, n), _ENTRY)
-        .groupBy("key").applyInArrow(_count_task(n), _MARK)
+        # as many partitions as buckets, so what a task reads does not grow with the input
+        .repartition(n, "key").groupBy("key").applyInArrow(_count_task(n), _MARK)
     )
-    return marks.groupBy("grp").applyInArrow(_merge_task(width), "doc_id long, starts array<int>, ends array<int>")
+    return marks.repartition(n, "grp").groupBy("grp").applyInArrow(_merge_task(width), "doc_id long, starts array<int>, ends array<int>")
 
 
 def _cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
