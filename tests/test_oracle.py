@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from adsieve.plans.catalog import REGISTRY
 from conftest import SF001
 from oracle_harness import run
 
-NAMES = sorted(E.queries())
+NAMES = sorted(REGISTRY)
 
 
 @pytest.fixture(scope="module")
