@@ -175,8 +175,10 @@ class _ChunkChains:
         self.seen = 0                      # events of the chunk seen so far
         self.last_t = None
         self.closed = False                # first event >= edge already added
+        self._parts: list[tuple[np.ndarray, np.ndarray]] = []   # entries (time, index) per batch
         self.cand_t = np.zeros(0, np.int64)   # block time of each entry
         self.at = np.zeros(0, np.int64)       # current anchor time per entry
+        self.turn = 0                         # the entry that moves next
         self.ai = np.zeros(0, np.int64)       # current anchor index per entry
 
     def feed(self, t: np.ndarray) -> None:
@@ -195,23 +197,36 @@ class _ChunkChains:
             if len(first_out):
                 take[first_out[0]] = True
                 self.closed = True
-            new = np.flatnonzero(take)
-            self.cand_t = np.r_[self.cand_t, t[new]]
-            self.at = np.r_[self.at, t[new]]
-            self.ai = np.r_[self.ai, idx[new]]
-        # advance every chain whose next anchor lies in this batch
-        active = np.flatnonzero(self.at + self.W <= t[-1])
-        while len(active):
-            j = np.searchsorted(t, self.at[active] + self.W, side="left")
-            ok = j < n
-            active, j = active[ok], j[ok]
-            self.at[active] = t[j]
-            self.ai[active] = idx[j]
-            active = active[self.at[active] + self.W <= t[-1]]
+            self._parts.append((t[take], idx[take]))
+            if self.closed:
+                self._seal()
+        if self.closed:
+            # advance every chain whose next anchor lies in this batch. Chains
+            # move in turns: those before ``turn`` are one anchor ahead, and
+            # none overtakes another, so the next to move stand at ``turn``
+            while True:
+                k = int(np.searchsorted(self.at[self.turn:], t[-1] - self.W, side="right"))
+                if not k:
+                    break
+                move = slice(self.turn, self.turn + k)
+                j = np.searchsorted(t, self.at[move] + self.W, side="left")
+                self.at[move], self.ai[move] = t[j], idx[j]
+                self.turn = (self.turn + k) % len(self.at)
+                if self.turn:
+                    break
         self.seen += n
         self.last_t = t[-1]
 
+    def _seal(self) -> None:
+        """No chain moves before an event past the edge, so the entries are
+        put together once."""
+        if self._parts:
+            self.cand_t, self.ai = (np.concatenate(x) for x in zip(*self._parts))
+            self.at = self.cand_t.copy()
+            self._parts = []
+
     def runs(self) -> pd.DataFrame:
+        self._seal()
         ai = self.ai
         if self.first_t is not None and self.first_t >= self.edge and not (self.at + self.W > self.edge - self.W + self.R).any():
             ai = ai[:0]  # independent chunk that passes no state: nothing to fold
