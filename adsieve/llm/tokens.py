@@ -45,9 +45,10 @@ def load(path: str):
 
 
 class _Memo(dict):
-    """Ids by word, for a lower-casing tokenizer. A run of Latin letters is one pre-token, so it goes to the
-    tokenizer's model directly. Marks after letters start a pre-token of their
-    own, so ``word,`` is ``word`` and ``,``. All else the library splits."""
+    """Ids by word, for a lower-casing tokenizer. A run of Latin letters is one
+    pre-token, so it goes to the tokenizer's model directly. Marks after
+    letters start a pre-token of their own, so ``word,`` is ``word`` and ``,``.
+    All else the library splits."""
 
     def __init__(self, encode, model):
         super().__init__()
@@ -78,6 +79,8 @@ class WordEncoder:
     def __init__(self, path: str):
         self._tok = load(path)
         plain = lambda s: self._tok.encode(s, add_special_tokens=False).ids
+        if plain(" Ab\n c ") != plain("ab") + plain("c"):
+            raise ValueError(f"{path} does not drop white space and case")
         self._memo = _Memo(plain, self._tok.model)
         self._spans: dict[str, tuple] = {}
 
@@ -135,10 +138,13 @@ class ByteEncoder:
         ranks = {bytes(byte[c] for c in t): i for t, i in self._tok.get_vocab(with_added_tokens=False).items() if t not in added}
         self._fast = tiktoken.Encoding(path, pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._added = list(added)
+        # a file with other rules (a normalizer, another pattern) is left to its library
+        probe = "It's A probe,  of\t\nTEXT 12,345 - caf\u00e9!! \u00a0x "
+        self._same = self._fast.encode_ordinary(probe) == self._tok.encode(probe, add_special_tokens=False).ids
 
     def ids(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a text."""
-        if (text.isascii() or max(text) < "\u0250") and not any(t in text for t in self._added):
+        if self._same and (text.isascii() or max(text) < "\u0250") and not any(t in text for t in self._added):
             return array("I", self._fast.encode_ordinary(text)).tobytes()
         return array("I", self._tok.encode(text, add_special_tokens=False).ids).tobytes()
 
