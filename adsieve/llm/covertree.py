@@ -47,6 +47,7 @@ RADII = (1.0, 0.5, 0.25, 0.125)  # below the root's 2
 SLACK = 1e-7  # above the rounding of a distance near zero
 _MANY = 4096  # node pairs opened by a matrix product rather than gathered
 _CHUNK = 1 << 16
+_NARROW = 0.25  # radius
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -110,25 +111,34 @@ def _open(first_a, first_b, count_a, count_b):
     return first_a[owner] + k // count_b[owner], first_b[owner] + k % count_b[owner]
 
 
-def _pairs(a: Tree, b: Tree, fa, fb, ca, cb, pos_a, pos_b, keep):
+def _pairs(a: Tree, b: Tree, fa, fb, ca, cb, pos_a, pos_b, ra, rb, floor):
     """Open pairs of ranges ``[fa, fa+ca) x [fb, fb+cb)``; positions map to
-    vectors through ``pos_a``/``pos_b``. Yields (i, j, cosine) that ``keep``
-    (a floor of the cosine per i) lets through. Large ranges are sifted by
-    single-precision products, with the floor lowered by more than their
-    rounding; every cosine that is handed on is a double-precision one."""
+    vectors through ``pos_a``/``pos_b`` and to radii through ``ra``/``rb``.
+    Yields (i, j, cosine) where the cosine reaches ``floor`` of the radii's
+    sum. Large ranges are sifted by single-precision products, with the floor
+    lowered by more than their rounding, narrow nodes apart from wide ones;
+    every cosine that is handed on is a double-precision one."""
     big = ca * cb > _MANY
-    slack = np.float32(2e-7 * a.x.shape[1] + 1e-6)
+    slack = 2e-7 * a.x.shape[1] + 1e-6
     for k in np.flatnonzero(big):
-        right = b.x[pos_b[fb[k]: fb[k] + cb[k]]].astype(np.float32).T
-        for s in range(fa[k], fa[k] + ca[k], 512):
-            e = min(s + 512, fa[k] + ca[k])
-            rough = a.x[pos_a[s:e]].astype(np.float32) @ right
-            at, to = np.nonzero(rough >= keep[s:e, None].astype(np.float32) - slack)
-            for x in range(0, len(at), _CHUNK):
-                i, j = at[x: x + _CHUNK] + s, to[x: x + _CHUNK] + fb[k]
-                cos = np.einsum("ij,ij->i", a.x[pos_a[i]], b.x[pos_b[j]])
-                ok = cos >= keep[i]
-                yield i[ok], j[ok], cos[ok]
+        columns = np.arange(fb[k], fb[k] + cb[k])
+        wide = rb[columns] > _NARROW
+        for part in (columns[~wide], columns[wide]):
+            if not len(part):
+                continue
+            top, right = rb[part].max(), b.x[pos_b[part]].astype(np.float32).T
+            for s in range(fa[k], fa[k] + ca[k], 512):
+                e = min(s + 512, fa[k] + ca[k])
+                rough = a.x[pos_a[s:e]].astype(np.float32) @ right
+                at, to = np.nonzero(rough >= (floor(ra[s:e] + top) - slack).astype(np.float32)[:, None])
+                least = floor(ra[at + s] + rb[part[to]])
+                ok = rough[at, to] >= least - slack
+                at, to, least = at[ok] + s, part[to[ok]], least[ok]
+                for x in range(0, len(at), _CHUNK):
+                    i, j = at[x: x + _CHUNK], to[x: x + _CHUNK]
+                    cos = np.einsum("ij,ij->i", a.x[pos_a[i]], b.x[pos_b[j]])
+                    ok = cos >= least[x: x + _CHUNK]
+                    yield i[ok], j[ok], cos[ok]
     fa, fb, ca, cb = (v[~big] for v in (fa, fb, ca, cb))
     cut = np.r_[0, np.flatnonzero(np.diff(np.cumsum(ca * cb) // _CHUNK)) + 1, len(fa)]
     for s, e in zip(cut[:-1], cut[1:]):
@@ -136,7 +146,7 @@ def _pairs(a: Tree, b: Tree, fa, fb, ca, cb, pos_a, pos_b, keep):
             continue
         i, j = _open(fa[s:e], fb[s:e], ca[s:e], cb[s:e])
         cos = np.einsum("ij,ij->i", a.x[pos_a[i]], b.x[pos_b[j]])
-        ok = cos >= keep[i]
+        ok = cos >= floor(ra[i] + rb[j])
         yield i[ok], j[ok], cos[ok]
 
 
@@ -149,14 +159,14 @@ def links(a: Tree, b: Tree, wa: np.ndarray, wb: np.ndarray, threshold: float = T
     na, nb = np.zeros(len(a.x)), np.zeros(len(b.x))
     sum_a, sum_b = np.r_[0, np.cumsum(wa)], np.r_[0, np.cumsum(wb)]
     edges: list[tuple[np.ndarray, np.ndarray]] = []
+    floor = lambda r: 1 - np.minimum(r + reach + SLACK, 2.0) ** 2 / 2 - SLACK
     ia, ib = np.array([0]), np.array([0])
     for level in range(len(a.starts) - 1):
         ka, kb = a.children(level), b.children(level)
         ra, rb = a.radius[level + 1], b.radius[level + 1]
-        floor = 1 - np.minimum(ra + (rb.max() if len(rb) else 0) + reach + SLACK, 2.0) ** 2 / 2 - SLACK
         end_a, end_b = a.bounds(level + 1), b.bounds(level + 1)
         next_a, next_b = [], []
-        for i, j, cos in _pairs(a, b, ka[ia], kb[ib], np.diff(ka)[ia], np.diff(kb)[ib], a.starts[level + 1], b.starts[level + 1], floor):
+        for i, j, cos in _pairs(a, b, ka[ia], kb[ib], np.diff(ka)[ia], np.diff(kb)[ib], a.starts[level + 1], b.starts[level + 1], ra, rb, floor):
             d = _dist(cos)
             near = d - ra[i] - rb[j] <= reach + SLACK
             if same:
@@ -175,8 +185,8 @@ def links(a: Tree, b: Tree, wa: np.ndarray, wb: np.ndarray, threshold: float = T
         ia = np.concatenate(next_a) if next_a else np.empty(0, int)
         ib = np.concatenate(next_b) if next_b else np.empty(0, int)
     low_a, low_b = a.bounds(len(a.starts) - 1), b.bounds(len(b.starts) - 1)
-    every = np.full(len(a.x), threshold)
-    for i, j, _ in _pairs(a, b, low_a[ia], low_b[ib], np.diff(low_a)[ia], np.diff(low_b)[ib], np.arange(len(a.x)), np.arange(len(b.x)), every):
+    for i, j, _ in _pairs(a, b, low_a[ia], low_b[ib], np.diff(low_a)[ia], np.diff(low_b)[ib], np.arange(len(a.x)), np.arange(len(b.x)),
+                          np.zeros(len(a.x)), np.zeros(len(b.x)), lambda r: threshold + r):
         if same:  # a pair of different nodes comes once, a node with itself both ways
             once = i < j
             i, j = i[once], j[once]
