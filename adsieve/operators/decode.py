@@ -14,28 +14,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.functions import go_trim, strict_rfc3339, utc_offset, wall_clock
+from adsieve.functions import strict_rfc3339, utc_offset, wall_clock
 
 STRING_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country", "device_type", "ip_address"]
 JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def _vtype(c: Column) -> Column:
-    return F.schema_of_variant(c)
-
-
 def _text(c: Column) -> Column:
     return F.variant_get(c, "$", "string")
 
 
 def _entry_ok(e: Column, time_field: str) -> Column:
     """A key's value has the type of its field; other keys are ignored."""
-    kind = _vtype(e["v"])
+    text = F.to_json(e["v"])  # a string's text starts with a quote, an object's with a brace
     return (
-        F.when(e["v"].isNull() | (kind == "VOID"), True)
-        .when(e["k"].isin(STRING_FIELDS), kind == "STRING")
-        .when(e["k"] == time_field, F.when(kind == "STRING", F.coalesce(strict_rfc3339(_text(e["v"])), F.lit(False))).otherwise(False))
-        .when(e["k"] == "meta_data", kind.startswith("OBJECT"))
+        F.when(e["v"].isNull() | F.is_variant_null(e["v"]), True)
+        .when(e["k"].isin(STRING_FIELDS), text.startswith('"'))
+        .when(e["k"] == time_field, text.startswith('"') & F.coalesce(strict_rfc3339(_text(e["v"])), F.lit(False)))
+        .when(e["k"] == "meta_data", text.startswith("{"))
         .otherwise(True)
     )
 
@@ -49,13 +45,18 @@ def entries_ok(entries: Column, time_field: str = "timestamp") -> Column:
     return F.forall(entries, lambda e: _entry_ok(e, time_field))
 
 
-def field_columns(entries: Column, time_field: str = "timestamp") -> list[Column]:
-    """The event's fields out of its entries; the last value that is not null stands."""
-    known = F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull() & (_vtype(e["v"]) != "VOID")))
+def known_fields(entries: Column) -> Column:
+    """Values by lower-case key; the last one that is not null stands."""
+    return F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull() & ~F.is_variant_null(e["v"])))
+
+
+def field_columns(known: Column, time_field: str = "timestamp") -> list[Column]:
+    """The event's fields out of its known values."""
     at = lambda f: F.try_element_at(known, F.lit(f))
     cols = [F.coalesce(_text(at(f)), F.lit("")).alias(f) for f in STRING_FIELDS]
     cols.append(_text(at(time_field)).alias(time_field))
-    cols.append(F.when(_vtype(at("meta_data")).startswith("OBJECT"), F.to_json(at("meta_data"))).alias("meta_data"))
+    meta = F.to_json(at("meta_data"))
+    cols.append(F.when(meta.startswith("{"), meta).alias("meta_data"))
     return cols
 
 
@@ -67,12 +68,13 @@ def one_value(text: Column) -> Column:
 
 def decode(df: DataFrame, value: str = "value", time_field: str = "timestamp") -> DataFrame:
     """Add the decoded wire fields and a ``malformed`` flag to each message."""
-    tmp = df.withColumn("_e", lower_entries(F.from_json(F.col(value), "map<string,variant>", JSON_OPTIONS)))
-    bare_null = go_trim(F.col(value)) == "null"
+    tmp = df.withColumn("_e", lower_entries(F.from_json(F.col(value), "map<string,variant>", JSON_OPTIONS))) \
+        .withColumn("_m", known_fields(F.col("_e")))
+    bare_null = F.col(value).rlike(r"^[ \t\r\n]*null[ \t\r\n]*$")
     ok = one_value(F.col(value)) & (bare_null | (F.col("_e").isNotNull() & entries_ok(F.col("_e"), time_field)))
     names = [*STRING_FIELDS, time_field, "meta_data", value]
     keep = [c for c in df.columns if c not in names]
-    return tmp.select(*keep, *field_columns(F.col("_e"), time_field), (~F.coalesce(ok, F.lit(False))).alias("malformed"))
+    return tmp.select(*keep, *field_columns(F.col("_m"), time_field), (~F.coalesce(ok, F.lit(False))).alias("malformed"))
 
 
 def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:

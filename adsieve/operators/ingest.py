@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adsieve import config as C
 from adsieve.functions import client_ip, col_of, go_trim, nz, rfc3339_nano, utc_offset, wall_clock
-from adsieve.operators.decode import JSON_OPTIONS, STRING_FIELDS, decode, entries_ok, field_columns, lower_entries, one_value
+from adsieve.operators.decode import JSON_OPTIONS, STRING_FIELDS, decode, entries_ok, field_columns, known_fields, lower_entries, one_value
 
 # columns of an ingest event as carried on the topic
 INGEST_FIELDS = ["event_id", "event_type", "user_id", "campaign_id", "geo_country",
@@ -95,11 +95,11 @@ def parse_batch_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     listed = F.from_json(F.when(text.startswith("["), F.col(body)), "array<variant>", JSON_OPTIONS)
     parsed = df.withColumn("_items", F.transform(listed, lambda v: F.struct(
         lower_entries(F.try_variant_get(v, "$", "map<string,variant>")).alias("e"),
-        (v.isNull() | (F.schema_of_variant(v) == "VOID")).alias("empty"))))
+        (v.isNull() | F.is_variant_null(v)).alias("empty"))))
     fine = F.forall("_items", lambda x: F.coalesce(x["empty"] | entries_ok(x["e"], "created_at"), F.lit(False)))
 
     def event(x: Column) -> Column:
-        fields = field_columns(x["e"], "created_at")
+        fields = field_columns(known_fields(x["e"]), "created_at")
         ts = fields[-2]
         return F.struct(*[c for c, n in zip(fields, [*STRING_FIELDS, "created_at", "meta_data"]) if n not in ("ip_address", "created_at", "meta_data")],
                         wall_clock(ts).alias("created_at"), utc_offset(ts).alias("created_offset"), fields[-1])
