@@ -66,6 +66,18 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def sample_below(bound: int, rows: int) -> int:
+    """Threshold that about ``bound`` of ``rows`` 64-bit hashes lie below; exact
+    in whole numbers, so it stays right at every number of rows."""
+    return (bound << 64) // rows - (1 << 63)
+
+
+def hash_sample(hashed: Column, bound: int, rows: int) -> Column:
+    """Condition that keeps about ``bound`` of ``rows`` rows, and every row
+    where there are no more than that."""
+    return hashed < F.lit(sample_below(bound, rows)) if rows > bound else F.lit(True)
+
+
 def partitions_for(spark: SparkSession, items: int, per_task: int) -> int:
     """Partition count that grows with the data, one full wave at least."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-items // per_task), 1)

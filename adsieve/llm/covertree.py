@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.llm.common import broadcast_if_small, stored
+from adsieve.llm.common import broadcast_if_small, hash_sample, stored
 from adsieve.llm.components import components
 
 THRESHOLD = 0.95
@@ -302,7 +302,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = stored(rows.where("fine").groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v")), "vectors")
     counts = {r["dim"]: r["count"] for r in classes.groupBy(F.size("v").alias("dim")).count().collect()}
     total = sum(counts.values())
-    part = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE / max(total, 1)))
+    part = hash_sample(F.xxhash64("rep"), SAMPLE, total)
     sample = [np.array(r["v"]) for r in classes.where(part).orderBy("rep").select("v").collect()]
     centres = _centres(sample, counts)
 

@@ -7,7 +7,7 @@ out-of-place distance: the sum of rank differences, ``TOP`` for an n-gram the
 profile lacks. The nearest language wins.
 
 Profiles are learned from at most about ``PROFILE_DOCS`` labelled documents
-(chosen by a hash of the id), whose n-grams are counted per task first and
+(chosen by a hash of id and text), whose n-grams are counted per task first and
 then summed in Spark, so a language holding most rows is no hot key.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter,
@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adsieve.llm.common import hash_sample
+
 TOP = 300
 PROFILE_DOCS = 20_000
 UNKNOWN = "und"
@@ -85,8 +87,8 @@ def learn(labelled: DataFrame, docs: int = PROFILE_DOCS, top: int = TOP) -> dict
     """Profiles by language from ``(doc_id, text, lang)``: n-grams by rank."""
     rows = labelled.where("text is not null and lang is not null")
     n = rows.select("lang").count()
-    if n > docs:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * docs / n))
+    # the text is hashed too: rows of one id, or without any, are drawn each for itself
+    rows = rows.where(hash_sample(F.xxhash64("doc_id", "text"), docs, n))
     counts = rows.select("lang", "text").mapInArrow(_count_task, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adsieve.llm.common import hash_sample
 from adsieve.llm.textcodes import Words, mix, slices
 
 PASSAGE_WORDS = 100
@@ -199,8 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_DOCS) -> Model:
     """Learn from ``labels (doc_id, quality)`` and the documents' texts."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     total = known.count()
-    if total > n:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * n / total))
+    known = known.where(hash_sample(F.xxhash64("doc_id"), n, total))
     # at most about n rows of 12 bytes
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id") \
         .select("doc_id", "text", "quality").mapInArrow(_bag_task, "doc_id long, quality int, bag binary").collect()
