@@ -279,13 +279,22 @@ def _raw_events_rows(spark, sf):
     )
 
 
+def _raw_events_table(spark, sf):
+    path = _folder(spark, "raw-events")
+    W.write_raw_events(_raw_events_rows(spark, sf), path, 1)
+    return read_raw_events(spark, path).drop("batch_id")
+
+
 @query("raw_events_scan", O.with_views(
     "SELECT * FROM (" + RAW_EVENTS_SQL + ") WHERE day(event_date) <= 15", extra=CLS))
 def raw_events_scan(spark, sf):
-    path = _folder(spark, "raw-events")
-    W.write_raw_events(_raw_events_rows(spark, sf), path, 1)
     # one half of the dates: the scan prunes the other folders
-    return read_raw_events(spark, path).where(F.day("event_date") <= 15).drop("batch_id")
+    return _raw_events_table(spark, sf).where(F.day("event_date") <= 15)
+
+
+@query("raw_events_scan_whole", O.with_views(RAW_EVENTS_SQL, extra=CLS))
+def raw_events_scan_whole(spark, sf):
+    return _raw_events_table(spark, sf)
 
 
 # ---------------------------------------------------------------------------

@@ -56,3 +56,9 @@ def test_raw_events_scan_prunes_its_partitions(spark):
     df = REGISTRY["raw_events_scan"].build(spark, SF01)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1]
+
+
+def test_raw_events_are_scanned_whole(spark, routed):
+    got = REGISTRY["raw_events_scan_whole"].build(spark, SF01)
+    assert got.count() == routed.where("status = 'accepted' and persist_ok").count()
+    assert got.where("day(event_date) > 15").count() > 0
