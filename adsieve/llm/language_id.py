@@ -6,8 +6,9 @@ A document's own most frequent n-grams are compared to each language's by the
 out-of-place distance: the sum of rank differences, ``TOP`` for an n-gram the
 profile lacks. The nearest language wins.
 
-Profiles are learned from at most about ``PROFILE_DOCS`` labelled documents
-(chosen by a hash of id and text), whose n-grams are counted per task first and
+Profiles are learned from at most about ``PROFILE_DOCS`` labelled documents of
+each language (chosen by a hash of id and text), so a rare language is learned
+in full beside a common one. Their n-grams are counted per task first and
 then summed in Spark, so a language holding most rows is no hot key.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter,
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adsieve.llm.common import hash_sample
+from adsieve.llm.common import sample_below
 
 TOP = 300
 PROFILE_DOCS = 20_000
@@ -86,9 +87,13 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(labelled: DataFrame, docs: int = PROFILE_DOCS, top: int = TOP) -> dict[str, list[int]]:
     """Profiles by language from ``(doc_id, text, lang)``: n-grams by rank."""
     rows = labelled.where("text is not null and lang is not null")
-    n = rows.select("lang").count()
-    # the text is hashed too: rows of one id, or without any, are drawn each for itself
-    rows = rows.where(hash_sample(F.xxhash64("doc_id", "text"), docs, n))
+    # one row a language, like the profiles
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    large = [(lang, sample_below(docs, n)) for lang, n in sizes.items() if n > docs]
+    if large:
+        below = labelled.sparkSession.createDataFrame(large, "lang string, below long")
+        # the text is hashed too: rows of one id, or without any, are drawn each for itself
+        rows = rows.join(F.broadcast(below), "lang", "left").where(F.col("below").isNull() | (F.xxhash64("doc_id", "text") < F.col("below")))
     counts = rows.select("lang", "text").mapInArrow(_count_task, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -7,9 +7,10 @@ standardised and embedded by a learned layer. Gated attention
 weighted sum is scored. All weights are learned from the documents' labels
 alone; passages have none.
 
-The network is fitted on at most about ``TRAIN_DOCS`` labelled documents
+The network is fitted on at most about ``TRAIN_DOCS`` documents of each label
 (chosen by a hash of the id) with at most ``BAG`` evenly spaced passages of
-each. Scoring reads every passage of every document.
+each. A document weighs as many as it stands for, so a rare label is kept
+and its share among the labelled documents still counts. Scoring reads every passage of every document.
 
 Defined results: a null or empty text is one passage of zeros and gets a
 score like any other. Without any labelled document, or with one class only,
@@ -139,12 +140,14 @@ def _forward(w, h, doc, first):
     return _sig(z @ w["c"] + w["b"][0]), a, z, t, g
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
-    """Fit by Adam on the mean log loss (small bags on the driver: at most
-    ``TRAIN_DOCS * BAG`` passages)."""
-    share = float(labels.mean()) if len(labels) else 1.0
-    if share in (0.0, 1.0):
+def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 1, weights: np.ndarray | None = None) -> Model:
+    """Fit by Adam on the mean log loss, each document at its weight (small
+    bags on the driver: at most ``TRAIN_DOCS * BAG`` passages a label)."""
+    weights = np.ones(len(labels)) if weights is None else weights
+    share = float(np.average(labels, weights=weights)) if len(labels) else 1.0
+    if len(set(labels.tolist())) < 2:
         return Model(share)
+    weights = weights / weights.mean()
     rng = np.random.default_rng(seed)
     every = np.concatenate(bags)
     model = Model(share, every.mean(axis=0), every.std(axis=0) + 1e-3)
@@ -166,7 +169,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
             first = np.r_[0, np.cumsum(sizes)[:-1]]
             h = np.tanh(x @ w["E"] + w["e"])
             p, a, z, t, g = _forward(w, h, doc, first)
-            d = (p - labels[pick]) / len(pick)
+            d = (p - labels[pick]) * weights[pick] / len(pick)
             dz = d[:, None] * w["c"]
             da = (dz[doc] * h).sum(axis=1)
             ds = a * (da - np.add.reduceat(a * da, first)[doc])
@@ -199,14 +202,18 @@ def _bag_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_DOCS) -> Model:
     """Learn from ``labels (doc_id, quality)`` and the documents' texts."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    total = known.count()
-    known = known.where(hash_sample(F.xxhash64("doc_id"), n, total))
-    # at most about n rows of 12 bytes
+    sizes = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
+    drawn = F.lit(False)
+    for label, size in sizes.items():
+        drawn = drawn | ((F.col("quality") == label) & hash_sample(F.xxhash64("doc_id"), n, size))
+    known = known.where(drawn)
+    # at most about n rows of 12 bytes a label
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id") \
         .select("doc_id", "text", "quality").mapInArrow(_bag_task, "doc_id long, quality int, bag binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["bag"]))  # the order of arrival must not change the fit
     bags = [np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH).astype(float) for r in rows]
-    return fit(bags, np.array([r["quality"] for r in rows], dtype=float))
+    got = [r["quality"] for r in rows]
+    return fit(bags, np.array(got, dtype=float), weights=np.array([max(1.0, sizes[q] / n) for q in got]))
 
 
 def _score_task(model: Model):

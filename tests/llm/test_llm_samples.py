@@ -26,3 +26,21 @@ def test_rows_without_an_id_are_sampled(lspark):
     rows = lspark.range(600).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"),
                                     F.lit("xx").alias("lang"))
     assert language_id.learn(rows, docs=60) != {}
+
+
+def test_rare_language_is_learned_in_full(lspark):
+    rows = lspark.range(3000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "ŵŷ ŷŵ").otherwise("common words").alias("text"),
+        F.when(F.col("id") < 3, "rare").otherwise("xx").alias("lang"))
+    profiles = language_id.learn(rows, docs=30)
+    assert set(profiles) == {"rare", "xx"}
+    assert profiles["rare"] == language_id.learn(rows.where("lang = 'rare'"))["rare"]
+
+
+def test_rare_label_is_learned(lspark):
+    docs = lspark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 4, "$$ ## 99 !! ").otherwise("plain words here ").alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") < 4, 0).otherwise(1).alias("quality"))
+    model = quality.train(docs, labels, n=40)
+    assert model.weights is not None and 0.99 < model.share < 1
+    score = {r.bad: r.score for r in quality.score(docs, model).groupBy((F.col("row.doc_id") < 4).alias("bad")).agg(F.avg("score").alias("score")).collect()}
+    assert score[True] < score[False]
