@@ -8,8 +8,9 @@ weighted sum is scored. All weights are learned from the documents' labels
 alone; passages have none.
 
 The network is fitted on at most about ``TRAIN_DOCS`` documents of each label
-(chosen by a hash of the id) with at most ``BAG`` evenly spaced passages of
-each. A document weighs as many as it stands for, so a rare label is kept
+(chosen by a hash of the id), every passage of each. Where they hold over
+``PASSAGES`` passages, fewer documents are taken, the same share of every label
+(one document of each at least, however long). A document weighs as many as it stands for, so a rare label is kept
 and its share among the labelled documents still counts. Scoring reads every passage of every document.
 
 Defined results: a null or empty text is one passage of zeros and gets a
@@ -25,16 +26,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.llm.common import hash_sample
+from adsieve.llm.common import hash_sample, stored
 from adsieve.llm.textcodes import Words, mix, slices
 
 PASSAGE_WORDS = 100
 TRAIN_DOCS = 8_000
-BAG = 64
+PASSAGES = 512_000
 SLICE_BYTES = 1 << 20
 EMBED, GATE = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.01, 1e-4
@@ -142,7 +144,7 @@ def _forward(w, h, doc, first):
 
 def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 1, weights: np.ndarray | None = None) -> Model:
     """Fit by Adam on the mean log loss, each document at its weight (small
-    bags on the driver: at most ``TRAIN_DOCS * BAG`` passages a label)."""
+    bags on the driver: ``train`` gives at most ``PASSAGES`` passages)."""
     weights = np.ones(len(labels)) if weights is None else weights
     share = float(np.average(labels, weights=weights)) if len(labels) else 1.0
     if len(set(labels.tolist())) < 2:
@@ -193,13 +195,24 @@ def _bag_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j, doc, x in _bags(rb.column("text")):
             for k in range(j - i):
                 bag = x[doc == k] if j - i == 1 else x[np.searchsorted(doc, k): np.searchsorted(doc, k + 1)]
-                if len(bag) > BAG:
-                    bag = bag[np.linspace(0, len(bag) - 1, BAG).astype(int)]
                 bags.append(bag.astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array(labels, pa.int32()), pa.array(bags, pa.binary())], ["doc_id", "quality", "bag"])
+        n = [len(b) // (4 * WIDTH) for b in bags]
+        yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array(labels, pa.int32()), pa.array(n, pa.int32()), pa.array(bags, pa.large_binary())],
+                                         ["doc_id", "quality", "n", "bag"])
 
 
-def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_DOCS) -> Model:
+def _affordable(sizes: pd.DataFrame, most: int) -> dict[int, int]:
+    """Of ``(quality, h, n)``, the largest hash taken of each label: as many
+    documents as hold ``most`` passages in all, the same share of every label
+    and one of each at least."""
+    sizes = sizes.sort_values(["quality", "h"])
+    rank = sizes.groupby("quality").cumcount()
+    sizes = sizes.assign(at=np.where(rank == 0, -1.0, rank / sizes.groupby("quality")["h"].transform("size"))).sort_values(["at", "quality"])
+    taken = sizes[(sizes["at"] < 0) | (sizes["n"].cumsum() <= most)]
+    return {int(q): int(h) for q, h in taken.groupby("quality")["h"].max().items()}
+
+
+def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_DOCS, most: int = PASSAGES) -> Model:
     """Learn from ``labels (doc_id, quality)`` and the documents' texts."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     sizes = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
@@ -208,12 +221,22 @@ def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_DOCS) -> Model:
         drawn = drawn | ((F.col("quality") == label) & hash_sample(F.xxhash64("doc_id"), n, size))
     known = known.where(drawn)
     # at most about n rows of 12 bytes a label
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id") \
-        .select("doc_id", "text", "quality").mapInArrow(_bag_task, "doc_id long, quality int, bag binary").collect()
+    read = stored(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+                  .select("doc_id", "text", "quality").mapInArrow(_bag_task, "doc_id long, quality int, n int, bag binary"), "bags") \
+        .withColumn("h", F.xxhash64("doc_id"))
+    found = read.groupBy("quality", "h").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).toPandas()
+    drew = found.groupby("quality")["rows"].sum()
+    if found["n"].sum() > most:
+        taken = F.lit(False)
+        for label, last in _affordable(found, most).items():
+            taken = taken | ((F.col("quality") == label) & (F.col("h") <= last))
+        read = read.where(taken)
+    rows = read.select("doc_id", "quality", "bag").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["bag"]))  # the order of arrival must not change the fit
     bags = [np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH).astype(float) for r in rows]
-    got = [r["quality"] for r in rows]
-    return fit(bags, np.array(got, dtype=float), weights=np.array([max(1.0, sizes[q] / n) for q in got]))
+    got = pd.Series([r["quality"] for r in rows], dtype=int)
+    stands_for = {q: max(1.0, sizes[q] / n) * drew[q] / k for q, k in got.value_counts().items()}
+    return fit(bags, got.to_numpy(dtype=float), weights=got.map(stands_for).to_numpy(dtype=float))
 
 
 def _score_task(model: Model):

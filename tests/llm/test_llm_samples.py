@@ -1,5 +1,8 @@
 """Bounded samples of the models keep their size, at every number of rows."""
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,3 +47,22 @@ def test_rare_label_is_learned(lspark):
     assert model.weights is not None and 0.99 < model.share < 1
     score = {r.bad: r.score for r in quality.score(docs, model).groupBy((F.col("row.doc_id") < 4).alias("bad")).agg(F.avg("score").alias("score")).collect()}
     assert score[True] < score[False]
+
+
+def test_every_passage_is_learned_from(lspark):
+    rb = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["word " * 20_000, ""]), pa.array([1, 0], pa.int32())], ["doc_id", "text", "quality"])
+    (out,) = quality._bag_task(iter([rb]))
+    assert [len(b) // (4 * quality.WIDTH) for b in out.column("bag").to_pylist()] == out.column("n").to_pylist() == [200, 1]
+
+
+def test_passage_bound_takes_fewer_documents(lspark):
+    rng = np.random.default_rng(1)
+    found = pd.DataFrame({"quality": [0] * 100 + [1] * 900, "h": rng.integers(-2 ** 62, 2 ** 62, 1000), "n": [7] * 1000})
+    last = quality._affordable(found, 700)
+    taken = found[found["h"] <= found["quality"].map(last)]
+    assert 690 < taken["n"].sum() <= 700 and (taken["quality"] == 0).sum() == 10
+    assert set(quality._affordable(found, 0)) == {0, 1}
+    docs = lspark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "$$ ## 99 !! ").otherwise("plain words here ").alias("text"))
+    labels = docs.select("doc_id", F.least(F.col("doc_id") % 4, F.lit(1)).cast("int").alias("quality"))
+    model = quality.train(docs, labels, most=100)
+    assert model.weights is not None and model.share == pytest.approx(0.75)
