@@ -5,9 +5,10 @@
    for it, so copies are never expanded into pairs.
 2. Every class has ``TREES`` labels of ``DEPTH`` minimum hashes, the sorted
    paths of ``TREES`` prefix tries. Classes match where their labels share a
-   prefix. The prefix is shortened, level by level, until a pair of exactly
-   the threshold's similarity is found with the target recall
-   (`matched_depth`).
+   prefix. Its length is fixed beforehand, by formula and not by the data: the
+   longest at which a pair of exactly the threshold's similarity is found with
+   the target recall (`matched_depth`). Minima below it are not used. Where
+   even one minimum misses the target, there are more trees (`trees_needed`).
 3. Classes that share a prefix are tied to the smallest of them (one link a
    class and tree, never all pairs); the connected components are candidate
    groups.
@@ -24,6 +25,7 @@ repeat an id count as documents of one class. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +56,16 @@ def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int =
     return depth
 
 
+def trees_needed(threshold: float, depth: int, trees: int = TREES, target: float = TARGET_RECALL) -> int:
+    """``trees``, or more where even that many miss the target at ``depth``."""
+    if not (threshold > 0 and target < 1):
+        raise ValueError("threshold must be above 0 and target below 1")
+    miss = 1 - threshold ** depth
+    if miss <= 0 or 1 - miss ** trees >= target:
+        return trees
+    return max(trees, math.ceil(math.log1p(-target) / math.log(miss)))
+
+
 def _sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle codes) of every text."""
     for i, j, buf, base in slices(texts, SLICE_BYTES):
@@ -73,8 +85,9 @@ def signature(codes: np.ndarray, n: int) -> np.ndarray:
     a, b = _permutations(n)
     h = (codes >> np.uint64(32)).astype(np.uint32)
     out = np.full(n, 0xFFFFFFFF, dtype=np.uint32)
-    for i in range(0, len(h), 2048):
-        x = h[i: i + 2048, None] * a
+    step = max(1, min(2048, (1 << 22) // n))
+    for i in range(0, len(h), step):
+        x = h[i: i + step, None] * a
         x += b
         # odd multiples alone order small sets alike; fold the high bits in
         x ^= x >> np.uint32(15)
@@ -225,7 +238,9 @@ def jaccard_links(docs: DataFrame, threshold: float = THRESHOLD, width: int = SH
     documents at the threshold or above, and the smallest id reachable."""
     spark = docs.sparkSession
     depth = matched_depth(threshold, target=target)
-    sets = stored(docs.select("doc_id", "text").mapInArrow(_set_task(width, TREES, DEPTH), _SETS), "sets")
+    trees = trees_needed(threshold, depth, target=target)
+    levels = DEPTH if trees == TREES else depth
+    sets = stored(docs.select("doc_id", "text").mapInArrow(_set_task(width, trees, levels), _SETS), "sets")
     alike = ["n", "fp1", "fp2"]
     known = sets.where("n > 0 and doc_id is not null")
     classes = stored(
