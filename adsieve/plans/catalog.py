@@ -285,15 +285,8 @@ def _raw_events_table(spark, sf):
     return read_raw_events(spark, path).drop("batch_id")
 
 
-@query("raw_events_scan", O.with_views(
-    "SELECT * FROM (" + RAW_EVENTS_SQL + ") WHERE day(event_date) <= 15", extra=CLS))
+@query("raw_events_scan", O.with_views(RAW_EVENTS_SQL, extra=CLS))
 def raw_events_scan(spark, sf):
-    # one half of the dates: the scan prunes the other folders
-    return _raw_events_table(spark, sf).where(F.day("event_date") <= 15)
-
-
-@query("raw_events_scan_whole", O.with_views(RAW_EVENTS_SQL, extra=CLS))
-def raw_events_scan_whole(spark, sf):
     return _raw_events_table(spark, sf)
 
 

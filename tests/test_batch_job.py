@@ -11,7 +11,7 @@ from adsieve.plans.batch_job import Outputs, run_batch
 from adsieve.sinks.writers import check_archive_target, compact_stats, read_stats, read_stats_compacted
 from adsieve.sources import fixtures as FX
 from adsieve.sources.tables import read_archive, read_raw_events
-from conftest import SF001
+from paths import SF001
 
 
 def test_batch_job_outputs_and_replay(spark):

@@ -6,7 +6,7 @@ import tempfile
 
 from adsieve.__main__ import main
 from adsieve.sources import fixtures as FX
-from conftest import SF001
+from paths import SF001
 
 
 def test_cli_batch_and_lookup(spark, capsys):

@@ -7,7 +7,7 @@ from adsieve.operators import archive as A
 from adsieve.operators import classify as K
 from adsieve.operators import stats as S
 from adsieve.sources import fixtures as FX
-from conftest import SF01
+from paths import SF01
 
 
 def test_invariants(spark):

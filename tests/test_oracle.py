@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from adsieve.plans.catalog import REGISTRY
-from conftest import SF001
+from paths import SF001
 from oracle_harness import run
 
 NAMES = sorted(REGISTRY)

@@ -9,7 +9,7 @@ from adsieve.operators import classify as K
 from adsieve.operators import stats as S
 from adsieve.sources import fixtures as FX
 from adsieve.sources.tables import read_campaign_stats, read_raw_events
-from conftest import SF001
+from paths import SF001
 
 
 def _plan(df) -> str:

@@ -17,7 +17,7 @@ from adsieve.sources import fixtures as FX
 from adsieve.sources.tables import read_raw_events
 from adsieve.streaming import job
 from adsieve.streaming.metrics import MetricsListener
-from conftest import SF001
+from paths import SF001
 
 
 def test_stream_matches_batch(spark):
