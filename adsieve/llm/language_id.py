@@ -11,8 +11,9 @@ each language (chosen by a hash of id and text), so a rare language is learned
 in full beside a common one. Their n-grams are counted per task first and
 then summed in Spark, so a language holding most rows is no hot key.
 
-Defined results: ``und`` with score 0 where the text is null or has no letter,
-or no language was learned. Equal frequencies rank by code point, equal
+Defined results: ``und`` with score 0 where the text is null or has no letter
+(Unicode category L; marks belong to the word they stand in, but a text of
+marks alone has no letter), or no language was learned. Equal frequencies rank by code point, equal
 distances by language name. The score is ``d2 / (d1 + d2)`` of the best two
 distances (the greatest possible distance stands in for a missing second).
 Rows of equal id are judged each for itself; other columns are ignored.
@@ -40,19 +41,23 @@ _SPACE = 32
 
 
 @functools.lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+def _kinds() -> np.ndarray:
+    """Per code point: 2 a letter, 1 a mark (part of a word, but no letter), 0 else."""
+    kind = {"L": 2, "M": 1}
+    return np.fromiter((kind.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
 
 
 def ngrams(text: str) -> np.ndarray:
-    """Codes of all n-grams of a text, 21 bits a character."""
+    """Codes of all n-grams of a text, 21 bits a character; none where the
+    text has no letter."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[c]
+    kind = _kinds()[c]
+    if not (kind == 2).any():
+        return np.empty(0, np.int64)
+    letter = kind > 0
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # one space after each word
     c = np.where(letter, c, _SPACE)[keep].astype(np.int64)
-    if not len(c):
-        return c
     c = np.r_[_SPACE, c] if c[-1] == _SPACE else np.r_[_SPACE, c, _SPACE]
     one = c[c != _SPACE]
     two = c[:-1] << 21 | c[1:]
