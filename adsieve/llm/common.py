@@ -89,6 +89,17 @@ def others(df: DataFrame, *names: str) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in low]
 
 
+def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has."""
+    low = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while f"__{name}" in low:
+            name += "_"
+        out.append(f"__{name}")
+    return out
+
+
 def crc_mod(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n`` (the fold rule)."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 from collections import Counter
 
 WS = re.compile(r"[\x20\x09-\x0D]+")
@@ -21,15 +22,17 @@ def exact(rows):
     return {i: (min(g)[1], len(g), min(g)[1] == i, k) for k, g in groups.items() for _, i in g}
 
 
-def substrings(rows, width):
-    seen, out = {}, {}
-    for i, t in sorted(rows):
+def substrings(rows, width, tag=lambda text: text or ""):
+    """By (id, text): different texts of one id are documents of their own, in
+    the order that ``tag`` gives them."""
+    seen, out = set(), {}
+    for i, _, t in sorted({(i, tag(t), t or "") for i, t in rows}):
         w, gone = words(t), set()
         for p in range(len(w) - width + 1):
             if tuple(w[p: p + width]) in seen:
                 gone.update(range(p, p + width))
-            seen.setdefault(tuple(w[p: p + width]), (i, p))
-        out[i] = (len(w), len(gone), [x for k, x in enumerate(w) if k not in gone])
+            seen.add(tuple(w[p: p + width]))
+        out[i, t] = (len(w), len(gone), [x for k, x in enumerate(w) if k not in gone])
     return out
 
 
@@ -68,13 +71,38 @@ def cosine(rows, threshold=0.95):
 
 
 def ranks(text, top):
-    """Out-of-place ranking of a text's n-grams, by strings."""
-    import unicodedata
-    low = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower())
+    """A text's n-grams with their counts, by strings."""
+    low = "".join(c if unicodedata.category(c).startswith(("L", "M")) else " " for c in text.lower())
     grams = Counter()
+    if not any(unicodedata.category(c).startswith("L") for c in low):
+        return grams
     for w in low.split():
         p = f" {w} "
         grams.update(w)
         grams.update(p[k: k + 2] for k in range(len(p) - 1))
         grams.update(p[k: k + 3] for k in range(len(p) - 2) if p[k + 1] != " ")
     return grams
+
+
+def _order(grams, top):
+    # a shorter n-gram has a smaller code; within a length, code points decide
+    return [g for g, _ in sorted(grams.items(), key=lambda x: (-x[1], len(x[0]), x[0]))[:top]]
+
+
+def languages(rows, top):
+    """Profiles of ``(text, lang)`` rows."""
+    total = {}
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            total.setdefault(lang, Counter()).update(ranks(text, top))
+    return {lang: _order(c, top) for lang, c in total.items() if c}
+
+
+def language(text, profiles, top):
+    """(language, score) by out-of-place distance."""
+    mine = _order(ranks(text or "", top), top)
+    if not mine or not profiles:
+        return "und", 0.0
+    far = sorted((sum(abs(p.index(g) - k) if g in p else top for k, g in enumerate(mine)), lang) for lang, p in profiles.items())
+    second = far[1][0] if len(far) > 1 else top * len(mine)
+    return far[0][1], second / (far[0][0] + second) if far[0][0] + second else 1.0

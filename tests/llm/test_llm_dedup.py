@@ -4,6 +4,7 @@ import random
 
 import brute_llm as B
 import pytest
+from pyspark.sql import functions as F
 
 from adsieve.llm import exact_dedup as X
 from adsieve.llm import jaccard_join as J
@@ -59,13 +60,44 @@ def test_drop_copies_keeps_columns(documents):
     assert X.drop_copies(documents([])).count() == 0 and X.decide_copies(documents([])).count() == 0
 
 
-@pytest.mark.parametrize("slice_bytes", [64, 1 << 21])
-def test_substrings(documents, monkeypatch, slice_bytes):
+def text_tag(lspark):
+    """The order of several texts of one id, as the operator documents it."""
+    import functools
+    return functools.cache(lambda t: lspark.range(1).select(F.xxhash64(F.lit(t or ""))).first()[0])
+
+
+def cut(docs, width):
+    return {(r.doc_id, r.src): (r.n_words, r.n_removed, B.words(r.text)) for r in S.dedup_substrings(docs.withColumn("src", F.coalesce("text", F.lit(""))), width).collect()}
+
+
+@pytest.mark.parametrize("slice_bytes, seen", [(64, 1 << 19), (64, 3), (1 << 21, 1 << 19)])
+def test_substrings(documents, monkeypatch, slice_bytes, seen):
     monkeypatch.setattr(S, "BUCKET_WINDOWS", 50)
+    monkeypatch.setattr(S, "PARTITIONS", 5)
     monkeypatch.setattr(S, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(S, "SEEN", seen)
     rows = corpus(5)
-    got = {r.doc_id: (r.n_words, r.n_removed, B.words(r.text)) for r in S.dedup_substrings(documents(rows), 8).collect()}
-    assert got == B.substrings(rows, 8)
+    assert cut(documents(rows).coalesce(2), 8) == B.substrings(rows, 8)
+
+
+@pytest.mark.parametrize("broadcast", [1 << 20, 0])
+def test_substrings_of_repeated_ids(documents, monkeypatch, lspark, broadcast):
+    monkeypatch.setattr(S, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(S, "SLICE_BYTES", 64)
+    tag, long = text_tag(lspark), " ".join(f"w{k}" for k in range(40))
+    tables = [
+        [(0, long), (1, long), (1, "a b c")],
+        [(0, long), (1, "p q r s t u " + long), (1, "a b c")],
+        [(1, long), (1, long + " end"), (1, "lead " + long), (1, long), (1, None), (1, ""), (None, long), (0, "x " * 70)],
+        [(k % 3, t) for k, (_, t) in enumerate(corpus(8, 50))],  # an id with a third of all rows
+    ]
+    for rows in tables:
+        docs = documents(rows, __tag="clash", tag=1, __KEY=2)
+        got = cut(docs, 8)
+        want = B.substrings([(i, t) for i, t in rows if i is not None], 8, tag)
+        assert {k: v for k, v in got.items() if k[0] is not None} == want
+        assert all(got[None, t] == (40, 0, B.words(t)) for i, t in rows if i is None)
+        assert sorted(S.dedup_substrings(docs, 8).groupBy("doc_id").count().collect(), key=str) == sorted(docs.groupBy("doc_id").count().collect(), key=str)
 
 
 def test_substrings_edges(documents):

@@ -123,6 +123,28 @@ def test_rankings_match_strings():
         assert top.tolist() == [c for _, c in sorted(zip((-counts).tolist(), codes.tolist()))[:10]]
 
 
+def test_language_id_by_strings(lspark):
+    """The registered query, row for row, against the plain version."""
+    import zlib
+
+    import __spark_entry__ as E
+    base = "/root/testdata/sf0.001"
+    docs = lspark.read.parquet(f"{base}/documents.parquet").select("doc_id", "text", "lang").collect()
+    fold = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 for r in docs}
+    profiles = B.languages([(r.text, r.lang) for r in docs if fold[r.doc_id] != 2], language_id.TOP)
+    got = {r.doc_id: r for r in E.queries()["op10_language_id"](lspark, base).collect()}
+    for r in docs:
+        lang, score = B.language(r.text, profiles, language_id.TOP)
+        assert (got[r.doc_id].lang_pred, got[r.doc_id].held_out) == (lang, fold[r.doc_id] == 2)
+        assert got[r.doc_id].score == pytest.approx(score, abs=1e-12)
+    odd_texts = [None, "", "12 34", "\u2764\ufe0f", "\u0301", "\u0301\u0302 9", "\u24b6", "a\u0301", "\u2764\ufe0f the house", "\u0669"]
+    edges = lspark.createDataFrame(list(enumerate(odd_texts)), "doc_id long, text string")
+    for r in language_id.classify(edges, language_id.learn(lspark.createDataFrame(docs).where(crc_mod("doc_id", 4) != 2))).collect():
+        lang, score = B.language(odd_texts[r.doc_id], profiles, language_id.TOP)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-12)
+        assert (lang == "und") == (r.doc_id not in (7, 8))
+
+
 def test_language_id(lspark):
     docs = lspark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     profiles = language_id.learn(docs.where(crc_mod("doc_id", 4) != 2))
@@ -199,7 +221,7 @@ def test_pipeline_stages(lspark, tmp_path):
             assert {r.doc_id for r in then} == {i for i, d in B.jaccard(list(rows.items())).items() if d[2]}
         elif name == "substring_dedup":
             want = B.substrings(list(rows.items()), 20)
-            assert {r.doc_id: B.words(r.text) for r in then} == {i: d[2] for i, d in want.items()}
+            assert {r.doc_id: B.words(r.text) for r in then} == {i: d[2] for (i, _), d in want.items()}
             assert all(r.n_chars == len(r.text) for r in then)
         else:
             check_packing(list(rows.items()), then, 1024)
