@@ -21,6 +21,7 @@ from adsieve.llm.covertree import near_vectors
 from adsieve.llm.exact_dedup import decide_copies
 from adsieve.llm.jaccard_join import jaccard_links
 from adsieve.llm.packing import pack
+from adsieve.llm.resample import scores as resampling_scores
 from adsieve.llm.substring_dedup import dedup_substrings
 from adsieve.llm.warc import read_archives, write_archives
 
@@ -82,6 +83,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = resampling_scores(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return told.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def _sha(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
@@ -183,6 +189,42 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE u = comp.vec_id) AS n_links, co
 FROM comp
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS step FROM bits WHERE k = 8),
+d AS (
+  SELECT doc_id, 0 AS side, text FROM documents
+  UNION ALL SELECT NULL, 1, text FROM benchmark),
+w AS (
+  SELECT doc_id, side, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d),
+f AS (
+  SELECT doc_id, side, array_to_string(ws[p:p + k], ' ') AS f
+  FROM (SELECT doc_id, side, ws, unnest(range(1, len(ws) + 1)) AS p FROM w), range(0, 3) AS r(k) WHERE p + k <= len(ws)),
+g AS (SELECT f, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM f GROUP BY f),
+h AS (SELECT f, s, t, hex(encode(f)) AS x FROM g),
+b AS (
+  SELECT f, s, t, xor(list_reduce(list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+      lambda c, y: xor(c >> 8, step[(xor(c, y) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM h, crc),
+total AS (SELECT bucket, sum(s) AS s, sum(t) AS t FROM b GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS g
+  FROM total),
+weigh AS (SELECT doc_id, sum(g)::BIGINT AS weight FROM f JOIN b USING (f) JOIN gain USING (bucket) WHERE side = 0 GROUP BY doc_id),
+score AS (
+  SELECT doc_id, len(ws) AS n, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN weigh USING (doc_id) WHERE side = 0),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS total FROM score WHERE n >= 20)
+SELECT doc_id, (n + greatest(n - 1, 0) + greatest(n - 2, 0))::BIGINT AS n_features, weight, score,
+       CASE WHEN rank <= 5 * total // 100 THEN rank END AS rank
+FROM score LEFT JOIN drawn USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -194,6 +236,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_resampling": op11_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -203,4 +246,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": OP5_SQL,
     "op7_cover_tree": OP7_SQL,
     "op9_jaccard_join": OP9_SQL,
+    "op11_resampling": OP11_SQL,
 }
