@@ -24,6 +24,7 @@ from adsieve.llm.packing import pack
 from adsieve.llm.resample import scores as resampling_scores
 from adsieve.llm.substring_dedup import dedup_substrings
 from adsieve.llm.warc import read_archives, write_archives
+from adsieve.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,11 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitened(table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 def _sha(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
@@ -237,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
     "op11_resampling": op11_resampling,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
