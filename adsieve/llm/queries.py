@@ -20,6 +20,7 @@ from adsieve.llm.common import WS, crc_mod, prepare, table
 from adsieve.llm.covertree import near_vectors
 from adsieve.llm.exact_dedup import decide_copies
 from adsieve.llm.jaccard_join import jaccard_links
+from adsieve.llm.kmeans_tree import nearest
 from adsieve.llm.packing import pack
 from adsieve.llm.resample import scores as resampling_scores
 from adsieve.llm.substring_dedup import dedup_substrings
@@ -89,6 +90,11 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whitened(table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding"))
     return out.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
@@ -243,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
     "op11_resampling": op11_resampling,
+    "op12_nearest": op12_nearest,
     "op13_whitening": op13_whitening,
 }
 
