@@ -66,20 +66,13 @@ class ScoringConfig:
     non_fraud_score: int = NON_FRAUD_SCORE
     blank_ip_score: int = BLANK_IP_SCORE
     fraud_cut: int = FRAUD_CUT
-    # anchored-window chunk length, in windows: a key's timeline is cut into
-    # chunks of chunk_windows * window so a hot key spreads over many tasks.
-    # Shorter chunks bound the hottest task; longer ones leave fewer chunks
-    # whose entry state depends on the previous chunk.
     # column giving arrival order for the windows (the topic timestamp in a
     # replay of topic messages; the fixture's arrival is created_at)
     arrival_col: str = "created_at"
-    # a single-event key reaches the fold with probability ~2/K, so K trades
-    # the fold shuffle against the size of a hot key's chunk
-    dedupe_chunk_windows: int = 8     # 24 h window → 8-day chunks
-    ip_chunk_windows: int = 16        # 300 s window → 80-minute chunks
-    # chunk states are folded in blocks of this many chunks, so a dense hot
-    # key's run table never meets in one task
-    fold_block_chunks: int = 16
+    # slices that a window is cut into (anchored windows): so many tasks share
+    # a hot window. Every slice that inherits a window is a row of state.
+    dedupe_parts: int = 64
+    ip_parts: int = 16
 
 
 @dataclass(frozen=True)

@@ -7,25 +7,34 @@ positions; the first event at ``t >= t0 + W`` opens the next window. This is
 neither a tumbling, sliding nor session window, so ``window()`` cannot
 express it, and it is sequential per key.
 
-Distributed form (exact, no key has to fit in one task):
-
-* Each key's timeline is cut into chunks of ``R = chunk_windows * W``
-  (``chunk = floor(t / R)``), so a hot key spreads over many tasks.
-* Phase 1 (parallel per chunk): the only unknown when a chunk starts is the
-  reach ``r`` of the last anchor of the previous chunk. Because ``r`` lies
-  before ``chunk_start + W``, the first anchor of the chunk is one of the
-  events in its first ``W`` (or the first event after it). The chunk walks
-  the anchor chain from every such candidate at once (vectorised
-  ``searchsorted``, at most ``chunk_windows + 1`` steps) and emits the exit
-  state per candidate, run-length encoded (chains merge quickly, so this is
-  usually one row per chunk).
-* Phase 2 (per key, over the small run table): fold the chunks in time order;
-  only chains of adjacent chunks are sequential. Emits the entry reach and
-  the open-window count for each chunk that inherits a window.
-* Phase 3 (parallel per chunk): the state is joined to the events on
-  ``(key, chunk)`` and each chunk is scanned once to give every event its
-  position and anchor. All columns pass through, so no join back is needed.
-  Phases 1 and 3 read the same ``(key, chunk)`` shuffle.
+Distributed form (exact; neither a key nor a single window has to fit in one
+task). A key's timeline is cut into slices of ``S = W / parts``, and rows are
+shuffled once by ``(key, slice)``. A slice holds at most one anchor.
+
+* *Summary.* Count, first and last time of every slice; along each key (a
+  window over these narrow rows) the prefix counts, and where a gap of ``W``
+  or more begins a *cluster*: its first event is an anchor whatever came
+  before. A slice that ends within ``W`` of its cluster's start lies in the
+  cluster's first window, so its answer is the prefix count. For keys that
+  rarely repeat (event ids) that settles everything, in the JVM.
+* *Nodes* (`_visit`), only for the other, *hard* slices: the next anchor after
+  an anchor at ``t`` is the first event at or after ``t + W``, which lies at
+  the same place of the next window. So events are grouped by ``(key, place of
+  the slice in its window)``: such a group follows all chains that stay at its
+  place, from the first event of every slice, and hands on each event it
+  visits with its successor, or none where the chain leaves the slice. Chains
+  that meet are one, so the work is linear.
+* *Walk* (`_walk`), per key over slices and visited events: a chain that left
+  its slice goes on at the first event of the next one. Gives every hard slice
+  its anchor, the window it inherits and how many events that has.
+* *Positions.* A row's number in its slice, plus the inherited count or minus
+  the rows before the slice's anchor: a window function over the one shuffle.
+  All columns pass through, so no join back is needed.
+
+A window that holds 370 GB is thus ``parts`` slices of rows that are sorted and
+numbered by as many tasks; Python sees 8-byte times of hard slices alone, one
+slice at a time. The walk's rows per key are bounded by its slices and the
+chains that do not meet, not by its events.
 
 Rows outside ``counted`` take no part and get null position/anchor.
 """
@@ -36,11 +45,9 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adsieve.functions import col_of, epoch_micros
 
@@ -51,442 +58,194 @@ except Exception:  # pragma: no cover
     pass
 
 _US = 1_000_000
-_NEG = np.iinfo(np.int64).min // 4
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-# keep gid * span well inside int64
-_MAX_COORD = 2 ** 62
+_MAX_COORD = 2 ** 62  # keys are laid one after the other on one axis, inside int64
+_SEGMENT = 1 << 18  # rows that a task handles at once
 
-
-# ---------------------------------------------------------------------------
-# batch plumbing
-# ---------------------------------------------------------------------------
-def _group_starts(k: np.ndarray, c: np.ndarray) -> np.ndarray:
-    n = len(k)
-    if n == 0:
-        return np.zeros(0, dtype=np.int64)
-    brk = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
-    return np.r_[0, np.flatnonzero(brk) + 1].astype(np.int64)
-
-
-def _complete_groups(batches: Iterator[pd.DataFrame], kcol: str, ccol: str) -> Iterator[pd.DataFrame]:
-    """Re-cut a sorted stream of Arrow batches into frames of whole groups.
-
-    A group (``kcol``, ``ccol``) split over batches is held back until it is
-    complete; pieces are concatenated once, so a hot group costs linear time.
-    """
-    pending: list[pd.DataFrame] = []
-    for pdf in batches:
-        if len(pdf) == 0:
-            continue
-        if pending:
-            last = pending[-1]
-            lk, lc = last[kcol].values[-1], last[ccol].values[-1]
-            k, c = pdf[kcol].values, pdf[ccol].values
-            same = (pd.isna(k) if pd.isna(lk) else (k == lk)) & (c == lc)
-            if same.all():
-                pending.append(pdf)
-                continue
-            # first row of pdf that leaves the pending group
-            cut = int(np.argmin(same))
-            if cut > 0:
-                pending.append(pdf.iloc[:cut])
-                pdf = pdf.iloc[cut:]
-            yield pd.concat(pending, ignore_index=True)
-            pending = []
-        k, c = pdf[kcol].values, pdf[ccol].values
-        starts = _group_starts(k, c)
-        tail = int(starts[-1])
-        if tail > 0:
-            yield pdf.iloc[:tail].reset_index(drop=True)
-        pending = [pdf.iloc[tail:]]
-    if pending:
-        yield pd.concat(pending, ignore_index=True)
+_EVENTS = "_k string, _j long, _t long"
+_NODES = "_k string, _t long, _u long, _before long, _next long"
+_STATE = "_k string, _u long, _prev long, _carry long, _at long, _skip long"
+NO_TIME = np.iinfo(np.int64).min
 
 
 def _np(col) -> np.ndarray:
     return col.to_numpy(zero_copy_only=False)
 
 
-def _slices(n_groups: int, span: int) -> int:
-    """How many groups fit one coordinate space without int64 overflow."""
-    return max(1, int(_MAX_COORD // max(span, 1)) - 1)
+def _ids(*columns: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... for runs of equal rows."""
+    new = np.zeros(len(columns[0]), bool)
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.cumsum(new)
+
+
+def _whole(batches: Iterator[pa.RecordBatch], group) -> Iterator[pa.Table]:
+    """Tables of about ``_SEGMENT`` rows that end where a group ends; ``group``
+    gives the group numbers of a table's rows."""
+    held: list[pa.RecordBatch] = []
+    rows = limit = 0
+    for rb in batches:
+        held.append(rb)
+        rows += rb.num_rows
+        if rows >= max(limit, _SEGMENT):
+            table = pa.Table.from_batches(held).combine_chunks()
+            g = group(table)
+            cut = int(np.searchsorted(g, g[-1]))
+            if cut:
+                yield table.slice(0, cut)
+                table = table.slice(cut)
+            # a group that fills the table is looked at again when it has doubled
+            held, rows, limit = table.to_batches(), table.num_rows, 2 * table.num_rows
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 # ---------------------------------------------------------------------------
-# phase 1: per-chunk candidate runs
+# visited events of the hard slices
 # ---------------------------------------------------------------------------
-def _chunk_runs(k, c, t, W: int, R: int) -> pd.DataFrame:
+def follow(gid: np.ndarray, t: np.ndarray, S: int, m: int, led: np.ndarray):
+    """Events of groups (sorted by group and time) that chains visit. Chains
+    begin at the first event of every slice; ``led`` holds times in the slice
+    before the first one from which chains reach into it.
+
+    Returns (index, slice, rows of the slice before it, next time or NO_TIME,
+    next time of each of ``led``)."""
+    W = S * m
+    u = t // S
+    low, span = int(t.min()) - 2 * W, int(t.max() - t.min()) + 4 * W
+    if span * (int(gid[-1]) + 1) > _MAX_COORD:
+        raise OverflowError("groups leave the axis")
+    X = gid * span + (t - low)
     n = len(t)
-    starts = _group_starts(k, c)
-    ends = np.r_[starts[1:], n]
-    G = len(starts)
-    span = R + W
-    gid = np.repeat(np.arange(G, dtype=np.int64), ends - starts)
-    X = gid * span + (t - c * R)
-    gend = ends[gid]
-    # index of the first event at or after chunk_start + W, per group
-    cfirst = np.searchsorted(X, np.arange(G, dtype=np.int64) * span + W, side="left")
-    idx = np.arange(n, dtype=np.int64)
-    block_start = np.ones(n, dtype=bool)
-    block_start[1:] = t[1:] != t[:-1]
-    block_start[starts] = True
-    cand = idx[(idx <= np.minimum(cfirst[gid], gend - 1)) & block_start]
-    a = cand.copy()
-    active = np.arange(len(a))
-    while len(active):
-        cur = a[active]
-        nxt = np.searchsorted(X, X[cur] + W, side="left")
-        ok = nxt < gend[cur]
-        a[active[ok]] = nxt[ok]
-        active = active[ok]
-    cg = gid[cand]
-    new_run = np.ones(len(cand), dtype=bool)
-    new_run[1:] = (cg[1:] != cg[:-1]) | (a[1:] != a[:-1])
-    run_last = np.r_[np.flatnonzero(new_run)[1:] - 1, len(cand) - 1] if len(cand) else np.zeros(0, np.int64)
-    ex = a[run_last]
-    rk = cand[run_last]
-    runs = pd.DataFrame({
-        "_k": k[rk],
-        "_c": c[rk],
-        "_hi": t[rk],
-        "_ex_t": t[ex],
-        "_ex_n": (gend[ex] - ex).astype(np.int64),
-    })
-    # A chunk matters to the fold only if its entry can vary (events in its
-    # first W) or some exit window reaches into the next chunk; all other
-    # chunks are independent and need no state.
-    rg = gid[rk]
-    dependent = t[starts[rg]] < c[rk] * R + W
-    passes = t[ex] + W > (c[rk] + 1) * R
-    g_keep = np.zeros(G, dtype=bool)
-    np.logical_or.at(g_keep, rg, dependent | passes)
-    return runs[g_keep[rg]]
-
-
-class _ChunkChains:
-    """Phase-1 state of one (key, chunk): the anchor chain from every
-    possible entry, advanced batch by batch (memory: the candidates only)."""
-
-    def __init__(self, key, chunk: int, W: int, R: int):
-        self.key, self.chunk, self.W = key, chunk, W
-        self.edge = chunk * R + W          # entries lie before chunk_start + W
-        self.R = R
-        self.first_t = None
-        self.seen = 0                      # events of the chunk seen so far
-        self.last_t = None
-        self.closed = False                # first event >= edge already added
-        self._parts: list[tuple[np.ndarray, np.ndarray]] = []   # entries (time, index) per batch
-        self.cand_t = np.zeros(0, np.int64)   # block time of each entry
-        self.at = np.zeros(0, np.int64)       # current anchor time per entry
-        self.turn = 0                         # the entry that moves next
-        self.ai = np.zeros(0, np.int64)       # current anchor index per entry
-
-    def feed(self, t: np.ndarray) -> None:
-        n = len(t)
-        if self.first_t is None:
-            self.first_t = int(t[0])
-        idx = self.seen + np.arange(n, dtype=np.int64)
-        if not self.closed:
-            prev = np.empty(n, np.int64)
-            prev[1:] = t[:-1]
-            prev[0] = self.last_t if self.last_t is not None else t[0] - 1
-            block = t != prev
-            inside = t < self.edge
-            first_out = np.flatnonzero(~inside)
-            take = inside & block
-            if len(first_out):
-                take[first_out[0]] = True
-                self.closed = True
-            self._parts.append((t[take], idx[take]))
-            if self.closed:
-                self._seal()
-        if self.closed:
-            # advance every chain whose next anchor lies in this batch. Chains
-            # move in turns: those before ``turn`` are one anchor ahead, and
-            # none overtakes another, so the next to move stand at ``turn``
-            while True:
-                k = int(np.searchsorted(self.at[self.turn:], t[-1] - self.W, side="right"))
-                if not k:
-                    break
-                move = slice(self.turn, self.turn + k)
-                j = np.searchsorted(t, self.at[move] + self.W, side="left")
-                self.at[move], self.ai[move] = t[j], idx[j]
-                self.turn = (self.turn + k) % len(self.at)
-                if self.turn:
-                    break
-        self.seen += n
-        self.last_t = t[-1]
-
-    def _seal(self) -> None:
-        """No chain moves before an event past the edge, so the entries are
-        put together once."""
-        if self._parts:
-            self.cand_t, self.ai = (np.concatenate(x) for x in zip(*self._parts))
-            self.at = self.cand_t.copy()
-            self._parts = []
-
-    def runs(self) -> pd.DataFrame:
-        self._seal()
-        ai = self.ai
-        if self.first_t is not None and self.first_t >= self.edge and not (self.at + self.W > self.edge - self.W + self.R).any():
-            ai = ai[:0]  # independent chunk that passes no state: nothing to fold
-        new_run = np.ones(len(ai), dtype=bool)
-        new_run[1:] = ai[1:] != ai[:-1]
-        last = np.r_[np.flatnonzero(new_run)[1:] - 1, len(ai) - 1] if len(ai) else np.zeros(0, np.int64)
-        m = len(last)
-        return pd.DataFrame({
-            "_k": np.array([self.key] * m, dtype=object),
-            "_c": np.full(m, self.chunk, dtype=np.int64),
-            "_hi": self.cand_t[last],
-            "_ex_t": self.at[last],
-            "_ex_n": (self.seen - ai[last]).astype(np.int64),
-        })
-
-
-_RUNS_ARROW = pa.schema([("_k", pa.string()), ("_c", pa.int64()), ("_hi", pa.int64()),
-                         ("_ex_t", pa.int64()), ("_ex_n", pa.int64())])
-
-
-def _valid_key(x) -> bool:
-    return x is not None and not (isinstance(x, float) and np.isnan(x))
-
-
-def _phase1(W: int, R: int):
-    """Complete chunks inside a batch are walked vectorised; only a chunk
-    that straddles batches is carried over (bounded memory for hot chunks)."""
-    def emit(df: pd.DataFrame):
-        return pa.RecordBatch.from_pandas(df, schema=_RUNS_ARROW, preserve_index=False)
+    first = np.ones(n, bool)
+    first[1:] = (gid[1:] != gid[:-1]) | (u[1:] != u[:-1])
+    start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+
+    def after(x: np.ndarray, g, own: np.ndarray) -> np.ndarray:
+        """First event a window after ``x``, -1 unless in the next window's slice."""
+        to = np.searchsorted(X, x + W)
+        at = np.minimum(to, n - 1)
+        return np.where((to < n) & (gid[at] == g) & (u[at] == own + m), at, -1)
+
+    into = after(led - low, 0, led // S) if len(led) else np.empty(0, np.int64)
+    seen = first.copy()
+    seen[into[into >= 0]] = True
+    front = np.flatnonzero(seen)
+    while len(front):  # every event is visited once, however many chains meet in it
+        to = after(X[front], gid[front], u[front])
+        to = np.unique(to[to >= 0])
+        front = to[~seen[to]]
+        seen[front] = True
+    node = np.flatnonzero(seen)
+    to = after(X[node], gid[node], u[node])
+    same = np.searchsorted(X, X[node])  # events of one time count from the first of them
+    return (node, u[node], same - start[node], np.where(to >= 0, t[to], NO_TIME), np.where(into >= 0, t[into], NO_TIME))
+
+
+def _visit(S: int, m: int):
+    schema = pa.schema([("_k", pa.string()), ("_t", pa.int64()), ("_u", pa.int64()), ("_before", pa.int64()), ("_next", pa.int64())])
+
+    def slices(table: pa.Table) -> np.ndarray:
+        return _ids(_np(table["_k"]), _np(table["_j"]), _np(table["_t"]) // S)
+
+    def rows(k, t, u, before, to) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(k, pa.string()), pa.array(t), pa.array(u), pa.array(before), pa.array(to)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cur: _ChunkChains | None = None
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            k = _np(rb.column("_k"))
-            c = _np(rb.column("_c")).astype(np.int64)
-            t = _np(rb.column("_t").fill_null(0)).astype(np.int64)
-            starts = _group_starts(k, c)
-            ends = np.r_[starts[1:], len(k)]
-            first = 0
-            if cur is not None:
-                if cur.key == k[0] and cur.chunk == int(c[0]):
-                    cur.feed(t[: ends[0]])
-                    first = 1
-                if first == 0 or len(starts) > 1:
-                    yield emit(cur.runs())
-                    cur = None
-            last = len(starts) - 1
-            if last >= first:
-                # the last chunk of the batch may continue in the next batch
-                lo_last = int(starts[last])
-                if _valid_key(k[lo_last]):
-                    cur = _ChunkChains(k[lo_last], int(c[lo_last]), W, R)
-                    cur.feed(t[lo_last:])
-                lo = int(starts[first]) if first < len(starts) else lo_last
-                if lo < lo_last:
-                    kk, cc, tt = k[lo:lo_last], c[lo:lo_last], t[lo:lo_last]
-                    keep = pd.notna(kk)
-                    if keep.any():
-                        kk, cc, tt = kk[keep], cc[keep], tt[keep]
-                        gs = _group_starts(kk, cc)
-                        per = _slices(len(gs), R + W)
-                        bounds = list(gs[::per]) + [len(tt)]
-                        for a0, b0 in zip(bounds[:-1], bounds[1:]):
-                            yield emit(_chunk_runs(kk[a0:b0], cc[a0:b0], tt[a0:b0], W, R))
-        if cur is not None:
-            yield emit(cur.runs())
+        last = None  # key, place, and the events visited in the last slice, whose successors are still to come
+        for table in _whole(batches, slices):
+            k, j, t = _np(table["_k"]), _np(table["_j"]), _np(table["_t"])
+            gid = _ids(k, j)
+            per = max(1, _MAX_COORD // (int(t.max() - t.min()) + 4 * S * m) - 1)
+            for a in range(0, int(gid[-1]) + 1, per):
+                lo, hi = np.searchsorted(gid, [a, a + per])
+                goes_on = last is not None and last[0] == k[lo] and last[1] == j[lo]
+                if last is not None and not goes_on:
+                    yield rows([last[0]] * len(last[2]), last[2], last[3], last[4], np.full(len(last[2]), NO_TIME))
+                led = last[2] if goes_on else np.empty(0, np.int64)
+                node, u, before, to, into = follow(gid[lo:hi] - a, t[lo:hi], S, m, led)
+                if goes_on:
+                    yield rows([last[0]] * len(led), led, last[3], last[4], into)
+                open_ = (gid[lo:hi][node] == gid[hi - 1] - a) & (u == t[hi - 1] // S)
+                done = ~open_
+                yield rows(k[lo:hi][node[done]], t[lo:hi][node[done]], u[done], before[done], to[done])
+                last = k[hi - 1], j[hi - 1], t[lo:hi][node[open_]], u[open_], before[open_]
+        if last is not None:
+            yield rows([last[0]] * len(last[2]), last[2], last[3], last[4], np.full(len(last[2]), NO_TIME))
     return run
 
 
 # ---------------------------------------------------------------------------
-# phase 2: fold chunk exits along each key
+# walk along each key
 # ---------------------------------------------------------------------------
-def _phase2(W: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev = None  # (key, chunk, exit_t or None, exit_n)
-        for pdf in _complete_groups(batches, "_k", "_c"):
-            k = pdf["_k"].values
-            c = pdf["_c"].values.astype(np.int64)
-            hi = pdf["_hi"].values.astype(np.int64)
-            ext = pdf["_ex_t"].values.astype(np.int64)
-            exn = pdf["_ex_n"].values.astype(np.int64)
-            starts = _group_starts(k, c)
-            ends = np.r_[starts[1:], len(k)]
-            gk, gc = k[starts], c[starts]
-            adj = np.zeros(len(starts), dtype=bool)
-            adj[1:] = (gk[1:] == gk[:-1]) & (gc[1:] == gc[:-1] + 1)
-            if prev is not None and len(starts):
-                adj[0] = (gk[0] == prev[0]) and (gc[0] == prev[1] + 1)
-            # default: no inherited window, the first run gives the exit
-            g_ext = ext[starts].astype(object)
-            g_exn = exn[starts]
-            out_k, out_c, out_r, out_n = [], [], [], []
-            for g in np.flatnonzero(adj):
-                if g == 0:
-                    p_ext, p_exn = prev[2], prev[3]
-                else:
-                    p_ext, p_exn = g_ext[g - 1], g_exn[g - 1]
-                if p_ext is None:
-                    continue  # previous chunk has no anchor: fresh start
-                r = int(p_ext) + W
-                lo, hi_ = starts[g], ends[g]
-                j = lo + int(np.searchsorted(hi[lo:hi_], r, side="left"))
-                if j < hi_:
-                    g_ext[g], g_exn[g] = ext[j], exn[j]
-                else:
-                    g_ext[g] = None
-                out_k.append(gk[g]); out_c.append(gc[g]); out_r.append(r); out_n.append(int(p_exn))
-            if len(starts):
-                last = len(starts) - 1
-                prev = (gk[last], int(gc[last]), g_ext[last], int(g_exn[last]))
-            if out_k:
-                yield pd.DataFrame({
-                    "_k": np.array(out_k, dtype=object),
-                    "_c": np.array(out_c, dtype=np.int64),
-                    "_r": np.array(out_r, dtype=np.int64),
-                    "_carry": np.array(out_n, dtype=np.int64),
-                })
-    return run
-
+def walk(gid: np.ndarray, t: np.ndarray, u: np.ndarray, before: np.ndarray, to: np.ndarray, slices: tuple[np.ndarray, ...], S: int, m: int):
+    """Anchors of keys, from visited events (``gid, t`` order; cluster starts
+    among them) and the hard slices ``(gid, u, lo, cum, start, start_cum)``:
+    first time, rows of the key before it, the same of the cluster's start.
+
+    Returns (slice index, time of the window it inherits, rows that has,
+    its anchor or NO_TIME, rows before that), where the anchor is not simply
+    the slice's first event."""
+    W = S * m
+    g, su, lo, cum, start, start_cum = slices
+    low, span = int(min(t.min(), start.min())) - W, int(max(t.max(), lo.max()) - min(t.min(), start.min())) + 4 * W
+    X, L = gid * span + (t - low), g * span + (lo - low)
+    n = len(t)
+    # the slice a visited event is in; a cluster's start is in none of them
+    at = np.minimum(np.searchsorted(L, X, side="right") - 1, len(L) - 1)
+    inside = (at >= 0) & (g[at] == gid) & (su[at] == u)
+    # a chain that leaves its slice goes on at the first event after it
+    leave = np.searchsorted(L, gid * span + ((u + m + 1) * S - low))
+    there = np.minimum(leave, len(L) - 1)
+    goes = (leave < len(L)) & (g[there] == gid) & (start[there] <= t)  # of the same cluster
+    jump = np.where(goes, np.searchsorted(X, L[there]), n)
+    nxt = np.where(to != NO_TIME, np.searchsorted(X, gid * span + (to - low)), jump)
+    anchor = np.zeros(n, bool)
+    here = np.unique(np.searchsorted(X, g * span + (start - low)))
+    while len(here):
+        anchor[here] = True
+        here = nxt[here]
+        here = np.unique(here[here < n])
+        here = here[~anchor[here]]
+    a = np.flatnonzero(anchor)
+    A = X[a]
+    # rows of the key before each anchor
+    head = np.minimum(np.searchsorted(g * span + (start - low), A), len(g) - 1)
+    rank = np.where(inside[a], cum[at[a]] + before[a], start_cum[head])
+    own = np.minimum(np.searchsorted(A, L), len(a) - 1)
+    has = (A[own] >= L) & (gid[a[own]] == g) & (u[a[own]] == su)
+    prev = np.searchsorted(A, L) - 1
+    keep = ~(has & (t[a[own]] == lo))
+    return (np.flatnonzero(keep), t[a[prev]][keep], (cum - rank[prev])[keep],
+            np.where(has, t[a[own]], NO_TIME)[keep], np.where(has, before[a[own]], 0)[keep])
+
+
+def _walk(S: int, m: int):
+    schema = pa.schema([("_k", pa.string())] + [(c, pa.int64()) for c in ("_u", "_prev", "_carry", "_at", "_skip")])
+
+    def keys(table: pa.Table) -> np.ndarray:
+        return _ids(_np(table["_k"]))
 
-# ---------------------------------------------------------------------------
-# blocked fold: phase 2 split into per-block work (hot keys)
-# ---------------------------------------------------------------------------
-_MAXHI = np.iinfo(np.int64).max
-
-
-def _block_exit(hi_list, ext_list, exn_list, chunks, first_slot, last_slot, W):
-    """Composite function of one block: every entry state of its first chunk
-    → exit of the block (``_NEG`` when nothing passes into the next block)."""
-    c1 = chunks[0]
-    if c1 != first_slot:
-        # no predecessor inside reach: the block always starts fresh
-        st_hi = np.array([_MAXHI], dtype=np.int64)
-        cur_t = np.array([ext_list[0][0]], dtype=np.int64)
-        cur_n = np.array([exn_list[0][0]], dtype=np.int64)
-        alive = np.ones(1, dtype=bool)
-    else:
-        st_hi = np.r_[hi_list[0], _MAXHI]            # + the "no anchor" state
-        cur_t = np.r_[ext_list[0], 0]
-        cur_n = np.r_[exn_list[0], 0]
-        alive = np.r_[np.ones(len(hi_list[0]), bool), False]
-    for i in range(1, len(chunks)):
-        hi, et, en = hi_list[i], ext_list[i], exn_list[i]
-        if chunks[i] == chunks[i - 1] + 1:
-            j = np.searchsorted(hi, cur_t + W, side="left")
-            hit = alive & (j < len(hi))
-            jj = np.minimum(j, len(hi) - 1)
-            fresh = ~alive
-            new_t = np.where(hit, et[jj], et[0])
-            new_n = np.where(hit, en[jj], en[0])
-            alive = hit | fresh
-            cur_t, cur_n = new_t, new_n
-        else:
-            cur_t = np.full(len(cur_t), et[0], dtype=np.int64)
-            cur_n = np.full(len(cur_n), en[0], dtype=np.int64)
-            alive = np.ones(len(cur_t), dtype=bool)
-    if chunks[-1] != last_slot:
-        alive[:] = False
-    cur_t = np.where(alive, cur_t, _NEG)
-    cur_n = np.where(alive, cur_n, 0)
-    keep = np.ones(len(st_hi), dtype=bool)
-    keep[:-1] = (cur_t[1:] != cur_t[:-1]) | (cur_n[1:] != cur_n[:-1])
-    return st_hi[keep], cur_t[keep], cur_n[keep]
-
-
-def _block_fns(W: int, B: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _complete_groups(batches, "_k", "_b"):
-            k = pdf["_k"].values
-            b = pdf["_b"].values.astype(np.int64)
-            c = pdf["_c"].values.astype(np.int64)
-            hi = pdf["_hi"].values.astype(np.int64)
-            et = pdf["_ex_t"].values.astype(np.int64)
-            en = pdf["_ex_n"].values.astype(np.int64)
-            bs = _group_starts(k, b)
-            be = np.r_[bs[1:], len(k)]
-            out_k, out_b, out_hi, out_t, out_n = [], [], [], [], []
-            for lo, up in zip(bs, be):
-                cs = _group_starts(k[lo:up], c[lo:up]) + lo
-                ce = np.r_[cs[1:], up]
-                chunks = c[cs].tolist()
-                bb = int(b[lo])
-                h, t_, n_ = _block_exit([hi[x:y] for x, y in zip(cs, ce)], [et[x:y] for x, y in zip(cs, ce)],
-                                        [en[x:y] for x, y in zip(cs, ce)], chunks, bb * B, bb * B + B - 1, W)
-                out_k.extend([k[lo]] * len(h)); out_b.extend([bb] * len(h))
-                out_hi.append(h); out_t.append(t_); out_n.append(n_)
-            if out_k:
-                yield pd.DataFrame({"_k": np.array(out_k, dtype=object), "_c": np.array(out_b, dtype=np.int64),
-                                    "_hi": np.concatenate(out_hi), "_ex_t": np.concatenate(out_t),
-                                    "_ex_n": np.concatenate(out_n)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, keys):
+            gid, k = keys(table), _np(table["_k"])
+            c = {name: _np(table[name].fill_null(NO_TIME)).astype(np.int64) for name in ("_t", "_u", "_before", "_next", "_cum", "_start", "_start_cum")}
+            per = max(1, _MAX_COORD // (int(c["_t"].max() - c["_t"].min()) + 8 * S * m) - 1)
+            for a in range(0, int(gid[-1]) + 1, per):
+                part = slice(*np.searchsorted(gid, [a, a + per]))
+                v = {name: x[part] for name, x in c.items()}
+                hard = v["_cum"] != NO_TIME
+                node, own = ~hard, gid[part] - a
+                found, prev, carry, at, skip = walk(
+                    own[node], v["_t"][node], v["_u"][node], v["_before"][node], v["_next"][node],
+                    tuple(x[hard] for x in (own, v["_u"], v["_t"], v["_cum"], v["_start"], v["_start_cum"])), S, m)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k[part][hard][found], pa.string()), pa.array(v["_u"][hard][found]), pa.array(prev), pa.array(carry),
+                     pa.array(at, mask=at == NO_TIME), pa.array(skip)], schema=schema)
     return run
 
 
-def _blocked_state(runs: DataFrame, W: int, B: int) -> DataFrame:
-    """Phase 2 in three parallel steps so no key's whole run table meets in
-    one task: (A) per block of ``B`` chunks, the composite entry → exit
-    table; (B) per key, a fold over blocks (``B`` times fewer rows);
-    (C) per block, the ordinary fold seeded with the block's inherited state
-    (a synthetic predecessor chunk)."""
-    sep = "\u001f"
-    rb = runs.withColumn("_b", F.expr(f"(_c - pmod(_c, {B})) div {B}"))
-    blocks = (
-        rb.repartition("_k", "_b").sortWithinPartitions("_k", "_b", "_c", "_hi")
-        .mapInPandas(_block_fns(W, B), "_k string, _c long, _hi long, _ex_t long, _ex_n long")
-    )
-    seeds = (
-        blocks.repartition("_k").sortWithinPartitions("_k", "_c", "_hi")
-        .mapInPandas(_phase2(W), "_k string, _c long, _r long, _carry long")
-        .select(F.concat("_k", F.lit(sep), F.col("_c").cast("string")).alias("_k"),
-                (F.col("_c") * B - 1).alias("_c"), F.lit(int(_MAXHI)).alias("_hi"),
-                (F.col("_r") - W).alias("_ex_t"), F.col("_carry").alias("_ex_n"))
-    )
-    local = rb.select(F.concat("_k", F.lit(sep), F.col("_b").cast("string")).alias("_k"),
-                      "_c", "_hi", "_ex_t", "_ex_n")
-    both = local.unionByName(seeds).withColumn("_kb", F.col("_k"))
-    st = (
-        both.repartition("_kb").sortWithinPartitions("_k", "_c", "_hi").drop("_kb")
-        .mapInPandas(_phase2(W), "_k string, _c long, _r long, _carry long")
-    )
-    # the block id follows the last separator (keys may contain any text)
-    key = F.expr(f"left(_k, length(_k) - length(substring_index(_k, '{sep}', -1)) - 1)")
-    return st.select(key.alias("_k"), "_c", "_r", "_carry")
-
-
-# ---------------------------------------------------------------------------
-# phase 3: final scan with the inherited state
-# ---------------------------------------------------------------------------
-def _scan(k, c, t, r_g: np.ndarray, carry_g: np.ndarray, W: int, R: int):
-    n = len(t)
-    starts = _group_starts(k, c)
-    ends = np.r_[starts[1:], n]
-    G = len(starts)
-    span = R + W
-    gid = np.repeat(np.arange(G, dtype=np.int64), ends - starts)
-    gk, gc = k[starts], c[starts]
-    cnt_row = np.repeat(pd.notna(gk), ends - starts)
-    X = gid * span + np.where(cnt_row, t - c * R, 0)
-    gend = ends[gid]
-    counted = pd.notna(gk)
-    rrel = np.clip(r_g - gc * R, 0, None)
-    entry = np.searchsorted(X, np.arange(G, dtype=np.int64) * span + rrel, side="left")
-    has = counted & (entry < ends)
-    is_anchor = np.zeros(n, dtype=bool)
-    a = entry[has]
-    lim = ends[has]
-    while len(a):
-        is_anchor[a] = True
-        nxt = np.searchsorted(X, X[a] + W, side="left")
-        ok = nxt < lim
-        a, lim = nxt[ok], lim[ok]
-    idx = np.arange(n, dtype=np.int64)
-    acc = np.maximum.accumulate(np.where(is_anchor, idx, -1)) if n else idx
-    own = acc >= starts[gid]
-    pos = np.where(own, idx - acc + 1, carry_g[gid] + (idx - starts[gid]) + 1)
-    anchor = np.where(own, t[np.maximum(acc, 0)], r_g[gid] - W)
-    return pos, anchor, cnt_row
-
-
 def walk_sorted(t: np.ndarray, reach: int | None, carry: int, W: int):
     """Positions and anchors of one key's sorted times, given the live
     window's reach (``anchor + W``, or None) and its count so far.
@@ -512,37 +271,48 @@ def walk_sorted(t: np.ndarray, reach: int | None, carry: int, W: int):
     return pos, anc, int(anc[-1]), int(pos[-1])
 
 
-def _phase3(W: int, R: int, out_cols: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry_key = None  # (key, chunk, r, carry) continuing into the next batch
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            tbl = pa.Table.from_batches([rb])
-            k = _np(tbl.column("_k"))
-            c = _np(tbl.column("_c")).astype(np.int64)
-            t = _np(tbl.column("_t").fill_null(0)).astype(np.int64)
-            starts = _group_starts(k, c)
-            r = _np(tbl.column("_r").fill_null(_NEG)).astype(np.int64)[starts]
-            carry_g = _np(tbl.column("_carry").fill_null(0)).astype(np.int64)[starts]
-            if carry_key is not None and k[0] == carry_key[0] and int(c[0]) == carry_key[1]:
-                # the chunk continues from the previous batch: resume its window
-                r[0], carry_g[0] = carry_key[2], carry_key[3]
-            pos, anchor, cnt = _scan(k, c, t, r, carry_g, W, R)
-            if cnt[-1]:
-                carry_key = (k[-1], int(c[-1]), int(anchor[-1]) + W, int(pos[-1]))
-            else:
-                carry_key = None
-            out = tbl.select(out_cols)
-            out = out.append_column("_pos", pa.array(pos, type=pa.int64(), mask=~cnt))
-            out = out.append_column("_anchor", pa.array(anchor, type=pa.int64(), mask=~cnt))
-            yield from out.to_batches()
-    return run
-
-
 # ---------------------------------------------------------------------------
 # public operator
 # ---------------------------------------------------------------------------
+def window_slices(window_s: int, parts: int) -> tuple[int, int]:
+    """(slice length in microseconds, slices of a window): the largest number
+    up to ``parts`` that divides the window."""
+    W = int(window_s) * _US
+    m = next(p for p in range(min(int(parts), W), 0, -1) if W % p == 0)
+    return W // m, m
+
+
+def slice_state(events: DataFrame, S: int, m: int) -> DataFrame:
+    """State of the slices of ``events (_k, _u, _t)`` whose anchor is not simply
+    their first event: inherited window ``_prev`` with ``_carry`` rows, own
+    anchor ``_at`` (null: none) after ``_skip`` rows."""
+    W = S * m
+    along = Window.partitionBy("_k").orderBy("_u")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = F.col
+    told = (
+        events.where("_k is not null").groupBy("_k", "_u").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+        .select("*", F.lag("_hi").over(along).alias("_last"), (F.sum("_n").over(so_far) - c("_n")).alias("_cum"))
+        .withColumn("_fresh", c("_last").isNull() | (c("_lo") - c("_last") >= W))
+        .select("*", F.last(F.when(c("_fresh"), c("_lo")), True).over(so_far).alias("_start"),
+                F.last(F.when(c("_fresh"), c("_cum")), True).over(so_far).alias("_start_cum"))
+        .where(~c("_fresh"))
+    )
+    none = F.lit(None).cast("long")
+    hard = c("_hi") >= c("_start") + W
+    easy = told.where(~hard).select("_k", "_u", c("_start").alias("_prev"), (c("_cum") - c("_start_cum")).alias("_carry"), none.alias("_at"), F.lit(0).cast("long").alias("_skip"))
+    rough = told.where(hard)
+    # the cluster's start leads its chain: once, with the first hard slice
+    begins = rough.where(c("_last") < c("_start") + W).select("_k", c("_start").alias("_t"))
+    inner = events.join(rough.select("_k", "_u"), ["_k", "_u"], "left_semi").select("_k", "_t").unionByName(begins) \
+        .withColumn("_j", F.expr(f"pmod((_t - pmod(_t, {S})) div {S}, {m})"))
+    nodes = inner.repartition("_k", "_j").sortWithinPartitions("_k", "_j", "_t").select("_k", "_j", "_t").mapInArrow(_visit(S, m), _NODES)
+    both = nodes.select("*", *(none.alias(x) for x in ("_cum", "_start", "_start_cum"))).unionByName(
+        rough.select("_k", c("_lo").alias("_t"), "_u", none.alias("_before"), none.alias("_next"), "_cum", "_start", "_start_cum"))
+    walked = both.repartition("_k").sortWithinPartitions("_k", "_t").mapInArrow(_walk(S, m), _STATE)
+    return easy.unionByName(walked)
+
+
 def anchored_positions(
     df: DataFrame,
     key: str | Column,
@@ -552,51 +322,36 @@ def anchored_positions(
     counted: Column | None = None,
     pos_col: str = "pos",
     anchor_col: str | None = "anchor_ts",
-    chunk_windows: int = 16,
+    parts: int = 16,
     spread: int = 1 << 16,
-    fold_block_chunks: int = 16,
 ) -> DataFrame:
     """Add the anchored-window position (1-based) and anchor time per row.
 
     ``key``: grouping key; ``ts``/``order``: arrival order with tie-break;
     ``counted``: rows that take part (others get nulls and never form state);
-    ``spread``: how many chunks the non-counted rows are spread over;
-    ``fold_block_chunks``: chunks of a block in phase 2 (see
-    :func:`_blocked_state`), so a dense hot key's fold is split too.
+    ``parts``: slices that a window is cut into, so many tasks share a hot one;
+    ``spread``: how many slices the non-counted rows are spread over.
     """
-    W = int(window_s) * _US
-    R = W * int(chunk_windows)
+    S, m = window_slices(window_s, parts)
     cnt = F.lit(True) if counted is None else counted
-    cols = df.columns
+    cols = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
     t = epoch_micros(ts)
     k = F.when(cnt & col_of(key).isNotNull() & t.isNotNull(), col_of(key).cast("string"))
-    o = col_of(order).cast("long")
     # one projection (each DataFrame step re-analyses the whole plan)
-    base = df.select("*", t.alias("_t"), o.alias("_o"), k.alias("_k")).select(
-        "*", F.when(F.col("_k").isNotNull(), F.expr(f"(_t - pmod(_t, {R})) div {R}"))
-        .otherwise(F.pmod(F.xxhash64("_o"), F.lit(spread))).alias("_c"))
-    # one wide shuffle by (key, chunk); phase 1 and phase 3 both read it
-    shuffled = base.repartition("_k", "_c")
-    # phase 1: counted rows only (filtered inside, so the shuffle is shared)
-    runs_schema = "_k string, _c long, _hi long, _ex_t long, _ex_n long"
-    ordered = shuffled.sortWithinPartitions("_k", "_c", "_t", "_o")
-    runs = ordered.mapInArrow(_phase1(W, R), runs_schema)
-    # phase 2: fold along keys over the small run table, in blocks of chunks
-    state = _blocked_state(runs, W, max(2, int(fold_block_chunks)))
-    # phase 3: attach the inherited state (a broadcast when AQE sees it is
-    # small, else a join that keeps the (key, chunk) partitioning) and scan
-    out_cols = cols + ["_t"]
-    out_schema = T.StructType(
-        [f for f in df.schema.fields]
-        + [T.StructField("_t", T.LongType()), T.StructField("_pos", T.LongType()),
-           T.StructField("_anchor", T.LongType())]
-    )
-    scanned = (
-        ordered.join(state, ["_k", "_c"], "left")
-        .sortWithinPartitions("_k", "_c", "_t", "_o")
-        .mapInArrow(_phase3(W, R, out_cols), out_schema)
-    )
-    keep = [F.col(c) for c in cols] + [F.col("_pos").alias(pos_col)]
+    base = df.select("*", t.alias("_t"), col_of(order).cast("long").alias("_o"), k.alias("_k")).select(
+        "*", F.when(F.col("_k").isNotNull(), F.expr(f"(_t - pmod(_t, {S})) div {S}"))
+        .otherwise(F.pmod(F.xxhash64("_o"), F.lit(spread))).alias("_u"))
+    # the one wide shuffle: summary, hard slices and positions all read it
+    rows = base.repartition("_k", "_u")
+    state = slice_state(rows.select("_k", "_u", "_t"), S, m)
+    here = Window.partitionBy("_k", "_u").orderBy("_t", "_o")
+    numbered = rows.select("*", F.row_number().over(here).cast("long").alias("_rn"), F.first("_t").over(here).alias("_lo"))
+    placed = numbered.join(state, ["_k", "_u"], "left")
+    c = F.col
+    inherits = c("_prev").isNotNull() & (c("_at").isNull() | (c("_t") < c("_at")))
+    pos = F.when(c("_k").isNull(), F.lit(None)).when(inherits, c("_carry") + c("_rn")).otherwise(c("_rn") - F.coalesce("_skip", F.lit(0).cast("long")))
+    anchor = F.when(c("_k").isNull(), F.lit(None)).when(inherits, c("_prev")).otherwise(F.coalesce("_at", "_lo"))
+    keep = [*cols, pos.alias(pos_col)]
     if anchor_col:
-        keep.append(F.expr(f"timestampadd(MICROSECOND, _anchor, {_EPOCH_NTZ})").alias(anchor_col))
-    return scanned.select(*keep)
+        keep.append(F.timestamp_add("MICROSECOND", anchor, F.expr(_EPOCH_NTZ)).alias(anchor_col))
+    return placed.select(*keep)

@@ -25,8 +25,7 @@ def mark_duplicates(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted
     out = positions(
         df, history, "event_id", cfg.dedupe_ttl_s, ts=cfg.arrival_col,
         counted=F.lit(True) if counted is None else counted, pos_col="dup_pos",
-        anchor_col="dup_anchor", chunk_windows=cfg.dedupe_chunk_windows,
-        fold_block_chunks=cfg.fold_block_chunks,
+        anchor_col="dup_anchor", parts=cfg.dedupe_parts,
     )
     return out.withColumn("is_duplicate", F.col("dup_pos") > 1)
 
@@ -42,8 +41,7 @@ def ip_window_count(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, counted
     cnt = ~blank("ip_address") if counted is None else (counted & ~blank("ip_address"))
     return positions(
         df, history, "ip_address", cfg.ip_window_s, ts=cfg.arrival_col, counted=cnt, pos_col="ip_pos",
-        anchor_col="ip_anchor", chunk_windows=cfg.ip_chunk_windows,
-        fold_block_chunks=cfg.fold_block_chunks,
+        anchor_col="ip_anchor", parts=cfg.ip_parts,
     )
 
 

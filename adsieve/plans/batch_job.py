@@ -1,9 +1,9 @@
 """Batch job: topic messages of one batch → archive, tables, stats, metrics.
 
-decode → validate → dedupe → IP window → route, once; the routed rows are
-staged as a parquet table in the shared checkpoint folder (cuts the lineage,
-so a lost executor never recomputes the two anchored scans) and every output
-reads the stage. Each output is written under the batch id, so replaying a
+decode, then validate → dedupe → IP window → route; the decoded events and the
+routed rows are staged as parquet tables in the shared checkpoint folder (cuts
+the lineage, so a lost executor recomputes neither the parsing nor the two
+anchored scans) and every output reads the stage. Each output is written under the batch id, so replaying a
 batch overwrites its own files.
 """
 
@@ -63,11 +63,15 @@ class Outputs:
         return os.path.join(self.root, "quarantine")
 
 
-def route_messages(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING,
-                   history: WindowHistory | None = None) -> DataFrame:
-    """Topic rows (seq, arrival, value, ...) → every decoded event with its
-    status (rejected / duplicate / fraud / accepted) and storage check."""
-    events = to_raw_event(decode_messages(messages))
+def decoded(messages: DataFrame) -> DataFrame:
+    """Topic rows (seq, arrival, value, ...) → events."""
+    return to_raw_event(decode_messages(messages))
+
+
+def route_events(events: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING,
+                 history: WindowHistory | None = None) -> DataFrame:
+    """Every event with its status (rejected / duplicate / fraud / accepted)
+    and storage check."""
     if "arrival" in events.columns:
         cfg = dataclasses.replace(cfg, arrival_col="arrival")  # windows follow the topic clock
     return storage_constraints(classify(events, cfg, keep_rejected=True, history=history))
@@ -135,8 +139,11 @@ def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id:
     if "arrival" in messages.columns:
         history = read_history(spark, out, batch_id, cfg, messages.select(F.min("arrival")).scalar())
     # outputs with the same batch id elsewhere have a stage of their own
-    slot = "routed-" + hashlib.sha1(out.root.encode()).hexdigest()[:12]
-    routed = stage(route_messages(messages, cfg, history), slot, batch_id)
+    slot = hashlib.sha1(out.root.encode()).hexdigest()[:12]
+    # the anchored windows read their input more than once, a few columns at a
+    # time: the decoded events are staged, so no message is parsed twice
+    events = stage(decoded(messages), f"decoded-{slot}", batch_id)
+    routed = stage(route_events(events, cfg, history), f"routed-{slot}", batch_id)
     if "arrival" in routed.columns:
         left = history_of(routed)
         W.write_windows(left.dedupe, left.ip, out.windows, batch_id)

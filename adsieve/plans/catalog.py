@@ -662,7 +662,7 @@ def _user_window_scorer(df, cfg):
     """Example pluggable scorer: the same anchored counter keyed by user."""
     counted = F.coalesce(F.col("dup_pos") == 1, F.lit(False))
     out = anchored_positions(df, "user_id", cfg.ip_window_s, ts=cfg.arrival_col, counted=counted, pos_col="user_pos",
-                             anchor_col=None, chunk_windows=cfg.ip_chunk_windows, fold_block_chunks=cfg.fold_block_chunks)
+                             anchor_col=None, parts=cfg.ip_parts)
     score = F.when(F.col("user_pos") > cfg.ip_threshold, cfg.fraud_score).otherwise(cfg.non_fraud_score)
     return out.withColumn("risk_score", F.when(counted, score).otherwise(0).cast("int"))
 

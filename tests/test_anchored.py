@@ -22,11 +22,10 @@ def _frame(spark, rows):
     return df.withColumn("created_at", F.timestamp_seconds("ts_s").cast("timestamp_ntz"))
 
 
-def _check(spark, rows, window, chunk_windows, fold_block_chunks=16):
+def _check(spark, rows, window, parts):
     df = _frame(spark, rows)
     out = anchored_positions(df, "k", window, counted=F.col("counted"), pos_col="pos",
-                             anchor_col="anchor_ts", chunk_windows=chunk_windows,
-                             fold_block_chunks=fold_block_chunks)
+                             anchor_col="anchor_ts", parts=parts)
     got = {r["seq"]: (r["pos"], r["anchor_ts"]) for r in out.select("seq", "pos", "anchor_ts").collect()}
     want = anchored([(k, t, o) for k, t, o, c in rows if c], window)
     for k, t, o, c in rows:
@@ -38,15 +37,15 @@ def _check(spark, rows, window, chunk_windows, fold_block_chunks=16):
             assert got[o][1] == _naive(BASE + anchor), (o, got[o], want[o])
 
 
-@pytest.mark.parametrize("chunk_windows", [1, 2, 5, 16])
-def test_random_keys(spark, chunk_windows):
-    rnd = random.Random(chunk_windows)
+@pytest.mark.parametrize("parts", [1, 2, 5, 16, 64])
+def test_random_keys(spark, parts):
+    rnd = random.Random(parts)
     rows = []
     for o in range(3000):
         k = rnd.choice(["hot"] * 6 + ["a", "b", "c", "", None])
         t = rnd.randint(0, 4000)
         rows.append((k, t, o, rnd.random() > 0.1 and k is not None))
-    _check(spark, rows, 100, chunk_windows)
+    _check(spark, rows, 100, parts)
 
 
 def test_ties_at_window_edge(spark):
@@ -100,13 +99,48 @@ def test_walk_sorted_matches_reference():
             assert (ln, la) == want[-1]
 
 
-@pytest.mark.parametrize("blocks", [2, 3])
-def test_blocked_fold(spark, blocks):
-    rnd = random.Random(blocks)
-    rows = [(rnd.choice(["hot", "hot", "hot", "a", "b\u001fx", None]), rnd.randint(0, 6000), o, True)
-            for o in range(2500)]
-    rows = [(k, t, o, k is not None) for k, t, o, _ in rows]
-    _check(spark, rows, 100, 1, fold_block_chunks=blocks)
-    _check(spark, rows, 100, 2, fold_block_chunks=blocks)
-    dense = [("d", i * 51, i, True) for i in range(600)]  # chains never merge
-    _check(spark, dense, 100, 1, fold_block_chunks=blocks)
+
+
+def test_small_segments(spark, monkeypatch):
+    # slices and chains that go on from one Arrow batch and one segment to the next
+    from adsieve.operators import anchored as A
+    monkeypatch.setattr(A, "_SEGMENT", 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rnd = random.Random(11)
+        rows = [(rnd.choice(["hot", "hot", "hot", "a", "b"]), rnd.randint(0, 2500), o, True) for o in range(1200)]
+        for parts in (1, 4, 20):
+            _check(spark, rows, 100, parts)
+        _check(spark, [("p", i * 51, i, True) for i in range(400)], 100, 4)
+        _check(spark, [("q", i * 7 + (i % 3), i, True) for i in range(900)], 40, 8)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_negative_times_and_gaps_of_a_window(spark):
+    rows = [("k", t, o, True) for o, t in enumerate([-250, -200, -101, -100, -1, 0, 99, 100, 199, 200, 201, 300, 399, 400])]
+    for parts in (1, 4, 50):
+        _check(spark, [(k, t - BASE, o, c) for k, t, o, c in rows], 100, parts)
+
+
+def test_a_hot_window_is_shared(spark):
+    """One key, 600,000 events at distinct microseconds in three windows."""
+    import numpy as np
+    from adsieve.operators.anchored import anchored_positions, walk_sorted
+    n, W = 600_000, 20
+    df = spark.range(0, n, 1, 8).select(F.col("id").alias("seq"), F.lit("hot").alias("k"), F.pmod(F.xxhash64("id"), F.lit(3 * W * 10 ** 6)).alias("us")) \
+        .withColumn("created_at", F.timestamp_add("MICROSECOND", F.col("us"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        out = anchored_positions(df, "k", W, parts=16).withColumn("task", F.spark_partition_id())
+        got = out.select("us", "seq", "pos", "task", F.timestamp_diff("MICROSECOND", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("anchor_ts")).alias("a")).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    got = got.sort_values(["us", "seq"])
+    pos, anchor, _, _ = walk_sorted(got["us"].to_numpy(), None, 0, W * 10 ** 6)
+    assert (got["pos"].to_numpy() == pos).all() and (got["a"].to_numpy() == anchor).all()
+    first_window = got[got["a"] == anchor[0]]
+    assert first_window["task"].nunique() >= 8 and first_window["task"].value_counts().max() < len(first_window) / 4
+    assert len(np.unique(anchor)) == 3
