@@ -56,6 +56,9 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--topics", default="raw-events")
     st.add_argument("--files")
     st.add_argument("--starting-offsets", default="latest")
+    st.add_argument("--windows", choices=("shared", "store"), default="shared", help="window state: shared with the batch job, or in the state store")
+    st.add_argument("--first-batch-id", type=int, default=0, help="added to the micro-batch ids; ids of one output root form one sequence")
+    st.add_argument("--once", action="store_true", help="process what is there, then stop")
     c = sub.add_parser("campaigns")
     c.add_argument("--out", required=True)
     c.add_argument("--id", default=None)
@@ -74,18 +77,24 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.cmd == "stream":
         from adsieve.streaming import job
-        from adsieve.streaming.metrics import MetricsListener
+        from adsieve.operators.metrics import PipelineReport
         if a.files:
             src = job.read_message_files(spark, a.files)
         elif a.brokers:
             src = job.read_events_stream(spark, a.topics, a.brokers, a.starting_offsets)
         else:
             p.error("stream needs --brokers or --files")
-        report = MetricsListener()
-        spark.streams.addListener(report)
-        q = job.start(src, out, a.checkpoint, _scoring(a))
-        while not q.awaitTermination(METRICS_INTERVAL_SECONDS):
-            print(json.dumps(report.totals()), flush=True)
+        report = PipelineReport()
+        q = job.start(src, out, a.checkpoint, _scoring(a), windows=a.windows, report=report, first_batch_id=a.first_batch_id,
+                      trigger={"availableNow": True} if a.once else None)
+        try:
+            while not q.awaitTermination(METRICS_INTERVAL_SECONDS):
+                print(json.dumps(report.totals()), flush=True)
+        except KeyboardInterrupt:
+            q.stop()
+        finally:
+            # the last report, however the stream ends
+            print(json.dumps(report.totals() | {"closing": True}), flush=True)
         return 0
     # campaigns: the query side over the stats delta log
     from pyspark.errors import AnalysisException

@@ -57,8 +57,15 @@ def archive_rows(classified: DataFrame, upload_ts: Column | None = None,
                        F.col("a.record").alias("record"))
 
 
+def _records(archive: DataFrame) -> Column:
+    """Rows are records, or folders of an archive index with their number."""
+    return F.sum("n_records").cast("long") if "n_records" in archive.columns else F.count(F.lit(1))
+
+
 def archive_counts(archive: DataFrame) -> DataFrame:
-    return archive.groupBy("status").agg(F.count(F.lit(1)).alias("n_records"))
+    """Records per status, of archive rows or of an archive index (which reads
+    no archived object)."""
+    return archive.groupBy("status").agg(_records(archive).alias("n_records"))
 
 
 def archive_count_delta(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -89,11 +96,12 @@ def retention_policy(spark) -> DataFrame:
 def archive_expired(archive_parts: DataFrame, as_of: Column) -> DataFrame:
     """Archive partitions (status/year/month/day/hour) past their retention.
 
-    ``archive_parts`` needs status, year, month, day, hour. The policy table
-    has one row per status, so it is broadcast (fixed size).
+    ``archive_parts`` needs status, year, month, day, hour: archive rows, or
+    the archive index, one row a folder. The policy table has one row per
+    status, so it is broadcast (fixed size).
     """
     policy = F.broadcast(retention_policy(archive_parts.sparkSession))
-    parts = archive_parts.groupBy("status", "year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n_records"))
+    parts = archive_parts.groupBy("status", "year", "month", "day", "hour").agg(_records(archive_parts).alias("n_records"))
     ts = F.to_timestamp_ntz(F.concat_ws("-", "year", "month", "day"), F.lit("yyyy-MM-dd")) + F.make_interval(
         hours=F.col("hour").cast("int"))
     j = parts.join(policy, "status", "inner")

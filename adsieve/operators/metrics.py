@@ -37,6 +37,41 @@ def success_rate(metrics: DataFrame) -> DataFrame:
     return metrics.select("*", F.when(p > 0, F.try_divide(p * 100.0, p + f)).alias("success_rate"))
 
 
+class PipelineReport:
+    """Running totals over the batches of a job, for the periodic report and
+    the closing one: counters, success rate, average processing time of an
+    event, time of the last processed event."""
+
+    COUNTERS = ("total_processed", "total_failed", "total_duplicates", "total_fraud", "total_archived")
+
+    def __init__(self) -> None:
+        self.sums = dict.fromkeys(self.COUNTERS, 0)
+        self.events, self.seconds, self.last, self.batches = 0, 0.0, None, 0
+        self._seen: set[int] = set()
+
+    def add(self, batch_id: int, metrics: dict) -> None:
+        """A batch counts once, however often it is replayed."""
+        if batch_id in self._seen:
+            return
+        self._seen = {b for b in self._seen if b > batch_id - 1000} | {batch_id}
+        self.batches += 1
+        for k in self.COUNTERS:
+            self.sums[k] += int(metrics[k] or 0)
+        self.events += int(metrics["n_events"] or 0)
+        self.seconds += (metrics["finished_at"] - metrics["started_at"]).total_seconds()
+        at = metrics["last_processed_at"]
+        self.last = at if self.last is None or (at is not None and at > self.last) else self.last
+
+    def totals(self) -> dict:
+        done, failed = self.sums["total_processed"], self.sums["total_failed"]
+        return self.sums | {
+            "batches": self.batches,
+            "success_rate": 100.0 * done / (done + failed) if done else None,
+            "avg_seconds_per_event": self.seconds / self.events if self.events else None,
+            "last_processed_at": None if self.last is None else self.last.isoformat(),
+        }
+
+
 def batch_latency(batches: DataFrame) -> DataFrame:
     """Mean processing time per event over recorded micro-batches.
 

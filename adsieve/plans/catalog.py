@@ -27,7 +27,6 @@ from adsieve.operators import ingest as I
 from adsieve.operators import metrics as M
 from adsieve.operators import stats as S
 from adsieve.operators import validate as V
-from adsieve.operators.anchored import anchored_positions
 from adsieve.plans import oracle as O
 from adsieve.schemas import STATS_COLUMNS
 from adsieve.session import ensure_checkpoint_dir
@@ -356,10 +355,17 @@ def archive_json(spark, sf):
     return _classified(spark, sf, meta=True).select("seq", "status", A.archive_record(True).alias("record"))
 
 
+def _archive_index(spark, sf):
+    """Index that the archive writer leaves: one row a folder."""
+    path = _folder(spark, "archive-index")
+    W.write_archive_index(A.archive_rows(_classified(spark, sf, meta=True)), path, 1)
+    return W.read_archive_index(spark, path)
+
+
 @query("archive_counts", O.with_views(
     "SELECT status, count(*) AS n_records FROM arch GROUP BY status", extra=CLS + ",\n" + ARCHIVE_SQL_CTE))
 def archive_counts(spark, sf):
-    return A.archive_counts(A.archive_rows(_classified(spark, sf, meta=True)))
+    return A.archive_counts(_archive_index(spark, sf))
 
 
 @query("archive_count_delta", O.with_views("""
@@ -397,7 +403,7 @@ WHERE CAST(concat(p.year, '-', p.month, '-', p.day, ' ', p.hour, ':00:00') AS TI
 def archive_expired(spark, sf):
     # "now" lies 80 days after the newest upload, so every status has expired hours
     now = _max_created(spark, sf) + F.expr("INTERVAL 80 DAY")
-    return A.archive_expired(A.archive_rows(_classified(spark, sf, meta=True)), now)
+    return A.archive_expired(_archive_index(spark, sf), now)
 
 
 def _max_created(spark, sf):
@@ -623,8 +629,8 @@ def classify_two_batches(spark, sf):
     path = _folder(spark, "first-batch")
     K.classify(ad.where(F.col("created_at") < cut), CFG).write.parquet(path)
     first = spark.read.parquet(path)
-    left = H.history_of(first)
-    history = H.WindowHistory(H.live(left.dedupe, CFG.dedupe_ttl_s, cut), H.live(left.ip, CFG.ip_window_s, cut))
+    lengths = K.window_lengths(CFG)
+    history = {name: H.Carried(H.live(w, lengths[name], cut)) for name, w in K.history_of(first).items()}
     second = K.classify(ad.where(F.col("created_at") >= cut), CFG, history=history)
     out = ["seq", "event_id", "status", "risk_score", "dup_pos", "ip_pos"]
     return first.select(*out).unionByName(second.select(*out))
@@ -658,13 +664,10 @@ def quarantine(spark, sf):
     return routed.select("seq", stage.alias("stage"), reason.alias("reason")).where(F.col("stage").isNotNull())
 
 
-def _user_window_scorer(df, cfg):
-    """Example pluggable scorer: the same anchored counter keyed by user."""
-    counted = F.coalesce(F.col("dup_pos") == 1, F.lit(False))
-    out = anchored_positions(df, "user_id", cfg.ip_window_s, ts=cfg.arrival_col, counted=counted, pos_col="user_pos",
-                             anchor_col=None, parts=cfg.ip_parts)
-    score = F.when(F.col("user_pos") > cfg.ip_threshold, cfg.fraud_score).otherwise(cfg.non_fraud_score)
-    return out.withColumn("risk_score", F.when(counted, score).otherwise(0).cast("int"))
+# example of a pluggable scorer: the same anchored counter keyed by user
+USER_SCORER = K.WindowScorer(
+    (K.WindowCounter("user", "user_id"),),
+    lambda cfg: F.when(F.col("user_pos") > cfg.ip_threshold, cfg.fraud_score).otherwise(cfg.non_fraud_score))
 
 
 USER_CLS = f"""
@@ -680,7 +683,7 @@ SELECT d.seq, CAST(CASE WHEN d.dup_pos > 1 THEN 0 WHEN u.user_pos > {CFG.ip_thre
  CASE WHEN d.dup_pos > 1 THEN 'duplicate' WHEN u.user_pos > {CFG.ip_threshold} THEN 'fraud' ELSE 'accepted' END AS status
 FROM dd_pos d LEFT JOIN us_pos u ON d.seq = u.seq""", extra=USER_CLS))
 def custom_scorer(spark, sf):
-    return K.classify(_ad(spark, sf).drop("meta_data"), CFG, scorer=_user_window_scorer).select("seq", "risk_score", "status")
+    return K.classify(_ad(spark, sf).drop("meta_data"), CFG, scorer=USER_SCORER).select("seq", "risk_score", "status")
 
 
 # ---------------------------------------------------------------------------
@@ -731,7 +734,9 @@ def batch_latency(spark, sf):
     batches = c.groupBy(F.date_trunc("day", "created_at").alias("batch")).agg(
         F.count(F.lit(1)).alias("n_events"), F.min("created_at").alias("started_at"),
         F.max("created_at").alias("finished_at"))
-    return M.batch_latency(batches)
+    path = _folder(spark, "metrics")
+    W.write_partition(batches, path, 1)
+    return M.batch_latency(W.read_metrics(spark, path))
 
 
 # ---------------------------------------------------------------------------

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, StructField, StructType
 
 from adsieve import schemas
+from adsieve.sinks import segments
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,10 +16,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def raw_events_schema() -> StructType:
+    return StructType([*schemas.RAW_EVENTS_TABLE.fields, StructField("event_date", DateType())])
+
+
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
     """Scan the stored raw_events table (partitioned by event_date)."""
-    schema = StructType([*schemas.RAW_EVENTS_TABLE.fields, StructField("event_date", DateType())])
-    return spark.read.schema(schema).parquet(path)
+    return segments.load(spark, os.path.dirname(path)).only(spark.read.schema(raw_events_schema()).parquet(path))
 
 
 def read_campaign_stats(spark: SparkSession, path: str) -> DataFrame:
@@ -29,4 +35,4 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     partition values as strings. The schema is given, so nothing is read to
     infer it."""
     schema = "record string, status string, year string, month string, day string, hour string"
-    return spark.read.schema(schema).text(path)
+    return segments.load(spark, os.path.dirname(path)).only(spark.read.schema(schema).text(path))

@@ -1,22 +1,23 @@
 """The event stream: topic → decode → validate → dedupe → IP window →
 route → foreachBatch (archive, raw_events, stats delta, quarantine,
-metrics), every output keyed by the micro-batch id (replay overwrites)."""
+metrics), every output keyed by the micro-batch id (replay overwrites).
+Window state is either shared with the batch job or in the state store."""
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adsieve.config import DEFAULT_SCORING, ScoringConfig
-from adsieve.functions import blank
-from adsieve.operators.classify import risk_score_col
+from adsieve.operators.classify import Scorer, WindowScorer, status_col, window_scorer
 from adsieve.operators.decode import decode_messages, to_raw_event
 from adsieve.operators.validate import storage_constraints, validate_events
-from adsieve.plans.batch_job import Outputs, stage, write_outputs
+from adsieve.operators.metrics import PipelineReport
+from adsieve.plans.batch_job import SOURCE_BITS, Outputs, run_batch, stage, write_outputs
 from adsieve.streaming.anchored_state import stateful_anchored
 from adsieve.streaming.metrics import observe_metrics
 
@@ -42,6 +43,12 @@ def kafka_source_options(topics: str, brokers: str, starting: str = "latest",
     return opts
 
 
+def sequence(partition: Column, offset: Column) -> Column:
+    """One number that orders rows by partition, then offset."""
+    fits = (offset < F.lit(1 << SOURCE_BITS)) & (partition < F.lit(1 << (63 - SOURCE_BITS)))
+    return F.when(fits, partition.cast("long") * F.lit(1 << SOURCE_BITS) + offset).otherwise(F.raise_error(F.lit("partition or offset out of range")))
+
+
 def read_events_stream(spark: SparkSession, topics: str, brokers: str, starting: str = "latest",
                        max_offsets_per_trigger: int | None = 5_000_000,
                        fail_on_data_loss: bool = True) -> DataFrame:
@@ -55,7 +62,7 @@ def read_events_stream(spark: SparkSession, topics: str, brokers: str, starting:
         .load()
     )
     return raw.select(
-        (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"),
+        sequence(F.col("partition"), F.col("offset")).alias("seq"),
         F.col("key").cast("string").alias("key"),
         F.col("timestamp").cast("timestamp_ntz").alias("arrival"),
         F.col("value").cast("string").alias("value"),
@@ -70,50 +77,68 @@ def read_message_files(spark: SparkSession, path: str, fmt: str = "parquet", fil
     )
 
 
-def route_stream(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, max_stop_s: int | None = None) -> DataFrame:
-    """One linear streaming plan; duplicates pass through the IP step
-    without counting (no branch-and-union).
+def route_stream(messages: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, max_stop_s: int | None = None,
+                 scorer: Scorer = window_scorer) -> DataFrame:
+    """One linear streaming plan over the state store; duplicates pass through
+    the scorer's counters without counting (no branch-and-union).
 
     Window state is kept for good unless the caller sets ``max_stop_s``, the
     longest time the stream may ever stand still or lag behind: only then may
-    state older than the window plus that time go."""
+    state older than the window plus that time go. A plain scoring function is
+    applied to the rows as they come."""
+    def ttl(window_s: int) -> int | None:
+        return None if max_stop_s is None else (window_s + max_stop_s) * 1000
+
     ev = validate_events(to_raw_event(decode_messages(messages)))
-    valid = F.col("reject_field").isNull()
-    ttl_d = None if max_stop_s is None else (cfg.dedupe_ttl_s + max_stop_s) * 1000
-    ttl_ip = None if max_stop_s is None else (cfg.ip_window_s + max_stop_s) * 1000
-    dd = stateful_anchored(ev, "event_id", cfg.dedupe_ttl_s, valid, "dup_pos", ttl_ms=ttl_d)
-    unique = F.coalesce(F.col("dup_pos") == 1, F.lit(False))
-    ip = stateful_anchored(dd, "ip_address", cfg.ip_window_s, unique & ~blank("ip_address"), "ip_pos", ttl_ms=ttl_ip)
-    scored = ip.withColumn("risk_score", F.when(unique, risk_score_col(cfg)).otherwise(F.lit(0)).cast("int"))
-    status = (
-        F.when(F.col("dup_pos").isNull(), "rejected")
-        .when(F.col("dup_pos") > 1, "duplicate")
-        .when(F.col("risk_score") > cfg.fraud_cut, "fraud")
-        .otherwise("accepted")
-    )
-    return storage_constraints(scored.withColumn("status", status))
+    rows = stateful_anchored(ev, "event_id", cfg.dedupe_ttl_s, F.col("reject_field").isNull(), "dup_pos", ttl_ms=ttl(cfg.dedupe_ttl_s))
+    if isinstance(scorer, WindowScorer):
+        for w in scorer.windows:
+            rows = stateful_anchored(rows, w.key, w.window_s(cfg), w.counted(), w.pos, ttl_ms=ttl(w.window_s(cfg)))
+        rows = scorer.finish(rows, cfg)
+    else:
+        rows = scorer(rows, cfg)
+    return storage_constraints(rows.withColumn("status", status_col(cfg)))
 
 
 def start(messages: DataFrame, out: Outputs, checkpoint: str, cfg: ScoringConfig = DEFAULT_SCORING,
-          trigger: dict | None = None, max_stop_s: int | None = None) -> StreamingQuery:
-    """Run the stream; each micro-batch is staged once, then written."""
+          trigger: dict | None = None, max_stop_s: int | None = None, scorer: Scorer = window_scorer,
+          windows: str = "shared", report: PipelineReport | None = None, first_batch_id: int = 0) -> StreamingQuery:
+    """Run the stream.
+
+    ``windows="shared"``: each micro-batch is a run of the batch job, under the
+    id ``first_batch_id`` plus its own. The windows live in the output root's
+    window state, which batches and streams share: a batch after a stream (or
+    the reverse) continues its marks and counters, a hot key of a micro-batch
+    is spread over tasks like any other, and windows that no event can reach
+    any more are folded away. Each trigger reads the live windows, so give it
+    time (a minute) where a day's marks are many.
+
+    ``windows="store"``: marks and counters live in the state store, looked up
+    by key, for triggers of seconds; they are the stream's own."""
     spark = messages.sparkSession
-    # transformWithState keeps several column families: RocksDB store
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    routed = observe_metrics(route_stream(messages, cfg, max_stop_s))
-
-    slot = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        started = dt.datetime.now(dt.timezone.utc)
-        # one slot per stream, overwritten by every micro-batch
-        staged = stage(batch, slot, "current")
-        up = staged.select(F.max("arrival")).scalar()
-        write_outputs(staged, out, batch_id, upload_ts=up, started=started)
-
-    w = routed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
+    if windows == "shared":
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            run_batch(batch.sparkSession, batch, out, first_batch_id + batch_id, cfg, scorer=scorer, report=report)
+
+        rows = messages
+    else:
+        # transformWithState keeps several column families: RocksDB store
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        rows = observe_metrics(route_stream(messages, cfg, max_stop_s, scorer))
+        slot = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            started = dt.datetime.now(dt.timezone.utc)
+            # one slot per stream, overwritten by every micro-batch
+            staged = stage(batch, slot, "current")
+            up = staged.select(F.max("arrival")).scalar()
+            metrics = write_outputs(staged, out, first_batch_id + batch_id, upload_ts=up, started=started)
+            if report is not None:
+                report.add(first_batch_id + batch_id, metrics)
+
+    w = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(**(trigger or {"processingTime": "60 seconds" if windows == "shared" else "5 seconds"}))
     return w.start()
 
 
-__all__ = ["kafka_source_options", "read_events_stream", "read_message_files", "route_stream", "start"]
+__all__ = ["kafka_source_options", "read_events_stream", "read_message_files", "route_stream", "sequence", "start"]

@@ -6,12 +6,14 @@ import os
 import tempfile
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from adsieve.config import FIXTURE_SCORING
 from adsieve.operators.classify import classify
 from adsieve.operators.decode import decode_messages, to_raw_event
-from adsieve.plans.batch_job import Outputs
+from adsieve.operators.metrics import PipelineReport
+from adsieve.plans.batch_job import Outputs, run_batch
 from adsieve.sinks.writers import read_stats
 from adsieve.sources import fixtures as FX
 from adsieve.sources.tables import read_raw_events
@@ -20,7 +22,8 @@ from adsieve.streaming.metrics import MetricsListener
 from paths import SF001
 
 
-def test_stream_matches_batch(spark):
+@pytest.mark.parametrize("windows", ["shared", "store"])
+def test_stream_matches_batch(spark, windows):
     root = tempfile.mkdtemp(prefix="adsieve-stream-", dir="/tmp")
     src = os.path.join(root, "in")
     msgs = FX.kafka_messages(spark, SF001)
@@ -35,12 +38,13 @@ def test_stream_matches_batch(spark):
     ckpt = os.path.join(root, "ckpt")
     # first run sees the first file only, second run (restart) the second
     os.link(files[0], os.path.join(land, "part-0.parquet"))
-    listener = MetricsListener()
+    listener, report = MetricsListener(), PipelineReport()
     spark.streams.addListener(listener)
-    q = job.start(job.read_message_files(spark, land), out, ckpt, FIXTURE_SCORING, trigger={"availableNow": True})
+    how = {"trigger": {"availableNow": True}, "windows": windows, "report": report}
+    q = job.start(job.read_message_files(spark, land), out, ckpt, FIXTURE_SCORING, **how)
     q.awaitTermination(300)
     os.link(files[1], os.path.join(land, "part-1.parquet"))
-    q = job.start(job.read_message_files(spark, land), out, ckpt, FIXTURE_SCORING, trigger={"availableNow": True})
+    q = job.start(job.read_message_files(spark, land), out, ckpt, FIXTURE_SCORING, **how)
     q.awaitTermination(300)
     # batch reference over the same messages, arrival-ordered
     ev = to_raw_event(decode_messages(msgs))
@@ -54,19 +58,27 @@ def test_stream_matches_batch(spark):
     want_st = ref_acc.agg(F.count_if(F.col("event_type") == "impression"), F.count_if(F.col("event_type") == "click"),
                           F.count_if(F.col("event_type") == "conversion")).first()
     assert tuple(st) == tuple(want_st)
-    for _ in range(50):  # listener events arrive asynchronously
-        if sum(b["processed"] for b in listener.batches) == want["accepted"]:
-            break
-        time.sleep(0.2)
+    if windows == "store":
+        for _ in range(50):  # listener events arrive asynchronously
+            if sum(b["processed"] for b in listener.batches) == want["accepted"]:
+                break
+            time.sleep(0.2)
+        tot = listener.totals()
+        assert tot["processed"] == want["accepted"]
+        assert tot["duplicates"] == want.get("duplicate", 0) and tot["fraud"] == want.get("fraud", 0)
     spark.streams.removeListener(listener)
-    tot = listener.totals()
-    assert tot["processed"] == want["accepted"]
-    assert tot["duplicates"] == want.get("duplicate", 0) and tot["fraud"] == want.get("fraud", 0)
+    tot = report.totals()
+    assert (tot["total_processed"], tot["total_duplicates"], tot["total_fraud"]) == (want["accepted"], want.get("duplicate", 0), want.get("fraud", 0))
+    assert tot["avg_seconds_per_event"] > 0 and tot["last_processed_at"] == ref.where("status = 'accepted'").agg(F.max("arrival")).first()[0].isoformat()
     # rejected events are quarantined, not dropped (no storage violations here)
     assert spark.read.parquet(out.quarantine).count() == ev.count() - ref.count()
     arch = spark.read.text(out.archive)
     assert arch.where("status = 'duplicate'").count() == want.get("duplicate", 0)
     assert arch.where("status = 'fraud'").count() == want.get("fraud", 0)
+    if windows == "shared":  # a batch after the stream continues its marks
+        again = run_batch(spark, msgs, out, 50, cfg=FIXTURE_SCORING)
+        assert again.where("status in ('accepted', 'fraud')").count() == 0
+        assert again.where("status = 'duplicate'").count() == ref.count()
 
 
 def test_stateful_anchored_random_two_triggers(spark):
