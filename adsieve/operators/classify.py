@@ -51,6 +51,7 @@ class WindowScorer:
         return df.withColumn("risk_score", F.when(unique, self.score(cfg)).otherwise(F.lit(0)).cast("int"))
 
 
+Keep = Callable[[DataFrame, str], DataFrame]
 # a plain function keeps no state between batches: it scores each batch alone
 Scorer = WindowScorer | Callable[[DataFrame, ScoringConfig], DataFrame]
 
@@ -105,13 +106,13 @@ IP_COUNTER = WindowCounter("ip", "ip_address")
 window_scorer = WindowScorer((IP_COUNTER,), risk_score_col)
 
 
-def _scored(df: DataFrame, cfg: ScoringConfig, scorer: Scorer, history: WindowHistory) -> DataFrame:
+def _scored(df: DataFrame, cfg: ScoringConfig, scorer: Scorer, history: WindowHistory, keep: Keep) -> DataFrame:
     if not isinstance(scorer, WindowScorer):
         if history:
             warnings.warn("a plain scoring function keeps no state between batches; declare a WindowScorer for that", stacklevel=3)
         return scorer(df, cfg)
     for window in scorer.windows:
-        df = count_window(df, window, cfg, history=history.get(window.name))
+        df = count_window(keep(df, window.name), window, cfg, history=history.get(window.name))
     return scorer.finish(df, cfg)
 
 
@@ -140,7 +141,7 @@ def status_col(cfg: ScoringConfig) -> Column:
 
 def classify(
     df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING, scorer: Scorer = window_scorer,
-    keep_rejected: bool = False, history: WindowHistory | None = None,
+    keep_rejected: bool = False, history: WindowHistory | None = None, keep: Keep = lambda df, name: df,
 ) -> DataFrame:
     """Route events to duplicate / fraud / accepted.
 
@@ -151,11 +152,13 @@ def classify(
     ``scorer`` is pluggable: a `WindowScorer` declares the counters it needs;
     a plain function receives rows with ``dup_pos`` and adds an int
     ``risk_score`` (0 for duplicates). ``history`` continues the windows of
-    earlier batches, the scorer's counters included.
+    earlier batches, the scorer's counters included. ``keep`` may store the
+    rows that a counter reads, as it reads them more than once, a few columns
+    at a time.
     """
     history = history or {}
     if keep_rejected:
         dd = mark_duplicates(validate_events(df), cfg, counted=F.col("reject_field").isNull(), history=history.get(DEDUPE))
     else:
         dd = mark_duplicates(valid_events(df), cfg, history=history.get(DEDUPE))
-    return _scored(dd, cfg, scorer, history).withColumn("status", status_col(cfg))
+    return _scored(dd, cfg, scorer, history, keep).withColumn("status", status_col(cfg))

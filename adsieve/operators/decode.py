@@ -66,15 +66,41 @@ def one_value(text: Column) -> Column:
     return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
 
 
+def _is(v: Column, kind: str) -> Column:
+    """The value is missing, null, or of ``kind`` (as its schema names it)."""
+    return v.isNull() | F.is_variant_null(v) | F.coalesce(F.schema_of_variant(v).startswith(kind), F.lit(False))
+
+
 def decode(df: DataFrame, value: str = "value", time_field: str = "timestamp") -> DataFrame:
-    """Add the decoded wire fields and a ``malformed`` flag to each message."""
-    tmp = df.withColumn("_e", lower_entries(F.from_json(F.col(value), "map<string,variant>", JSON_OPTIONS))) \
-        .withColumn("_m", known_fields(F.col("_e")))
-    bare_null = F.col(value).rlike(r"^[ \t\r\n]*null[ \t\r\n]*$")
-    ok = one_value(F.col(value)) & (bare_null | (F.col("_e").isNotNull() & entries_ok(F.col("_e"), time_field)))
-    names = [*STRING_FIELDS, time_field, "meta_data", value]
-    keep = [c for c in df.columns if c not in names]
-    return tmp.select(*keep, *field_columns(F.col("_m"), time_field), (~F.coalesce(ok, F.lit(False))).alias("malformed"))
+    """Add the decoded wire fields and a ``malformed`` flag to each message.
+
+    Two lanes. Every message is parsed into a struct of its nine fields
+    (compiled code). Only messages that spell a key with capitals or repeat one
+    are parsed into a map as well, and checked entry by entry."""
+    names = [*STRING_FIELDS, time_field, "meta_data"]
+    text = F.col(value)
+    fields = ", ".join(f"{f} variant" for f in names) + ", _bad string"
+    parsed = df.select("*", F.from_json(text, fields, {**JSON_OPTIONS, "columnNameOfCorruptRecord": "_bad"}).alias("_s"),
+                       F.json_object_keys(text).alias("_keys"), one_value(text).alias("_one"))
+    spelled = F.array_join("_keys", "\n")
+    odd = (F.size("_keys") != F.size(F.array_distinct("_keys"))) | (F.lower(spelled) != spelled)
+    entries = F.when(odd, lower_entries(F.from_json(text, "map<string,variant>", JSON_OPTIONS)))
+    parsed = parsed.select("*", entries.alias("_e"), F.coalesce(odd, F.lit(False)).alias("_odd"))
+    one = {f: F.col(f"_s.{f}") for f in names}
+    at = F.try_variant_get(one[time_field], "$", "string")
+    plain = (F.col("_keys").isNotNull() & F.col("_s._bad").isNull() & _is(one["meta_data"], "OBJECT") & _is(one[time_field], "STRING")
+             & (at.isNull() | F.coalesce(strict_rfc3339(at), F.lit(False))))
+    for f in STRING_FIELDS:
+        plain = plain & _is(one[f], "STRING")
+    bare_null = text.rlike(r"^[ \t\r\n]*null[ \t\r\n]*$")
+    ok = F.when(F.col("_odd"), F.col("_e").isNotNull() & entries_ok(F.col("_e"), time_field)).when(F.col("_keys").isNull(), bare_null).otherwise(plain)
+    parsed = parsed.select("*", F.when(F.col("_odd"), known_fields(F.col("_e"))).alias("_m"), (F.col("_one") & F.coalesce(ok, F.lit(False))).alias("_ok"))
+    slow = dict(zip(names, field_columns(F.col("_m"), time_field)))
+    meta = F.when(~F.is_variant_null(one["meta_data"]), F.to_json(one["meta_data"]))
+    fast = {f: F.coalesce(F.try_variant_get(one[f], "$", "string"), F.lit("")) for f in STRING_FIELDS} | {time_field: at, "meta_data": meta}
+    keep = [c for c in df.columns if c not in [*names, value]]
+    # a malformed message has no fields
+    return parsed.select(*keep, *(F.when(F.col("_odd"), slow[f]).when(F.col("_ok"), fast[f]).alias(f) for f in names), (~F.col("_ok")).alias("malformed"))
 
 
 def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from adsieve.config import DEFAULT_SCORING, ArchiveConfig, ScoringConfig
 from adsieve.functions import epoch_micros, json_null_text
 from adsieve.operators.archive import archive_rows
-from adsieve.operators.classify import Scorer, classify, history_of, window_lengths, window_scorer
+from adsieve.operators.classify import Keep, Scorer, classify, history_of, window_lengths, window_scorer
 from adsieve.operators.decode import decode_messages, to_raw_event
 from adsieve.operators.history import Carried, WindowHistory, carried, live
 from adsieve.operators.metrics import PipelineReport, pipeline_metrics
@@ -84,12 +84,12 @@ def decoded(messages: DataFrame) -> DataFrame:
 
 
 def route_events(events: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING,
-                 history: WindowHistory | None = None, scorer: Scorer = window_scorer) -> DataFrame:
+                 history: WindowHistory | None = None, scorer: Scorer = window_scorer, keep: Keep = lambda df, name: df) -> DataFrame:
     """Every event with its status (rejected / duplicate / fraud / accepted)
     and storage check."""
     if "arrival" in events.columns:
         cfg = dataclasses.replace(cfg, arrival_col="arrival")  # windows follow the topic clock
-    return storage_constraints(classify(events, cfg, scorer, keep_rejected=True, history=history))
+    return storage_constraints(classify(events, cfg, scorer, keep_rejected=True, history=history, keep=keep))
 
 
 def stage(df: DataFrame, name: str, batch_id: int | str) -> DataFrame:
@@ -99,11 +99,21 @@ def stage(df: DataFrame, name: str, batch_id: int | str) -> DataFrame:
     micro-batch overwrites the previous stage (bounded storage).
     """
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "adsieve-stage", name, f"batch_id={batch_id}")
+    path = _stage_path(spark, name, batch_id)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def _stage_path(spark: SparkSession, name: str, batch_id: int | str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "adsieve-stage", name, f"batch_id={batch_id}")
+
+
+def unstage(spark: SparkSession, names: list[str], batch_id: int | str) -> None:
+    """Remove stages that nothing reads any more."""
+    for name in names:
+        segments.remove(spark, _stage_path(spark, name, batch_id))
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
@@ -192,9 +202,9 @@ def tables(spark: SparkSession, out: Outputs, lengths: dict[str, int]) -> list[s
 
 def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id: int,
               cfg: ScoringConfig = DEFAULT_SCORING, upload_ts: Column | None = None, scorer: Scorer = window_scorer,
-              report: PipelineReport | None = None, fan: int | None = segments.FAN) -> DataFrame:
+              report: PipelineReport | None = None, fan: int | None = segments.FAN, keep_routed: bool = True) -> DataFrame | None:
     """Process one batch of topic messages end to end; returns the staged
-    routed rows.
+    routed rows (``keep_routed`` False: removes them and returns nothing).
 
     Archive objects are named by upload time. By default that is the
     batch's newest arrival (data-derived, so a replay writes the same
@@ -216,7 +226,8 @@ def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id:
         history = read_history(spark, out, batch_id, lengths, since)
     if closed:
         return route_events(events.limit(0), cfg, scorer=scorer)
-    routed = stage(route_events(events, cfg, history, scorer), f"routed-{slot}", batch_id)
+    routed = stage(route_events(events, cfg, history, scorer, lambda df, name: stage(df, f"before-{name}-{slot}", batch_id)), f"routed-{slot}", batch_id)
+    unstage(spark, [f"decoded-{slot}", *(f"{what}-{name}-{slot}" for what in ("before", "windows") for name in lengths)], batch_id)
     if "arrival" in routed.columns:
         W.write_windows(history_of(routed, scorer), out.windows, batch_id)
         source = F.shiftright("seq", SOURCE_BITS).alias("source")
@@ -228,4 +239,6 @@ def run_batch(spark: SparkSession, messages: DataFrame, out: Outputs, batch_id:
         report.add(batch_id, metrics)
     if fan is not None and "arrival" in routed.columns:
         segments.fold(spark, out.root, tables(spark, out, lengths), segments.batches_of(spark, out.stats_delta), fan)
-    return routed
+    if keep_routed:
+        return routed
+    unstage(spark, [f"routed-{slot}"], batch_id)

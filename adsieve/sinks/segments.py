@@ -75,6 +75,11 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n[:-5]) for n in _names(spark, f"{root}/{_DIR}") if n.endswith(".json") and n[:-5].isdigit())
 

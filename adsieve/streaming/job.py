@@ -118,7 +118,7 @@ def start(messages: DataFrame, out: Outputs, checkpoint: str, cfg: ScoringConfig
     spark = messages.sparkSession
     if windows == "shared":
         def sink(batch: DataFrame, batch_id: int) -> None:
-            run_batch(batch.sparkSession, batch, out, first_batch_id + batch_id, cfg, scorer=scorer, report=report)
+            run_batch(batch.sparkSession, batch, out, first_batch_id + batch_id, cfg, scorer=scorer, report=report, keep_routed=False)
 
         rows = messages
     else:
