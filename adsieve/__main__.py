@@ -100,6 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.errors import AnalysisException
 
     from adsieve.functions import rfc3339_nano
+    from adsieve.operators import latest
     from adsieve.operators import stats as S
     from adsieve.schemas import CAMPAIGN_STATS
     from adsieve.sinks.writers import read_stats
@@ -118,7 +119,11 @@ def main(argv: list[str] | None = None) -> int:
         if a.id == "":
             print(json.dumps({"error": LOOKUP_BAD_REQUEST}))
             return 2
-        rows = [r.asDict() for r in S.campaign_by_id(stats, a.id).collect()]  # at most one row
+        # at most one row, from one bucket of the maintained table
+        found = latest.lookup(spark, out.latest, a.id)
+        if a.json:
+            found = found.withColumn("hour_bucket", rfc3339_nano("hour_bucket"))
+        rows = [r.asDict() for r in found.collect()]
         if not rows:
             print(json.dumps({"error": LOOKUP_NOT_FOUND}))
             return 1

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from adsieve.config import DEFAULT_SCORING, ArchiveConfig, ScoringConfig
 from adsieve.functions import epoch_micros, json_null_text
+from adsieve.operators import latest
 from adsieve.operators.archive import archive_rows
 from adsieve.operators.classify import Keep, Scorer, classify, history_of, window_lengths, window_scorer
 from adsieve.operators.decode import decode_messages, to_raw_event
@@ -57,6 +58,10 @@ class Outputs:
     def stats_delta(self) -> str:
         return os.path.join(self.root, "campaign_stats_delta")
 
+    @property
+    def latest(self) -> str:
+        return os.path.join(self.root, "campaign_latest")
+
     @property
     def metrics(self) -> str:
         return os.path.join(self.root, "metrics")
@@ -140,6 +145,7 @@ def write_outputs(routed: DataFrame, out: Outputs, batch_id: int, upload_ts: Col
     metrics["n_events"] = sum(metrics[c] for c in ("total_processed", "total_failed", "total_duplicates", "total_fraud"))
     metrics |= {"started_at": started, "finished_at": _now()}
     W.write_metrics(spark.createDataFrame([metrics], METRICS), out.metrics, batch_id)
+    latest.add(spark, out.latest, campaign_hour_stats(stored), batch_id)
     # last, as its folder tells the fold that the batch is whole
     W.write_stats_delta(campaign_hour_stats(stored), out.stats_delta, batch_id)
     return metrics

@@ -70,18 +70,45 @@ def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
     fs, at = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, through Hadoop's file system."""
+    fs, at = _fs(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write under another name, then rename: the file appears whole."""
+    fs, target = _fs(spark, path)
+    draft = _path(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, at = _fs(spark, path)
     fs.delete(at, True)
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(n[:-5]) for n in _names(spark, f"{root}/{_DIR}") if n.endswith(".json") and n[:-5].isdigit())
+    return sorted(int(n[:-5]) for n in names(spark, f"{root}/{_DIR}") if n.endswith(".json") and n[:-5].isdigit())
 
 
 def load(spark: SparkSession, root: str) -> Manifest:
@@ -89,29 +116,19 @@ def load(spark: SparkSession, root: str) -> Manifest:
     found = _versions(spark, root)
     if not found:
         return Manifest()
-    fs, at = _fs(spark, f"{root}/{_DIR}/{found[-1]:012d}.json")
-    stream = fs.open(at)
-    try:
-        text = spark._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()
-    finally:
-        stream.close()
-    d = json.loads(text)
+    d = json.loads(read_text(spark, f"{root}/{_DIR}/{found[-1]:012d}.json"))
     return Manifest(d["version"], d["folded"], tuple(Segment(**s) for s in d["segments"]), tuple(d["dead"]))
 
 
 def commit(spark: SparkSession, root: str, manifest: Manifest) -> None:
     """Publish ``manifest`` as its version; fails if that version exists."""
     text = json.dumps({"version": manifest.version, "folded": manifest.folded, "segments": [vars(s) for s in manifest.segments], "dead": manifest.dead})
-    fs, draft = _fs(spark, f"{root}/{_DIR}/.{uuid.uuid4().hex}")
-    target = _path(spark, f"{root}/{_DIR}/{manifest.version:012d}.json")
-    out = fs.create(draft, False)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if fs.exists(target) or not fs.rename(draft, target):
-        fs.delete(draft, False)
-        raise RuntimeError(f"manifest version {manifest.version} was committed by another job")
+    try:
+        write_text(spark, f"{root}/{_DIR}/{manifest.version:012d}.json", text)
+    except FileExistsError as e:
+        raise RuntimeError(f"manifest version {manifest.version} was committed by another job") from e
     for v in _versions(spark, root)[:-_VERSIONS_KEPT]:
-        fs.delete(_path(spark, f"{root}/{_DIR}/{v:012d}.json"), False)
+        remove(spark, f"{root}/{_DIR}/{v:012d}.json")
 
 
 @dataclass(frozen=True)
@@ -175,5 +192,5 @@ def fold(spark: SparkSession, root: str, tables: list[Table], batches: list[int]
 
 def batches_of(spark: SparkSession, path: str) -> list[int]:
     """Batch ids that have a folder of their own directly under ``path``."""
-    ids = [n.removeprefix("batch_id=") for n in _names(spark, path) if n.startswith("batch_id=")]
+    ids = [n.removeprefix("batch_id=") for n in names(spark, path) if n.startswith("batch_id=")]
     return sorted(int(i) for i in ids if i.lstrip("-").isdigit())

@@ -125,6 +125,11 @@ def write_partition(rows: DataFrame, path: str, batch_id: int | str) -> None:
     _overwrite_partitions(rows.withColumn("batch_id", F.lit(str(batch_id))).coalesce(1)).partitionBy("batch_id").parquet(path)
 
 
+def write_rows(rows: DataFrame, path: str, batch_id: int | str) -> None:
+    """Many rows of one batch, rebalanced by size."""
+    _overwrite_partitions(rows.withColumn("batch_id", F.lit(str(batch_id))).hint("rebalance")).partitionBy("batch_id").parquet(path)
+
+
 def write_metrics(metrics: DataFrame, path: str, batch_id: int | str) -> None:
     out = metrics.withColumn("batch_id", F.lit(str(batch_id)))
     _overwrite_partitions(out.coalesce(1)).partitionBy("batch_id").parquet(path)
