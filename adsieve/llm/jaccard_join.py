@@ -3,24 +3,29 @@
 1. A document is the set of its five-word shingles. Documents with equal sets
    form a class (found by a 128-bit set fingerprint); its smallest id speaks
    for it, so copies are never expanded into pairs.
-2. Every class has ``TREES`` labels of ``DEPTH`` minimum hashes, the sorted
-   paths of ``TREES`` prefix tries. Classes match where their labels share a
-   prefix. Its length is fixed beforehand, by formula and not by the data: the
-   longest at which a pair of exactly the threshold's similarity is found with
-   the target recall (`matched_depth`). Minima below it are not used. Where
-   even one minimum misses the target, there are more trees (`trees_needed`).
-3. Classes that share a prefix are tied to the smallest of them (one link a
-   class and tree, never all pairs); the connected components are candidate
-   groups.
-4. Groups are verified exactly in tasks: intersections are counted over the
-   64-bit shingle codes. A group over ``BLOCK`` classes is dealt into blocks,
-   and each pair of blocks is a task of its own. Tasks return a count of links
-   and a spanning forest, not the pairs.
-
-Every pair inside a candidate group is verified, so recall exceeds the
-forest's own. Defined results: texts without words link with nothing. A text
-of one to four words is one shingle. A null id links with nothing. Rows that
-repeat an id count as documents of one class. Other columns are ignored.
+2. Every class has ``TREES`` labels of ``DEPTH`` minimum hashes: its paths in
+   ``TREES`` prefix tries. Two classes match where they share the first ``d``
+   minima of a label, that is a node of a trie at depth ``d``. Matching begins
+   at the whole label, and the prefix is shortened by one minimum at a time
+   until the recall measured on the verified links reaches the target: a link
+   of similarity s is found with probability ``1 - (1 - s**d)**trees``, so the
+   found links stand for ``sum(1/p)`` of them (`measured_recall`; one link in a
+   hundred, and one at least, is taken to lie at the threshold unseen). Low
+   thresholds get more trees (`trees_needed`).
+3. Nodes that hold several classes tie each to the smallest of them (one link a
+   class and node, never all pairs); connected components are candidate groups.
+   A dense group (its nodes together hold as many pairs as it has) is verified
+   as a whole. In any other group, such as a long chain, only classes that share
+   a node meet, each pair once, at its longest shared prefix: work grows with the
+   shared prefixes, not with the square of the group.
+4. Groups and nodes are verified exactly in tasks: intersections are counted
+   over the 64-bit shingle codes. One over ``BLOCK`` classes is dealt into
+   blocks, and each pair of blocks is a task of its own. Tasks return a count of
+   links and a spanning forest, not the pairs.
+
+Defined results: texts without words link with nothing. A text of one to four
+words is one shingle. A null id links with nothing. Rows that repeat an id
+count as documents of one class. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +44,8 @@ from adsieve.llm.textcodes import Words, mix, shingles, slices
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES, DEPTH = 20, 6
-TARGET_RECALL = 0.999
+TREES, DEPTH = 24, 8
+TARGET_RECALL = 0.9999
 BLOCK = 1024  # classes of a block
 BIN = 256  # classes of small groups that share a task
 SLICE_BYTES = 1 << 20
@@ -48,22 +53,25 @@ _DENSE = 32  # shingles of more classes are counted by matrix product
 _SETS = "doc_id long, n int, fp1 long, fp2 long, labels array<binary>"
 
 
-def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = TARGET_RECALL) -> int:
-    """Longest prefix at which a pair of the threshold's similarity meets in
-    some tree with the target probability."""
-    while depth > 1 and 1 - (1 - threshold ** depth) ** trees < target:
-        depth -= 1
-    return depth
+def found_share(similarity, depth: int, trees: int):
+    """Probability that a pair of that similarity shares ``depth`` minima in some tree."""
+    return 1 - (1 - similarity ** depth) ** trees
 
 
-def trees_needed(threshold: float, depth: int, trees: int = TREES, target: float = TARGET_RECALL) -> int:
-    """``trees``, or more where even that many miss the target at ``depth``."""
+def measured_recall(links: float, stand_for: float, threshold: float, depth: int, trees: int) -> float:
+    """Share of all links that is found, where ``links`` found ones stand for
+    ``stand_for``; a hundredth, and one at least, may lie at the threshold."""
+    unseen = 1 + links / 100
+    return (links + unseen) / (stand_for + unseen / found_share(threshold, depth, trees))
+
+
+def trees_needed(threshold: float, trees: int = TREES, target: float = TARGET_RECALL) -> int:
+    """``trees``, or more where even prefixes of one minimum miss the target."""
     if not (threshold > 0 and target < 1):
         raise ValueError("threshold must be above 0 and target below 1")
-    miss = 1 - threshold ** depth
-    if miss <= 0 or 1 - miss ** trees >= target:
+    if threshold >= 1 or found_share(threshold, 1, trees) >= target:
         return trees
-    return max(trees, math.ceil(math.log1p(-target) / math.log(miss)))
+    return math.ceil(math.log1p(-target) / math.log(1 - threshold))
 
 
 def _sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -118,11 +126,29 @@ def _code_task(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             codes = [c.tobytes() for _, c in _sets(rb.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([*(rb.column(c) for c in ("doc_id", "comp", "blocks", "size")), pa.array(codes, pa.binary())],
-                                             ["doc_id", "comp", "blocks", "size", "codes"])
+            yield pa.RecordBatch.from_arrays([*(rb.column(c) for c in ("doc_id", "meets", "size", "labels")), pa.array(codes, pa.binary())],
+                                             ["doc_id", "meets", "size", "labels", "codes"])
     return run
 
 
+def at_longest(labels: np.ndarray, other: np.ndarray, tree: int) -> np.ndarray:
+    """Pairs whose longest shared prefix lies in ``tree`` (of equal ones the
+    first). ``labels [classes, trees, depth]``."""
+    best = np.zeros((len(labels), len(other)), np.int8)
+    own = np.full(best.shape, -1, np.int16)
+    for t in range(labels.shape[1]):
+        same = np.ones(best.shape, bool)
+        length = np.zeros(best.shape, np.int8)
+        for d in range(labels.shape[2]):
+            same &= labels[:, t, d][:, None] == other[:, t, d][None, :]
+            if not same.any():
+                break
+            length += same
+        longer = length > best
+        best[longer], own[longer] = length[longer], t
+    return own == tree
+
+
 def overlaps(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
     """Sizes of the intersections of sets ``a`` with sets ``b`` (or with ``a``)."""
     rows = len(a)
@@ -183,93 +209,125 @@ def _roots(ids: np.ndarray, linked: np.ndarray) -> np.ndarray:
     return ids[root]
 
 
-def _verify_task(threshold: float):
-    schema = pa.schema([("doc_id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
-
-    def similar(a, b):
-        both = overlaps(a, b)
-        na = np.array([len(x) for x in a], dtype=np.float64)
-        nb = na if b is None else np.array([len(x) for x in b], dtype=np.float64)
-        return both > 0, both >= threshold * (na[:, None] + nb[None, :] - both) - 1e-9
+def _verify_task(threshold: float, depth: int, trees: int, levels: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("links", pa.int64()), ("root", pa.int64()), ("pairs", pa.int64()), ("stand_for", pa.float64())])
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("comp", "ascending"), ("doc_id", "ascending")])
-        comp = table["comp"].to_numpy()
-        ids, size, block = (table[c].to_numpy() for c in ("doc_id", "size", "block"))
+        table = table.sort_by([("grp", "ascending"), ("doc_id", "ascending")])
+        grp = table["grp"].to_numpy()
+        ids, size, block, tree = (table[c].to_numpy() for c in ("doc_id", "size", "block", "tree"))
         codes = [np.frombuffer(x, np.uint64) for x in table["codes"].to_pylist()]
-        fresh = np.r_[True, (ids[1:] != ids[:-1]) | (comp[1:] != comp[:-1])]  # an id's repeated rows count in its size
+        label = table["labels"].to_pylist()
+        fresh = np.r_[True, (ids[1:] != ids[:-1]) | (grp[1:] != grp[:-1])]  # an id's repeated rows count in its size
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
         out = []
-        begin = np.flatnonzero(np.r_[True, comp[1:] != comp[:-1]])
-        for x, z in zip(begin, [*begin[1:], len(comp)]):
+
+        def labels(rows):
+            return np.frombuffer(b"".join(b"".join(label[k]) for k in rows), ">u4").reshape(len(rows), trees, levels)
+
+        def linked(a, b):
+            """Links of rows ``a`` with rows ``b`` (None: among themselves), and their similarity."""
+            both = overlaps([codes[k] for k in a], None if b is None else [codes[k] for k in b]).astype(np.float64)
+            n = np.array([len(codes[k]) for k in a], dtype=np.float64)
+            m = n if b is None else np.array([len(codes[k]) for k in b], dtype=np.float64)
+            union = n[:, None] + m[None, :] - both
+            link = (both > 0) & (both >= threshold * union - 1e-9)
+            if b is None:
+                np.fill_diagonal(link, False)
+            if tree[a[0]] >= 0 and link.any():  # a node: its pairs may share others
+                mine = labels(a)
+                link &= at_longest(mine, mine if b is None else labels(b), tree[a[0]])
+            once = np.triu(link) if b is None else link
+            return link, int(once.sum()), float((1 / found_share(both[once] / union[once], depth, trees)).sum())
+
+        begin = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
+        for x, z in zip(begin, [*begin[1:], len(grp)]):
             mine = x + np.flatnonzero(fresh[x:z])
             if lo == hi:
-                some, linked = similar([codes[k] for k in mine], None)
-                linked &= some
-                np.fill_diagonal(linked, False)
-                out.append((ids[mine], linked @ size[mine], _roots(ids[mine], linked)))
-                continue
-            a, b = mine[block[mine] == lo], mine[block[mine] == hi]
-            if not len(a) or not len(b):
-                continue
-            some, cross = similar([codes[k] for k in a], [codes[k] for k in b])
-            cross &= some
-            both = np.r_[a, b]
-            linked = np.zeros((len(both), len(both)), dtype=bool)
-            linked[: len(a), len(a):] = cross
-            linked[len(a):, : len(a)] = cross.T
-            out.append((ids[both], np.r_[cross @ size[b], cross.T @ size[a]], _roots(ids[both], linked)))
-        cols = [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int64)] * 3
-        return pa.table([pa.array(np.asarray(c, dtype=np.int64)) for c in cols], schema=schema)
+                link, pairs, stand_for = linked(mine, None)
+                links, root = link @ size[mine], _roots(ids[mine], link)
+            else:
+                a, b = mine[block[mine] == lo], mine[block[mine] == hi]
+                if not len(a) or not len(b):
+                    continue
+                cross, pairs, stand_for = linked(a, b)
+                mine = np.r_[a, b]
+                link = np.zeros((len(mine), len(mine)), dtype=bool)
+                link[: len(a), len(a):] = cross
+                link[len(a):, : len(a)] = cross.T
+                links, root = np.r_[cross @ size[b], cross.T @ size[a]], _roots(ids[mine], link)
+            some = links > 0
+            if some.any():
+                told = np.zeros((2, int(some.sum())))
+                told[:, 0] = pairs, stand_for
+                out.append((ids[mine][some], links[some], root[some], told[0], told[1]))
+        if not out:
+            return schema.empty_table()
+        cols = [np.concatenate(c) for c in zip(*out)]
+        return pa.table([pa.array(c.astype(np.float64 if f.type == pa.float64() else np.int64)) for c, f in zip(cols, schema)], schema=schema)
     return run
 
 
-def candidates(reps: DataFrame, depth: int) -> DataFrame:
-    """``(u, v)``: each class with the smallest class that shares a prefix."""
-    keyed = reps.select("rep", F.posexplode("labels").alias("tree", "label")) \
-        .select("rep", F.xxhash64("tree", F.substring("label", 1, 4 * depth)).alias("prefix"))
-    heads = stored(keyed.groupBy("prefix").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "prefixes")
-    return keyed.join(broadcast_if_small(heads, heads.count(), 32), "prefix") \
-        .where("rep <> head").select(F.col("rep").alias("u"), F.col("head").alias("v")).distinct()
+def meetings(classes: DataFrame, depth: int) -> DataFrame:
+    """``rep, meets``: where each class that shares a node at ``depth`` is
+    verified, as ``(kind, task, grp, blocks, tree)``. A dense group is met once
+    (tree -1), else every shared node."""
+    keyed = classes.select("rep", F.posexplode("labels").alias("tree", "label")) \
+        .select("rep", "tree", F.xxhash64("tree", F.substring("label", 1, 4 * depth)).alias("prefix"))
+    nodes = stored(keyed.groupBy("prefix").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
+    tied = stored(keyed.join(broadcast_if_small(nodes, nodes.count(), 40), "prefix"), "tied")
+    comps = stored(components(tied.where("rep <> head").select(F.col("rep").alias("u"), F.col("head").alias("v")).distinct()), "groups")
+    held = nodes.join(comps, F.col("head") == F.col("id")).groupBy("component").agg(F.sum(F.col("n") * (F.col("n") - 1.0) / 2).alias("held"))
+    shape = comps.groupBy("component").agg(F.count(F.lit(1)).alias("m")).join(held, "component")
+    shape = stored(shape.select("component", F.ceil(F.col("m") / BLOCK).alias("blocks"), (F.col("m") * (F.col("m") - 1.0) / 2 <= F.col("held")).alias("dense")), "shape")
+    side = broadcast_if_small(shape, shape.count(), 32)
+    bins = max(1, -(-comps.count() // BIN))
+    here = comps.withColumnRenamed("id", "rep").join(side, "component")
+    whole = here.where("dense").select("rep", F.col("component").alias("grp"), "blocks", F.lit(-1).alias("tree"), F.lit(0).alias("kind"))
+    apart = tied.join(here.where("not dense").select("rep"), "rep") \
+        .select("rep", F.col("prefix").alias("grp"), F.ceil(F.col("n") / BLOCK).alias("blocks"), "tree", F.lit(2).alias("kind"))
+    small = F.col("blocks") == 1
+    met = whole.unionByName(apart).select("rep", F.struct(
+        F.when(small, F.col("kind")).otherwise(F.col("kind") + 1).alias("kind"),
+        F.when(small, F.pmod(F.xxhash64("grp"), F.lit(bins))).otherwise(F.col("grp")).alias("task"), "grp", "blocks", "tree").alias("at"))
+    # a class is in one node a tree at most
+    return stored(met.groupBy("rep").agg(F.collect_list("at").alias("meets")), "meetings")
+
+
+def verified_links(docs: DataFrame, classes: DataFrame, threshold: float, width: int, depth: int, trees: int) -> DataFrame:
+    """Links and a spanning forest of all classes that share a node at ``depth``."""
+    met = meetings(classes, depth).join(classes.select("rep", "size", "labels"), "rep")
+    met = stored(met, "members")
+    n = met.count()
+    texts = docs.select("doc_id", "text").join(broadcast_if_small(met, n, 160 + 4 * trees * DEPTH), F.col("doc_id") == F.col("rep")) \
+        .select("doc_id", "text", "meets", "size", "labels")
+    kind = texts.schema["meets"].dataType.simpleString()
+    codes = texts.mapInArrow(_code_task(width), f"doc_id long, meets {kind}, size long, labels array<binary>, codes binary")
+    each = codes.withColumn("at", F.explode("meets")).select("doc_id", "at.*", "size", "codes", F.when(F.col("at.tree") >= 0, F.col("labels")).alias("labels"))
+    dealt = each.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
+        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    return stored(dealt.groupBy("kind", "task", "lo", "hi").applyInArrow(
+        _verify_task(threshold, depth, trees, DEPTH), "doc_id long, links long, root long, pairs long, stand_for double"), "verified")
 
 
 def jaccard_links(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE, target: float = TARGET_RECALL) -> DataFrame:
     """``doc_id, n_links, component_id, kept`` of every document: the other
     documents at the threshold or above, and the smallest id reachable."""
-    spark = docs.sparkSession
-    depth = matched_depth(threshold, target=target)
-    trees = trees_needed(threshold, depth, target=target)
-    levels = DEPTH if trees == TREES else depth
-    sets = stored(docs.select("doc_id", "text").mapInArrow(_set_task(width, trees, levels), _SETS), "sets")
+    trees = trees_needed(threshold, target=target)
+    sets = stored(docs.select("doc_id", "text").mapInArrow(_set_task(width, trees, DEPTH), _SETS), "sets")
     alike = ["n", "fp1", "fp2"]
     known = sets.where("n > 0 and doc_id is not null")
     classes = stored(
         known.groupBy(*alike).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("labels").alias("labels")), "classes")
-
-    comps = components(candidates(classes, depth)).withColumnRenamed("id", "rep").withColumnRenamed("component", "comp")
-    comps = stored(comps, "groups")
-    sizes = comps.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    n_comps = comps.count()
-    # one link holds the whole shape of a group, so its classes are met by their own id
-    members = comps.join(sizes.where("blocks > 1"), "comp", "left").select("rep", "comp", F.coalesce("blocks", F.lit(1)).alias("blocks")) \
-        .join(classes.select("rep", "size"), "rep")
-    members = stored(members, "members")
-    split = members.where("blocks > 1").limit(1).count() > 0
-
-    texts = docs.select("doc_id", "text").join(broadcast_if_small(members, n_comps, 48), F.col("doc_id") == F.col("rep")) \
-        .select("doc_id", "text", "comp", "blocks", "size")
-    codes = texts.mapInArrow(_code_task(width), "doc_id long, comp long, blocks long, size long, codes binary")
-    bins = max(1, -(-n_comps // BIN))
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
-    dealt = codes.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
-        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")) \
-        .withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(bins))).otherwise(F.lit(-1) - F.col("comp")))
-    verified = stored(
-        dealt.groupBy("task", "lo", "hi").applyInArrow(_verify_task(threshold), "doc_id long, links long, root long"), "verified")
-    links = verified.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("links"), F.min("root").alias("root"))
-    if split:
-        joined = components(verified.select(F.col("doc_id").alias("u"), F.col("root").alias("v")))
-        links = links.drop("root").join(joined.select(F.col("id").alias("rep"), F.col("component").alias("root")), "rep", "left")
+    for depth in range(DEPTH, 0, -1):
+        verified = verified_links(docs, classes, threshold, width, depth, trees)
+        pairs, stand_for = verified.agg(F.sum("pairs"), F.sum("stand_for")).first()
+        if measured_recall(pairs or 0, stand_for or 0.0, threshold, depth, trees) >= target:
+            break
+    joined = components(verified.select(F.col("doc_id").alias("u"), F.col("root").alias("v")))
+    links = verified.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("links")) \
+        .join(joined.select(F.col("id").alias("rep"), F.col("component").alias("root")), "rep", "left")
     told = classes.select(*alike, "rep", "size").join(links, "rep", "left").where("size > 1 or links > 0") \
         .select(*alike, (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
     told = stored(told, "told")

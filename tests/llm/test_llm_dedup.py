@@ -133,11 +133,50 @@ def test_jaccard_edges(documents):
     assert J.jaccard_links(documents([])).count() == 0
 
 
-def test_depth_meets_recall():
-    for threshold in (0.5, 0.8, 0.95):
-        k = J.matched_depth(threshold, 20, 6, 0.99)
-        assert k == 1 or 1 - (1 - threshold ** k) ** 20 >= 0.99
-        assert k == 6 or 1 - (1 - threshold ** (k + 1)) ** 20 < 0.99
+def test_prefixes_shorten_until_the_recall_is_reached(documents, monkeypatch):
+    seen = []
+    level = J.verified_links
+    monkeypatch.setattr(J, "verified_links", lambda *a: seen.append(a[4]) or level(*a))
+    rng = random.Random(3)
+
+    def near(n, edits):
+        rows = []
+        for k in range(n):
+            base = [f"d{k}w{i}" for i in range(60)]
+            other = list(base)
+            for e in range(edits):
+                other[rng.randint(0, 59) if edits == 1 else 10 + 25 * e] = "edit"
+            rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+        return rows
+
+    # ends cut off: similarity 0.96; nothing lies near the threshold but what might be unseen
+    high = [(2 * k + j, " ".join(f"d{k}w{i}" for i in range(200 - 4 * j))) for k in range(300) for j in range(2)]
+    assert J.jaccard_links(documents(high)).where("n_links = 1").count() == 600
+    assert seen[0] == J.DEPTH and len(seen) < J.DEPTH
+    first, seen[:] = seen[-1], []
+    rows = near(300, 1)  # one word of sixty changed: similarity 51/61 and above
+    got = {r.doc_id: (r.n_links, r.component_id, r.kept) for r in J.jaccard_links(documents(rows)).collect()}
+    assert got == {i: (1, i - i % 2, i % 2 == 0) for i in range(600)}
+    assert seen == list(range(J.DEPTH, seen[-1] - 1, -1)) and seen[-1] < first
+    assert J.measured_recall(10 ** 6, 10 ** 6 * 1.00001, 0.8, 6, 24) < 1
+    assert J.found_share(0.8, 5, J.TREES) > J.TARGET_RECALL
+
+
+def test_a_chain_is_verified_by_shared_prefixes(documents, monkeypatch):
+    """Texts that slide by two words: a component of 250 in which only near
+    neighbours share prefixes. Nodes are met, not the square of the chain."""
+    words = [f"w{k}" for k in range(600)]
+    rows = [(k, " ".join(words[2 * k: 2 * k + 60])) for k in range(250)]
+    kinds = []
+    level = J.meetings
+    monkeypatch.setattr(J, "meetings", lambda *a: kinds.append(level(*a)) or kinds[-1])
+    monkeypatch.setattr(J, "BLOCK", 5)
+    got = {r.doc_id: (r.n_links, r.component_id, r.kept) for r in J.jaccard_links(documents(rows)).collect()}
+    assert got == B.jaccard(rows)
+    met = kinds[-1].select(F.explode("meets").alias("m")).select("m.*")
+    assert met.where("tree >= 0").count() > 250 and met.where("tree < 0").count() < 40
+    largest = met.groupBy("grp").count().agg(F.max("count")).first()[0]
+    assert largest < 60
 
 
 def test_components(lspark):

@@ -13,12 +13,10 @@ from adsieve.llm.tokens import load
 
 def test_low_thresholds_get_more_trees(documents):
     for threshold in (0.05, 0.2, 0.5, 0.8, 1.0):
-        depth = J.matched_depth(threshold)
-        trees = J.trees_needed(threshold, depth)
-        assert 1 - (1 - threshold ** depth) ** trees >= J.TARGET_RECALL - 1e-9
-    assert J.trees_needed(0.8, J.matched_depth(0.8)) == J.TREES
+        assert J.found_share(threshold, 1, J.trees_needed(threshold)) >= J.TARGET_RECALL - 1e-9
+    assert J.trees_needed(0.8) == J.TREES
     with pytest.raises(ValueError):
-        J.trees_needed(0.0, 1)
+        J.trees_needed(0.0)
     rows = []  # pairs of six words each, two shared: similarity 0.2
     for k in range(1500):
         own = [f"w{k}x{i}" for i in range(10)]
