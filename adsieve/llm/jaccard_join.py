@@ -44,7 +44,7 @@ from adsieve.llm.textcodes import Words, mix, shingles, slices
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES, DEPTH = 24, 8
+TREES, DEPTH = 24, 6
 TARGET_RECALL = 0.9999
 BLOCK = 1024  # classes of a block
 BIN = 256  # classes of small groups that share a task
@@ -296,10 +296,13 @@ def meetings(classes: DataFrame, depth: int) -> DataFrame:
 
 def verified_links(docs: DataFrame, classes: DataFrame, threshold: float, width: int, depth: int, trees: int) -> DataFrame:
     """Links and a spanning forest of all classes that share a node at ``depth``."""
-    met = meetings(classes, depth).join(classes.select("rep", "size", "labels"), "rep")
+    # only classes that are met node by node need their labels there
+    at_nodes = F.exists("meets", lambda m: m["tree"] >= 0)
+    met = meetings(classes, depth).join(classes.select("rep", "size", "labels"), "rep").withColumn("labels", F.when(at_nodes, F.col("labels")))
     met = stored(met, "members")
-    n = met.count()
-    texts = docs.select("doc_id", "text").join(broadcast_if_small(met, n, 160 + 4 * trees * DEPTH), F.col("doc_id") == F.col("rep")) \
+    n, nodes, labels = met.agg(F.count(F.lit(1)), F.sum(F.size("meets")), F.count("labels")).first()
+    size = n * 64 + (nodes or 0) * 48 + labels * trees * (4 * DEPTH + 16)
+    texts = docs.select("doc_id", "text").join(broadcast_if_small(met, size, 1), F.col("doc_id") == F.col("rep")) \
         .select("doc_id", "text", "meets", "size", "labels")
     kind = texts.schema["meets"].dataType.simpleString()
     codes = texts.mapInArrow(_code_task(width), f"doc_id long, meets {kind}, size long, labels array<binary>, codes binary")

@@ -137,24 +137,12 @@ def test_prefixes_shorten_until_the_recall_is_reached(documents, monkeypatch):
     seen = []
     level = J.verified_links
     monkeypatch.setattr(J, "verified_links", lambda *a: seen.append(a[4]) or level(*a))
-    rng = random.Random(3)
-
-    def near(n, edits):
-        rows = []
-        for k in range(n):
-            base = [f"d{k}w{i}" for i in range(60)]
-            other = list(base)
-            for e in range(edits):
-                other[rng.randint(0, 59) if edits == 1 else 10 + 25 * e] = "edit"
-            rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
-        return rows
-
     # ends cut off: similarity 0.96; nothing lies near the threshold but what might be unseen
     high = [(2 * k + j, " ".join(f"d{k}w{i}" for i in range(200 - 4 * j))) for k in range(300) for j in range(2)]
     assert J.jaccard_links(documents(high)).where("n_links = 1").count() == 600
     assert seen[0] == J.DEPTH and len(seen) < J.DEPTH
     first, seen[:] = seen[-1], []
-    rows = near(300, 1)  # one word of sixty changed: similarity 51/61 and above
+    rows = [(2 * k + j, " ".join(f"d{k}w{i}" for i in range(60 - 11 * j))) for k in range(300) for j in range(2)]  # similarity 45/56
     got = {r.doc_id: (r.n_links, r.component_id, r.kept) for r in J.jaccard_links(documents(rows)).collect()}
     assert got == {i: (1, i - i % 2, i % 2 == 0) for i in range(600)}
     assert seen == list(range(J.DEPTH, seen[-1] - 1, -1)) and seen[-1] < first
