@@ -6,11 +6,12 @@
 2. Every class has ``TREES`` labels of ``DEPTH`` minimum hashes: its paths in
    ``TREES`` prefix tries. Two classes match where they share the first ``d``
    minima of a label, that is a node of a trie at depth ``d``. Matching begins
-   at the whole label, and the prefix is shortened by one minimum at a time
-   until the recall measured on the verified links reaches the target: a link
-   of similarity s is found with probability ``1 - (1 - s**d)**trees``, so the
-   found links stand for ``sum(1/p)`` of them (`measured_recall`; one link in a
-   hundred, and one at least, is taken to lie at the threshold unseen). Low
+   at the whole label, and the prefix is shortened until the recall measured on
+   the verified links reaches the target: a link of similarity s is found with
+   probability ``p = 1 - (1 - s**d)**trees``, so the found links stand for
+   ``sum(1/p)`` of them (`measured_recall`; one link in a hundred, and one at
+   least, is taken to lie at the threshold unseen). At `safe_depth` every pair
+   meets with the target probability, so no prefix is shortened further. Low
    thresholds get more trees (`trees_needed`).
 3. Nodes that hold several classes tie each to the smallest of them (one link a
    class and node, never all pairs); connected components are candidate groups.
@@ -65,6 +66,12 @@ def measured_recall(links: float, stand_for: float, threshold: float, depth: int
     return (links + unseen) / (stand_for + unseen / found_share(threshold, depth, trees))
 
 
+def safe_depth(threshold: float, trees: int, target: float = TARGET_RECALL) -> int:
+    """Longest prefix that finds a pair of any similarity from the threshold up
+    with the target probability: matching is never shortened below it."""
+    return max((d for d in range(1, DEPTH + 1) if found_share(threshold, d, trees) >= target), default=1)
+
+
 def trees_needed(threshold: float, trees: int = TREES, target: float = TARGET_RECALL) -> int:
     """``trees``, or more where even prefixes of one minimum miss the target."""
     if not (threshold > 0 and target < 1):
@@ -209,8 +216,9 @@ def _roots(ids: np.ndarray, linked: np.ndarray) -> np.ndarray:
     return ids[root]
 
 
-def _verify_task(threshold: float, depth: int, trees: int, levels: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("links", pa.int64()), ("root", pa.int64()), ("pairs", pa.int64()), ("stand_for", pa.float64())])
+def _verify_task(threshold: float, trees: int, levels: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("links", pa.int64()), ("root", pa.int64()), ("pairs", pa.int64()), ("stand_for", pa.list_(pa.float64()))])
+    depths = np.arange(1, levels + 1)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("grp", "ascending"), ("doc_id", "ascending")])
@@ -238,7 +246,8 @@ def _verify_task(threshold: float, depth: int, trees: int, levels: int):
                 mine = labels(a)
                 link &= at_longest(mine, mine if b is None else labels(b), tree[a[0]])
             once = np.triu(link) if b is None else link
-            return link, int(once.sum()), float((1 / found_share(both[once] / union[once], depth, trees)).sum())
+            alike = both[once] / union[once]
+            return link, len(alike), [float((1 / found_share(alike, d, trees)).sum()) for d in depths]
 
         begin = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
         for x, z in zip(begin, [*begin[1:], len(grp)]):
@@ -258,33 +267,46 @@ def _verify_task(threshold: float, depth: int, trees: int, levels: int):
                 links, root = np.r_[cross @ size[b], cross.T @ size[a]], _roots(ids[mine], link)
             some = links > 0
             if some.any():
-                told = np.zeros((2, int(some.sum())))
-                told[:, 0] = pairs, stand_for
-                out.append((ids[mine][some], links[some], root[some], told[0], told[1]))
+                rest = int(some.sum()) - 1  # a group's figures stand in its first row
+                out.append((ids[mine][some], links[some], root[some], [pairs] + [0] * rest, [stand_for] + [None] * rest))
         if not out:
             return schema.empty_table()
-        cols = [np.concatenate(c) for c in zip(*out)]
-        return pa.table([pa.array(c.astype(np.float64 if f.type == pa.float64() else np.int64)) for c, f in zip(cols, schema)], schema=schema)
+        cols = list(zip(*out))
+        figures = [[x for part in c for x in part] for c in cols[3:]]
+        return pa.table([*(pa.array(np.concatenate(c).astype(np.int64)) for c in cols[:3]), *map(pa.array, figures)], schema=schema)
     return run
 
 
-def meetings(classes: DataFrame, depth: int) -> DataFrame:
-    """``rep, meets``: where each class that shares a node at ``depth`` is
-    verified, as ``(kind, task, grp, blocks, tree)``. A dense group is met once
-    (tree -1), else every shared node."""
-    keyed = classes.select("rep", F.posexplode("labels").alias("tree", "label")) \
-        .select("rep", "tree", F.xxhash64("tree", F.substring("label", 1, 4 * depth)).alias("prefix"))
-    nodes = stored(keyed.groupBy("prefix").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
-    tied = stored(keyed.join(broadcast_if_small(nodes, nodes.count(), 40), "prefix"), "tied")
+def shared_prefixes(classes: DataFrame, floor: int) -> DataFrame:
+    """``rep, tree, path``: the classes' places in the tries, hashed, at the
+    depths from ``floor`` to ``DEPTH``, where several share the first. The one
+    pass over all classes; deeper levels lie inside."""
+    path = F.array(*[F.xxhash64("tree", F.substring("label", 1, 4 * d)) for d in range(floor, DEPTH + 1)])
+    keyed = classes.select("rep", F.posexplode("labels").alias("tree", "label")).select("rep", "tree", path.alias("path")) \
+        .withColumn("prefix", F.col("path")[0])
+    shared = stored(keyed.groupBy("prefix").count().where("count > 1").select("prefix"), "shared")
+    return stored(keyed.join(broadcast_if_small(shared, shared.count(), 16), "prefix").drop("prefix"), "prefixes")
+
+
+def groups_at(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From ``places (rep, tree, prefix)``: (those that several share, with
+    ``n``; ``rep, component, m, blocks, dense`` of every class tied by them)."""
+    nodes = stored(places.groupBy("prefix").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
+    tied = stored(places.join(broadcast_if_small(nodes, nodes.count(), 40), "prefix"), "tied")
     comps = stored(components(tied.where("rep <> head").select(F.col("rep").alias("u"), F.col("head").alias("v")).distinct()), "groups")
     held = nodes.join(comps, F.col("head") == F.col("id")).groupBy("component").agg(F.sum(F.col("n") * (F.col("n") - 1.0) / 2).alias("held"))
     shape = comps.groupBy("component").agg(F.count(F.lit(1)).alias("m")).join(held, "component")
-    shape = stored(shape.select("component", F.ceil(F.col("m") / BLOCK).alias("blocks"), (F.col("m") * (F.col("m") - 1.0) / 2 <= F.col("held")).alias("dense")), "shape")
-    side = broadcast_if_small(shape, shape.count(), 32)
-    bins = max(1, -(-comps.count() // BIN))
-    here = comps.withColumnRenamed("id", "rep").join(side, "component")
-    whole = here.where("dense").select("rep", F.col("component").alias("grp"), "blocks", F.lit(-1).alias("tree"), F.lit(0).alias("kind"))
-    apart = tied.join(here.where("not dense").select("rep"), "rep") \
+    shape = stored(shape.select("component", "m", F.ceil(F.col("m") / BLOCK).alias("blocks"), (F.col("m") * (F.col("m") - 1.0) / 2 <= F.col("held")).alias("dense")), "shape")
+    return tied, stored(comps.withColumnRenamed("id", "rep").join(broadcast_if_small(shape, shape.count(), 40), "component"), "shaped")
+
+
+def meetings(tied: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rep, meets``: where each class of ``groups`` is verified, as ``(kind,
+    task, grp, blocks, tree)``. A dense group is met once (tree -1), else every
+    shared node."""
+    bins = max(1, -(-groups.count() // BIN))
+    whole = groups.where("dense").select("rep", F.col("component").alias("grp"), "blocks", F.lit(-1).alias("tree"), F.lit(0).alias("kind"))
+    apart = tied.join(groups.where("not dense").select("rep"), "rep") \
         .select("rep", F.col("prefix").alias("grp"), F.ceil(F.col("n") / BLOCK).alias("blocks"), "tree", F.lit(2).alias("kind"))
     small = F.col("blocks") == 1
     met = whole.unionByName(apart).select("rep", F.struct(
@@ -294,11 +316,11 @@ def meetings(classes: DataFrame, depth: int) -> DataFrame:
     return stored(met.groupBy("rep").agg(F.collect_list("at").alias("meets")), "meetings")
 
 
-def verified_links(docs: DataFrame, classes: DataFrame, threshold: float, width: int, depth: int, trees: int) -> DataFrame:
-    """Links and a spanning forest of all classes that share a node at ``depth``."""
+def verified_links(docs: DataFrame, classes: DataFrame, met: DataFrame, threshold: float, width: int, trees: int) -> DataFrame:
+    """Links and a spanning forest of the classes that meet."""
     # only classes that are met node by node need their labels there
     at_nodes = F.exists("meets", lambda m: m["tree"] >= 0)
-    met = meetings(classes, depth).join(classes.select("rep", "size", "labels"), "rep").withColumn("labels", F.when(at_nodes, F.col("labels")))
+    met = met.join(classes.select("rep", "size", "labels"), "rep").withColumn("labels", F.when(at_nodes, F.col("labels")))
     met = stored(met, "members")
     n, nodes, labels = met.agg(F.count(F.lit(1)), F.sum(F.size("meets")), F.count("labels")).first()
     size = n * 64 + (nodes or 0) * 48 + labels * trees * (4 * DEPTH + 16)
@@ -311,7 +333,31 @@ def verified_links(docs: DataFrame, classes: DataFrame, threshold: float, width:
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
         .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
     return stored(dealt.groupBy("kind", "task", "lo", "hi").applyInArrow(
-        _verify_task(threshold, depth, trees, DEPTH), "doc_id long, links long, root long, pairs long, stand_for double"), "verified")
+        _verify_task(threshold, trees, DEPTH), "doc_id long, links long, root long, pairs long, stand_for array<double>"), "verified")
+
+
+def forest_links(docs: DataFrame, classes: DataFrame, threshold: float, width: int, trees: int, target: float) -> DataFrame:
+    """Verified links of all classes that share a long enough prefix. A shorter
+    prefix verifies only groups that it changed: a dense group that stays as it
+    was has been compared pair by pair."""
+    floor = safe_depth(threshold, trees, target)
+    places, verified, before, depth = shared_prefixes(classes, floor), None, None, DEPTH
+    while True:
+        tied, groups = groups_at(places.select("rep", "tree", F.col("path")[depth - floor].alias("prefix")))
+        if verified is None:
+            verified = verified_links(docs, classes, meetings(tied, groups), threshold, width, trees)
+        else:
+            same = groups.join(before.where("dense").select("rep", "component", "m"), ["rep", "component", "m"], "left_semi").select("rep")
+            same = stored(same, "settled")
+            changed = groups.join(broadcast_if_small(same, same.count(), 16), "rep", "left_anti")
+            again = verified_links(docs, classes, meetings(tied, changed), threshold, width, trees)
+            verified = stored(verified.join(same, F.col("doc_id") == F.col("rep"), "left_semi").unionByName(again), "verified")
+        told = verified.agg(F.sum("pairs"), *(F.sum(F.col("stand_for")[d]) for d in range(DEPTH))).first()
+        # the longest prefix that reaches the target by what was seen so far
+        reach = [d for d in range(floor, depth + 1) if measured_recall(told[0] or 0, told[d] or 0.0, threshold, d, trees) >= target]
+        if depth in reach or depth == floor:
+            return verified
+        before, depth = groups, max([d for d in reach if d < depth], default=floor)
 
 
 def jaccard_links(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE, target: float = TARGET_RECALL) -> DataFrame:
@@ -323,11 +369,7 @@ def jaccard_links(docs: DataFrame, threshold: float = THRESHOLD, width: int = SH
     known = sets.where("n > 0 and doc_id is not null")
     classes = stored(
         known.groupBy(*alike).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("labels").alias("labels")), "classes")
-    for depth in range(DEPTH, 0, -1):
-        verified = verified_links(docs, classes, threshold, width, depth, trees)
-        pairs, stand_for = verified.agg(F.sum("pairs"), F.sum("stand_for")).first()
-        if measured_recall(pairs or 0, stand_for or 0.0, threshold, depth, trees) >= target:
-            break
+    verified = forest_links(docs, classes, threshold, width, trees, target)
     joined = components(verified.select(F.col("doc_id").alias("u"), F.col("root").alias("v")))
     links = verified.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("links")) \
         .join(joined.select(F.col("id").alias("rep"), F.col("component").alias("root")), "rep", "left")

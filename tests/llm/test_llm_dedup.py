@@ -134,18 +134,19 @@ def test_jaccard_edges(documents):
 
 
 def test_prefixes_shorten_until_the_recall_is_reached(documents, monkeypatch):
-    seen = []
-    level = J.verified_links
-    monkeypatch.setattr(J, "verified_links", lambda *a: seen.append(a[4]) or level(*a))
+    met, level = [], J.meetings
+    monkeypatch.setattr(J, "meetings", lambda tied, groups: met.append(groups.count()) or level(tied, groups))
     # ends cut off: similarity 0.96; nothing lies near the threshold but what might be unseen
     high = [(2 * k + j, " ".join(f"d{k}w{i}" for i in range(200 - 4 * j))) for k in range(300) for j in range(2)]
     assert J.jaccard_links(documents(high)).where("n_links = 1").count() == 600
-    assert seen[0] == J.DEPTH and len(seen) < J.DEPTH
-    first, seen[:] = seen[-1], []
+    assert met == [600]  # the whole label sufficed
+    met.clear()
     rows = [(2 * k + j, " ".join(f"d{k}w{i}" for i in range(60 - 11 * j))) for k in range(300) for j in range(2)]  # similarity 45/56
+    rows += [(1000 + i, t) for i, t in high[:200]]
     got = {r.doc_id: (r.n_links, r.component_id, r.kept) for r in J.jaccard_links(documents(rows)).collect()}
-    assert got == {i: (1, i - i % 2, i % 2 == 0) for i in range(600)}
-    assert seen == list(range(J.DEPTH, seen[-1] - 1, -1)) and seen[-1] < first
+    assert got == {i: (1, i - i % 2, i % 2 == 0) for i, _ in rows}
+    assert len(met) == 2 and met[0] > 700 and met[1] < 50  # shortened; only changed groups were met again
+    assert J.safe_depth(0.8, J.TREES) == 5 and J.safe_depth(0.05, J.trees_needed(0.05)) == 1
     assert J.measured_recall(10 ** 6, 10 ** 6 * 1.00001, 0.8, 6, 24) < 1
     assert J.found_share(0.8, 5, J.TREES) > J.TARGET_RECALL
 
@@ -158,6 +159,7 @@ def test_a_chain_is_verified_by_shared_prefixes(documents, monkeypatch):
     kinds = []
     level = J.meetings
     monkeypatch.setattr(J, "meetings", lambda *a: kinds.append(level(*a)) or kinds[-1])
+    monkeypatch.setattr(J, "DEPTH", 5)
     monkeypatch.setattr(J, "BLOCK", 5)
     got = {r.doc_id: (r.n_links, r.component_id, r.kept) for r in J.jaccard_links(documents(rows)).collect()}
     assert got == B.jaccard(rows)
