@@ -27,7 +27,7 @@ document and are cut alike. Rows that share an id but not the text are
 documents of their own, ordered after each other by a hash of the text
 (``tagged``), so a passage stays in exactly one of them. Rows without id cannot
 be ordered and pass unchanged. Input columns named ``n_words`` or ``n_removed``
-are replaced. Memory of a task is bounded by a slice (2 MB of text or one
+are replaced. Memory of a task is bounded by a slice (1 MB of text or one
 document, some 40 bytes a text byte) and a bucket.
 """
 
@@ -45,7 +45,7 @@ from adsieve.llm.common import BROADCAST_BYTES, broadcast_if_small, fresh_names,
 from adsieve.llm.textcodes import Words, planes, slices, unplanes
 
 WIDTH = 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BUCKET_WINDOWS = 1 << 20
 PARTITIONS = 1 << 15  # at most, so that the shuffle's bookkeeping stays bounded
 SEEN = 1 << 19  # windows that a task remembers
@@ -169,10 +169,11 @@ def _hash_task(width: int, buckets: int, groups: int):
                 owner = w.doc[at]
                 doc, tag = ids[i:j][owner], tags[i:j][owner]
                 pos = at - w.first[owner]
+                del w, owner, at  # only the windows' arrays are needed from here
                 order = np.argsort(c1, kind="stable")
                 c, b = c1[order], bucket[order]
                 new = np.r_[True, (c[1:] != c[:-1]) | (b[1:] != b[:-1])]
-                marked = np.zeros(len(at), bool)
+                marked = np.zeros(len(c1), bool)
                 marked[order] = _after_head(doc[order], tag[order], pos[order], new)
                 first = order[new]
                 send, repeat = seen.settle(c[new], np.stack([b[new].astype(np.int64), doc[first], tag[first], pos[first]], axis=1))
