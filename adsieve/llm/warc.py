@@ -11,9 +11,13 @@ count, so a lost executor leaves no half or doubled archive behind.
 *Read.* Tasks parse the archives' central (or ZIP64) directories, take the
 index member, and deal its entries into runs of about ``RUN_BYTES``; other
 tasks read each run by range from the stored member and parse its records.
-Nothing is extracted, and one archive is read by many tasks.
+Nothing is extracted, and one archive is read by many tasks. The number of
+tasks follows from the number of archives and from the bytes of the runs, not
+from the size of the (tiny) entries.
 
-Files are reached through pyarrow's file systems under the shared folder.
+Files are reached through pyarrow's file systems under the shared folder, with
+the credentials of the executors' environment: ``file``, ``s3`` (also spelled
+``s3a`` or ``s3n``), ``gs``, ``abfs(s)``, and ``hdfs`` where libhdfs is installed.
 
 Defined results: a null html is an empty payload; empty payloads equal each
 other. Rows without id are responses and name no one. Rows that repeat id and
@@ -39,10 +43,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adsieve.llm import zipread
-from adsieve.llm.common import broadcast_if_small, shared_path, stored
+from adsieve.llm.common import broadcast_if_small, partitions_for, shared_path, stored
 
 ARCHIVE_BYTES = 16 << 20
 RUN_BYTES = 1 << 20
+LOCATE_ARCHIVES = 32  # directories parsed by one task
+READ_BYTES = 32 << 20  # stored bytes read by one task
 LEAST_REVISIT = 0  # bytes; smaller payloads are always responses
 DATE = "1970-01-01T00:00:00Z"
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -110,10 +116,10 @@ def parse(packed: bytes) -> dict:
 
 
 def _as_uri(path: str) -> str:
-    """Hadoop's spellings of a local path as the URI that pyarrow takes."""
+    """Hadoop's spellings of a path as the URI that pyarrow takes."""
     if path.startswith("/"):
         return f"file://{path}"
-    return re.sub(r"^file:/+", "file:///", path)
+    return re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", path))
 
 
 def _open(uri: str):
@@ -230,5 +236,10 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """Records of the archives named in ``manifest``: ``archive, offset,
     record_type, page_id, url, payload_bytes, payload_digest, refers_to,
     payload`` (null for revisits, or where not asked for)."""
-    runs = manifest.select("archive").repartition("archive").mapInArrow(_locate_task, "archive string, first long, lengths array<long>")
-    return runs.repartition("archive", "first").mapInArrow(_read_task(payloads), _RECORD)
+    spark = manifest.sparkSession
+    locate = partitions_for(spark, manifest.count(), LOCATE_ARCHIVES)
+    runs = stored(manifest.select("archive").repartition(locate, "archive").mapInArrow(_locate_task, "archive string, first long, lengths array<long>"), "runs")
+    size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)
+    total = runs.agg(F.sum(size)).first()[0] or 0
+    # counts given explicitly: entries are tiny, adaptive execution would merge them into one task
+    return runs.repartition(partitions_for(spark, total, READ_BYTES), "archive", "first").mapInArrow(_read_task(payloads), _RECORD)

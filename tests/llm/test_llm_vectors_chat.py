@@ -10,6 +10,7 @@ import zipfile
 import brute_llm as B
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adsieve.llm import chat as H
 from adsieve.llm import covertree as C
@@ -124,6 +125,24 @@ def test_warc_round_trip(lspark, monkeypatch):
     assert W.read_archives(W.write_archives(pages.limit(0))).count() == 0
 
 
+def test_warc_tasks_follow_the_bytes(lspark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(k, "u", "".join(rng.choices("abcdefghij", k=2000))) for k in range(300)]
+    monkeypatch.setattr(W, "RUN_BYTES", 4000)
+    monkeypatch.setattr(W, "READ_BYTES", 10_000)
+    monkeypatch.setattr(W, "LOCATE_ARCHIVES", 1)
+    manifest = W.write_archives(lspark.createDataFrame(rows, "page_id long, url string, html string"), limit=20_000)
+    records = W.read_archives(manifest, payloads=False)
+    assert records.rdd.getNumPartitions() > 20
+    got = records.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in got) == 300 and len(got) > 20 and max(r["count"] for r in got) < 60
+
+
+def test_warc_paths():
+    assert [W._as_uri(p) for p in ("/a/b", "file:/a/b", "file:///a/b", "s3a://k/b", "s3n://k/b", "s3://k/b", "gs://k/b", "hdfs://h:1/b")] == \
+        ["file:///a/b"] * 3 + ["s3://k/b"] * 3 + ["gs://k/b", "hdfs://h:1/b"]
+
+
 def _reader(raw):
     return lambda at, n: raw[at: at + n]
 
