@@ -9,7 +9,8 @@
    basis takes it in, until the gap to the bound is below ``GAP``.
 3. Pattern counts are rounded down. Pieces get a rank within their length, in
    two levels so that a length holding a third of all rows spreads over many
-   tasks, and the rank alone names pattern, sequence and offset.
+   tasks, and the rank alone names pattern, sequence and offset. Repeated rows
+   are dealt by their place in the stored table, ``RANK_ROWS`` at a time.
 4. What rounding leaves over is less than one sequence per pattern, so at most
    ``capacity`` sequences: these pieces are laid end to end and cut at the
    capacity. The last stretch is cut into powers of two. Padding is what the
@@ -171,16 +172,21 @@ def lay(rest: list[tuple], sequence: int, capacity: int = CAPACITY) -> list[tupl
     return out
 
 
+def _parts(pieces: DataFrame, n: int) -> DataFrame:
+    k = partitions_for(pieces.sparkSession, n, RANK_ROWS)
+    chunk = F.floor(F.col("row") / RANK_ROWS)  # equal rows of one chunk share a part, others do not
+    return pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", chunk), F.lit(k)))
+
+
 def _ranked(pieces: DataFrame, n: int) -> DataFrame:
     """Rank of each piece among those of its units (from 0), in two levels."""
-    k = partitions_for(pieces.sparkSession, n, RANK_ROWS)
-    keyed = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(k)))
+    keyed = _parts(pieces, n)
     before = Window.partitionBy("units").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy("units", "part").count().select("units", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     order = Window.partitionBy("units", "part").orderBy("doc_id", "start", "ids_crc32")
     return (
         keyed.withColumn("own", F.row_number().over(order) - 1).join(offsets, ["units", "part"])
-        .withColumn("rank", F.col("own") + F.col("before")).drop("own", "before", "part")
+        .withColumn("rank", F.col("own") + F.col("before")).drop("own", "before", "part", "row")
     )
 
 
@@ -189,7 +195,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     sequence_id, offset``. ``path`` names the tokenizer's file."""
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = stored(source.mapInArrow(_cut_task(path, capacity), _PIECE), "pieces")
+    pieces = stored(source.mapInArrow(_cut_task(path, capacity), _PIECE).withColumn("row", F.monotonically_increasing_id()), "pieces")
     pieces = pieces.withColumn("units", F.ceil(F.col("length") / UNIT))
     histogram = {r["units"]: r["count"] for r in pieces.groupBy("units").count().collect()}
     slots, n_sequences = plan(histogram, capacity // UNIT)

@@ -74,9 +74,14 @@ def passages(words: Words) -> tuple[np.ndarray, np.ndarray]:
     order = np.arange(len(words.code)) - words.first[words.doc]
     at = first_passage[words.doc] + order // PASSAGE_WORDS
     count = np.bincount(at, minlength=n)
-    # bytes belong to the passage of the last word begun; those before the first word to none
-    cell = np.repeat((at * _CLASSES).astype(np.int32), np.diff(np.r_[words.start, len(words.buf)]))
-    cell += _CLASS[words.buf[words.start[0]:]]
+    # bytes belong to the passage of the document's last word begun; those before its first word to none
+    following = np.r_[words.start[1:], len(words.buf)]
+    stop = np.minimum(following, words.base[words.doc + 1])
+    text = words.buf[words.start[0]:]
+    if (stop < following).any():
+        text = text[np.repeat(np.tile([True, False], len(stop)), np.c_[stop - words.start, following - stop].ravel())]
+    cell = np.repeat((at * _CLASSES).astype(np.int32), stop - words.start)
+    cell += _CLASS[text]
     classes = np.bincount(cell, minlength=n * _CLASSES).reshape(n, _CLASSES)
     total = np.maximum(classes.sum(axis=1, keepdims=True), 1)
     # shares spread over orders of magnitude: their square roots are compared
@@ -142,6 +147,22 @@ def _forward(w, h, doc, first):
     return _sig(z @ w["c"] + w["b"][0]), a, z, t, g
 
 
+def _gradient(w, x, doc, first, labels, weights):
+    """Gradient of the weighted mean log loss over a few documents; ``x`` holds
+    the standardised passages, ``first`` each document's first."""
+    h = np.tanh(x @ w["E"] + w["e"])
+    p, a, z, t, g = _forward(w, h, doc, first)
+    d = (p - labels) * weights / len(first)
+    dz = d[:, None] * w["c"]
+    da = (dz[doc] * h).sum(axis=1)
+    ds = a * (da - np.add.reduceat(a * da, first)[doc])
+    dt, dg = ds[:, None] * w["w"] * g * (1 - t * t), ds[:, None] * w["w"] * t * g * (1 - g)
+    dh = a[:, None] * dz[doc] + dt @ w["V"].T + dg @ w["U"].T
+    dx = dh * (1 - h * h)
+    return {"E": x.T @ dx, "e": dx.sum(axis=0), "V": h.T @ dt, "U": h.T @ dg,
+            "w": ((t * g) * ds[:, None]).sum(axis=0), "c": z.T @ d, "b": np.array([d.sum()])}
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 1, weights: np.ndarray | None = None) -> Model:
     """Fit by Adam on the mean log loss, each document at its weight (small
     bags on the driver: ``train`` gives at most ``PASSAGES`` passages)."""
@@ -169,17 +190,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 1, weights: np.n
             sizes = np.array([len(scaled[k]) for k in pick])
             doc = np.repeat(np.arange(len(pick)), sizes)
             first = np.r_[0, np.cumsum(sizes)[:-1]]
-            h = np.tanh(x @ w["E"] + w["e"])
-            p, a, z, t, g = _forward(w, h, doc, first)
-            d = (p - labels[pick]) * weights[pick] / len(pick)
-            dz = d[:, None] * w["c"]
-            da = (dz[doc] * h).sum(axis=1)
-            ds = a * (da - np.add.reduceat(a * da, first)[doc])
-            dt, dg = ds[:, None] * w["w"] * g * (1 - t * t), ds[:, None] * w["w"] * t * g * (1 - g)
-            dh = a[:, None] * dz[doc] + dt @ w["V"].T + dg @ w["U"].T
-            dx = dh * (1 - h * h)
-            grad = {"E": x.T @ dx, "e": dx.sum(axis=0), "V": h.T @ dt, "U": h.T @ dg,
-                    "w": ((t * g) * ds[:, None]).sum(axis=0), "c": z.T @ d, "b": np.array([d.sum()])}
+            grad = _gradient(w, x, doc, first, labels[pick], weights[pick])
             step += 1
             for k, v in w.items():
                 m, s = state[k]

@@ -106,3 +106,63 @@ def language(text, profiles, top):
     far = sorted((sum(abs(p.index(g) - k) if g in p else top for k, g in enumerate(mine)), lang) for lang, p in profiles.items())
     second = far[1][0] if len(far) > 1 else top * len(mine)
     return far[0][1], second / (far[0][0] + second) if far[0][0] + second else 1.0
+
+
+def passage_features(text, per=100):
+    """Features of every passage of a text, byte by byte and word by word."""
+    raw = (text or "").encode()
+    marks = [i for i in range(33, 127) if not chr(i).isalnum()]
+
+    def kind(b):
+        if 48 <= b <= 57:
+            return 0
+        if 65 <= b <= 90:
+            return 1
+        if 97 <= b <= 122:
+            return 2
+        if b in (32, 9, 11, 12):
+            return 3
+        if b in (10, 13):
+            return 4
+        return 5 + marks.index(b) if b in marks else 39
+
+    found = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    out = []
+    for k in range(0, max(1, len(found)), per):
+        mine = found[k: k + per]
+        row = [0.0] * 48
+        if mine:
+            end = found[k + per][0] if k + per < len(found) else len(raw)
+            block, n = raw[mine[0][0]: end], len(mine)
+            for b in block:
+                row[kind(b)] += 1
+            row[:40] = [math.sqrt(v / len(block)) for v in row[:40]]
+            w = [raw[a:b] for a, b in mine]
+            mean = sum(map(len, w)) / n
+            spread = math.sqrt(max(sum(len(x) ** 2 for x in w) / n - mean ** 2, 0))
+            row[40:] = [math.log1p(mean), math.log1p(spread), sum(a == b for a, b in zip(w, w[1:])) / n, len(set(w)) / n,
+                        sum(65 <= x[0] <= 90 for x in w) / n, sum(x[-1] < 128 and not 97 <= x[-1] | 32 <= 122 for x in w) / n,
+                        sum(len(x) == 1 for x in w) / n, math.log1p(n)]
+        out.append(row)
+    return out
+
+
+def attention_score(model, text):
+    """Score of one text by the formula of gated attention, in plain loops."""
+    w = {k: v.tolist() for k, v in model.weights.items()}
+
+    def times(x, m):
+        return [sum(a * row[j] for a, row in zip(x, m)) for j in range(len(m[0]))]
+
+    def sig(x):
+        return 1 / (1 + math.exp(-x))
+
+    embedded, logits = [], []
+    for x in passage_features(text):
+        x = [min(5.0, max(-5.0, (a - m) / s)) for a, m, s in zip(x, model.mean, model.scale)]
+        h = [math.tanh(a + b) for a, b in zip(times(x, w["E"]), w["e"])]
+        embedded.append(h)
+        logits.append(sum(c * math.tanh(t) * sig(g) for c, t, g in zip(w["w"], times(h, w["V"]), times(h, w["U"]))))
+    share = [math.exp(a - max(logits)) for a in logits]
+    z = [sum(a * h[j] for a, h in zip(share, embedded)) / sum(share) for j in range(len(embedded[0]))]
+    return sig(sum(a * b for a, b in zip(z, w["c"])) + w["b"][0])

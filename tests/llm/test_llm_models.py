@@ -99,6 +99,19 @@ def test_packing(documents, n):
     assert packing.pack(documents([]), BYTE).count() == 0
 
 
+def test_repeated_pieces_rank_over_many_tasks(lspark, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_ROWS", 100)
+    rows = [(1, 0, 5, 9, 5, 1, k) for k in range(2000)] + [(k, 0, 5, k, 5, 1, 5000 + k) for k in range(2, 500)] + [(7, 0, 20, 1, 20, 3, 9000)]
+    pieces = lspark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, units long, row long")
+    out = packing._ranked(pieces, len(rows))
+    assert out.columns == ["units", *[c for c in pieces.columns if c not in ("units", "row")], "rank"]
+    got = out.collect()
+    assert sorted(r["rank"] for r in got if r.units == 1) == list(range(2498)) and [r["rank"] for r in got if r.units == 3] == [0]
+    # no part holds more than a few hundred of the 2,000 equal rows
+    parts = packing._parts(pieces, len(rows)).groupBy("units", "part").count()
+    assert parts.agg(F.max("count")).first()[0] < 700
+
+
 def test_column_generation():
     rng = np.random.default_rng(5)
     lengths, counts = np.unique(np.clip(rng.gamma(2, 20, 20_000).astype(int), 1, 128), return_counts=True)
@@ -183,6 +196,45 @@ def test_attention_gradients():
     assert ((model.score(doc, np.concatenate(bags), 60) >= 0.5) == labels).mean() == 1.0
 
 
+    # the gradient against differences of the loss
+    weights = {k: v + rng.normal(0, 0.3, v.shape) for k, v in model.weights.items()}
+    few, first = 9, np.r_[0, np.cumsum([len(b) for b in bags[:8]])]
+    x, of, worth = np.concatenate(bags[:few]), doc[: sum(map(len, bags[:few]))], rng.uniform(0.5, 2, few)
+
+    def loss(w):
+        p = quality._forward(w, np.tanh(x @ w["E"] + w["e"]), of, first)[0]
+        y = labels[:few]
+        return -(worth * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / few
+
+    grad = quality._gradient(weights, x, of, first, labels[:few], worth)
+    for name, v in weights.items():
+        for at in rng.integers(0, v.size, 12):
+            moved = [{**weights, name: v.copy()} for _ in range(2)]
+            for m, step in zip(moved, (1e-5, -1e-5)):
+                m[name].ravel()[at] += step
+            assert abs((loss(moved[0]) - loss(moved[1])) / 2e-5 - grad[name].ravel()[at]) < 1e-6, name
+
+
+def test_quality_query_against_plain_python(lspark, monkeypatch):
+    """The registered query's rows, and odd texts that stand side by side."""
+    from adsieve.llm.queries import QUERIES
+
+    kept = []
+    real = quality.train
+    monkeypatch.setattr("adsieve.llm.queries.quality.train", lambda *a, **k: kept.append(real(*a, **k)) or kept[0])
+    base = "/root/testdata/sf0.001"
+    got = QUERIES["op6_quality_mil"](lspark, base).collect()
+    texts = {r.doc_id: r.text for r in lspark.read.parquet(f"{base}/documents.parquet").collect()}
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.5)
+        assert abs(r.score - B.attention_score(kept[0], texts[r.doc_id])) < 1e-9, r.doc_id
+    rows = [(1, "a B c."), (2, " \n\t lead"), (3, "   "), (4, "\t\tZ9! " * 130 + " "), (5, None), (6, " "), (7, "é 漢 x x x"), (8, ""), (9, "\r\nend ")]
+    out = quality.score(lspark.createDataFrame(rows, "doc_id long, text string").coalesce(1), kept[0]).collect()
+    for r in out:
+        assert abs(r.score - B.attention_score(kept[0], r.row.text)) < 1e-9, r
+
+
 def test_codes():
     texts = ["a b c d e f", "", "  lead", None, "a b c d e f g", "x", "é x y\x0bz", "a b c d e f"]
     for i, j, buf, base in slices(pa.array(texts), 7):
