@@ -103,6 +103,25 @@ def test_chat(lspark, monkeypatch, block):
     assert H.format_chats(df.limit(0)).count() == 0
 
 
+def test_chat_of_null_and_repeated_turns(lspark, monkeypatch):
+    monkeypatch.setattr(H, "BLOCK", 4)
+    monkeypatch.setattr(H, "HEAVY", 3)
+    monkeypatch.setattr(H, "RANGE_ROWS", 20)
+    rng = random.Random(8)
+    rows = chats(rng) + [(500, None, rng.choice(["user", None]), f"say {rng.randint(0, 200)}") for _ in range(300)]
+    rows += [(500, None, "user", "same")] * 90 + [(500, 7, "user", "same")] * 50 + [(501, 2, "a", "b")] * 60 + [(502, 2, "a", "b")] * 13 + [(503, 2, "a", "b")] * 12
+    rows += [(504, 9, "tool", "z" * 300 + str(k % 30)) for k in range(40)] + [(504, -8, None, None)] * 20 + [(None, None, "x", "y")] * 40
+    df = lspark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in sorted(H.format_chats(df).collect(), key=lambda r: (r.conv_id, r.part)):
+        got[r.conv_id] = (r.n_turns, r.n_copies, got.get(r.conv_id, (0, 0, ""))[2] + r.text)
+    want = brute_chats(rows)
+    assert got == want and {500, 501, 504} <= set(want) and not {502, 503} & set(want)
+    flat = df.where("conv_id = 500").selectExpr("conv_id", "floor(turn / 4) AS block", "turn", "coalesce(role, '') AS role", "text")
+    sizes = H._cut_heavy(flat).groupBy("block", "sub").count().collect()
+    assert sum(r["count"] for r in sizes) == 440 and max(r["count"] for r in sizes) == 4
+
+
 def test_warc_round_trip(lspark, monkeypatch):
     big = "long " * 300_000
     rows = [(1, "http://a/", "<p>x</p>"), (2, "http://b/ c\r\nX: y", "<p>x</p>"), (5, None, "<p>x</p>"), (3, "u", ""), (4, "u", None), (7, "u", big),
