@@ -144,3 +144,21 @@ def test_a_hot_window_is_shared(spark):
     first_window = got[got["a"] == anchor[0]]
     assert first_window["task"].nunique() >= 8 and first_window["task"].value_counts().max() < len(first_window) / 4
     assert len(np.unique(anchor)) == 3
+
+
+def test_twenty_million_events_in_one_window(spark):
+    """One key, one window; the times are a permutation, so a row's position is known."""
+    from adsieve.operators.anchored import anchored_positions
+    n = 20_000_000
+    df = spark.range(0, n, 1, 8).select(F.col("id").alias("seq"), F.lit("hot").alias("k"), F.pmod(F.col("id") * 7919, F.lit(n)).alias("us")) \
+        .withColumn("created_at", F.timestamp_add("MICROSECOND", F.col("us"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        parts = anchored_positions(df, "k", 20, parts=64).groupBy(F.spark_partition_id()).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("pos") != F.col("us") + 1).alias("wrong")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(r["rows"] for r in parts) == n and not any(r["wrong"] for r in parts)
+    assert len(parts) >= 16 and max(r["rows"] for r in parts) <= n / 8
