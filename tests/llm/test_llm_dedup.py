@@ -60,6 +60,24 @@ def test_drop_copies_keeps_columns(documents):
     assert X.drop_copies(documents([])).count() == 0 and X.decide_copies(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("wide", [X.WIDE_FILTER_BYTES, 0])
+def test_drop_copies_beyond_the_broadcast_bound(documents, monkeypatch, wide):
+    """Whole rows probe the filter of repeated hashes, also one of a single block."""
+    rows = corpus() + [(k, f"copy {k % 7}") for k in range(2000, 2100)] + [(k, f"text {k}") for k in range(3000, 4500)] + [(3000, "text 3000")]
+    keep = {d: k for d, (_, _, k, _) in B.exact(rows).items()}
+    want = sorted({(d, t) for d, t in rows if keep[d]}, key=str)
+    monkeypatch.setattr(X, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(X, "WIDE_FILTER_BYTES", wide)
+    out = X.drop_copies(documents(rows))
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == want
+    groups = X._decide(*X._build(documents(rows)))[1]
+    probed = X._maybe(documents(rows).select("doc_id", X._sha()), *X._copied_filter(groups))
+    copies = len(rows) - 1500
+    assert copies - 60 <= probed.where("__maybe").count() <= copies + 0.05 * len(rows)
+    plan = probed.where("not __maybe")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan.split("BroadcastExchange")[0]
+
+
 def text_tag(lspark):
     """The order of several texts of one id, as the operator documents it."""
     import functools
