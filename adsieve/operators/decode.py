@@ -103,23 +103,29 @@ def decode(df: DataFrame, value: str = "value", time_field: str = "timestamp") -
     return parsed.select(*keep, *(F.when(F.col("_odd"), slow[f]).when(F.col("_ok"), fast[f]).alias(f) for f in names), (~F.col("_ok")).alias("malformed"))
 
 
-def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:
-    """Messages that decode; malformed ones are dropped.
+def rows_where(df: DataFrame, condition: Column, cols: list[str]) -> DataFrame:
+    """``cols`` of the decoded rows that meet ``condition``.
 
     The keep/drop step is a 0-or-1-row generator over the decoded struct
     rather than a filter: a filter on the flag would be pushed below the
-    decode projection and parse every message a second time.
+    decode projection and parse every message again, once for each use of a
+    parsed column.
     """
+    packed = F.when(condition, F.array(F.struct(*cols)))
+    return df.select(F.inline(packed)).select(*cols)
+
+
+def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:
+    """Messages that decode; malformed ones are dropped."""
     d = decode(df, value)
-    cols = [c for c in d.columns if c != "malformed"]
-    packed = F.when(~F.col("malformed"), F.array(F.struct(*cols)))
-    return d.select(F.inline(packed)).select(*cols)
+    return rows_where(d, ~F.col("malformed"), [c for c in d.columns if c != "malformed"])
 
 
 def malformed_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Messages skipped by the decoder (kept for inspection)."""
-    flagged = decode(df.withColumn("_raw", F.col(value)), value).where(F.col("malformed"))
-    return flagged.select(*[c for c in df.columns if c != value], F.col("_raw").alias(value))
+    cols = [c for c in df.columns if c != value]
+    flagged = decode(df.withColumn("_raw", F.col(value)), value)
+    return rows_where(flagged, F.col("malformed"), [*cols, "_raw"]).withColumnRenamed("_raw", value)
 
 
 def to_wire(df: DataFrame) -> DataFrame:

@@ -201,7 +201,7 @@ FROM ad_events WHERE NOT {BODY_BAD_SQL}"""))
 def request_bodies(spark, sf):
     # the events of good bodies, from the body text
     out = I.normalize_bodies(FX.request_bodies(spark, sf)).drop("created_offset")
-    return out.where(~F.col("error").eqNullSafe(C.ERR_BAD_BODY))
+    return D.rows_where(out, ~F.col("error").eqNullSafe(C.ERR_BAD_BODY), out.columns)
 
 
 @query("request_body_acks", O.with_views(f"""

@@ -48,6 +48,14 @@ def test_anchored_shares_its_shuffle(spark):
     assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final
 
 
+def test_decode_steps_are_not_repeated_by_a_filter(spark):
+    # a keep/drop filter below the decode projection parses a message once for each use of a parsed column
+    from adsieve.plans.catalog import REGISTRY
+    for name in ("decode_messages", "malformed_messages", "request_bodies"):
+        plan = REGISTRY[name].build(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Filter" not in plan and "Generate inline" in plan, name
+
+
 def test_hourly_stats_aggregate_map_side(spark):
     acc = FX.ad_events(spark, SF001)
     plan = _plan(S.campaign_hour_stats(acc))
