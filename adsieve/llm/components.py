@@ -15,11 +15,16 @@ def _save(df: DataFrame, rows: int, name: str) -> DataFrame:
     return stored(df.coalesce(max(1, -(-rows // ROWS))), name)
 
 
-def _least(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
-    """Attach each ``u``'s minimum ``m``: broadcast below the size bound, else
-    from a stored table, so that a hub's rows are split by the join."""
+def _star(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
+    """Every ``v`` of the edges moves to the minimum ``m`` of its ``u``, and each
+    ``u`` once: one row a link and one an id, not two a link. ``least (u, m)`` is
+    broadcast below the size bound, else stored, so that a hub's rows are split
+    by the join."""
     side = broadcast_if_small(least, rows, 32)
-    return edges.join(side if side is not least else stored(least, "stars"), "u")
+    if side is least:
+        side = least = stored(least, "stars")
+    moved = edges.join(side, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -37,18 +42,11 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         n = before[0]
         # large star: u's larger neighbours, and u, move to the least of u and its neighbours
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        seen = _least(both, least, 2 * n)
-        moved = seen.select(F.explode(F.array(
-            F.when(F.col("v") > F.col("u"), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))),
-            F.struct(F.col("u"), F.col("m").alias("v")))).alias("x")).where("x is not null").select("x.u", "x.v")
-        large = _save(moved.where("u <> v").distinct(), 2 * n, "large")
+        larger = e.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        least = e.unionByName(larger).groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = _save(_star(larger, least, 2 * n), 2 * n, "large")
         # small star: u's smaller neighbours, and u, move to the least of them
-        seen = _least(large, large.groupBy("u").agg(F.min("v").alias("m")), 2 * n)
-        moved = seen.select(F.explode(F.array(
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
-        e = _save(moved.where("u <> v").distinct(), 2 * n, "links")
+        e = _save(_star(large, large.groupBy("u").agg(F.min("v").alias("m")), 2 * n), 2 * n, "links")
         after = _state(e)
         if after == before:
             break

@@ -197,3 +197,18 @@ def test_components(lspark):
     want = {k: c for k, c in B.reach(near, near).items() if any(x != k for x in near[k])}
     got = {r.id: r.component for r in components(lspark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == want
+
+
+def test_components_move_a_link_once(lspark, monkeypatch):
+    from adsieve.llm import components as C
+
+    moved = []
+    save = C._save
+    monkeypatch.setattr(C, "_save", lambda df, rows, name: moved.append(df._jdf.queryExecution().optimizedPlan().toString()) or save(df, rows, name))
+    # a hub, a chain and a group with several links an id; loops and nulls link nothing
+    edges = [(i, 0) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 130)] + [(200 + i, 200 + j) for i in range(12) for j in range(i)]
+    edges += [(500, 500), (None, 3), (4, None)]
+    got = {r.id: r.component for r in components(lspark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 0 for i in range(60)} | {i: 100 for i in range(100, 131)} | {i: 200 for i in range(200, 212)}
+    # no row a link for the id that moves: two rows a link and direction made most of the work
+    assert moved and not any("Generate" in plan for plan in moved)
