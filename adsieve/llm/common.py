@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -51,6 +52,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def as_uri(path: str) -> str:
+    """Hadoop's spellings of a path as the URI that pyarrow takes."""
+    if path.startswith("/"):
+        return f"file://{path}"
+    return re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", path))
+
+
+def file_system(uri: str):
+    """(pyarrow's file system, path in it)."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     so a lost executor recomputes nothing before this point."""

@@ -43,7 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adsieve.llm import zipread
+from adsieve.llm.common import as_uri as _as_uri
 from adsieve.llm.common import broadcast_if_small, partitions_for, shared_path, stored
+from adsieve.llm.common import file_system as _open
 
 ARCHIVE_BYTES = 16 << 20
 RUN_BYTES = 1 << 20
@@ -115,19 +117,6 @@ def parse(packed: bytes) -> dict:
         "refers_to": _page(fields.get("warc-refers-to")), "payload": payload if response else None}
 
 
-def _as_uri(path: str) -> str:
-    """Hadoop's spellings of a path as the URI that pyarrow takes."""
-    if path.startswith("/"):
-        return f"file://{path}"
-    return re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", path))
-
-
-def _open(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def _write_task(root: str, limit: int):
     def flush(data: io.BytesIO, index: list[str]) -> tuple[str, int]:
         name = f"{root}/{uuid.uuid4().hex}.zip"

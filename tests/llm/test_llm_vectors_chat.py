@@ -6,6 +6,7 @@ import io
 import random
 import struct
 import zipfile
+from pathlib import Path
 
 import brute_llm as B
 import numpy as np
@@ -45,6 +46,94 @@ def test_cover_tree_edges(lspark):
     assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got) == [(0, 0, 0, True), (2, 2, 2, True), (4, 2, 2, False), (4, 2, 2, False)]
 
 
+def grouped(seed, n, dim, groups):
+    """Unit vectors in random directions, and groups ``(size, noise)`` around some."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n + sum(g for g, _ in groups), dim))
+    at = n
+    for size, noise in groups:
+        y = x[at: at + size] / np.linalg.norm(x[at: at + size], axis=1, keepdims=True)
+        x[at: at + size] = x[at] / np.linalg.norm(x[at]) + noise * y
+        at += size
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)[rng.permutation(len(x))]
+
+
+def linked(ids, x):
+    """``{id: (links, least id of its component, kept)}`` by all pairs."""
+    u = C.unit(x)
+    hit = (u @ u.T >= C.THRESHOLD) & (ids[:, None] != ids)
+    label = ids.copy()
+    while True:
+        new = np.minimum(label, np.where(hit, label, ids.max()).min(axis=1))
+        if (new == label).all():
+            return {int(i): (int(n), int(c), bool(c == i)) for i, n, c in zip(ids, hit.sum(axis=1), label)}
+        label = new
+
+
+def written(spark):
+    """Bytes shuffled so far, and those in the shared folder."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(60_000)
+    executors = sc.statusStore().executorList(False)
+    shuffled = sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return shuffled + sum(f.stat().st_size for f in shared.rglob("*") if f.is_file() and f.suffix != ".crc")
+
+
+def test_cover_tree_of_many_units_stays_small_on_disk(lspark, monkeypatch):
+    """Each vector is shuffled and written once, not once for each pair of blocks."""
+    monkeypatch.setattr(C, "BLOCK", 50)
+    monkeypatch.setattr(C, "UNIT_BYTES", 100 * 64 * 8)
+    x = grouped(1, 2300, 64, [(300, 0.08), (150, 0.15), (50, 0.3)] + [(2, 0.05)] * 100)
+    ids = np.arange(len(x)) * 3
+    df = lspark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    before = written(lspark)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in C.near_vectors(df).collect()}
+    assert got == linked(ids, x)
+    assert written(lspark) - before < 8 * x.nbytes
+
+
+@pytest.mark.parametrize("bound", [32 << 20, 0])
+def test_cover_tree_copies_broadcast_or_not(lspark, monkeypatch, bound):
+    from adsieve.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", bound)
+    x = grouped(2, 120, 8, [(20, 0.1)])
+    x = np.concatenate([x, x[:30], x[:30], x[:5]])
+    ids = np.arange(len(x)) + 7
+    rows = [(int(i), [float(c) for c in v]) for i, v in zip(ids, x)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in C.near_vectors(lspark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert got == linked(ids, x)
+
+
+@pytest.mark.parametrize("noise", [0.05, 0.08, 0.15, 0.24, 0.3])
+def test_links_of_groups(noise):
+    x = C.unit(grouped(3, 300, 64, [(400, noise)]))
+    a, by_a = C.build(x[:350])
+    b, by_b = C.build(x[350:])
+    u, v = a.x, b.x
+    na, other, p, q = C.links(a, a, np.ones(350), np.ones(350))
+    hit = u @ u.T >= C.THRESHOLD
+    assert (na + other == hit.sum(axis=1) - 1).all() and hit[p, C._roots(350, p, q)[p]].any()
+    wa, wb = np.arange(350.0), np.arange(350.0) % 5
+    na, nb, p, q = C.links(a, b, wa, wb)
+    hit = u @ v.T >= C.THRESHOLD
+    assert (na == hit @ wb).all() and (nb == wa @ hit).all()
+    both = np.block([[np.eye(350, dtype=bool), hit], [hit.T, np.eye(350, dtype=bool)]])
+    root = C._roots(700, *np.nonzero(both))
+    assert (C._roots(700, p, q) == root).all()
+
+
+def test_split_and_forest():
+    x = C.unit(grouped(4, 500, 6, [(200, 0.1)]))
+    parts = C.split(x, 64)
+    assert (np.sort(np.concatenate(parts)) == np.arange(700)).all() and max(len(p) for p in parts) <= 64
+    same = np.ones((150, 3))
+    assert max(len(p) for p in C.split(same, 64)) <= 64
+    chain = np.stack([np.arange(999), np.arange(1, 1000)])
+    assert (C._roots(1000, *chain) == 0).all() and C._forest(1000, np.tile(chain, 5)).shape == (2, 999)
+
+
 def test_tree_invariants():
     x = C.unit(np.array([v for _, v in vectors(4, 200)]))
     tree, order = C.build(x)
